@@ -1,0 +1,80 @@
+"""The bronze -> silver -> gold pipeline as pure DataFrame builders.
+
+``clean_tables`` and ``gold_tables`` never run an action; ``run_pipeline``
+writes the layers and returns a per-table status frame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.functions.expressions import hour_from_hrmn
+from strata.operators import aggregate as agg
+from strata.operators.clean import CleanRules, clean, clean_report
+from strata.operators.ranking import rank_global
+from strata.plans import bindings
+
+TOP_K_DEPARTMENTS = 20  # fixed value: the source ranks the top 20 departments
+
+ACCIDENT_RULES = CleanRules(key="num_acc", ranges={"an": bindings.ORDER_YEAR_RANGE}, trim=("dep",))
+PLACE_RULES = CleanRules(key="num_acc")
+VEHICLE_RULES = CleanRules(key="num_acc")
+PERSON_RULES = CleanRules(key="num_acc", required=("grav",))
+
+RULES = {"accidents": ACCIDENT_RULES, "places": PLACE_RULES,
+         "vehicles": VEHICLE_RULES, "persons": PERSON_RULES}
+
+
+def silver_accidents(raw: DataFrame, rules: CleanRules = ACCIDENT_RULES) -> DataFrame:
+    return (clean(raw, rules)
+            .withColumn("heure_int", hour_from_hrmn("hrmn"))
+            .withColumn("meteo", F.col("atm")))
+
+
+def silver_places(raw: DataFrame) -> DataFrame:
+    return clean(raw, PLACE_RULES).withColumn("etat_route", F.col("surf"))
+
+
+def silver_vehicles(raw: DataFrame) -> DataFrame:
+    return clean(raw, VEHICLE_RULES)
+
+
+def silver_persons(raw: DataFrame) -> DataFrame:
+    return clean(raw, PERSON_RULES)
+
+
+def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    persons = silver_persons(raw["persons"])
+    return {
+        "accidents": silver_accidents(raw["accidents"]),
+        "places": silver_places(raw["places"]),
+        "vehicles": silver_vehicles(raw["vehicles"]),
+        "persons": persons,
+        "severity": agg.severity_per_accident(persons),
+    }
+
+
+def cleaning_report(raw: dict[str, DataFrame], rules: dict[str, CleanRules] = RULES) -> DataFrame:
+    parts = [clean_report(raw[name], rules[name], name) for name in raw]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def top_departments(silver: dict[str, DataFrame], k: int = TOP_K_DEPARTMENTS) -> DataFrame:
+    stats = agg.department_serious_rate(silver["accidents"], silver["severity"])
+    return rank_global(stats, [F.desc_nulls_last("taux_graves"), F.asc("dep")], k, "rang_dep")
+
+
+def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "meteo": agg.severity_by_weather(silver["accidents"], silver["severity"]),
+        "departements": agg.departments_with_places(silver["accidents"], silver["places"]),
+        "top_departements_graves": top_departments(silver),
+    }
+
+
+def silver_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return clean_tables(bindings.raw_tables(spark, sf_dir))
