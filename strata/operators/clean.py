@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from strata.functions.expressions import col_of, nonblank
 
@@ -29,25 +30,43 @@ REASON_KEY_MISSING = "key_missing"
 REASON_KEY_BLANK = "key_blank"
 
 
-def reject_reason(rules: CleanRules) -> Column:
+def _is_text(df: DataFrame | None, column: str) -> bool:
+    """Blank tests only make sense on text; a numeric key is never blank."""
+    return df is None or isinstance(df.schema[column].dataType, StringType)
+
+
+def _key_ok(df: DataFrame | None, key: str) -> Column:
+    k = F.col(key)
+    return k.isNotNull() & nonblank(k) if _is_text(df, key) else k.isNotNull()
+
+
+def _range_value(df: DataFrame | None, column: str) -> Column:
+    """Ranges are numeric; a text cell is read with try_cast (unreadable -> NULL)."""
+    c = F.col(column)
+    return c.try_cast("int") if df is not None and _is_text(df, column) else c
+
+
+def reject_reason(rules: CleanRules, df: DataFrame | None = None) -> Column:
     """First failing rule of a row as text, NULL when the row is kept."""
     key = F.col(rules.key)
-    out = F.when(key.isNull(), F.lit(REASON_KEY_MISSING)).when(~nonblank(key), F.lit(REASON_KEY_BLANK))
+    out = F.when(key.isNull(), F.lit(REASON_KEY_MISSING))
+    if _is_text(df, rules.key):
+        out = out.when(~nonblank(key), F.lit(REASON_KEY_BLANK))
     for c in rules.required:
         out = out.when(F.col(c).isNull(), F.lit(f"missing_{c}"))
     for c, (lo, hi) in rules.ranges.items():
         # NULL fails `between` as well (an unreadable value is out of range)
-        out = out.when(~F.coalesce(F.col(c).between(lo, hi), F.lit(False)), F.lit(f"out_of_range_{c}"))
+        out = out.when(~F.coalesce(_range_value(df, c).between(lo, hi), F.lit(False)),
+                       F.lit(f"out_of_range_{c}"))
     return out
 
 
-def keep_predicate(rules: CleanRules) -> Column:
-    key = F.col(rules.key)
-    cond = key.isNotNull() & nonblank(key)
+def keep_predicate(rules: CleanRules, df: DataFrame | None = None) -> Column:
+    cond = _key_ok(df, rules.key)
     for c in rules.required:
         cond = cond & F.col(c).isNotNull()
     for c, (lo, hi) in rules.ranges.items():
-        cond = cond & F.col(c).between(lo, hi)
+        cond = cond & _range_value(df, c).between(lo, hi)
     return cond
 
 
@@ -58,15 +77,15 @@ def dedup_full_row(df: DataFrame) -> DataFrame:
 
 def require_keys(df: DataFrame, key: str, *others: str) -> DataFrame:
     """Reject rows with a NULL or blank key, or NULL in any other listed column."""
-    cond = F.col(key).isNotNull() & nonblank(key)
+    cond = _key_ok(df, key)
     for c in others:
         cond = cond & F.col(c).isNotNull()
     return df.where(cond)
 
 
 def year_range(df: DataFrame, column: str, lo: int, hi: int) -> DataFrame:
-    """Keep rows with lo <= column <= hi (inclusive; NULL rejected)."""
-    return df.where(F.col(column).between(lo, hi))
+    """Keep rows with lo <= column <= hi (inclusive; NULL or unreadable rejected)."""
+    return df.where(_range_value(df, column).between(lo, hi))
 
 
 def trim_codes(df: DataFrame, *columns: str) -> DataFrame:
@@ -75,12 +94,12 @@ def trim_codes(df: DataFrame, *columns: str) -> DataFrame:
 
 def clean(df: DataFrame, rules: CleanRules) -> DataFrame:
     """Duplicates, then rules, then trims."""
-    out = dedup_full_row(df).where(keep_predicate(rules))
+    out = dedup_full_row(df).where(keep_predicate(rules, df))
     return trim_codes(out, *rules.trim) if rules.trim else out
 
 
 def with_reject_reason(df: DataFrame, rules: CleanRules, name: str = "reject_reason") -> DataFrame:
-    return df.withColumn(name, reject_reason(rules))
+    return df.withColumn(name, reject_reason(rules, df))
 
 
 def clean_report(df: DataFrame, rules: CleanRules, table_name: str) -> DataFrame:
@@ -91,15 +110,14 @@ def clean_report(df: DataFrame, rules: CleanRules, table_name: str) -> DataFrame
     counts copies per distinct row, one global aggregate sums it up.
     """
     copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    reason = reject_reason(rules)
-    key = F.col(rules.key)
+    reason = reject_reason(rules, df)
     n_range = F.lit(False)
     for c, (lo, hi) in rules.ranges.items():
-        n_range = n_range | ~F.coalesce(F.col(c).between(lo, hi), F.lit(False))
+        n_range = n_range | ~F.coalesce(_range_value(df, c).between(lo, hi), F.lit(False))
     n_required = F.lit(False)
     for c in rules.required:
         n_required = n_required | F.col(c).isNull()
-    key_bad = key.isNull() | ~F.coalesce(nonblank(key), F.lit(False))
+    key_bad = ~F.coalesce(_key_ok(df, rules.key), F.lit(False))
 
     def count_where(c: Column) -> Column:
         return F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))).cast("bigint")

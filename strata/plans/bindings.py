@@ -63,12 +63,13 @@ def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accident role with rule-chosen defects, as a raw delivery would carry them.
+    """Accident bronze as delimited text would carry it: every column STRING,
+    with defects chosen by rules on the row values:
 
-    * key missing for status P + priority 5, year unreadable for status O +
-      priority 5;
+    * key missing for status P + priority 5, key blank for status P + priority 4;
+    * year unreadable (``n/a``) for status O + priority 5;
     * department padded with spaces for status F + priority 2;
-    * time written without the leading zero for error events;
+    * time written without its leading zero for error events;
     * rows of status F + priority 1 delivered twice.
     """
     o = table(spark, sf_dir, "orders",
@@ -77,20 +78,22 @@ def dirty_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events", ["event_id", "ts", "event_type"])
     st, pr = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
     dep = F.lpad(F.col("c_nationkey").cast("string"), 2, "0")
+    key = F.col("o_orderkey").cast("string")
     base = (o.join(c, o.o_custkey == c.c_custkey, "inner")
             .join(e, o.o_orderkey == e.event_id, "left")
             .select(
-                F.when((st == "P") & (pr == "5"), F.lit(None).cast("bigint"))
-                 .otherwise(F.col("o_orderkey")).alias("num_acc"),
-                F.when((st == "O") & (pr == "5"), F.lit(None).cast("int"))
-                 .otherwise(F.year("o_orderdate")).alias("an"),
-                F.month("o_orderdate").alias("mois"),
-                F.dayofmonth("o_orderdate").alias("jour"),
+                F.when((st == "P") & (pr == "5"), F.lit(None).cast("string"))
+                 .when((st == "P") & (pr == "4"), F.lit("   "))
+                 .otherwise(key).alias("num_acc"),
+                F.when((st == "O") & (pr == "5"), F.lit("n/a"))
+                 .otherwise(F.year("o_orderdate").cast("string")).alias("an"),
+                F.lpad(F.month("o_orderdate").cast("string"), 2, "0").alias("mois"),
+                F.lpad(F.dayofmonth("o_orderdate").cast("string"), 2, "0").alias("jour"),
                 F.when(F.col("event_type") == "error", F.date_format("ts", "H:mm"))
                  .otherwise(F.date_format("ts", "HH:mm")).alias("hrmn"),
                 F.when((st == "F") & (pr == "2"), F.concat(F.lit(" "), dep, F.lit(" ")))
                  .otherwise(dep).alias("dep"),
-                pr.try_cast("int").alias("atm"),
+                pr.alias("atm"),
                 ((st == "F") & (pr == "1")).alias("_again"),
             ))
     return base.drop("_again").unionByName(base.where("_again").drop("_again"))

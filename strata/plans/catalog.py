@@ -110,3 +110,164 @@ def q_topk_groups(spark, d):
 @query("having_min_count")
 def q_having_min_count(spark, d):
     return agg.having_min_count(bindings.ratings(spark, d), "item_id", "rating", 5, 10)
+
+
+# ---- step 2: cleaning (over the all-text bronze with rule-chosen defects) ----------
+
+from strata.functions import expressions as fx  # noqa: E402
+from strata.operators import clean as cl  # noqa: E402
+
+
+@query("proj_select_rename")
+def q_proj_select_rename(spark, d):
+    return (bindings.accidents(spark, d).select("num_acc", "dep", "atm")
+            .withColumnsRenamed({"atm": "meteo"}))
+
+
+@query("clean_required_keys")
+def q_clean_required_keys(spark, d):
+    return cl.require_keys(bindings.dirty_accidents(spark, d), "num_acc")
+
+
+@query("clean_year_range")
+def q_clean_year_range(spark, d):
+    lo, hi = bindings.ORDER_YEAR_RANGE
+    return cl.year_range(bindings.dirty_accidents(spark, d), "an", lo, hi).select("num_acc", "an")
+
+
+@query("clean_trim_codes")
+def q_clean_trim_codes(spark, d):
+    t = cl.trim_codes(bindings.dirty_accidents(spark, d), "dep")
+    return agg.count_by_category(t, "dep", "nb")
+
+
+@query("enrich_hour")
+def q_enrich_hour(spark, d):
+    t = bindings.dirty_accidents(spark, d).withColumn("heure_int", fx.hour_from_hrmn("hrmn"))
+    return t.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb"), F.count("hrmn").alias("nb_avec_texte"))
+
+
+@query("enrich_safe_cast")
+def q_enrich_safe_cast(spark, d):
+    t = bindings.dirty_accidents(spark, d).withColumn("an_int", fx.safe_int("an"))
+    return agg.count_by_category(t, "an_int", "nb")
+
+
+@query("dedup_full_row")
+def q_dedup_full_row(spark, d):
+    return cl.dedup_full_row(bindings.dirty_accidents(spark, d))
+
+
+@query("clean_report")
+def q_clean_report(spark, d):
+    raw = bindings.raw_tables(spark, d)
+    raw["accidents"] = bindings.dirty_accidents(spark, d)
+    return pipeline.cleaning_report(raw)
+
+
+@query("clean_reject_reasons")
+def q_clean_reject_reasons(spark, d):
+    t = cl.with_reject_reason(bindings.dirty_accidents(spark, d), pipeline.TEXT_ACCIDENT_RULES)
+    return agg.count_by_category(t, "reject_reason", "nb")
+
+
+@query("silver_from_text")
+def q_silver_from_text(spark, d):
+    return pipeline.silver_accidents_from_text(bindings.dirty_accidents(spark, d))
+
+
+# ---- step 4: sources, sinks, reports ------------------------------------------------
+
+from strata import contracts  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+from strata.sources import files, sinks  # noqa: E402
+
+_CSV_WRITE = {"header": True, "sep": files.CSV_SEP, "encoding": files.CSV_ENCODING,
+              "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _write_csv(df, path, compression=None):
+    w = df.write.mode("overwrite").options(**_CSV_WRITE)
+    if compression:
+        w = w.option("compression", compression)
+    w.csv(path)
+
+
+@query("src_csv_typed")
+def q_src_csv_typed(spark, d):
+    path = scratch_path(spark, "csv-typed")
+    _write_csv(bindings.dirty_accidents(spark, d), path)
+    return files.read_csv_contract(spark, path, contracts.ACCIDENTS_TEXT)
+
+
+@query("src_csv_contract")
+def q_src_csv_contract(spark, d):
+    # the file's column order differs from the contract: binding is by name
+    path = scratch_path(spark, "csv-contract")
+    text = bindings.dirty_accidents(spark, d)
+    _write_csv(text.select(*reversed(text.columns)), path)
+    files.check_sources(spark, [path])
+    return files.read_csv_contract(spark, path, contracts.ACCIDENTS_TEXT)
+
+
+@query("ingest_row_counts")
+def q_ingest_row_counts(spark, d):
+    raw = bindings.raw_tables(spark, d)
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("nb_rows"))
+             for name, df in raw.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("sink_parquet_roundtrip")
+def q_sink_parquet_roundtrip(spark, d):
+    s = silver(spark, d)
+    path = scratch_path(spark, "gold-meteo")
+    sinks.write_parquet(agg.severity_by_weather(s["accidents"], s["severity"]), path, files=1)
+    return spark.read.parquet(path)
+
+
+@query("sink_partitioned_roundtrip")
+def q_sink_partitioned_roundtrip(spark, d):
+    acc = silver(spark, d)["accidents"]
+    path = scratch_path(spark, "silver-accidents-by-dep")
+    sinks.write_partitioned(acc, path, ["dep"])
+    # declared schema on read: partition values stay text ("07", not 7)
+    return spark.read.schema(acc.schema).parquet(path).select(*acc.columns)
+
+
+@query("profile_schema")
+def q_profile_schema(spark, d):
+    acc = silver(spark, d)["accidents"]
+    fields = acc.schema.fields
+    wide = acc.agg(*[F.count(f.name).alias(f.name) for f in fields])
+    parts = []
+    for f in fields:
+        parts += [F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f.name)]
+    return wide.select(F.stack(F.lit(len(fields)), *parts).alias("column_name", "data_type", "non_null"))
+
+
+@query("run_metrics_rows")
+def q_run_metrics_rows(spark, d):
+    raw = bindings.raw_tables(spark, d)
+    raw["accidents"] = bindings.dirty_accidents(spark, d)
+    metrics = sinks.metrics_from_report(pipeline.cleaning_report(raw), "nettoyage")
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics_json(metrics, path)
+    return sinks.read_metrics_json(spark, path)
+
+
+# ---- fixed values: labels of the person severity codes ----
+GRAV_LABELS = [(1, "indemne"), (2, "tue"), (3, "blesse hospitalise"), (4, "blesse leger")]
+
+
+@query("enrich_code_labels")
+def q_enrich_code_labels(spark, d):
+    labels = spark.createDataFrame(GRAV_LABELS, "grav int, libelle string")
+    persons = silver(spark, d)["persons"]
+    j = joins.dimension_join(persons, labels.withColumnRenamed("grav", "code"), "grav", "code",
+                             dim_rows=len(GRAV_LABELS), how="left")
+    return (j.withColumn("libelle", F.coalesce("libelle", F.lit("inconnu")))
+            .groupBy("grav", "libelle").agg(F.count(F.lit(1)).alias("nb_usagers")))

@@ -148,3 +148,114 @@ ORACLE["having_min_count"] = """
 SELECT l_partkey AS item_id, avg(l_quantity) AS note_moyenne, count(*) AS nb_votes
 FROM lineitem GROUP BY l_partkey HAVING count(*) >= 5
 ORDER BY note_moyenne DESC, item_id ASC LIMIT 10"""
+
+# ---- step 2: cleaning over the text bronze -------------------------------------
+
+DIRTY = """dirty_base AS (
+  SELECT CASE WHEN o.o_orderstatus = 'P' AND substr(o.o_orderpriority, 1, 1) = '5' THEN NULL
+              WHEN o.o_orderstatus = 'P' AND substr(o.o_orderpriority, 1, 1) = '4' THEN '   '
+              ELSE CAST(o.o_orderkey AS VARCHAR) END AS num_acc,
+         CASE WHEN o.o_orderstatus = 'O' AND substr(o.o_orderpriority, 1, 1) = '5' THEN 'n/a'
+              ELSE CAST(year(o.o_orderdate) AS VARCHAR) END AS an,
+         lpad(CAST(month(o.o_orderdate) AS VARCHAR), 2, '0') AS mois,
+         lpad(CAST(day(o.o_orderdate) AS VARCHAR), 2, '0') AS jour,
+         CASE WHEN e.event_type = 'error' THEN strftime(e.ts, '%-H:%M') ELSE strftime(e.ts, '%H:%M') END AS hrmn,
+         CASE WHEN o.o_orderstatus = 'F' AND substr(o.o_orderpriority, 1, 1) = '2'
+              THEN ' ' || lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') || ' '
+              ELSE lpad(CAST(c.c_nationkey AS VARCHAR), 2, '0') END AS dep,
+         substr(o.o_orderpriority, 1, 1) AS atm,
+         (o.o_orderstatus = 'F' AND substr(o.o_orderpriority, 1, 1) = '1') AS again
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN events e ON o.o_orderkey = e.event_id),
+dirty AS (
+  SELECT num_acc, an, mois, jour, hrmn, dep, atm FROM dirty_base
+  UNION ALL SELECT num_acc, an, mois, jour, hrmn, dep, atm FROM dirty_base WHERE again)"""
+
+KEY_OK = "num_acc IS NOT NULL AND length(trim(num_acc)) > 0"
+YEAR_OK = "TRY_CAST(an AS INTEGER) BETWEEN 1995 AND 2000"
+HOUR = """CASE WHEN regexp_matches(hrmn, '^[0-9]{2}:[0-9]{2}$') THEN TRY_CAST(substr(hrmn, 1, 2) AS INTEGER) END"""
+
+TYPED_DIRTY = """TRY_CAST(trim(num_acc) AS BIGINT) AS num_acc, TRY_CAST(trim(an) AS INTEGER) AS an,
+       TRY_CAST(trim(mois) AS INTEGER) AS mois, TRY_CAST(trim(jour) AS INTEGER) AS jour,
+       hrmn, dep, TRY_CAST(trim(atm) AS INTEGER) AS atm"""
+
+ORACLE["proj_select_rename"] = w(ACCIDENTS_RAW) + "SELECT num_acc, dep, atm AS meteo FROM accidents_raw"
+
+ORACLE["clean_required_keys"] = w(DIRTY) + f"SELECT * FROM dirty WHERE {KEY_OK}"
+
+ORACLE["clean_year_range"] = w(DIRTY) + f"SELECT num_acc, an FROM dirty WHERE {YEAR_OK}"
+
+ORACLE["clean_trim_codes"] = w(DIRTY) + "SELECT trim(dep) AS dep, count(*) AS nb FROM dirty GROUP BY 1"
+
+ORACLE["enrich_hour"] = w(DIRTY) + f"""
+SELECT {HOUR} AS heure_int, count(*) AS nb, count(hrmn) AS nb_avec_texte FROM dirty GROUP BY 1"""
+
+ORACLE["enrich_safe_cast"] = w(DIRTY) + """
+SELECT TRY_CAST(an AS INTEGER) AS an_int, count(*) AS nb FROM dirty GROUP BY 1"""
+
+ORACLE["dedup_full_row"] = w(DIRTY) + "SELECT DISTINCT * FROM dirty"
+
+_REPORT_TABLE = """
+SELECT '{name}' AS table_name, CAST(sum(copies) AS BIGINT) AS raw_rows,
+       CAST(sum(copies) - count(*) AS BIGINT) AS duplicate_rows,
+       CAST(sum(CASE WHEN {key_bad} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_key,
+       CAST(sum(CASE WHEN NOT ({key_bad}) AND {req_bad} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_required,
+       CAST(sum(CASE WHEN NOT ({key_bad}) AND NOT ({req_bad}) AND {range_bad} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_range,
+       CAST(sum(CASE WHEN NOT ({key_bad}) AND NOT ({req_bad}) AND NOT ({range_bad}) THEN 1 ELSE 0 END) AS BIGINT) AS kept_rows
+FROM (SELECT *, count(*) AS copies FROM {src} GROUP BY ALL)"""
+
+ORACLE["clean_report"] = w(DIRTY, ACCIDENTS_RAW, PERSONS_RAW, PLACES, VEHICLES) + " UNION ALL ".join([
+    _REPORT_TABLE.format(name="accidents", src="dirty", key_bad=f"NOT coalesce({KEY_OK}, false)",
+                         req_bad="false", range_bad=f"NOT coalesce({YEAR_OK}, false)"),
+    _REPORT_TABLE.format(name="places", src="places_raw", key_bad="num_acc IS NULL",
+                         req_bad="false", range_bad="false"),
+    _REPORT_TABLE.format(name="vehicles", src="vehicles_raw", key_bad="num_acc IS NULL",
+                         req_bad="false", range_bad="false"),
+    _REPORT_TABLE.format(name="persons", src="persons_raw", key_bad="num_acc IS NULL",
+                         req_bad="grav IS NULL", range_bad="false"),
+])
+
+ORACLE["clean_reject_reasons"] = w(DIRTY) + f"""
+SELECT CASE WHEN num_acc IS NULL THEN 'key_missing'
+            WHEN NOT (length(trim(num_acc)) > 0) THEN 'key_blank'
+            WHEN NOT coalesce({YEAR_OK}, false) THEN 'out_of_range_an' END AS reject_reason,
+       count(*) AS nb
+FROM dirty GROUP BY 1"""
+
+ORACLE["silver_from_text"] = w(DIRTY) + f""",
+kept AS (SELECT * REPLACE (trim(dep) AS dep) FROM (SELECT DISTINCT * FROM dirty) WHERE {KEY_OK} AND {YEAR_OK})
+SELECT {TYPED_DIRTY}, {HOUR} AS heure_int, TRY_CAST(trim(atm) AS INTEGER) AS meteo FROM kept"""
+
+# ---- step 4: sources, sinks, reports ------------------------------------------------
+
+ORACLE["src_csv_typed"] = w(DIRTY) + f"SELECT {TYPED_DIRTY} FROM dirty"
+ORACLE["src_csv_contract"] = ORACLE["src_csv_typed"]
+
+ORACLE["ingest_row_counts"] = w(ACCIDENTS_RAW, PERSONS_RAW, PLACES, VEHICLES) + """
+SELECT 'accidents' AS table_name, count(*) AS nb_rows FROM accidents_raw
+UNION ALL SELECT 'places', count(*) FROM places_raw
+UNION ALL SELECT 'vehicles', count(*) FROM vehicles_raw
+UNION ALL SELECT 'persons', count(*) FROM persons_raw"""
+
+ORACLE["sink_parquet_roundtrip"] = ORACLE["join_severity_by_weather"]
+
+ORACLE["sink_partitioned_roundtrip"] = w(ACCIDENTS) + "SELECT * FROM accidents"
+
+ORACLE["profile_schema"] = w(ACCIDENTS) + """
+SELECT * FROM (VALUES ('num_acc', 'bigint'), ('an', 'int'), ('mois', 'int'), ('jour', 'int'),
+  ('hrmn', 'string'), ('dep', 'string'), ('atm', 'int'), ('heure_int', 'int'), ('meteo', 'int')) t(column_name, data_type)
+JOIN (UNPIVOT (SELECT count(num_acc) AS num_acc, count(an) AS an, count(mois) AS mois, count(jour) AS jour,
+               count(hrmn) AS hrmn, count(dep) AS dep, count(atm) AS atm, count(heure_int) AS heure_int,
+               count(meteo) AS meteo FROM accidents)
+      ON COLUMNS(*) INTO NAME column_name VALUE non_null) u USING (column_name)"""
+
+_REPORT_LONG = ORACLE["clean_report"]
+ORACLE["run_metrics_rows"] = f"""
+SELECT 'nettoyage' AS step, table_name, metric, CAST(value AS BIGINT) AS value
+FROM (UNPIVOT ({_REPORT_LONG}) ON COLUMNS(* EXCLUDE (table_name)) INTO NAME metric VALUE value)"""
+
+ORACLE["enrich_code_labels"] = w(PERSONS) + """
+SELECT p.grav, coalesce(l.libelle, 'inconnu') AS libelle, count(*) AS nb_usagers
+FROM persons p LEFT JOIN (VALUES (1, 'indemne'), (2, 'tue'), (3, 'blesse hospitalise'), (4, 'blesse leger')) l(code, libelle)
+  ON p.grav = l.code
+GROUP BY ALL"""

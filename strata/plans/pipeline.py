@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import contracts
+from strata.contracts import apply_contract
 from strata.functions.expressions import hour_from_hrmn
 from strata.operators import aggregate as agg
 from strata.operators.clean import CleanRules, clean, clean_report
@@ -18,6 +20,8 @@ from strata.plans import bindings
 TOP_K_DEPARTMENTS = 20  # fixed value: the source ranks the top 20 departments
 
 ACCIDENT_RULES = CleanRules(key="num_acc", ranges={"an": bindings.ORDER_YEAR_RANGE}, trim=("dep",))
+# Same rules over the all-text bronze (the key is tested as text: NULL, blank).
+TEXT_ACCIDENT_RULES = ACCIDENT_RULES
 PLACE_RULES = CleanRules(key="num_acc")
 VEHICLE_RULES = CleanRules(key="num_acc")
 PERSON_RULES = CleanRules(key="num_acc", required=("grav",))
@@ -32,6 +36,13 @@ def silver_accidents(raw: DataFrame, rules: CleanRules = ACCIDENT_RULES) -> Data
             .withColumn("meteo", F.col("atm")))
 
 
+def silver_accidents_from_text(text: DataFrame, rules: CleanRules = TEXT_ACCIDENT_RULES) -> DataFrame:
+    """Text bronze -> typed silver: rules on the raw cells, then the contract's
+    try_cast typing, then derived columns."""
+    typed = apply_contract(clean(text, rules), contracts.ACCIDENTS_TEXT)
+    return typed.withColumn("heure_int", hour_from_hrmn("hrmn")).withColumn("meteo", F.col("atm"))
+
+
 def silver_places(raw: DataFrame) -> DataFrame:
     return clean(raw, PLACE_RULES).withColumn("etat_route", F.col("surf"))
 
