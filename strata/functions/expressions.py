@@ -85,7 +85,7 @@ def date_from_parts(an: str | Column, mois: str | Column, jour: str | Column) ->
         F.lpad(col_of(mois).cast("string"), 2, "0"),
         F.lpad(col_of(jour).cast("string"), 2, "0"),
     )
-    return F.try_to_date(text, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(text, "yyyy-MM-dd")
 
 
 def weekday_from_parts(an, mois, jour) -> Column:

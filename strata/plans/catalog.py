@@ -271,3 +271,259 @@ def q_enrich_code_labels(spark, d):
                              dim_rows=len(GRAV_LABELS), how="left")
     return (j.withColumn("libelle", F.coalesce("libelle", F.lit("inconnu")))
             .groupBy("grav", "libelle").agg(F.count(F.lit(1)).alias("nb_usagers")))
+
+
+# ---- step 5: physical control -----------------------------------------------------
+
+from strata.operators import measure  # noqa: E402
+from strata.operators.ranking import rank_within_group  # noqa: E402
+
+
+@query("cache_reuse_counts")
+def q_cache_reuse_counts(spark, d):
+    acc = silver(spark, d)["accidents"].select("num_acc", "meteo", "dep")
+    with measure.cached(acc) as c:
+        a = c.groupBy(F.col("meteo").cast("string").alias("category")).agg(F.count(F.lit(1)).alias("nb"))
+        b = c.groupBy(F.col("dep").alias("category")).agg(F.count(F.lit(1)).alias("nb"))
+        out = (a.withColumn("dimension", F.lit("meteo"))
+               .unionByName(b.withColumn("dimension", F.lit("dep"))))
+        # both reads hit the cache; the small result is cut from the lineage
+        # (reliable checkpoint in the shared folder) before the cache is released
+        return out.checkpoint(eager=True)
+
+
+@query("repartition_agg")
+def q_repartition_agg(spark, d):
+    s = silver(spark, d)
+    joined = s["accidents"].select("num_acc", "dep").join(s["places"].select("num_acc"), "num_acc")
+    return measure.aggregate_then_repartition(joined, "dep", 50)
+
+
+# ---- step 6: documented variants ------------------------------------------------------
+
+@query("dedup_by_key")
+def q_dedup_by_key(spark, d):
+    p = agg.with_severity_score(silver(spark, d)["persons"])
+    order = [F.desc_nulls_last("score_gravite"), F.asc("num_veh"), F.asc("catu"), F.asc("sexe"), F.asc("grav")]
+    return cl.dedup_by_key(p, "num_acc", order)
+
+
+@query("pushdown_partition_filter")
+def q_pushdown_partition_filter(spark, d):
+    acc = silver(spark, d)["accidents"]
+    path = scratch_path(spark, "accidents-by-dep")
+    sinks.write_partitioned(acc, path, ["dep"])
+    back = spark.read.schema(acc.schema).parquet(path)
+    # dep = '07' prunes to one folder (PartitionFilters); meteo filter is pushed to Parquet
+    return (back.where((F.col("dep") == "07") & F.col("meteo").isNotNull())
+            .groupBy("meteo").agg(F.count(F.lit(1)).alias("nb_accidents")))
+
+
+# ---- step 7: brief-level operators ----------------------------------------------------
+
+@query("salted_agg")
+def q_salted_agg(spark, d):
+    s = silver(spark, d)
+    joined = s["accidents"].select("num_acc", "dep").join(s["places"].select("num_acc"), "num_acc")
+    return measure.salted_aggregate(joined, "dep", "num_acc", 16)
+
+
+@query("filter_compound")
+def q_filter_compound(spark, d):
+    p = silver(spark, d)["persons"]
+    cond = ((F.col("grav") == 2) & (F.col("catu") == 1)) | ~(F.col("num_veh") < 5)
+    return agg.count_by_category(p.where(cond), "grav", "nb")
+
+
+@query("clean_na_drop_fill")
+def q_clean_na_drop_fill(spark, d):
+    acc = silver(spark, d)["accidents"]
+    filled = cl.na_drop_fill(acc, fill={"heure_int": -1, "hrmn": "--:--"})
+    dropped = cl.na_drop_fill(acc, drop_subset=["hrmn"])
+    return (filled.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb")).withColumn("methode", F.lit("fill"))
+            .unionByName(dropped.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb"))
+                         .withColumn("methode", F.lit("drop"))))
+
+
+@query("enrich_weekday")
+def q_enrich_weekday(spark, d):
+    t = bindings.dirty_accidents(spark, d)
+    t = t.withColumn("jour_semaine", fx.weekday_from_parts(fx.safe_int("an"), fx.safe_int("mois"), fx.safe_int("jour")))
+    return agg.count_by_category(t, "jour_semaine", "nb")
+
+
+@query("enrich_hour_bucket")
+def q_enrich_hour_bucket(spark, d):
+    t = silver(spark, d)["accidents"].withColumn("tranche", fx.hour_bucket("heure_int"))
+    return agg.count_by_category(t, "tranche", "nb")
+
+
+@query("join_four_tables")
+def q_join_four_tables(spark, d):
+    s = silver(spark, d)
+    return joins.four_table_join(s["accidents"], s["places"], s["vehicles"], s["severity"])
+
+
+@query("join_dimension_lookup")
+def q_join_dimension_lookup(spark, d):
+    acc = silver(spark, d)["accidents"].select("num_acc", "dep")
+    nation = bindings.table(spark, d, "nation", ["n_nationkey", "n_regionkey"])
+    region = bindings.table(spark, d, "region", ["r_regionkey", "r_name"])
+    n_rows = joins.row_bound(nation)
+    dims = (joins.dimension_join(nation, region, "n_regionkey", "r_regionkey", joins.row_bound(region))
+            .select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code_dep"), "r_name"))
+    j = joins.dimension_join(acc, dims, "dep", "code_dep", n_rows)
+    return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("nb_accidents"))
+
+
+@query("crosstab_pivot")
+def q_crosstab_pivot(spark, d):
+    return agg.crosstab(silver(spark, d)["accidents"], "dep", "meteo", [1, 2, 3, 4, 5], "meteo_")
+
+
+@query("agg_user_profiles")
+def q_agg_user_profiles(spark, d):
+    return agg.user_profiles(silver(spark, d)["persons"])
+
+
+@query("agg_weekday_hour")
+def q_agg_weekday_hour(spark, d):
+    return agg.weekday_hour(silver(spark, d)["accidents"])
+
+
+@query("rank_within_group")
+def q_rank_within_group(spark, d):
+    counts = (silver(spark, d)["accidents"].groupBy("meteo", "dep")
+              .agg(F.count(F.lit(1)).alias("nb_accidents")))
+    return rank_within_group(counts, ["meteo"], [F.desc("nb_accidents"), F.asc("dep")], 3, "rang")
+
+
+@query("udf_equivalence")
+def q_udf_equivalence(spark, d):
+    from strata.functions.udfs import severity_score_pandas, severity_score_udf
+    p = silver(spark, d)["persons"].select("grav")
+    t = p.select("grav", fx.severity_score("grav").alias("native"),
+                 severity_score_udf("grav").alias("py"), severity_score_pandas("grav").alias("pd"))
+    return t.groupBy("grav").agg(
+        F.count(F.lit(1)).alias("nb"),
+        agg.count_where(F.col("native").eqNullSafe(F.col("py"))).alias("nb_udf_egal"),
+        agg.count_where(F.col("native").eqNullSafe(F.col("pd"))).alias("nb_pandas_egal"))
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, d):
+    acc = silver(spark, d)["accidents"]
+    first = acc.where(F.col("an") <= 1998).withColumn("version", F.lit(1))
+    second = acc.where(F.col("an") >= 1998).withColumn("version", F.lit(2))
+    path = scratch_path(spark, "upsert")
+    sinks.write_partitioned(first, path, ["an"])
+    sinks.upsert_partitions(spark, path, second, ["num_acc"], "an")
+    return spark.read.schema(first.schema).parquet(path).select(*first.columns)
+
+
+FORMATS = ("csv", "json", "orc", "parquet")
+
+
+@query("format_roundtrip_agg")
+def q_format_roundtrip_agg(spark, d):
+    acc = silver(spark, d)["accidents"].select("num_acc", "meteo", "dep")
+    out = None
+    for fmt in FORMATS:
+        path = scratch_path(spark, f"fmt-{fmt}")
+        w = acc.write.mode("overwrite").format(fmt)
+        if fmt == "csv":
+            w = w.option("header", True)
+        w.save(path)
+        r = spark.read.format(fmt).schema(acc.schema)
+        if fmt == "csv":
+            r = r.option("header", True)
+        part = (r.load(path).groupBy("meteo").agg(F.count(F.lit(1)).alias("nb"))
+                .withColumn("format", F.lit(fmt)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("profile_numeric")
+def q_profile_numeric(spark, d):
+    return agg.numeric_profile(silver(spark, d)["accidents"], ["an", "mois", "jour", "heure_int", "meteo"])
+
+
+# ---- step 8: data-inventory ideas ---------------------------------------------------------
+
+@query("agg_yearly_change")
+def q_agg_yearly_change(spark, d):
+    return agg.yearly_change(silver(spark, d)["accidents"])
+
+
+@query("agg_revenue_by_hour")
+def q_agg_revenue_by_hour(spark, d):
+    return agg.amount_by_hour(bindings.table(spark, d, "events", ["ts", "value"]))
+
+
+@query("agg_unit_price")
+def q_agg_unit_price(spark, d):
+    li = bindings.table(spark, d, "lineitem", ["l_partkey", "l_extendedprice", "l_quantity"])
+    p = bindings.table(spark, d, "part", ["p_partkey", "p_type"])
+    return agg.unit_price(li.join(p, li.l_partkey == p.p_partkey), "p_type", "l_extendedprice", "l_quantity")
+
+
+@query("topk_pairs")
+def q_topk_pairs(spark, d):
+    from strata.operators.ranking import top_k
+    li = bindings.table(spark, d, "lineitem", ["l_orderkey", "l_suppkey"])
+    o = bindings.table(spark, d, "orders", ["o_orderkey", "o_custkey"])
+    c = bindings.table(spark, d, "customer", ["c_custkey", "c_nationkey"])
+    s = bindings.table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    pairs = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+             .join(s, li.l_suppkey == s.s_suppkey)
+             .groupBy(F.col("s_nationkey").alias("origine"), F.col("c_nationkey").alias("destination"))
+             .agg(F.count(F.lit(1)).alias("nb")))
+    return top_k(pairs, [F.desc("nb"), F.asc("origine"), F.asc("destination")], 10)
+
+
+@query("detect_outliers_zscore")
+def q_detect_outliers_zscore(spark, d):
+    ev = bindings.table(spark, d, "events", ["event_id", "event_type", "value"])
+    return agg.zscore_outliers(ev, "event_type", "value", 2.0)
+
+
+@query("src_multifile_months")
+def q_src_multifile_months(spark, d):
+    acc = silver(spark, d)["accidents"].select("num_acc", "an", "mois")
+    path = scratch_path(spark, "monthly")
+    acc.repartition("an", "mois").write.mode("overwrite").partitionBy("an", "mois").parquet(path)
+    files.check_sources(spark, [f"{path}/an=*/mois=*"])
+    back = spark.read.option("basePath", path).schema(acc.schema).parquet(f"{path}/an=*/mois=*")
+    return back.groupBy("an", "mois").agg(F.count(F.lit(1)).alias("nb_accidents"))
+
+
+@query("src_csv_gzip")
+def q_src_csv_gzip(spark, d):
+    path = scratch_path(spark, "csv-gzip")
+    _write_csv(bindings.dirty_accidents(spark, d), path, compression="gzip")
+    return files.read_gzip_csv(spark, path, contracts.ACCIDENTS_TEXT,
+                               int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@query("json_event_props")
+def q_json_event_props(spark, d):
+    ev = bindings.table(spark, d, "events", ["event_type", "props"])
+    j = files.parse_json_column(ev, "props", "k int")
+    return j.groupBy("event_type").agg(F.count(F.lit(1)).alias("nb"), F.sum("j.k").cast("bigint").alias("somme_k"),
+                                       F.min("j.k").alias("min_k"), F.max("j.k").alias("max_k"))
+
+
+@query("stream_windowed_counts")
+def q_stream_windowed_counts(spark, d):
+    from strata.streaming import windowed
+    out = scratch_path(spark, "stream-out")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    # a glob (no basePath): matches the table whether it is one file or a folder
+    windowed.run_windowed_counts(spark, f"{d.rstrip('/')}/events.parquet*", out, ckpt)
+    return windowed.read_windowed_counts(spark, out)
+
+
+@query("als_recommend")
+def q_als_recommend(spark, d):
+    from strata.operators.recommend import als_recommend
+    return als_recommend(bindings.ratings(spark, d), "user_id", "item_id", "rating", k=5)

@@ -259,3 +259,148 @@ SELECT p.grav, coalesce(l.libelle, 'inconnu') AS libelle, count(*) AS nb_usagers
 FROM persons p LEFT JOIN (VALUES (1, 'indemne'), (2, 'tue'), (3, 'blesse hospitalise'), (4, 'blesse leger')) l(code, libelle)
   ON p.grav = l.code
 GROUP BY ALL"""
+
+# ---- step 5: physical control -----------------------------------------------------
+
+ORACLE["cache_reuse_counts"] = w(ACCIDENTS) + """
+SELECT CAST(meteo AS VARCHAR) AS category, count(*) AS nb, 'meteo' AS dimension FROM accidents GROUP BY meteo
+UNION ALL SELECT dep AS category, count(*) AS nb, 'dep' AS dimension FROM accidents GROUP BY dep"""
+
+ORACLE["repartition_agg"] = w(ACCIDENTS, PLACES) + """
+SELECT a.dep, count(*) AS nb FROM accidents a JOIN places p ON a.num_acc = p.num_acc GROUP BY a.dep"""
+
+# ---- step 6 ---------------------------------------------------------------------------
+
+ORACLE["dedup_by_key"] = w(PERSONS) + f"""
+SELECT num_acc, num_veh, catu, sexe, grav, score_gravite FROM (
+  SELECT *, {SCORE} AS score_gravite FROM persons)
+QUALIFY row_number() OVER (PARTITION BY num_acc ORDER BY score_gravite DESC NULLS LAST, num_veh, catu, sexe, grav) = 1"""
+
+ORACLE["pushdown_partition_filter"] = w(ACCIDENTS) + """
+SELECT meteo, count(*) AS nb_accidents FROM accidents WHERE dep = '07' AND meteo IS NOT NULL GROUP BY meteo"""
+
+# ---- step 7 ---------------------------------------------------------------------------
+
+ORACLE["salted_agg"] = w(ACCIDENTS, PLACES) + """
+SELECT a.dep, count(*) AS nb_lignes, count(DISTINCT a.num_acc) AS nb_accidents
+FROM accidents a JOIN places p ON a.num_acc = p.num_acc GROUP BY a.dep"""
+
+ORACLE["filter_compound"] = w(PERSONS) + """
+SELECT grav, count(*) AS nb FROM persons WHERE (grav = 2 AND catu = 1) OR NOT (num_veh < 5) GROUP BY grav"""
+
+ORACLE["clean_na_drop_fill"] = w(ACCIDENTS) + """
+SELECT coalesce(heure_int, -1) AS heure_int, count(*) AS nb, 'fill' AS methode FROM accidents GROUP BY 1
+UNION ALL SELECT heure_int, count(*) AS nb, 'drop' AS methode FROM accidents WHERE hrmn IS NOT NULL GROUP BY 1"""
+
+ORACLE["enrich_weekday"] = w(DIRTY) + """
+SELECT CAST(dayofweek(TRY_CAST(lpad(CAST(TRY_CAST(an AS INTEGER) AS VARCHAR), 4, '0') || '-' ||
+                               lpad(CAST(TRY_CAST(mois AS INTEGER) AS VARCHAR), 2, '0') || '-' ||
+                               lpad(CAST(TRY_CAST(jour AS INTEGER) AS VARCHAR), 2, '0') AS DATE)) + 1 AS INTEGER) AS jour_semaine,
+       count(*) AS nb
+FROM dirty GROUP BY 1"""
+
+ORACLE["enrich_hour_bucket"] = w(ACCIDENTS) + """
+SELECT CASE WHEN heure_int < 6 THEN 'night' WHEN heure_int < 12 THEN 'morning'
+            WHEN heure_int < 18 THEN 'afternoon' WHEN heure_int <= 23 THEN 'evening' END AS tranche,
+       count(*) AS nb FROM accidents GROUP BY 1"""
+
+ORACLE["join_four_tables"] = w(ACCIDENTS, PLACES, VEHICLES, SEVERITY) + """
+SELECT a.*, coalesce(p.nb_lieux, 0) AS nb_lieux, coalesce(v.nb_vehicules, 0) AS nb_vehicules,
+       coalesce(v.nb_categories, 0) AS nb_categories, s.gravite_max, coalesce(s.nb_usagers, 0) AS nb_usagers,
+       s.accident_grave
+FROM accidents a
+LEFT JOIN (SELECT num_acc, count(*) AS nb_lieux FROM places GROUP BY num_acc) p ON a.num_acc = p.num_acc
+LEFT JOIN (SELECT num_acc, count(*) AS nb_vehicules, count(DISTINCT cat_veh) AS nb_categories
+           FROM vehicles GROUP BY num_acc) v ON a.num_acc = v.num_acc
+LEFT JOIN severity s ON a.num_acc = s.num_acc"""
+
+ORACLE["join_dimension_lookup"] = w(ACCIDENTS) + """
+SELECT r.r_name, count(*) AS nb_accidents
+FROM accidents a JOIN nation n ON a.dep = lpad(CAST(n.n_nationkey AS VARCHAR), 2, '0')
+JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name"""
+
+ORACLE["crosstab_pivot"] = w(ACCIDENTS) + """
+SELECT dep, """ + ", ".join(
+    f"count(*) FILTER (WHERE meteo = {v}) AS meteo_{v}" for v in (1, 2, 3, 4, 5)) + """
+FROM accidents GROUP BY dep"""
+
+ORACLE["agg_user_profiles"] = w(PERSONS) + """
+SELECT sexe, catu, count(*) AS nb_usagers,
+       CAST(sum(CASE WHEN grav = 2 THEN 1 ELSE 0 END) AS BIGINT) AS nb_tues,
+       CAST(sum(CASE WHEN grav = 3 THEN 1 ELSE 0 END) AS BIGINT) AS nb_hospitalises,
+       CAST(sum(CASE WHEN grav = 2 THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(count(*), 0) AS part_tues
+FROM persons GROUP BY sexe, catu"""
+
+ORACLE["agg_weekday_hour"] = w(ACCIDENTS) + """
+SELECT CAST(dayofweek(make_date(an, mois, jour)) + 1 AS INTEGER) AS jour_semaine, heure_int, count(*) AS nb_accidents
+FROM accidents GROUP BY 1, 2"""
+
+ORACLE["rank_within_group"] = w(ACCIDENTS) + """
+SELECT meteo, dep, nb_accidents,
+       CAST(row_number() OVER (PARTITION BY meteo ORDER BY nb_accidents DESC, dep ASC) AS INTEGER) AS rang
+FROM (SELECT meteo, dep, count(*) AS nb_accidents FROM accidents GROUP BY meteo, dep)
+QUALIFY rang <= 3"""
+
+ORACLE["udf_equivalence"] = w(PERSONS) + """
+SELECT grav, count(*) AS nb, count(*) AS nb_udf_egal, count(*) AS nb_pandas_egal FROM persons GROUP BY grav"""
+
+ORACLE["upsert_latest"] = w(ACCIDENTS) + """
+SELECT *, CASE WHEN an >= 1998 THEN 2 ELSE 1 END AS version FROM accidents"""
+
+ORACLE["format_roundtrip_agg"] = w(ACCIDENTS) + """
+SELECT meteo, count(*) AS nb, f.format
+FROM accidents CROSS JOIN (VALUES ('csv'), ('json'), ('orc'), ('parquet')) f(format)
+GROUP BY meteo, f.format"""
+
+_PROFILE_COL = """SELECT '{c}' AS column_name, count({c}) AS n, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min_value,
+       CAST(max({c}) AS DOUBLE) AS max_value FROM accidents"""
+ORACLE["profile_numeric"] = w(ACCIDENTS) + " UNION ALL ".join(
+    _PROFILE_COL.format(c=c) for c in ("an", "mois", "jour", "heure_int", "meteo"))
+
+# ---- step 8 ---------------------------------------------------------------------------
+
+ORACLE["agg_yearly_change"] = w(ACCIDENTS) + """
+SELECT an, nb_accidents, nb_accidents - lag(nb_accidents) OVER (ORDER BY an) AS variation,
+       round((nb_accidents - lag(nb_accidents) OVER (ORDER BY an))
+             / NULLIF(lag(nb_accidents) OVER (ORDER BY an), 0) * 100, 6) AS variation_pct
+FROM (SELECT an, count(*) AS nb_accidents FROM accidents GROUP BY an)"""
+
+ORACLE["agg_revenue_by_hour"] = """
+SELECT CAST(hour(ts) AS INTEGER) AS heure, count(*) AS nb, round(sum(value), 6) AS total,
+       round(avg(value), 6) AS moyenne
+FROM events GROUP BY 1"""
+
+ORACLE["agg_unit_price"] = """
+SELECT p.p_type, count(l.l_extendedprice / NULLIF(l.l_quantity, 0)) AS nb,
+       round(avg(l.l_extendedprice / NULLIF(l.l_quantity, 0)), 6) AS prix_unitaire_moyen,
+       round(min(l.l_extendedprice / NULLIF(l.l_quantity, 0)), 6) AS prix_unitaire_min,
+       round(max(l.l_extendedprice / NULLIF(l.l_quantity, 0)), 6) AS prix_unitaire_max
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY p.p_type"""
+
+ORACLE["topk_pairs"] = """
+SELECT s.s_nationkey AS origine, c.c_nationkey AS destination, count(*) AS nb
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey
+GROUP BY 1, 2 ORDER BY nb DESC, origine, destination LIMIT 10"""
+
+ORACLE["detect_outliers_zscore"] = """
+SELECT e.event_id, e.event_type, e.value, round((e.value - s.mu) / NULLIF(s.sd, 0), 4) AS zscore
+FROM events e JOIN (SELECT event_type, avg(value) AS mu, stddev_samp(value) AS sd FROM events GROUP BY event_type) s
+  ON e.event_type = s.event_type
+WHERE abs((e.value - s.mu) / NULLIF(s.sd, 0)) > 2.0"""
+
+ORACLE["src_multifile_months"] = w(ACCIDENTS) + """
+SELECT an, mois, count(*) AS nb_accidents FROM accidents GROUP BY an, mois"""
+
+ORACLE["src_csv_gzip"] = ORACLE["src_csv_typed"]
+
+ORACLE["json_event_props"] = """
+SELECT event_type, count(*) AS nb, CAST(sum(CAST(json_extract(props, '$.k') AS INTEGER)) AS BIGINT) AS somme_k,
+       min(CAST(json_extract(props, '$.k') AS INTEGER)) AS min_k, max(CAST(json_extract(props, '$.k') AS INTEGER)) AS max_k
+FROM events GROUP BY event_type"""
+
+ORACLE["stream_windowed_counts"] = """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS nb, round(sum(value), 6) AS total
+FROM events GROUP BY ALL"""
