@@ -92,9 +92,18 @@ def trim_codes(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.trim(F.col(c)) for c in columns})
 
 
-def clean(df: DataFrame, rules: CleanRules) -> DataFrame:
-    """Duplicates, then rules, then trims."""
-    out = dedup_full_row(df).where(keep_predicate(rules, df))
+def type_columns(df: DataFrame, types: dict[str, str] | None) -> DataFrame:
+    """try_cast the listed text columns (unreadable -> NULL), others unchanged."""
+    if not types:
+        return df
+    return df.withColumns({c: F.trim(F.col(c)).try_cast(t) for c, t in types.items()})
+
+
+def clean(df: DataFrame, rules: CleanRules, types: dict[str, str] | None = None) -> DataFrame:
+    """Duplicates on the raw rows, then typing of the listed columns, then the
+    rules, then trims."""
+    typed = type_columns(dedup_full_row(df), types)
+    out = typed.where(keep_predicate(rules, typed))
     return trim_codes(out, *rules.trim) if rules.trim else out
 
 
@@ -102,14 +111,16 @@ def with_reject_reason(df: DataFrame, rules: CleanRules, name: str = "reject_rea
     return df.withColumn(name, reject_reason(rules, df))
 
 
-def clean_report(df: DataFrame, rules: CleanRules, table_name: str) -> DataFrame:
+def clean_report(df: DataFrame, rules: CleanRules, table_name: str,
+                 types: dict[str, str] | None = None) -> DataFrame:
     """One row: raw, duplicate, rejected-by-reason and kept counts.
 
     Each reason is counted on its own (duplicates on the raw rows, reasons on
     the distinct rows), so raw = duplicates + rejects + kept. One grouping pass
     counts copies per distinct row, one global aggregate sums it up.
     """
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = type_columns(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), types)
+    df = copies
     reason = reject_reason(rules, df)
     n_range = F.lit(False)
     for c, (lo, hi) in rules.ranges.items():
