@@ -94,9 +94,11 @@ def dirty_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.when((st == "F") & (pr == "2"), F.concat(F.lit(" "), dep, F.lit(" ")))
                  .otherwise(dep).alias("dep"),
                 pr.alias("atm"),
-                ((st == "F") & (pr == "1")).alias("_again"),
+                # re-delivered rows appear twice: one pass, rows multiplied in place
+                F.explode(F.when((st == "F") & (pr == "1"), F.array(F.lit(1), F.lit(2)))
+                          .otherwise(F.array(F.lit(1)))).alias("_copy"),
             ))
-    return base.drop("_again").unionByName(base.where("_again").drop("_again"))
+    return base.drop("_copy")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
