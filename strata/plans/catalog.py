@@ -179,7 +179,7 @@ def q_silver_from_text(spark, d):
 # ---- step 4: sources, sinks, reports ------------------------------------------------
 
 from strata import contracts  # noqa: E402
-from strata.session import scratch_path  # noqa: E402
+from strata.session import checkpoint_root, scratch_path  # noqa: E402
 from strata.sources import files, sinks  # noqa: E402
 
 _CSV_WRITE = {"header": True, "sep": files.CSV_SEP, "encoding": files.CSV_ENCODING,
@@ -282,6 +282,7 @@ from strata.operators.ranking import rank_within_group  # noqa: E402
 @query("cache_reuse_counts")
 def q_cache_reuse_counts(spark, d):
     acc = silver(spark, d)["accidents"].select("num_acc", "meteo", "dep")
+    checkpoint_root(spark)
     with measure.cached(acc) as c:
         a = c.groupBy(F.col("meteo").cast("string").alias("category")).agg(F.count(F.lit(1)).alias("nb"))
         b = c.groupBy(F.col("dep").alias("category")).agg(F.count(F.lit(1)).alias("nb"))
@@ -491,7 +492,7 @@ def q_detect_outliers_zscore(spark, d):
 def q_src_multifile_months(spark, d):
     acc = silver(spark, d)["accidents"].select("num_acc", "an", "mois")
     path = scratch_path(spark, "monthly")
-    acc.repartition("an", "mois").write.mode("overwrite").partitionBy("an", "mois").parquet(path)
+    sinks.write_partitioned(acc, path, ["an", "mois"])
     files.check_sources(spark, [f"{path}/an=*/mois=*"])
     back = spark.read.option("basePath", path).schema(acc.schema).parquet(f"{path}/an=*/mois=*")
     return back.groupBy("an", "mois").agg(F.count(F.lit(1)).alias("nb_accidents"))

@@ -9,18 +9,22 @@ from pyspark.sql import types as T
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
     """Plain Parquet write. ``files`` coalesces only tiny (gold) outputs; big
-    tables keep their partitioning and AQE sizes the files."""
-    out = df.coalesce(files) if files else df
+    tables get a REBALANCE so AQE sizes the files (splits big partitions,
+    merges small ones) instead of one writer task."""
+    out = df.coalesce(files) if files else df.hint("rebalance")
     out.write.mode(mode).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode: str = "overwrite") -> None:
-    """Partitioned Parquet: rows are clustered by the partition columns first so
-    each task writes few directories (one file per value per task)."""
+    """Partitioned Parquet: rows are clustered by the partition columns (few
+    files per folder) with a REBALANCE, so AQE splits a hot value (say one
+    department with a third of the rows) over several writer tasks instead of
+    sending it to one."""
     missing = [c for c in partition_cols if c not in df.columns]
     if missing:
         raise ValueError(f"partition column(s) not in table: {missing}")
-    df.repartition(*partition_cols).write.mode(mode).partitionBy(*partition_cols).parquet(path)
+    (df.hint("rebalance", *partition_cols).write.mode(mode)
+     .partitionBy(*partition_cols).parquet(path))
 
 
 def write_all(tables: dict[str, DataFrame], base: str, partitions: dict[str, list[str]] | None = None,
@@ -84,6 +88,8 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: l
     the shared checkpoint folder) before the overwrite, because a job may not
     read and overwrite the same files.
     """
+    from strata.session import checkpoint_root
+    checkpoint_root(spark)  # the lineage cut below goes to the shared folder
     current = spark.read.parquet(path)
     touched = updates.select(partition_col).distinct()
     existing = current.join(touched, partition_col, "left_semi")
