@@ -1,5 +1,7 @@
 """The severity score as Python UDFs, only to compare them with the native
-expression (the native one is what the pipeline uses)."""
+expression (the native one is what the pipeline uses). The plain UDF is
+Arrow-batched (``useArrow``): still a per-value Python function, but rows
+travel to the Python worker in Arrow batches."""
 
 from __future__ import annotations
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.expressions import SEVERITY_SCORE
 
 
-@F.udf("int")
+@F.udf("int", useArrow=True)
 def severity_score_udf(grav):
     return SEVERITY_SCORE.get(grav)
 

@@ -11,9 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata import contracts
+from strata.functions import expressions as fx
 from strata.operators import aggregate as agg
-from strata.operators import joins
+from strata.operators import clean as cl
+from strata.operators import joins, measure
+from strata.operators.ranking import rank_within_group, top_k
 from strata.plans import bindings, pipeline
+from strata.session import checkpoint_root, scratch_path
+from strata.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -102,7 +108,6 @@ def q_skew_profile(spark, d):
 
 @query("topk_groups")
 def q_topk_groups(spark, d):
-    from strata.operators.ranking import top_k
     counts = agg.count_by_category(silver(spark, d)["accidents"], "dep", "nb_accidents")
     return top_k(counts, [F.desc("nb_accidents"), F.asc("dep")], 5)
 
@@ -114,9 +119,6 @@ def q_having_min_count(spark, d):
 
 # ---- step 2: cleaning (over the all-text bronze with rule-chosen defects) ----------
 
-from strata.functions import expressions as fx  # noqa: E402
-from strata.operators import clean as cl  # noqa: E402
-
 
 @query("proj_select_rename")
 def q_proj_select_rename(spark, d):
@@ -178,9 +180,6 @@ def q_silver_from_text(spark, d):
 
 # ---- step 4: sources, sinks, reports ------------------------------------------------
 
-from strata import contracts  # noqa: E402
-from strata.session import checkpoint_root, scratch_path  # noqa: E402
-from strata.sources import files, sinks  # noqa: E402
 
 _CSV_WRITE = {"header": True, "sep": files.CSV_SEP, "encoding": files.CSV_ENCODING,
               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -275,9 +274,6 @@ def q_enrich_code_labels(spark, d):
 
 # ---- step 5: physical control -----------------------------------------------------
 
-from strata.operators import measure  # noqa: E402
-from strata.operators.ranking import rank_within_group  # noqa: E402
-
 
 @query("cache_reuse_counts")
 def q_cache_reuse_counts(spark, d):
@@ -470,7 +466,6 @@ def q_agg_unit_price(spark, d):
 
 @query("topk_pairs")
 def q_topk_pairs(spark, d):
-    from strata.operators.ranking import top_k
     li = bindings.table(spark, d, "lineitem", ["l_orderkey", "l_suppkey"])
     o = bindings.table(spark, d, "orders", ["o_orderkey", "o_custkey"])
     c = bindings.table(spark, d, "customer", ["c_custkey", "c_nationkey"])

@@ -68,14 +68,34 @@ def cleaning_report(raw: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str) -> DataFrame:
+def write_silver_bucketed(spark: SparkSession, silver: dict[str, DataFrame], out: str,
+                          buckets: int, prefix: str = "silver") -> dict[str, DataFrame]:
+    """Write every silver table bucketed by the accident key (same bucket
+    count for all), and return them read back as tables: the gold joins on
+    the key then run bucket to bucket, without a shuffle."""
+    back = {}
+    for name, df in silver.items():
+        table = f"{prefix}_{name}"
+        sinks.write_bucketed(df, table, f"{out}/silver_bucketed/{name}", "num_acc", buckets)
+        back[name] = spark.table(table)
+    return back
+
+
+def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
+                 buckets: int | None = None) -> DataFrame:
     """Bronze -> silver -> gold, written under ``out``; returns the status of
-    every written table and the cleaning metrics (raises if a write failed)."""
+    every written table and the cleaning metrics (raises if a write failed).
+
+    With ``buckets``, silver is also written as tables bucketed by the key, and
+    gold is computed from them (co-located joins)."""
     raw = ingest(spark, paths)
     silver = clean_sources(raw)
     status = sinks.write_all(silver, f"{out}/silver", partitions=SILVER_PARTITIONS)
-    back = {n: spark.read.schema(df.schema).parquet(f"{out}/silver/{n}").select(*df.columns)
-            for n, df in silver.items()}
+    if buckets:
+        back = write_silver_bucketed(spark, silver, out, buckets)
+    else:
+        back = {n: spark.read.schema(df.schema).parquet(f"{out}/silver/{n}").select(*df.columns)
+                for n, df in silver.items()}
     gold = pipeline.gold_tables(back)
     status += sinks.write_all(gold, f"{out}/gold", files=1)
     metrics = sinks.metrics_from_report(cleaning_report(raw), "nettoyage")

@@ -98,3 +98,11 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: l
     merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """External table bucketed and sorted by ``key``: later joins and
+    aggregations on ``key`` between tables of the same bucket count read
+    co-located buckets and need no shuffle."""
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))

@@ -1,7 +1,6 @@
 """Golden values on the hand-made accident files (FIXTURES.md section 2)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from strata.operators import aggregate as agg
 from strata.plans import pipeline, source_pipeline
@@ -194,3 +193,10 @@ def test_run_pipeline_writes_layers(spark, paths, tmp_path):
     assert [r["dep"] for r in gold] == ["2A", "75", "01"]
     deps = sorted(r["dep"] for r in spark.read.parquet(f"{out}/silver/accidents").select("dep").collect())
     assert deps == ["01", "01", "2A", "75"]   # typed from the data schema, not re-inferred
+
+
+def test_run_pipeline_bucketed_same_gold(spark, paths, tmp_path):
+    out = str(tmp_path / "outb")
+    source_pipeline.run_pipeline(spark, paths, out, buckets=4)
+    gold = spark.read.parquet(f"{out}/gold/top_departements_graves").orderBy("rang_dep").collect()
+    assert [(r["dep"], r["rang_dep"]) for r in gold] == [("2A", 1), ("75", 2), ("01", 3)]

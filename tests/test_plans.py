@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from strata.operators import aggregate as agg
 from strata.operators import measure
-from strata.plans import bindings, pipeline
+from strata.plans import pipeline
 from tests.conftest import SF01
 
 Q = entry.queries()
@@ -74,3 +74,25 @@ def test_salted_aggregate_equals_plain(spark):
 def test_severity_groups_are_partially_aggregated(spark):
     p = plan(pipeline.silver_from_driver(spark, SF01)["severity"])
     assert "partial_max" in p or "partial_count" in p
+
+
+def test_bucketed_silver_joins_without_shuffle(spark, tmp_path):
+    """Silver written bucketed by the key: the severity join reads co-located
+    buckets (no Exchange on num_acc on either side)."""
+    import re
+    from strata.plans import source_pipeline
+    silver = pipeline.silver_from_driver(spark, SF01)
+    silver = {k: silver[k] for k in ("accidents", "severity")}
+    back = source_pipeline.write_silver_bucketed(spark, silver, str(tmp_path), 8, prefix="t_bucketed")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = agg.severity_by_weather(back["accidents"], back["severity"])
+        p = plan(df)
+        rows = sorted(df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p
+    assert not re.search(r"Exchange hashpartitioning\(num_acc#\d+L, ", p), p
+    expected = sorted(agg.severity_by_weather(*[pipeline.silver_from_driver(spark, SF01)[k]
+                                                for k in ("accidents", "severity")]).collect())
+    assert rows == expected
