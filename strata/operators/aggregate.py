@@ -182,14 +182,24 @@ def amount_by_hour(events: DataFrame, ts: str = "ts", amount: str = "value") ->
                  F.round(F.avg(amount), 6).alias("moyenne")))
 
 
-def unit_price(lines: DataFrame, group: str, price: str, qty: str) -> DataFrame:
-    """Unit price (price / quantity, NULL for zero quantity) per group."""
+def unit_price(lines: DataFrame, dim: DataFrame, line_key: str, dim_key: str, group: str,
+               price: str, qty: str) -> DataFrame:
+    """Unit price (price / quantity, NULL for zero quantity) per dimension group.
+
+    Eager aggregation: lines are first reduced to (count, sum, min, max) per
+    dimension key (partial aggregation, one row per key), so the join with the
+    dimension is dimension-sized instead of line-sized; the per-group mean is
+    then sum / count of the merged partial sums."""
     up = safe_ratio(price, qty)
-    return (lines.withColumn("_up", up).groupBy(group)
-            .agg(F.count("_up").alias("nb"),
-                 F.round(F.avg("_up"), 6).alias("prix_unitaire_moyen"),
-                 F.round(F.min("_up"), 6).alias("prix_unitaire_min"),
-                 F.round(F.max("_up"), 6).alias("prix_unitaire_max")))
+    per_key = (lines.withColumn("_up", up).groupBy(line_key)
+               .agg(F.count("_up").alias("_n"), F.sum("_up").alias("_s"),
+                    F.min("_up").alias("_mn"), F.max("_up").alias("_mx")))
+    joined = per_key.join(dim, per_key[line_key] == dim[dim_key])
+    return (joined.groupBy(group)
+            .agg(F.sum("_n").cast("bigint").alias("nb"),
+                 F.round(safe_ratio(F.sum("_s"), F.sum("_n")), 6).alias("prix_unitaire_moyen"),
+                 F.round(F.min("_mn"), 6).alias("prix_unitaire_min"),
+                 F.round(F.max("_mx"), 6).alias("prix_unitaire_max")))
 
 
 def zscore_outliers(df: DataFrame, group: str, value: str, threshold: float) -> DataFrame:
@@ -218,3 +228,19 @@ def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
                   F.round(f"{c}__stddev", 6), F.col(f"{c}__min"), F.col(f"{c}__max")]
     return wide.select(F.stack(F.lit(len(columns)), *parts).alias(
         "column_name", "n", "mean", "stddev", "min_value", "max_value"))
+
+
+def origin_destination_counts(lines: DataFrame, orders: DataFrame, customers: DataFrame,
+                              suppliers: DataFrame) -> DataFrame:
+    """Line counts per (supplier nation, customer nation).
+
+    Join order chosen for size: each side resolves its nation first (lines by
+    supplier, orders by customer), then the two meet once on the order key, so
+    line-sized data is shuffled twice (by supplier, by order) instead of three
+    times; the pair count is partially aggregated before its shuffle."""
+    line_side = (lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
+                 .select("l_orderkey", F.col("s_nationkey").alias("origine")))
+    order_side = (orders.join(customers, orders.o_custkey == customers.c_custkey)
+                  .select("o_orderkey", F.col("c_nationkey").alias("destination")))
+    return (line_side.join(order_side, line_side.l_orderkey == order_side.o_orderkey)
+            .groupBy("origine", "destination").agg(F.count(F.lit(1)).alias("nb")))

@@ -461,19 +461,16 @@ def q_agg_revenue_by_hour(spark, d):
 def q_agg_unit_price(spark, d):
     li = bindings.table(spark, d, "lineitem", ["l_partkey", "l_extendedprice", "l_quantity"])
     p = bindings.table(spark, d, "part", ["p_partkey", "p_type"])
-    return agg.unit_price(li.join(p, li.l_partkey == p.p_partkey), "p_type", "l_extendedprice", "l_quantity")
+    return agg.unit_price(li, p, "l_partkey", "p_partkey", "p_type", "l_extendedprice", "l_quantity")
 
 
 @query("topk_pairs")
 def q_topk_pairs(spark, d):
-    li = bindings.table(spark, d, "lineitem", ["l_orderkey", "l_suppkey"])
-    o = bindings.table(spark, d, "orders", ["o_orderkey", "o_custkey"])
-    c = bindings.table(spark, d, "customer", ["c_custkey", "c_nationkey"])
-    s = bindings.table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
-    pairs = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-             .join(s, li.l_suppkey == s.s_suppkey)
-             .groupBy(F.col("s_nationkey").alias("origine"), F.col("c_nationkey").alias("destination"))
-             .agg(F.count(F.lit(1)).alias("nb")))
+    pairs = agg.origin_destination_counts(
+        bindings.table(spark, d, "lineitem", ["l_orderkey", "l_suppkey"]),
+        bindings.table(spark, d, "orders", ["o_orderkey", "o_custkey"]),
+        bindings.table(spark, d, "customer", ["c_custkey", "c_nationkey"]),
+        bindings.table(spark, d, "supplier", ["s_suppkey", "s_nationkey"]))
     return top_k(pairs, [F.desc("nb"), F.asc("origine"), F.asc("destination")], 10)
 
 
