@@ -335,10 +335,14 @@ def q_filter_compound(spark, d):
 @query("clean_na_drop_fill")
 def q_clean_na_drop_fill(spark, d):
     acc = silver(spark, d)["accidents"]
-    filled = cl.na_drop_fill(acc, fill={"heure_int": -1, "hrmn": "--:--"})
-    dropped = cl.na_drop_fill(acc, drop_subset=["hrmn"])
-    return (filled.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb")).withColumn("methode", F.lit("fill"))
-            .unionByName(dropped.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb"))
+    # one pass: rows per (hour, time text) -- bounded by the distinct times --
+    # then the NA rules on that small frame; both branches reuse its exchange
+    per = acc.groupBy("heure_int", "hrmn").agg(F.count(F.lit(1)).alias("n"))
+    filled = cl.na_drop_fill(per, fill={"heure_int": -1, "hrmn": "--:--"})
+    dropped = cl.na_drop_fill(per, drop_subset=["hrmn"])
+    return (filled.groupBy("heure_int").agg(F.sum("n").cast("bigint").alias("nb"))
+            .withColumn("methode", F.lit("fill"))
+            .unionByName(dropped.groupBy("heure_int").agg(F.sum("n").cast("bigint").alias("nb"))
                          .withColumn("methode", F.lit("drop"))))
 
 
