@@ -24,15 +24,58 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Complete calendar years present in the order table; 2001 is a partial year
 # and is rejected by the accidents' plausibility range.
 ORDER_YEAR_RANGE = (1995, 2000)
 
 
+# Declared schemas of the driver tables: reading with a schema skips footer
+# inference at plan time, and only the requested columns are declared.
+_SIMPLE_TYPES = {"int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+                 "string": T.StringType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _struct(ddl: str) -> T.StructType:
+    """``"a int, b string"`` -> StructType (flat columns only; no session needed)."""
+    fields = [part.strip().split() for part in ddl.split(",")]
+    return T.StructType([T.StructField(n, _SIMPLE_TYPES[t], True) for n, t in fields])
+
+
+TABLE_SCHEMAS: dict[str, T.StructType] = {
+    name: _struct(ddl) for name, ddl in {
+        "region": "r_regionkey int, r_name string",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+        "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+        "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+                 "p_retailprice double"),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+                   "o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                     "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "events": ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+                   "props string"),
+    }.items()
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    """A driver table with only ``columns`` (declared schema when known)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    full = TABLE_SCHEMAS.get(name)
+    if full is None:
+        df = spark.read.parquet(path)
+        return df.select(*columns) if columns else df
+    if columns:
+        by_name = {f.name: f for f in full.fields}
+        missing = [c for c in columns if c not in by_name]
+        if missing:
+            raise ValueError(f"table {name}: unknown column(s) {missing}")
+        return spark.read.schema(T.StructType([by_name[c] for c in columns])).parquet(path)
+    return spark.read.schema(full).parquet(path)
 
 
 def _grav_from_flags(returnflag: Column, linestatus: Column) -> Column:

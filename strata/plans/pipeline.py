@@ -6,6 +6,8 @@ writes the layers and returns a per-table status frame.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,5 +89,41 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+class LazyTables(dict):
+    """A dict of DataFrames built on first access, so a query only plans the
+    tables it uses (a plan never executes more than it references anyway;
+    this saves the driver-side analysis of unused tables)."""
+
+    def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
+        super().__init__()
+        self._factories = factories
+
+    def __missing__(self, name: str) -> DataFrame:
+        df = self._factories[name]()
+        self[name] = df
+        return df
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._factories
+
+    def keys(self):
+        return self._factories.keys()
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def items(self):
+        return [(k, self[k]) for k in self._factories]
+
+
 def silver_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return clean_tables(bindings.raw_tables(spark, sf_dir))
+    """Silver roles over the driver tables, built lazily."""
+    tables = LazyTables({
+        "accidents": lambda: silver_accidents(bindings.accidents(spark, sf_dir)),
+        "places": lambda: silver_places(bindings.places(spark, sf_dir)),
+        "vehicles": lambda: silver_vehicles(bindings.vehicles(spark, sf_dir)),
+        "persons": lambda: silver_persons(bindings.persons(spark, sf_dir)),
+        # severity is built on the same persons frame as tables["persons"]
+        "severity": lambda: agg.severity_per_accident(tables["persons"]),
+    })
+    return tables
