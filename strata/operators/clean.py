@@ -165,3 +165,18 @@ def flag_hour_out_of_day(hour: str | Column) -> Column:
     """True when a shape-valid hour is not a real hour (24..99)."""
     h = col_of(hour)
     return h.isNotNull() & ((h < 0) | (h > 23))
+
+
+def hour_quality(df: DataFrame, hrmn: str = "hrmn", hour: str = "heure_int") -> DataFrame:
+    """Quality of the time field: rows, missing text, text of the wrong shape
+    (no hour derived), shape-valid but impossible hours (24..99, kept by the
+    shape rule and flagged here)."""
+    t, h = F.col(hrmn), F.col(hour)
+
+    def n(c: Column) -> Column:
+        return F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
+
+    return df.agg(F.count(F.lit(1)).alias("nb_lignes"),
+                  n(t.isNull()).alias("heure_absente"),
+                  n(t.isNotNull() & h.isNull()).alias("heure_mal_formee"),
+                  n(flag_hour_out_of_day(h)).alias("heure_hors_journee"))

@@ -149,6 +149,12 @@ def q_enrich_hour(spark, d):
     return t.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb"), F.count("hrmn").alias("nb_avec_texte"))
 
 
+@query("enrich_hour_quality")
+def q_enrich_hour_quality(spark, d):
+    t = bindings.dirty_accidents(spark, d).withColumn("heure_int", fx.hour_from_hrmn("hrmn"))
+    return cl.hour_quality(t)
+
+
 @query("enrich_safe_cast")
 def q_enrich_safe_cast(spark, d):
     t = bindings.dirty_accidents(spark, d).withColumn("an_int", fx.safe_int("an"))

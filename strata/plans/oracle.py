@@ -190,6 +190,14 @@ ORACLE["clean_trim_codes"] = w(DIRTY) + "SELECT trim(dep) AS dep, count(*) AS nb
 ORACLE["enrich_hour"] = w(DIRTY) + f"""
 SELECT {HOUR} AS heure_int, count(*) AS nb, count(hrmn) AS nb_avec_texte FROM dirty GROUP BY 1"""
 
+ORACLE["enrich_hour_quality"] = w(DIRTY) + f"""
+SELECT count(*) AS nb_lignes,
+       CAST(sum(CASE WHEN hrmn IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS heure_absente,
+       CAST(sum(CASE WHEN hrmn IS NOT NULL AND ({HOUR}) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS heure_mal_formee,
+       CAST(sum(CASE WHEN ({HOUR}) IS NOT NULL AND (({HOUR}) < 0 OR ({HOUR}) > 23) THEN 1 ELSE 0 END) AS BIGINT)
+         AS heure_hors_journee
+FROM dirty"""
+
 ORACLE["enrich_safe_cast"] = w(DIRTY) + """
 SELECT TRY_CAST(an AS INTEGER) AS an_int, count(*) AS nb FROM dirty GROUP BY 1"""
 

@@ -101,3 +101,28 @@ def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
     metrics = sinks.metrics_from_report(cleaning_report(raw), "nettoyage")
     sinks.write_metrics_json(metrics, f"{out}/logs/metrics")
     return spark.createDataFrame(status, "table_name string, path string, status string")
+
+
+def main() -> None:
+    import argparse
+
+    from strata.session import get_session
+    ap = argparse.ArgumentParser(description="bronze -> silver -> gold over the four accident files")
+    ap.add_argument("--caracteristiques", required=True)
+    ap.add_argument("--lieux", required=True)
+    ap.add_argument("--vehicules", required=True)
+    ap.add_argument("--usagers", required=True)
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--master", default=None)
+    a = ap.parse_args()
+    spark = get_session("accident-pipeline", master=a.master)
+    paths = {"caracteristiques": a.caracteristiques, "lieux": a.lieux,
+             "vehicules": a.vehicules, "usagers": a.usagers}
+    for row in run_pipeline(spark, paths, a.out, buckets=a.buckets).collect():
+        print(f"{row['table_name']:28s} {row['status']:8s} {row['path']}")
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -200,3 +200,11 @@ def test_run_pipeline_bucketed_same_gold(spark, paths, tmp_path):
     source_pipeline.run_pipeline(spark, paths, out, buckets=4)
     gold = spark.read.parquet(f"{out}/gold/top_departements_graves").orderBy("rang_dep").collect()
     assert [(r["dep"], r["rang_dep"]) for r in gold] == [("2A", 1), ("75", 2), ("01", 3)]
+
+
+def test_hour_quality_flags_impossible_hours(spark):
+    from strata.operators.clean import hour_quality
+    from strata.functions.expressions import hour_from_hrmn
+    df = spark.createDataFrame([("06:00",), ("24:10",), ("9:30",), (None,), ("99:99",)], "hrmn string")
+    r = hour_quality(df.withColumn("heure_int", hour_from_hrmn("hrmn"))).first()
+    assert (r["nb_lignes"], r["heure_absente"], r["heure_mal_formee"], r["heure_hors_journee"]) == (5, 1, 1, 2)
