@@ -18,15 +18,37 @@ DEFAULT_CONF = {
 }
 
 
+# Starting points for a large cluster (~100 TB inputs, ~1000 executors).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions; hot join
+# partitions are split; lost executors are retried and, with decommissioning,
+# their shuffle blocks migrate instead of being recomputed.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def get_session(app_name: str = "strata", master: str | None = None,
                 shuffle_partitions: int | None = None,
-                extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session. On a cluster pass ``master=None`` and let
-    spark-submit decide; in tests pass ``local[N]``."""
+                extra: dict[str, str] | None = None, cluster: bool = False) -> SparkSession:
+    """Build (or reuse) a session. On a cluster pass ``master=None`` (spark-submit
+    decides) and ``cluster=True`` for the large-cluster defaults; in tests pass
+    ``local[N]``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
