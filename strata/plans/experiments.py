@@ -51,8 +51,8 @@ def repartition_vs_plain(spark: SparkSession, d: str, runs: int = 5, n: int = 50
             "dep", F.col("nb_lignes").alias("nb")),
     }
     out = measure.time_arms(spark, arms, runs)
-    prof = {r["measure"]: r.asDict() for r in agg.skew_profile(
-        pipeline.silver_from_driver(spark, d)["accidents"], pipeline.silver_from_driver(spark, d)["places"]).collect()}
+    s = pipeline.silver_from_driver(spark, d)
+    prof = {r["measure"]: r.asDict() for r in agg.skew_profile(s["accidents"], s["places"]).collect()}
     out["skew_profile"] = prof
     return out
 
@@ -122,7 +122,7 @@ def main() -> None:
     ap.add_argument("--master", default=None)
     ap.add_argument("names", nargs="*", default=list(EXPERIMENTS))
     a = ap.parse_args()
-    spark = get_session("strata-experiments", master=a.master)
+    spark = get_session("strata-experiments", master=a.master, cluster=a.master is None)
     for n in a.names:
         print(json.dumps({n: EXPERIMENTS[n](spark, a.sf_dir)}, default=str))
 

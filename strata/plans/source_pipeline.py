@@ -116,7 +116,7 @@ def main() -> None:
     ap.add_argument("--buckets", type=int, default=None)
     ap.add_argument("--master", default=None)
     a = ap.parse_args()
-    spark = get_session("accident-pipeline", master=a.master)
+    spark = get_session("accident-pipeline", master=a.master, cluster=a.master is None)
     paths = {"caracteristiques": a.caracteristiques, "lieux": a.lieux,
              "vehicules": a.vehicules, "usagers": a.usagers}
     for row in run_pipeline(spark, paths, a.out, buckets=a.buckets).collect():
