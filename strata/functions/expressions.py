@@ -18,7 +18,7 @@ __all__ = [
     "weekday_from_parts", "hour_bucket", "nonblank",
 ]
 
-# ---- fixed values (must equal the reference's code lists) -----------------
+# ---- fixed values (must equal the source data's code lists) -----------------
 # Person severity codes `grav`: 1 unharmed, 2 killed, 3 hospitalised,
 # 4 lightly injured. The codes are not ordered by severity, so they are mapped
 # to an increasing score before taking a maximum: 2->4, 3->3, 4->2, 1->1,

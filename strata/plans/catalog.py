@@ -54,7 +54,7 @@ def q_rank_departments(spark, d):
     return pipeline.top_departments(silver(spark, d))
 
 
-# ---- step 3: the reference's analyses -----------------------------------------
+# ---- step 3: the source pipeline's analyses -----------------------------------------
 
 @query("join_severity_by_weather")
 def q_join_severity_by_weather(spark, d):
