@@ -22,12 +22,25 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
+def ntz_as_utc(col: str, tz: str):
+    """NTZ wall-clock -> the TIMESTAMP instant of that wall-clock in UTC,
+    whatever the session time zone (a plain cast would read it in the session
+    zone and shift hour windows in zones with half-hour offsets)."""
+    return F.from_utc_timestamp(F.col(col).cast("timestamp"), tz)
+
+
+def utc_as_ntz(col: str, tz: str):
+    """Inverse of :func:`ntz_as_utc` for window bounds."""
+    return F.to_utc_timestamp(F.col(col), tz).cast("timestamp_ntz")
+
+
 def windowed_counts(events: DataFrame, window: str, watermark: str) -> DataFrame:
     """Streaming or batch: rows and total value per (window, event_type).
 
-    The watermark needs a TIMESTAMP column; the NTZ source time is cast in the
-    session time zone (UTC in our sessions) and cast back on output."""
-    ev = events.withColumn("event_time", F.col("ts").cast("timestamp"))
+    The watermark needs a TIMESTAMP column: the NTZ source time is read as a
+    UTC wall-clock (windows align to UTC hours in every session zone)."""
+    tz = events.sparkSession.conf.get("spark.sql.session.timeZone")
+    ev = events.withColumn("event_time", ntz_as_utc("ts", tz))
     if events.isStreaming:
         ev = ev.withWatermark("event_time", watermark)
     return (ev.groupBy(F.window("event_time", window).alias("w"), "event_type")
@@ -53,10 +66,15 @@ def run_windowed_counts(spark: SparkSession, source: str, out_path: str, checkpo
 
 def read_windowed_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """Latest version of each (window, type) row across the micro-batches."""
+    tz = spark.conf.get("spark.sql.session.timeZone")
     raw = spark.read.parquet(out_path)
     latest = (raw.groupBy("w", "event_type")
               .agg(F.max_by(F.struct("nb", "total"), "batch_id").alias("v")))
-    return latest.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        "event_type", F.col("v.nb").alias("nb"), F.round("v.total", 6).alias("total"))
+    return finish(latest.select("w", "event_type", "v.nb", "v.total"), tz)
+
+
+def finish(counts: DataFrame, tz: str) -> DataFrame:
+    """Window bounds back to NTZ wall-clock, totals rounded (order-free)."""
+    return counts.select(
+        utc_as_ntz("w.start", tz).alias("window_start"), utc_as_ntz("w.end", tz).alias("window_end"),
+        "event_type", "nb", F.round("total", 6).alias("total"))

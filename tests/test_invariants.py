@@ -41,10 +41,7 @@ def test_stream_equals_batch(spark):
     from strata.streaming import windowed
     stream = Q["stream_windowed_counts"](spark, SF001)
     ev = spark.read.schema(windowed.EVENTS_SCHEMA).parquet(f"{SF001}/events.parquet")
-    batch = windowed.windowed_counts(ev, "1 hour", "2 hours").select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        "event_type", "nb", F.round("total", 6).alias("total"))
+    batch = windowed.finish(windowed.windowed_counts(ev, "1 hour", "2 hours"), "UTC")
     assert sorted(stream.collect()) == sorted(batch.select(*stream.columns).collect())
 
 
@@ -88,8 +85,17 @@ def test_stream_over_many_micro_batches_equals_batch(spark):
     n_batches = spark.read.parquet(out).select("batch_id").distinct().count()
     assert n_batches > 3
     stream = windowed.read_windowed_counts(spark, out)
-    batch = windowed.windowed_counts(ev, "1 hour", "40 days").select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
-        "event_type", "nb", F.round("total", 6).alias("total"))
+    batch = windowed.finish(windowed.windowed_counts(ev, "1 hour", "40 days"), "UTC")
     assert sorted(stream.collect()) == sorted(batch.select(*stream.columns).collect())
+
+
+def test_stream_windows_do_not_depend_on_session_zone(spark):
+    """Half-hour-offset session zone: windows still start on the hour."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        rows = Q["stream_windowed_counts"](spark, SF001).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert rows and all(r["window_start"].minute == 0 and r["window_start"].second == 0 for r in rows)
+    assert min(r["window_start"] for r in rows).isoformat() == "2024-01-01T00:00:00"
