@@ -15,7 +15,7 @@ __all__ = [
     "SEVERITY_SCORE", "SERIOUS_MIN_SCORE", "HHMM_PATTERN",
     "col_of", "hour_from_hrmn", "severity_score", "flag", "safe_ratio",
     "safe_int", "safe_double", "decimal_comma", "date_from_parts",
-    "weekday_from_parts", "hour_bucket", "nonblank",
+    "weekday_from_parts", "hour_bucket", "nonblank", "count_where",
 ]
 
 # ---- fixed values (must equal the source data's code lists) -----------------
@@ -103,3 +103,8 @@ def hour_bucket(hour: str | Column) -> Column:
 def nonblank(c: str | Column) -> Column:
     """True when the value has at least one non-space character."""
     return F.length(F.trim(col_of(c).cast("string"))) > 0
+
+
+def count_where(cond: Column) -> Column:
+    """Aggregate: rows where ``cond`` is true, as bigint (0 when none)."""
+    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")

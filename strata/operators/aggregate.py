@@ -8,23 +8,19 @@ raw rows to one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.expressions import (
-    GRAV_HOSPITALISED, GRAV_KILLED, SERIOUS_MIN_SCORE, flag, safe_ratio, severity_score,
+    GRAV_HOSPITALISED, GRAV_KILLED, SERIOUS_MIN_SCORE, count_where, flag, safe_ratio, severity_score,
     weekday_from_parts,
 )
 from strata.operators import joins
+from strata.operators.ranking import top_k
 
 KEY = "num_acc"
 
 
-def count_where(cond: Column) -> Column:
-    """Rows where cond is true, as bigint (0 when none)."""
-    return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-
-
 def with_severity_score(persons: DataFrame) -> DataFrame:
     return persons.withColumn("score_gravite", severity_score("grav"))
 
@@ -130,7 +126,6 @@ def skew_profile(accidents: DataFrame, places: DataFrame, group: str = "dep") ->
 
 def having_min_count(ratings: DataFrame, item: str, value: str, min_count: int, k: int) -> DataFrame:
     """Best items by mean rating among those with at least ``min_count`` ratings."""
-    from strata.operators.ranking import top_k
     stats = (ratings.groupBy(item)
              .agg(F.avg(value).alias("note_moyenne"), F.count(F.lit(1)).alias("nb_votes"))
              .where(F.col("nb_votes") >= min_count))
@@ -165,7 +160,6 @@ def yearly_change(accidents: DataFrame) -> DataFrame:
     """Accidents per year with the change from the previous year.
 
     The window has no partition, but its input is one row per year."""
-    from pyspark.sql import Window
     per_year = accidents.groupBy("an").agg(F.count(F.lit(1)).alias("nb_accidents"))
     w = Window.orderBy("an")
     prev = F.lag("nb_accidents").over(w)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from strata.functions.expressions import col_of, nonblank
+from strata.functions.expressions import col_of, count_where, nonblank
 
 
 @dataclass(frozen=True)
@@ -120,19 +120,14 @@ def clean_report(df: DataFrame, rules: CleanRules, table_name: str,
     counts copies per distinct row, one global aggregate sums it up.
     """
     copies = type_columns(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")), types)
-    df = copies
-    reason = reject_reason(rules, df)
+    reason = reject_reason(rules, copies)
     n_range = F.lit(False)
     for c, (lo, hi) in rules.ranges.items():
-        n_range = n_range | ~F.coalesce(_range_value(df, c).between(lo, hi), F.lit(False))
+        n_range = n_range | ~F.coalesce(_range_value(copies, c).between(lo, hi), F.lit(False))
     n_required = F.lit(False)
     for c in rules.required:
         n_required = n_required | F.col(c).isNull()
-    key_bad = ~F.coalesce(_key_ok(df, rules.key), F.lit(False))
-
-    def count_where(c: Column) -> Column:
-        return F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-
+    key_bad = ~F.coalesce(_key_ok(copies, rules.key), F.lit(False))
     return copies.agg(
         F.lit(table_name).alias("table_name"),
         F.sum("_copies").cast("bigint").alias("raw_rows"),
@@ -172,11 +167,7 @@ def hour_quality(df: DataFrame, hrmn: str = "hrmn", hour: str = "heure_int") ->
     (no hour derived), shape-valid but impossible hours (24..99, kept by the
     shape rule and flagged here)."""
     t, h = F.col(hrmn), F.col(hour)
-
-    def n(c: Column) -> Column:
-        return F.sum(F.when(c, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
-
     return df.agg(F.count(F.lit(1)).alias("nb_lignes"),
-                  n(t.isNull()).alias("heure_absente"),
-                  n(t.isNotNull() & h.isNull()).alias("heure_mal_formee"),
-                  n(flag_hour_out_of_day(h)).alias("heure_hors_journee"))
+                  count_where(t.isNull()).alias("heure_absente"),
+                  count_where(t.isNotNull() & h.isNull()).alias("heure_mal_formee"),
+                  count_where(flag_hour_out_of_day(h)).alias("heure_hors_journee"))

@@ -413,8 +413,8 @@ def q_udf_equivalence(spark, d):
                  severity_score_udf("grav").alias("py"), severity_score_pandas("grav").alias("pd"))
     return t.groupBy("grav").agg(
         F.count(F.lit(1)).alias("nb"),
-        agg.count_where(F.col("native").eqNullSafe(F.col("py"))).alias("nb_udf_egal"),
-        agg.count_where(F.col("native").eqNullSafe(F.col("pd"))).alias("nb_pandas_egal"))
+        fx.count_where(F.col("native").eqNullSafe(F.col("py"))).alias("nb_udf_egal"),
+        fx.count_where(F.col("native").eqNullSafe(F.col("pd"))).alias("nb_pandas_egal"))
 
 
 @query("upsert_latest")
