@@ -205,6 +205,12 @@ def q_src_csv_typed(spark, d):
     return files.read_csv_contract(spark, path, contracts.ACCIDENTS_TEXT)
 
 
+@query("src_bad_cells")
+def q_src_bad_cells(spark, d):
+    # cells present as text but unreadable as their contract type (counted, not failed)
+    return contracts.bad_cell_counts(bindings.dirty_accidents(spark, d), contracts.ACCIDENTS_TEXT)
+
+
 @query("src_csv_contract")
 def q_src_csv_contract(spark, d):
     # the file's column order differs from the contract: binding is by name

@@ -239,6 +239,11 @@ SELECT {TYPED_DIRTY}, {HOUR} AS heure_int, TRY_CAST(trim(atm) AS INTEGER) AS met
 ORACLE["src_csv_typed"] = w(DIRTY) + f"SELECT {TYPED_DIRTY} FROM dirty"
 ORACLE["src_csv_contract"] = ORACLE["src_csv_typed"]
 
+_BAD = "CAST(sum(CASE WHEN {c} IS NOT NULL AND length(trim({c})) > 0 AND TRY_CAST(trim({c}) AS {t}) IS NULL THEN 1 ELSE 0 END) AS BIGINT)"
+ORACLE["src_bad_cells"] = w(DIRTY) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {_BAD.format(c=c, t=t)} AS bad_cells FROM dirty"
+    for c, t in (("num_acc", "BIGINT"), ("an", "INTEGER"), ("mois", "INTEGER"), ("jour", "INTEGER"), ("atm", "INTEGER")))
+
 ORACLE["ingest_row_counts"] = w(ACCIDENTS_RAW, PERSONS_RAW, PLACES, VEHICLES) + """
 SELECT 'accidents' AS table_name, count(*) AS nb_rows FROM accidents_raw
 UNION ALL SELECT 'places', count(*) FROM places_raw

@@ -10,6 +10,8 @@ gold:   severity by weather, departments with places, top departments by
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +90,15 @@ def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
 
     With ``buckets``, silver is also written as tables bucketed by the key, and
     gold is computed from them (co-located joins)."""
+    timings: list[tuple[str, str, str, int]] = []
+    t0 = time.perf_counter()
+
+    def lap(step: str) -> None:
+        nonlocal t0
+        now = time.perf_counter()
+        timings.append((step, "", "duree_ms", int((now - t0) * 1000)))
+        t0 = now
+
     raw = ingest(spark, paths)
     silver = clean_sources(raw)
     status = sinks.write_all(silver, f"{out}/silver", partitions=SILVER_PARTITIONS)
@@ -96,13 +107,25 @@ def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
     else:
         back = {n: spark.read.schema(df.schema).parquet(f"{out}/silver/{n}").select(*df.columns)
                 for n, df in silver.items()}
+    lap("bronze_vers_silver")  # lazy: reading, cleaning and writing run together
     gold = pipeline.gold_tables(back)
     status += sinks.write_all(gold, f"{out}/gold", files=1)
+    lap("ecriture_gold")
     metrics = sinks.metrics_from_report(cleaning_report(raw), "nettoyage")
-    sinks.write_metrics_json(metrics, f"{out}/logs/metrics")
+    bad = (contracts.bad_cell_counts(raw["caracteristiques"], _typed_contract("caracteristiques"))
+           .select(F.lit("typage").alias("step"), F.lit("caracteristiques").alias("table_name"),
+                   F.concat(F.lit("cellules_illisibles_"), "column_name").alias("metric"),
+                   F.col("bad_cells").alias("value")))
+    steps = spark.createDataFrame(timings, sinks.METRICS_SCHEMA)
+    sinks.write_metrics_json(metrics.unionByName(bad).unionByName(steps), f"{out}/logs/metrics")
     return spark.createDataFrame(status, "table_name string, path string, status string")
 
 
+def _typed_contract(name: str) -> contracts.Contract:
+    """The typed columns of a source table, keyed by the renamed key column."""
+    return contracts.Contract(name, tuple(contracts.Column(c, t) for c, t in TYPES[name].items()))
+
+
 def main() -> None:
     import argparse
 

@@ -208,3 +208,14 @@ def test_hour_quality_flags_impossible_hours(spark):
     df = spark.createDataFrame([("06:00",), ("24:10",), ("9:30",), (None,), ("99:99",)], "hrmn string")
     r = hour_quality(df.withColumn("heure_int", hour_from_hrmn("hrmn"))).first()
     assert (r["nb_lignes"], r["heure_absente"], r["heure_mal_formee"], r["heure_hors_journee"]) == (5, 1, 1, 2)
+
+
+def test_pipeline_metrics_include_bad_cells_and_durations(spark, paths, tmp_path):
+    from strata.sources import sinks
+    out = str(tmp_path / "outm")
+    source_pipeline.run_pipeline(spark, paths, out)
+    m = {(r["step"], r["table_name"], r["metric"]): r["value"]
+         for r in sinks.read_metrics_json(spark, f"{out}/logs/metrics").collect()}
+    assert m[("typage", "caracteristiques", "cellules_illisibles_an")] == 1      # "abc"
+    assert m[("nettoyage", "caracteristiques", "kept_rows")] == 4
+    assert ("ecriture_gold", "", "duree_ms") in m
