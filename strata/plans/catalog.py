@@ -430,7 +430,7 @@ def q_upsert_latest(spark, d):
     second = acc.where(F.col("an") >= 1998).withColumn("version", F.lit(2))
     path = scratch_path(spark, "upsert")
     sinks.write_partitioned(first, path, ["an"])
-    sinks.upsert_partitions(spark, path, second, ["num_acc"], "an")
+    sinks.upsert_partitions(spark, path, second, ["num_acc"], "an", version="version")
     return spark.read.schema(first.schema).parquet(path).select(*first.columns)
 
 

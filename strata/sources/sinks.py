@@ -80,9 +80,10 @@ def latest_by_key(df: DataFrame, key: list[str], version: str) -> DataFrame:
 
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: list[str],
-                      partition_col: str) -> None:
+                      partition_col: str, version: str | None = None) -> None:
     """Incremental upsert of a partitioned Parquet table: rewrite only the
-    partitions the updates touch (dynamic partition overwrite).
+    partitions the updates touch (dynamic partition overwrite). With
+    ``version``, a delivery holding several rows per key keeps its latest.
 
     The merged rows of the touched partitions are checkpointed (lineage cut to
     the shared checkpoint folder) before the overwrite, because a job may not
@@ -90,6 +91,8 @@ def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: l
     """
     from strata.session import checkpoint_root
     checkpoint_root(spark)  # the lineage cut below goes to the shared folder
+    if version:
+        updates = latest_by_key(updates, key, version)
     current = spark.read.parquet(path)
     touched = updates.select(partition_col).distinct()
     existing = current.join(touched, partition_col, "left_semi")

@@ -99,3 +99,15 @@ def test_stream_windows_do_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", before)
     assert rows and all(r["window_start"].minute == 0 and r["window_start"].second == 0 for r in rows)
     assert min(r["window_start"] for r in rows).isoformat() == "2024-01-01T00:00:00"
+
+
+def test_upsert_keeps_latest_version_within_a_delivery(spark):
+    base = spark.createDataFrame([(1, 2000, "a", 1), (2, 2000, "b", 1), (3, 2001, "c", 1)],
+                                 "num_acc long, an int, v string, version int")
+    path = scratch_path(spark, "upsert-versions")
+    sinks.write_partitioned(base, path, ["an"])
+    upd = spark.createDataFrame([(2, 2000, "b2", 2), (2, 2000, "b3", 3), (4, 2000, "d", 2)],
+                                "num_acc long, an int, v string, version int")
+    sinks.upsert_partitions(spark, path, upd, ["num_acc"], "an", version="version")
+    got = sorted((r["num_acc"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a"), (2, "b3"), (3, "c"), (4, "d")]
