@@ -93,16 +93,16 @@ def aqe_sweep(spark: SparkSession, d: str, runs: int = 3, partitions=(8, 64, 200
 
 def format_sizes(spark: SparkSession, d: str) -> dict:
     acc = pipeline.silver_from_driver(spark, d)["accidents"]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     out = {}
     for fmt, codec in (("csv", "none"), ("csv", "gzip"), ("json", "none"), ("orc", "snappy"),
                        ("orc", "zstd"), ("parquet", "snappy"), ("parquet", "zstd")):
         path = scratch_path(spark, f"fmt-{fmt}-{codec}")
         w = acc.write.mode("overwrite").format(fmt).option("compression", codec)
         (w.option("header", True) if fmt == "csv" else w).save(path)
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        size = p.getFileSystem(conf).getContentSummary(p).getLength()
+        # bytes on disk of the data files (the binaryFile source lists them; only
+        # the length column is read, not the content)
+        size = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+                .option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0])
         r = spark.read.format(fmt).schema(acc.schema)
         r = r.option("header", True) if fmt == "csv" else r
         t0 = time.perf_counter()

@@ -15,6 +15,16 @@ import sys
 SKIP = {"stream_windowed_counts", "als_recommend"}  # a stream run / an iterative fit, not one plan
 
 
+def plan_text(df) -> str:
+    """The physical plan as ``df.explain()`` prints it (before execution)."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 def summarise(plan: str) -> dict:
     scans = re.findall(r"FileScan (\w+) \[([^\]]*)\][^\n]*?\(\d+ paths\)\[[^\]]*/([\w.-]+?)(?:\.parquet)?[,\]]", plan)
     return {
@@ -48,7 +58,7 @@ def main(argv: list[str]) -> None:
     for name, q in sorted(entry.queries().items()):
         if name in SKIP:
             continue
-        s = summarise(q(spark, sf_dir)._jdf.queryExecution().executedPlan().toString())
+        s = summarise(plan_text(q(spark, sf_dir)))
         print(f"| `{name}` | {s['hash']} | {s['range']} | {s['single']} | {s['smj']} | {s['bhj']} | "
               f"{s['partial_agg']} | {s['wgl_partial']} | {s['python']} | {s['scans']} |")
     spark.stop()

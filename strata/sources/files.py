@@ -1,7 +1,7 @@
 """File sources: delimited text by contract, Parquet, nested JSON.
 
-Paths are checked through the Hadoop FileSystem of the session, so the same
-code works on local disk, HDFS and object stores.
+Paths are resolved by Spark's file sources, so the same code works on local
+disk, HDFS and object stores.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ CSV_ENCODING = "iso-8859-1"   # Spark 4 rejects the alias "latin1"
 
 
 def missing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Paths (or globs) that match nothing, tested through Hadoop FileSystem."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Paths (or globs) that match nothing. Resolving a file source lists the
+    path through the session's Hadoop file system (local, HDFS, object stores)
+    without reading any content."""
+    from pyspark.errors import AnalysisException
     out = []
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        found = fs.globStatus(hp)
-        if found is None or len(found) == 0:
+        try:
+            spark.read.format("binaryFile").load(p)
+        except AnalysisException:
             out.append(p)
     return out
 

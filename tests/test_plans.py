@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from strata.plans.explain import plan_text
+
 import __spark_entry__ as entry
 from strata.operators import aggregate as agg
 from strata.operators import measure
@@ -12,7 +14,7 @@ Q = entry.queries()
 
 
 def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_broadcast_arm_broadcasts_and_shuffle_arm_does_not(spark):
@@ -39,7 +41,7 @@ def test_broadcast_guard_falls_back_beyond_bound(spark):
 
 def test_projection_and_filters_reach_the_scan(spark):
     df = Q["rank_departments_serious_rate"](spark, SF01)
-    p = df._jdf.queryExecution().executedPlan().toString()
+    p = plan_text(df)
     # lineitem read with three columns only, orders with four
     assert "ReadSchema: struct<l_orderkey:bigint,l_returnflag:string,l_linestatus:string>" in p
     assert "PushedFilters: [IsNotNull(o_orderdate), IsNotNull(o_orderkey)" in p

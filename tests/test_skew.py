@@ -5,6 +5,8 @@ import re
 
 from pyspark.sql import functions as F
 
+from strata.plans.explain import plan_text
+
 from strata.operators import aggregate as agg
 from strata.operators import clean as cl
 from strata.operators import measure
@@ -23,7 +25,7 @@ def skewed(spark, n=300_000):
 
 
 def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_salted_equals_plain_and_shuffles_on_salt(spark):
