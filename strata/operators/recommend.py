@@ -2,26 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+INT_MAX = 2**31 - 1
+
+
+def dense_ids(values: DataFrame, col: str, out_col: str, partitions: int) -> DataFrame:
+    """(col, out_col) with out_col = 0..n-1 over the distinct values of ``col``.
+
+    Distributed: the distinct values are range-partitioned, ranked inside their
+    partition, and shifted by the row count of the partitions before them (a
+    table of one row per partition). The mapping is checkpointed to the shared
+    folder: range bounds come from a sample, so a recomputation must not draw
+    different ones."""
+    d = (values.select(col).where(F.col(col).isNotNull()).distinct()
+         .repartitionByRange(partitions, col).withColumn("_pid", F.spark_partition_id()))
+    d = d.withColumn("_r", F.row_number().over(Window.partitionBy("_pid").orderBy(col)))
+    d = d.checkpoint(eager=True)
+    per_part = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (d.join(F.broadcast(offsets), "_pid")   # one row per partition: bounded
+            .select(col, (F.col("_off") + F.col("_r") - 1).cast("int").alias(out_col)))
+
 
 def als_recommend(ratings: DataFrame, user: str, item: str, rating: str, k: int = 5,
                   rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 42) -> DataFrame:
     """Top-k items per user. Ratings are first reduced to one mean per
-    (user, item) pair (partial aggregation). ALS needs 32-bit ids; the
+    (user, item) pair (partial aggregation). ALS needs 32-bit ids: ids are used
+    as they are when they fit, else re-indexed densely (and mapped back). The
     iterations cut lineage into the session's checkpoint folder."""
     from pyspark.ml.recommendation import ALS
 
     from strata.session import checkpoint_root
 
-    checkpoint_root(ratings.sparkSession)
-    pairs = (ratings.groupBy(user, item).agg(F.avg(rating).alias("rating"))
-             .select(F.col(user).cast("int").alias("user"), F.col(item).cast("int").alias("item"), "rating"))
+    spark = ratings.sparkSession
+    checkpoint_root(spark)
+    pairs = ratings.groupBy(user, item).agg(F.avg(rating).alias("rating"))
+    bounds = pairs.agg(F.min(user).alias("u0"), F.max(user).alias("u1"),
+                       F.min(item).alias("i0"), F.max(item).alias("i1")).first()
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    maps = {}
+    for c, lo, hi in ((user, bounds["u0"], bounds["u1"]), (item, bounds["i0"], bounds["i1"])):
+        if lo is not None and (lo < 0 or hi > INT_MAX):
+            maps[c] = dense_ids(pairs, c, f"_{c}_ix", n_parts)
+    train = pairs
+    for c, m in maps.items():
+        train = train.join(m, c)
+    train = train.select(F.col(f"_{user}_ix" if user in maps else user).cast("int").alias("user"),
+                         F.col(f"_{item}_ix" if item in maps else item).cast("int").alias("item"),
+                         "rating")
     model = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=rank, maxIter=max_iter,
                 regParam=reg, seed=seed, nonnegative=True, coldStartStrategy="drop",
-                checkpointInterval=2).fit(pairs)
-    recs = model.recommendForAllUsers(k)
-    return recs.select(F.col("user").alias(user), F.posexplode("recommendations").alias("pos", "r")).select(
-        user, (F.col("pos") + 1).alias("rang"), F.col("r.item").alias(item),
-        F.col("r.rating").alias("score"))
+                checkpointInterval=2).fit(train)
+    recs = (model.recommendForAllUsers(k)
+            .select("user", F.posexplode("recommendations").alias("pos", "r"))
+            .select("user", (F.col("pos") + 1).alias("rang"), F.col("r.item").alias("item"),
+                    F.col("r.rating").alias("score")))
+    for c, side in ((user, "user"), (item, "item")):
+        if c in maps:
+            recs = (recs.join(maps[c].withColumnRenamed(f"_{c}_ix", side), side)
+                    .drop(side).withColumnRenamed(c, f"_{side}_id"))
+        else:
+            recs = recs.withColumn(f"_{side}_id", F.col(side).cast("long")).drop(side)
+    return recs.select(F.col("_user_id").alias(user), "rang", F.col("_item_id").alias(item), "score")
