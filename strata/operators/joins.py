@@ -12,7 +12,7 @@ Rules of this module:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Largest side we hint for broadcast (rows); a key column of longs at this
@@ -20,16 +20,40 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# A source whose files exceed this many bytes is never counted for a
+# broadcast: it cannot be small enough, and counting it would be a full job.
+COUNT_MAX_BYTES = 256 * 1024 * 1024
+
+
 def row_bound(df: DataFrame) -> int:
-    """Exact row count of a (cheap) source relation, used as an upper bound for
+    """Exact row count of a (small) relation, used as an upper bound for
     anything derived from it by filters, projections or distinct."""
     return df.count()
 
 
-def broadcast_if_bounded(df: DataFrame, upper_bound_rows: int,
+def source_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes on disk of the Parquet files under ``path`` (a file listing; the
+    binaryFile source reads no content when only ``length`` is selected)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(path))
+    return int(files.agg(F.sum("length")).first()[0] or 0)
+
+
+def source_row_bound(spark: SparkSession, path: str, max_bytes: int = COUNT_MAX_BYTES) -> int | None:
+    """Row count of a Parquet source when its files are small enough for a
+    broadcast to be possible, else None (= no proven bound: do not broadcast)."""
+    if source_bytes(spark, path) > max_bytes:
+        return None
+    return row_bound(spark.read.parquet(path))
+
+
+def broadcast_if_bounded(df: DataFrame, upper_bound_rows: int | None,
                          max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only when its row count is proven <= max_rows."""
-    return F.broadcast(df) if upper_bound_rows <= max_rows else df
+    """Hint ``df`` for broadcast only when its row count is proven <= max_rows
+    (``None`` = no proven bound)."""
+    if upper_bound_rows is not None and upper_bound_rows <= max_rows:
+        return F.broadcast(df)
+    return df
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -43,13 +67,11 @@ def keyed_inner_join(left: DataFrame, right: DataFrame, key: str,
 
     strategy: ``auto`` leaves the choice to Catalyst/AQE; ``shuffle`` forces a
     sort-merge join; ``broadcast`` hints the right side when its bound is known
-    and small, else falls back to ``auto``.
+    and small, else (no bound, or too many rows) falls back to ``auto``.
     """
     if strategy == "shuffle":
         right = right.hint("shuffle_merge")
     elif strategy == "broadcast":
-        if right_bound_rows is None:
-            raise ValueError("a broadcast needs a proven row bound for the right side")
         right = broadcast_if_bounded(right, right_bound_rows)
     elif strategy != "auto":
         raise ValueError(f"unknown join strategy {strategy!r}")

@@ -84,8 +84,9 @@ def q_join_departments_shuffle(spark, d):
 def q_join_departments_broadcast(spark, d):
     """Same result; broadcast arm behind a proven row bound."""
     s = silver(spark, d)
-    # proven bound: distinct place keys <= rows of the place source
-    bound = joins.row_bound(bindings.table(spark, d, "lineitem", ["l_orderkey"]))
+    # proven bound: distinct place keys <= rows of the place source (counted
+    # only when its files are small enough for a broadcast to be possible)
+    bound = joins.source_row_bound(spark, f"{d.rstrip('/')}/lineitem.parquet")
     return agg.departments_with_places(s["accidents"], s["places"], strategy="broadcast",
                                        places_bound_rows=bound)
 

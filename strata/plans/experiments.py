@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import aggregate as agg
 from strata.operators import joins, measure
-from strata.plans import bindings, pipeline
+from strata.plans import pipeline
 from strata.session import scratch_path
 
 
@@ -33,7 +33,7 @@ def broadcast_vs_shuffle(spark: SparkSession, d: str, runs: int = 5) -> dict:
     def arm(strategy: str):
         def build():
             s = pipeline.silver_from_driver(spark, d)
-            bound = joins.row_bound(bindings.table(spark, d, "lineitem", ["l_orderkey"]))
+            bound = joins.source_row_bound(spark, f"{d.rstrip('/')}/lineitem.parquet")
             return agg.departments_with_places(s["accidents"], s["places"], strategy, bound)
         return build
     return measure.time_arms(spark, {"shuffle": arm("shuffle"), "broadcast": arm("broadcast")}, runs,

@@ -98,3 +98,11 @@ def test_bucketed_silver_joins_without_shuffle(spark, tmp_path):
     expected = sorted(agg.severity_by_weather(*[pipeline.silver_from_driver(spark, SF01)[k]
                                                 for k in ("accidents", "severity")]).collect())
     assert rows == expected
+
+
+def test_source_row_bound_skips_counting_big_sources(spark):
+    from strata.operators import joins
+    path = f"{SF01}/lineitem.parquet"
+    assert joins.source_bytes(spark, path) > 1_000_000
+    assert joins.source_row_bound(spark, path) == 60_000
+    assert joins.source_row_bound(spark, path, max_bytes=1000) is None   # too big to count: no bound
