@@ -1,7 +1,8 @@
-"""The bronze -> silver -> gold pipeline as pure DataFrame builders.
+"""Silver and gold builders over the accident roles (pure DataFrame builders).
 
-``clean_tables`` and ``gold_tables`` never run an action; ``run_pipeline``
-writes the layers and returns a per-table status frame.
+``clean_tables`` and ``gold_tables`` never run an action; the file pipeline
+(``source_pipeline.run_pipeline``) writes the layers. ``silver_from_driver``
+binds the roles onto the driver's tables.
 """
 
 from __future__ import annotations
