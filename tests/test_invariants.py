@@ -111,3 +111,11 @@ def test_upsert_keeps_latest_version_within_a_delivery(spark):
     sinks.upsert_partitions(spark, path, upd, ["num_acc"], "an", version="version")
     got = sorted((r["num_acc"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [(1, "a"), (2, "b3"), (3, "c"), (4, "d")]
+
+
+def test_clean_tables_equals_lazy_driver_silver(spark):
+    eager = pipeline.clean_tables(bindings.raw_tables(spark, SF001))
+    lazy = pipeline.silver_from_driver(spark, SF001)
+    assert set(eager) == set(lazy)
+    for name in ("accidents", "severity"):
+        assert sorted(eager[name].collect()) == sorted(lazy[name].collect())
