@@ -73,9 +73,11 @@ def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def latest_by_key(df: DataFrame, key: list[str], version: str) -> DataFrame:
-    """Latest-wins per key (highest ``version``); a partial per-key limit runs
-    before the shuffle."""
-    w = Window.partitionBy(*key).orderBy(F.desc(version))
+    """Latest-wins per key (highest ``version``; equal versions are broken by
+    the other columns, so the choice is deterministic); a partial per-key
+    limit runs before the shuffle."""
+    rest = [F.asc_nulls_last(c) for c in df.columns if c not in key and c != version]
+    w = Window.partitionBy(*key).orderBy(F.desc(version), *rest)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
