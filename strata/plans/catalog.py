@@ -583,6 +583,27 @@ def q_json_event_props(spark, d):
                                        F.min("j.k").alias("min_k"), F.max("j.k").alias("max_k"))
 
 
+EVENT_DOC_SCHEMA = ("event_id bigint, meta struct<type: string, ts: timestamp_ntz>, "
+                    "measures array<struct<name: string, v: double>>")
+
+
+@query("src_json_nested")
+def q_src_json_nested(spark, d):
+    """Events as nested JSON documents (struct + array of measures), read back
+    with a declared schema, measures exploded and summed per (type, name)."""
+    ev = bindings.table(spark, d, "events", ["event_id", "ts", "event_type", "value", "props"])
+    k = F.from_json("props", "k int").getField("k").cast("double")
+    docs = ev.select("event_id", F.struct(F.col("event_type").alias("type"), "ts").alias("meta"),
+                     F.array(F.struct(F.lit("value").alias("name"), F.col("value").alias("v")),
+                             F.struct(F.lit("k").alias("name"), k.alias("v"))).alias("measures"))
+    path = scratch_path(spark, "events-json")
+    docs.write.mode("overwrite").json(path)
+    back = files.read_json_lines(spark, path, EVENT_DOC_SCHEMA)
+    m = back.select(F.col("meta.type").alias("event_type"), F.explode("measures").alias("m"))
+    return (m.groupBy("event_type", F.col("m.name").alias("measure"))
+            .agg(F.count(F.lit(1)).alias("nb"), F.round(F.sum("m.v"), 6).alias("total")))
+
+
 @query("stream_windowed_counts")
 def q_stream_windowed_counts(spark, d):
     """Events and amount per hour window and type from a file stream."""

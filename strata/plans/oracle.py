@@ -413,6 +413,13 @@ SELECT event_type, count(*) AS nb, CAST(sum(CAST(json_extract(props, '$.k') AS I
        min(CAST(json_extract(props, '$.k') AS INTEGER)) AS min_k, max(CAST(json_extract(props, '$.k') AS INTEGER)) AS max_k
 FROM events GROUP BY event_type"""
 
+ORACLE["src_json_nested"] = """
+SELECT event_type, 'value' AS measure, count(*) AS nb, round(sum(value), 6) AS total FROM events GROUP BY event_type
+UNION ALL
+SELECT event_type, 'k' AS measure, count(*) AS nb,
+       round(sum(CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS DOUBLE)), 6) AS total
+FROM events GROUP BY event_type"""
+
 ORACLE["stream_windowed_counts"] = """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        event_type, count(*) AS nb, round(sum(value), 6) AS total

@@ -76,3 +76,9 @@ def read_gzip_csv(spark: SparkSession, path: str, contract: Contract, partitions
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType | str, alias: str = "j") -> DataFrame:
     """Parse a JSON text column with a declared schema (no inference pass)."""
     return df.withColumn(alias, F.from_json(F.col(column), schema))
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """JSON lines with a declared (possibly nested) schema: no inference pass
+    over the files, malformed records become NULL fields (PERMISSIVE)."""
+    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
