@@ -12,6 +12,8 @@ Each function returns a dict of timings from :func:`strata.operators.measure.tim
 * aqe_sweep             (M8): AQE on/off and shuffle partition counts.
 * format_sizes          (M10): bytes on disk and re-aggregation time per
   format and codec.
+* pushdown_bytes        (M9): bytes of the partitioned table against the bytes
+  a partition filter reads, filtered aggregate on partitioned vs flat layout.
 """
 
 from __future__ import annotations
@@ -111,8 +113,30 @@ def format_sizes(spark: SparkSession, d: str) -> dict:
     return out
 
 
+def pushdown_bytes(spark: SparkSession, d: str, dep: str = "07", runs: int = 3) -> dict:
+    """Partition pruning measured: bytes of the whole partitioned table against
+    the bytes of the one folder a ``dep = value`` filter reads, and the time
+    of the filtered aggregate with and without the partition layout."""
+    from strata.operators.joins import source_bytes
+    from strata.sources import sinks
+    acc = pipeline.silver_from_driver(spark, d)["accidents"]
+    path = scratch_path(spark, "pushdown")
+    sinks.write_partitioned(acc, path, ["dep"])
+    flat = scratch_path(spark, "pushdown-flat")
+    sinks.write_parquet(acc, flat)
+
+    def q(p):
+        return (spark.read.schema(acc.schema).parquet(p).where(F.col("dep") == dep)
+                .groupBy("meteo").agg(F.count(F.lit(1)).alias("nb")))
+    out = measure.time_arms(spark, {"partitioned": lambda: q(path), "flat": lambda: q(flat)}, runs)
+    out["bytes_total"] = source_bytes(spark, path)
+    out["bytes_read_with_filter"] = source_bytes(spark, f"{path}/dep={dep}")
+    return out
+
+
 EXPERIMENTS = {"broadcast_vs_shuffle": broadcast_vs_shuffle, "repartition_vs_plain": repartition_vs_plain,
-               "cache_vs_nocache": cache_vs_nocache, "aqe_sweep": aqe_sweep, "format_sizes": format_sizes}
+               "cache_vs_nocache": cache_vs_nocache, "aqe_sweep": aqe_sweep, "format_sizes": format_sizes,
+               "pushdown_bytes": pushdown_bytes}
 
 
 def main() -> None:

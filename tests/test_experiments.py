@@ -25,3 +25,9 @@ def test_aqe_sweep_restores_conf(spark):
 def test_format_sizes(spark):
     r = experiments.format_sizes(spark, SF001)
     assert r["parquet/zstd"]["bytes"] < r["json/none"]["bytes"]
+
+
+def test_pushdown_bytes(spark):
+    r = experiments.pushdown_bytes(spark, SF001, runs=1)
+    assert r["equal_results"] is True
+    assert 0 < r["bytes_read_with_filter"] < r["bytes_total"]
