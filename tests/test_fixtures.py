@@ -219,3 +219,18 @@ def test_pipeline_metrics_include_bad_cells_and_durations(spark, paths, tmp_path
     assert m[("typage", "caracteristiques", "cellules_illisibles_an")] == 1      # "abc"
     assert m[("nettoyage", "caracteristiques", "kept_rows")] == 4
     assert ("ecriture_gold", "", "duree_ms") in m
+
+
+def test_pipeline_cli(paths, tmp_path):
+    import subprocess
+    import sys
+    out = tmp_path / "cli"
+    repo = __import__("os").path.dirname(__import__("os").path.dirname(__file__))
+    r = subprocess.run(
+        [sys.executable, "-m", "strata.plans.source_pipeline", "--master", "local[2]",
+         "--caracteristiques", paths["caracteristiques"], "--lieux", paths["lieux"],
+         "--vehicules", paths["vehicules"], "--usagers", paths["usagers"], "--out", str(out)],
+        cwd=repo, capture_output=True, text=True, timeout=300)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "top_departements_graves" in r.stdout and "failed" not in r.stdout
+    assert (out / "gold" / "meteo").exists()
