@@ -32,11 +32,9 @@ def row_bound(df: DataFrame) -> int:
 
 
 def source_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes on disk of the Parquet files under ``path`` (a file listing; the
-    binaryFile source reads no content when only ``length`` is selected)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.parquet").load(path))
-    return int(files.agg(F.sum("length")).first()[0] or 0)
+    """Bytes on disk of the Parquet files under ``path`` (a listing only)."""
+    from strata.sources.files import file_bytes
+    return file_bytes(spark, path, "*.parquet")
 
 
 def source_row_bound(spark: SparkSession, path: str, max_bytes: int = COUNT_MAX_BYTES) -> int | None:

@@ -29,6 +29,7 @@ from strata.operators import aggregate as agg
 from strata.operators import joins, measure
 from strata.plans import pipeline
 from strata.session import scratch_path
+from strata.sources.files import file_bytes
 
 
 def broadcast_vs_shuffle(spark: SparkSession, d: str, runs: int = 5) -> dict:
@@ -101,10 +102,7 @@ def format_sizes(spark: SparkSession, d: str) -> dict:
         path = scratch_path(spark, f"fmt-{fmt}-{codec}")
         w = acc.write.mode("overwrite").format(fmt).option("compression", codec)
         (w.option("header", True) if fmt == "csv" else w).save(path)
-        # bytes on disk of the data files (the binaryFile source lists them; only
-        # the length column is read, not the content)
-        size = (spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
-                .option("recursiveFileLookup", "true").load(path).agg(F.sum("length")).first()[0])
+        size = file_bytes(spark, path, "part-*")   # data files only, a listing
         r = spark.read.format(fmt).schema(acc.schema)
         r = r.option("header", True) if fmt == "csv" else r
         t0 = time.perf_counter()

@@ -129,7 +129,7 @@ def _typed_contract(name: str) -> contracts.Contract:
 def main() -> None:
     import argparse
 
-    from strata.session import get_session
+    from strata.session import get_session, size_shuffles
     ap = argparse.ArgumentParser(description="bronze -> silver -> gold over the four accident files")
     ap.add_argument("--caracteristiques", required=True)
     ap.add_argument("--lieux", required=True)
@@ -142,6 +142,8 @@ def main() -> None:
     spark = get_session("accident-pipeline", master=a.master, cluster=a.master is None)
     paths = {"caracteristiques": a.caracteristiques, "lieux": a.lieux,
              "vehicules": a.vehicules, "usagers": a.usagers}
+    # shuffles sized from the input (text: shuffled rows are smaller than the CSV)
+    size_shuffles(spark, sum(files.file_bytes(spark, p) for p in paths.values()), expansion=1.0)
     for row in run_pipeline(spark, paths, a.out, buckets=a.buckets).collect():
         print(f"{row['table_name']:28s} {row['status']:8s} {row['path']}")
     spark.stop()

@@ -59,6 +59,18 @@ def get_session(app_name: str = "strata", master: str | None = None,
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                  expansion: float = 2.0, minimum: int = 200) -> int:
+    """Initial shuffle partition count from the input size: shuffled bytes are
+    estimated as ``expansion`` x the (compressed) input, cut into partitions of
+    ``target_bytes``; AQE then coalesces what turns out smaller. Returns the
+    count it set."""
+    n = max(minimum, int(input_bytes * expansion // target_bytes) + 1)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return n
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -31,6 +31,16 @@ def missing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     return out
 
 
+def file_bytes(spark: SparkSession, path: str, glob: str | None = None) -> int:
+    """Bytes on disk of the files under ``path`` (optionally matching ``glob``):
+    a listing through the binaryFile source, which reads no file content when
+    only ``length`` is selected."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return int(reader.load(path).agg(F.sum("length")).first()[0] or 0)
+
+
 def check_sources(spark: SparkSession, paths: list[str]) -> None:
     """Fail once, naming every missing input."""
     missing = missing_paths(spark, paths)

@@ -119,3 +119,15 @@ def test_clean_tables_equals_lazy_driver_silver(spark):
     assert set(eager) == set(lazy)
     for name in ("accidents", "severity"):
         assert sorted(eager[name].collect()) == sorted(lazy[name].collect())
+
+
+def test_size_shuffles_from_input(spark):
+    from strata.session import size_shuffles
+    before = (spark.conf.get("spark.sql.shuffle.partitions"),
+              spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    try:
+        assert size_shuffles(spark, 100 * 1024**4) == 100 * 1024**4 * 2 // (256 * 1024**2) + 1  # 100 TB
+        assert size_shuffles(spark, 10 * 1024**2) == 200                                       # floor
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before[0])
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before[1])
