@@ -128,14 +128,16 @@ def clean_report(df: DataFrame, rules: CleanRules, table_name: str,
     for c in rules.required:
         n_required = n_required | F.col(c).isNull()
     key_bad = ~F.coalesce(_key_ok(copies, rules.key), F.lit(False))
+    raw_rows = F.coalesce(F.sum("_copies"), F.lit(0))   # an empty table reports zeros
+    zero = F.lit(0).cast("bigint")
     return copies.agg(
         F.lit(table_name).alias("table_name"),
-        F.sum("_copies").cast("bigint").alias("raw_rows"),
-        (F.sum("_copies") - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
-        count_where(key_bad).alias("rejected_key"),
-        count_where(~key_bad & n_required).alias("rejected_required"),
-        count_where(~key_bad & ~n_required & n_range).alias("rejected_range"),
-        count_where(reason.isNull()).alias("kept_rows"),
+        raw_rows.cast("bigint").alias("raw_rows"),
+        (raw_rows - F.count(F.lit(1))).cast("bigint").alias("duplicate_rows"),
+        F.coalesce(count_where(key_bad), zero).alias("rejected_key"),
+        F.coalesce(count_where(~key_bad & n_required), zero).alias("rejected_required"),
+        F.coalesce(count_where(~key_bad & ~n_required & n_range), zero).alias("rejected_range"),
+        F.coalesce(count_where(reason.isNull()), zero).alias("kept_rows"),
     )
 
 
