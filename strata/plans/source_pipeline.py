@@ -83,13 +83,47 @@ def write_silver_bucketed(spark: SparkSession, silver: dict[str, DataFrame], out
     return back
 
 
+# Incremental layout: silver partitioned by a hash bucket of the key. The bucket
+# is a function of the key, so a key never moves between partitions and an
+# upsert rewrites only the buckets a delivery touches.
+KEY_BUCKETS = 64
+
+
+def with_key_bucket(df: DataFrame, n: int = KEY_BUCKETS) -> DataFrame:
+    return df.withColumn("key_bucket", F.pmod(F.xxhash64("num_acc"), F.lit(n)).cast("int"))
+
+
+def upsert_silver(spark: SparkSession, silver: dict[str, DataFrame], out: str,
+                  n_buckets: int = KEY_BUCKETS) -> dict[str, DataFrame]:
+    """Merge a delivery into the incremental silver: for every table, all rows
+    of each key the delivery mentions are replaced by the delivered ones (a
+    delivery carries, per table, the complete rows of the keys it mentions);
+    keys it does not mention are untouched, and so are their buckets. Returns
+    the merged silver tables read back (without the bucket column)."""
+    back = {}
+    for name, df in silver.items():
+        path = f"{out}/silver_incremental/{name}"
+        rows = with_key_bucket(df, n_buckets)
+        if files.missing_paths(spark, [path]):
+            sinks.write_partitioned(rows, path, ["key_bucket"])
+        else:
+            sinks.upsert_partitions(spark, path, rows, ["num_acc"], "key_bucket")
+        back[name] = spark.read.schema(rows.schema).parquet(path).select(*df.columns)
+    return back
+
+
 def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int | None = None, mode: str = "overwrite") -> DataFrame:
     """Bronze -> silver -> gold, written under ``out``; returns the status of
     every written table and the cleaning metrics (raises if a write failed).
 
-    With ``buckets``, silver is also written as tables bucketed by the key, and
-    gold is computed from them (co-located joins)."""
+    ``mode="overwrite"`` rewrites silver (accidents partitioned by department);
+    with ``buckets`` silver is also written as tables bucketed by the key and
+    gold is computed from them (co-located joins). ``mode="upsert"`` merges the
+    delivery into the incremental silver (:func:`upsert_silver`) instead of
+    rewriting it; gold is then recomputed from the merged silver."""
+    if mode not in ("overwrite", "upsert"):
+        raise ValueError(f"unknown mode {mode!r}")
     timings: list[tuple[str, str, str, int]] = []
     t0 = time.perf_counter()
 
@@ -101,12 +135,16 @@ def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
 
     raw = ingest(spark, paths)
     silver = clean_sources(raw)
-    status = sinks.write_all(silver, f"{out}/silver", partitions=SILVER_PARTITIONS)
-    if buckets:
-        back = write_silver_bucketed(spark, silver, out, buckets)
+    if mode == "upsert":
+        back = upsert_silver(spark, silver, out)
+        status = [(n, f"{out}/silver_incremental/{n}", "ok") for n in silver]
     else:
-        back = {n: spark.read.schema(df.schema).parquet(f"{out}/silver/{n}").select(*df.columns)
-                for n, df in silver.items()}
+        status = sinks.write_all(silver, f"{out}/silver", partitions=SILVER_PARTITIONS)
+        if buckets:
+            back = write_silver_bucketed(spark, silver, out, buckets)
+        else:
+            back = {n: spark.read.schema(df.schema).parquet(f"{out}/silver/{n}").select(*df.columns)
+                    for n, df in silver.items()}
     lap("bronze_vers_silver")  # lazy: reading, cleaning and writing run together
     gold = pipeline.gold_tables(back)
     status += sinks.write_all(gold, f"{out}/gold", files=1)
@@ -137,6 +175,7 @@ def main() -> None:
     ap.add_argument("--usagers", required=True)
     ap.add_argument("--out", required=True)
     ap.add_argument("--buckets", type=int, default=None)
+    ap.add_argument("--mode", choices=("overwrite", "upsert"), default="overwrite")
     ap.add_argument("--master", default=None)
     a = ap.parse_args()
     spark = get_session("accident-pipeline", master=a.master, cluster=a.master is None)
@@ -144,7 +183,7 @@ def main() -> None:
              "vehicules": a.vehicules, "usagers": a.usagers}
     # shuffles sized from the input (text: shuffled rows are smaller than the CSV)
     size_shuffles(spark, sum(files.file_bytes(spark, p) for p in paths.values()), expansion=1.0)
-    for row in run_pipeline(spark, paths, a.out, buckets=a.buckets).collect():
+    for row in run_pipeline(spark, paths, a.out, buckets=a.buckets, mode=a.mode).collect():
         print(f"{row['table_name']:28s} {row['status']:8s} {row['path']}")
     spark.stop()
 

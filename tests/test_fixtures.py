@@ -234,3 +234,54 @@ def test_pipeline_cli(paths, tmp_path):
     assert r.returncode == 0, r.stderr[-2000:]
     assert "top_departements_graves" in r.stdout and "failed" not in r.stdout
     assert (out / "gold" / "meteo").exists()
+
+
+# a second delivery: accident 02 re-delivered with changed persons (no longer
+# serious) and weather; a new accident 08 in department 75
+CARAC2 = """Num_Acc;jour;mois;an;hrmn;lum;dep;atm;adr
+202300000002;07;05;2023;19:30;7;2A;3;x
+202300000008;02;02;2024;08:15;1;75;1;y
+"""
+LIEUX2 = "Num_Acc;surf\n202300000008;3\n"
+VEHICULES2 = "Num_Acc;num_veh;cat_veh\n202300000008;A01;7\n"
+USAGERS2 = """Num_Acc;num_veh;catu;sexe;grav
+202300000002;A01;1;1;4
+202300000008;A01;1;1;2
+"""
+
+
+def _write_delivery(tmp_path, name, texts):
+    d = tmp_path / name
+    d.mkdir()
+    out = {}
+    for table, text in texts.items():
+        p = d / f"{table}.csv"
+        p.write_bytes(text.encode("iso-8859-1"))
+        out[table] = str(p)
+    return out
+
+
+def test_incremental_silver_upsert(spark, paths, tmp_path):
+    out = str(tmp_path / "incr")
+    source_pipeline.run_pipeline(spark, paths, out, mode="upsert")
+    second = _write_delivery(tmp_path, "d2", {"caracteristiques": CARAC2, "lieux": LIEUX2,
+                                              "vehicules": VEHICULES2, "usagers": USAGERS2})
+    source_pipeline.run_pipeline(spark, second, out, mode="upsert")
+    acc = {short(r["num_acc"]): r["meteo"] for r in
+           spark.read.parquet(f"{out}/silver_incremental/accidents").collect()}
+    assert acc == {"01": 2, "02": 3, "05": 1, "06": 1, "08": 1}
+    sev = {short(r["num_acc"]): (r["gravite_max"], r["nb_usagers"], r["accident_grave"]) for r in
+           spark.read.parquet(f"{out}/silver_incremental/severity").collect()}
+    assert sev["02"] == (2, 1, 0)          # replaced: one lightly injured person
+    assert sev["01"] == (4, 2, 1)          # untouched
+    assert sev["08"] == (4, 1, 1)
+    places = sorted((short(r["num_acc"]), r["surf"]) for r in
+                    spark.read.parquet(f"{out}/silver_incremental/places").collect())
+    assert places == [("01", 1), ("01", 2), ("02", 2), ("05", 1), ("06", 1), ("08", 3)]
+    gold = {r["dep"]: (r["total_accidents"], r["accidents_graves"]) for r in
+            spark.read.parquet(f"{out}/gold/top_departements_graves").collect()}
+    assert gold == {"2A": (1, 0), "75": (2, 2), "01": (2, 0)}
+    # the same delivery again changes nothing
+    before = sorted(spark.read.parquet(f"{out}/silver_incremental/persons").collect())
+    source_pipeline.run_pipeline(spark, second, out, mode="upsert")
+    assert sorted(spark.read.parquet(f"{out}/silver_incremental/persons").collect()) == before
