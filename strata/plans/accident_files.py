@@ -19,7 +19,7 @@ from strata import contracts
 from strata.functions.expressions import hour_from_hrmn
 from strata.operators import aggregate as agg
 from strata.operators.clean import CleanRules, clean, clean_report
-from strata.plans import pipeline
+from strata.plans import layers
 from strata.sources import files, sinks
 
 # ---- fixed values: plausible accident years (inclusive) -----------------------
@@ -146,7 +146,7 @@ def run_pipeline(spark: SparkSession, paths: dict[str, str], out: str,
             back = {n: spark.read.schema(df.schema).parquet(f"{out}/silver/{n}").select(*df.columns)
                     for n, df in silver.items()}
     lap("bronze_vers_silver")  # lazy: reading, cleaning and writing run together
-    gold = pipeline.gold_tables(back)
+    gold = layers.gold_tables(back)
     status += sinks.write_all(gold, f"{out}/gold", files=1)
     lap("ecriture_gold")
     metrics = sinks.metrics_from_report(cleaning_report(raw), "nettoyage")

@@ -17,7 +17,7 @@ from strata.operators import aggregate as agg
 from strata.operators import clean as cl
 from strata.operators import joins, measure
 from strata.operators.ranking import rank_within_group, top_k
-from strata.plans import bindings, pipeline
+from strata.plans import bindings, layers
 from strata.session import checkpoint_root, scratch_path
 from strata.sources import files, sinks
 
@@ -33,7 +33,7 @@ def query(name: str):
 
 
 def silver(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return pipeline.silver_from_driver(spark, d)
+    return layers.silver_from_driver(spark, d)
 
 
 # ---- step 1: the minimum slice -------------------------------------------------
@@ -54,7 +54,7 @@ def q_enrich_severity_score(spark, d):
 @query("rank_departments_serious_rate")
 def q_rank_departments(spark, d):
     """Top 20 departments by serious-accident rate (ties broken by department)."""
-    return pipeline.top_departments(silver(spark, d))
+    return layers.top_departments(silver(spark, d))
 
 
 # ---- step 3: the source pipeline's analyses -----------------------------------------
@@ -193,20 +193,20 @@ def q_clean_report(spark, d):
     """Per table: raw, duplicate, rejected-by-reason and kept rows."""
     raw = bindings.raw_tables(spark, d)
     raw["accidents"] = bindings.dirty_accidents(spark, d)
-    return pipeline.cleaning_report(raw)
+    return layers.cleaning_report(raw)
 
 
 @query("clean_reject_reasons")
 def q_clean_reject_reasons(spark, d):
     """Raw accidents per first failing cleaning rule (NULL = kept)."""
-    t = cl.with_reject_reason(bindings.dirty_accidents(spark, d), pipeline.TEXT_ACCIDENT_RULES)
+    t = cl.with_reject_reason(bindings.dirty_accidents(spark, d), layers.TEXT_ACCIDENT_RULES)
     return agg.count_by_category(t, "reject_reason", "nb")
 
 
 @query("silver_from_text")
 def q_silver_from_text(spark, d):
     """Typed, cleaned accident silver built from the all-text bronze."""
-    return pipeline.silver_accidents_from_text(bindings.dirty_accidents(spark, d))
+    return layers.silver_accidents_from_text(bindings.dirty_accidents(spark, d))
 
 
 # ---- step 4: sources, sinks, reports ------------------------------------------------
@@ -297,7 +297,7 @@ def q_run_metrics_rows(spark, d):
     """Cleaning metrics as (step, table, metric, value) written to JSON and read back."""
     raw = bindings.raw_tables(spark, d)
     raw["accidents"] = bindings.dirty_accidents(spark, d)
-    metrics = sinks.metrics_from_report(pipeline.cleaning_report(raw), "nettoyage")
+    metrics = sinks.metrics_from_report(layers.cleaning_report(raw), "nettoyage")
     path = scratch_path(spark, "metrics")
     sinks.write_metrics_json(metrics, path)
     return sinks.read_metrics_json(spark, path)

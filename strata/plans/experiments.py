@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import aggregate as agg
 from strata.operators import joins, measure
-from strata.plans import pipeline
+from strata.plans import layers
 from strata.session import scratch_path
 from strata.sources.files import file_bytes
 
@@ -35,7 +35,7 @@ from strata.sources.files import file_bytes
 def broadcast_vs_shuffle(spark: SparkSession, d: str, runs: int = 5) -> dict:
     def arm(strategy: str):
         def build():
-            s = pipeline.silver_from_driver(spark, d)
+            s = layers.silver_from_driver(spark, d)
             bound = joins.source_row_bound(spark, f"{d.rstrip('/')}/lineitem.parquet")
             return agg.departments_with_places(s["accidents"], s["places"], strategy, bound)
         return build
@@ -45,7 +45,7 @@ def broadcast_vs_shuffle(spark: SparkSession, d: str, runs: int = 5) -> dict:
 
 def repartition_vs_plain(spark: SparkSession, d: str, runs: int = 5, n: int = 50) -> dict:
     def joined():
-        s = pipeline.silver_from_driver(spark, d)
+        s = layers.silver_from_driver(spark, d)
         return s["accidents"].select("num_acc", "dep").join(s["places"].select("num_acc"), "num_acc")
     arms = {
         "plain": lambda: joined().groupBy("dep").agg(F.count(F.lit(1)).alias("nb")),
@@ -54,7 +54,7 @@ def repartition_vs_plain(spark: SparkSession, d: str, runs: int = 5, n: int = 50
             "dep", F.col("nb_lignes").alias("nb")),
     }
     out = measure.time_arms(spark, arms, runs)
-    s = pipeline.silver_from_driver(spark, d)
+    s = layers.silver_from_driver(spark, d)
     prof = {r["measure"]: r.asDict() for r in agg.skew_profile(s["accidents"], s["places"]).collect()}
     out["skew_profile"] = prof
     return out
@@ -65,12 +65,12 @@ def cache_vs_nocache(spark: SparkSession, d: str, runs: int = 3) -> dict:
         return df.groupBy("meteo").agg(F.count(F.lit(1)).alias("nb"))
 
     def no_cache():
-        acc = pipeline.silver_from_driver(spark, d)["accidents"]
+        acc = layers.silver_from_driver(spark, d)["accidents"]
         t = [measure.run_noop(reuse(acc)) for _ in range(3)]
         return sum(t) / len(t)
 
     def with_cache():
-        acc = pipeline.silver_from_driver(spark, d)["accidents"]
+        acc = layers.silver_from_driver(spark, d)["accidents"]
         with measure.cached(acc) as c:
             t = [measure.run_noop(reuse(c)) for _ in range(3)]
         return sum(t) / len(t)
@@ -89,13 +89,13 @@ def aqe_sweep(spark: SparkSession, d: str, runs: int = 3, partitions=(8, 64, 200
     for aqe in ("true", "false"):
         for n in partitions:
             name = f"aqe={aqe},partitions={n}"
-            arms[name] = lambda: pipeline.top_departments(pipeline.silver_from_driver(spark, d))
+            arms[name] = lambda: layers.top_departments(layers.silver_from_driver(spark, d))
             confs[name] = {"spark.sql.adaptive.enabled": aqe, "spark.sql.shuffle.partitions": str(n)}
     return measure.time_arms(spark, arms, runs, confs=confs)
 
 
 def format_sizes(spark: SparkSession, d: str) -> dict:
-    acc = pipeline.silver_from_driver(spark, d)["accidents"]
+    acc = layers.silver_from_driver(spark, d)["accidents"]
     out = {}
     for fmt, codec in (("csv", "none"), ("csv", "gzip"), ("json", "none"), ("orc", "snappy"),
                        ("orc", "zstd"), ("parquet", "snappy"), ("parquet", "zstd")):
@@ -117,7 +117,7 @@ def pushdown_bytes(spark: SparkSession, d: str, dep: str = "07", runs: int = 3)
     of the filtered aggregate with and without the partition layout."""
     from strata.operators.joins import source_bytes
     from strata.sources import sinks
-    acc = pipeline.silver_from_driver(spark, d)["accidents"]
+    acc = layers.silver_from_driver(spark, d)["accidents"]
     path = scratch_path(spark, "pushdown")
     sinks.write_partitioned(acc, path, ["dep"])
     flat = scratch_path(spark, "pushdown-flat")

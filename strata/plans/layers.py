@@ -1,7 +1,7 @@
 """Silver and gold builders over the accident roles (pure DataFrame builders).
 
 ``clean_tables`` and ``gold_tables`` never run an action; the file pipeline
-(``source_pipeline.run_pipeline``) writes the layers. ``silver_from_driver``
+(``accident_files.run_pipeline``) writes the layers. ``silver_from_driver``
 binds the roles onto the driver's tables.
 """
 

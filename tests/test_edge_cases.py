@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from strata.operators import aggregate as agg
 from strata.operators import clean as cl
 from strata.operators.ranking import rank_global
-from strata.plans import pipeline
+from strata.plans import layers
 
 
 def empty_accidents(spark):
@@ -14,16 +14,16 @@ def empty_accidents(spark):
 
 
 def test_clean_report_on_empty_table_is_zeros(spark):
-    r = cl.clean_report(empty_accidents(spark), pipeline.TEXT_ACCIDENT_RULES, "accidents").first()
+    r = cl.clean_report(empty_accidents(spark), layers.TEXT_ACCIDENT_RULES, "accidents").first()
     assert (r["raw_rows"], r["duplicate_rows"], r["rejected_key"], r["rejected_range"], r["kept_rows"]) == (0, 0, 0, 0, 0)
 
 
 def test_empty_silver_gives_empty_gold(spark):
-    acc = pipeline.silver_accidents_from_text(empty_accidents(spark))
+    acc = layers.silver_accidents_from_text(empty_accidents(spark))
     persons = spark.createDataFrame([], "num_acc bigint, num_veh int, catu int, sexe int, grav int")
     sev = agg.severity_per_accident(persons)
     assert agg.severity_by_weather(acc, sev).count() == 0
-    assert pipeline.top_departments({"accidents": acc, "severity": sev}).count() == 0
+    assert layers.top_departments({"accidents": acc, "severity": sev}).count() == 0
     places = spark.createDataFrame([], "num_acc bigint, etat_route string")
     assert agg.skew_profile(acc, places).count() == 0       # no group: no ratio row, no error
 

@@ -3,7 +3,7 @@
 import pytest
 
 from strata.operators import aggregate as agg
-from strata.plans import pipeline, source_pipeline
+from strata.plans import accident_files, layers
 
 CARAC = """Num_Acc;jour;mois;an;hrmn;lum;dep;atm;adr
 202300000001;07;05;2023;06:00;1;75;2;Rue de l'été
@@ -59,12 +59,12 @@ def paths(tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def raw(spark, paths):
-    return source_pipeline.ingest(spark, paths)
+    return accident_files.ingest(spark, paths)
 
 
 @pytest.fixture(scope="module")
 def silver(raw):
-    return source_pipeline.clean_sources(raw)
+    return accident_files.clean_sources(raw)
 
 
 def short(k):
@@ -74,7 +74,7 @@ def short(k):
 def test_missing_files_named_once(spark, paths):
     bad = dict(paths, lieux=paths["lieux"] + ".nope", usagers="/no/such/usagers.csv")
     with pytest.raises(FileNotFoundError) as e:
-        source_pipeline.ingest(spark, bad)
+        accident_files.ingest(spark, bad)
     assert "lieux.csv.nope" in str(e.value) and "usagers.csv" in str(e.value)
 
 
@@ -85,7 +85,7 @@ def test_accent_read_in_latin1(spark, paths):
 
 
 def test_clean_report(raw):
-    rows = {r["table_name"]: r.asDict() for r in source_pipeline.cleaning_report(raw).collect()}
+    rows = {r["table_name"]: r.asDict() for r in accident_files.cleaning_report(raw).collect()}
     a = rows["caracteristiques"]
     assert (a["raw_rows"], a["duplicate_rows"], a["rejected_key"], a["rejected_range"], a["kept_rows"]) == (9, 1, 2, 2, 4)
     assert (rows["lieux"]["raw_rows"], rows["lieux"]["rejected_key"], rows["lieux"]["kept_rows"]) == (6, 1, 5)
@@ -130,7 +130,7 @@ def test_by_weather(silver):
 
 
 def test_department_rank_with_tie_break(silver):
-    rows = pipeline.top_departments(silver).orderBy("rang_dep").collect()
+    rows = layers.top_departments(silver).orderBy("rang_dep").collect()
     assert [(r["dep"], r["taux_graves"], r["rang_dep"]) for r in rows] == [
         ("2A", 1.0, 1), ("75", 1.0, 2), ("01", 0.0, 3)]
 
@@ -185,7 +185,7 @@ def test_decimal_comma_coordinates(spark, tmp_path):
 
 def test_run_pipeline_writes_layers(spark, paths, tmp_path):
     out = str(tmp_path / "out")
-    status = {r["table_name"]: r["status"] for r in source_pipeline.run_pipeline(spark, paths, out).collect()}
+    status = {r["table_name"]: r["status"] for r in accident_files.run_pipeline(spark, paths, out).collect()}
     assert set(status) == {"accidents", "places", "vehicles", "persons", "severity",
                            "meteo", "departements", "top_departements_graves"}
     assert set(status.values()) == {"ok"}
@@ -197,7 +197,7 @@ def test_run_pipeline_writes_layers(spark, paths, tmp_path):
 
 def test_run_pipeline_bucketed_same_gold(spark, paths, tmp_path):
     out = str(tmp_path / "outb")
-    source_pipeline.run_pipeline(spark, paths, out, buckets=4)
+    accident_files.run_pipeline(spark, paths, out, buckets=4)
     gold = spark.read.parquet(f"{out}/gold/top_departements_graves").orderBy("rang_dep").collect()
     assert [(r["dep"], r["rang_dep"]) for r in gold] == [("2A", 1), ("75", 2), ("01", 3)]
 
@@ -213,7 +213,7 @@ def test_hour_quality_flags_impossible_hours(spark):
 def test_pipeline_metrics_include_bad_cells_and_durations(spark, paths, tmp_path):
     from strata.sources import sinks
     out = str(tmp_path / "outm")
-    source_pipeline.run_pipeline(spark, paths, out)
+    accident_files.run_pipeline(spark, paths, out)
     m = {(r["step"], r["table_name"], r["metric"]): r["value"]
          for r in sinks.read_metrics_json(spark, f"{out}/logs/metrics").collect()}
     assert m[("typage", "caracteristiques", "cellules_illisibles_an")] == 1      # "abc"
@@ -227,7 +227,7 @@ def test_pipeline_cli(paths, tmp_path):
     out = tmp_path / "cli"
     repo = __import__("os").path.dirname(__import__("os").path.dirname(__file__))
     r = subprocess.run(
-        [sys.executable, "-m", "strata.plans.source_pipeline", "--master", "local[2]",
+        [sys.executable, "-m", "strata.plans.accident_files", "--master", "local[2]",
          "--caracteristiques", paths["caracteristiques"], "--lieux", paths["lieux"],
          "--vehicules", paths["vehicules"], "--usagers", paths["usagers"], "--out", str(out)],
         cwd=repo, capture_output=True, text=True, timeout=300)
@@ -263,10 +263,10 @@ def _write_delivery(tmp_path, name, texts):
 
 def test_incremental_silver_upsert(spark, paths, tmp_path):
     out = str(tmp_path / "incr")
-    source_pipeline.run_pipeline(spark, paths, out, mode="upsert")
+    accident_files.run_pipeline(spark, paths, out, mode="upsert")
     second = _write_delivery(tmp_path, "d2", {"caracteristiques": CARAC2, "lieux": LIEUX2,
                                               "vehicules": VEHICULES2, "usagers": USAGERS2})
-    source_pipeline.run_pipeline(spark, second, out, mode="upsert")
+    accident_files.run_pipeline(spark, second, out, mode="upsert")
     acc = {short(r["num_acc"]): r["meteo"] for r in
            spark.read.parquet(f"{out}/silver_incremental/accidents").collect()}
     assert acc == {"01": 2, "02": 3, "05": 1, "06": 1, "08": 1}
@@ -283,5 +283,5 @@ def test_incremental_silver_upsert(spark, paths, tmp_path):
     assert gold == {"2A": (1, 0), "75": (2, 2), "01": (2, 0)}
     # the same delivery again changes nothing
     before = sorted(spark.read.parquet(f"{out}/silver_incremental/persons").collect())
-    source_pipeline.run_pipeline(spark, second, out, mode="upsert")
+    accident_files.run_pipeline(spark, second, out, mode="upsert")
     assert sorted(spark.read.parquet(f"{out}/silver_incremental/persons").collect()) == before

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from strata.operators import measure
-from strata.plans import bindings, pipeline
+from strata.plans import bindings, layers
 from strata.session import scratch_path
 from strata.sources import sinks
 from tests.conftest import SF001
@@ -23,7 +23,7 @@ def test_ab_harness_equal_arms(spark):
 
 
 def test_cache_scope_releases(spark):
-    df = pipeline.silver_from_driver(spark, SF001)["accidents"]
+    df = layers.silver_from_driver(spark, SF001)["accidents"]
     with measure.cached(df) as c:
         assert c.is_cached
     assert not df.is_cached
@@ -32,7 +32,7 @@ def test_cache_scope_releases(spark):
 def test_clean_report_adds_up(spark):
     raw = bindings.raw_tables(spark, SF001)
     raw["accidents"] = bindings.dirty_accidents(spark, SF001)
-    for r in pipeline.cleaning_report(raw).collect():
+    for r in layers.cleaning_report(raw).collect():
         assert r["raw_rows"] == (r["duplicate_rows"] + r["rejected_key"] + r["rejected_required"]
                                  + r["rejected_range"] + r["kept_rows"])
 
@@ -46,7 +46,7 @@ def test_stream_equals_batch(spark):
 
 
 def test_upsert_is_idempotent(spark):
-    acc = pipeline.silver_from_driver(spark, SF001)["accidents"]
+    acc = layers.silver_from_driver(spark, SF001)["accidents"]
     first = acc.where(F.col("an") <= 1998).withColumn("version", F.lit(1))
     second = acc.where(F.col("an") >= 1998).withColumn("version", F.lit(2))
     path = scratch_path(spark, "upsert-test")
@@ -114,8 +114,8 @@ def test_upsert_keeps_latest_version_within_a_delivery(spark):
 
 
 def test_clean_tables_equals_lazy_driver_silver(spark):
-    eager = pipeline.clean_tables(bindings.raw_tables(spark, SF001))
-    lazy = pipeline.silver_from_driver(spark, SF001)
+    eager = layers.clean_tables(bindings.raw_tables(spark, SF001))
+    lazy = layers.silver_from_driver(spark, SF001)
     assert set(eager) == set(lazy)
     for name in ("accidents", "severity"):
         assert sorted(eager[name].collect()) == sorted(lazy[name].collect())

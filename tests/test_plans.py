@@ -7,7 +7,7 @@ from strata.plans.explain import plan_text
 import __spark_entry__ as entry
 from strata.operators import aggregate as agg
 from strata.operators import measure
-from strata.plans import pipeline
+from strata.plans import layers
 from tests.conftest import SF01
 
 Q = entry.queries()
@@ -28,7 +28,7 @@ def test_broadcast_arm_broadcasts_and_shuffle_arm_does_not(spark):
 
 
 def test_broadcast_guard_falls_back_beyond_bound(spark):
-    s = pipeline.silver_from_driver(spark, SF01)
+    s = layers.silver_from_driver(spark, SF01)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = agg.departments_with_places(s["accidents"], s["places"], strategy="broadcast",
@@ -65,7 +65,7 @@ def test_no_python_worker_in_native_paths(spark):
 
 
 def test_salted_aggregate_equals_plain(spark):
-    s = pipeline.silver_from_driver(spark, SF01)
+    s = layers.silver_from_driver(spark, SF01)
     joined = s["accidents"].select("num_acc", "dep").join(s["places"].select("num_acc"), "num_acc")
     plain = joined.groupBy("dep").agg(F.count(F.lit(1)).cast("bigint").alias("nb_lignes"),
                                       F.count_distinct("num_acc").alias("nb_accidents"))
@@ -74,7 +74,7 @@ def test_salted_aggregate_equals_plain(spark):
 
 
 def test_severity_groups_are_partially_aggregated(spark):
-    p = plan(pipeline.silver_from_driver(spark, SF01)["severity"])
+    p = plan(layers.silver_from_driver(spark, SF01)["severity"])
     assert "partial_max" in p or "partial_count" in p
 
 
@@ -82,10 +82,10 @@ def test_bucketed_silver_joins_without_shuffle(spark, tmp_path):
     """Silver written bucketed by the key: the severity join reads co-located
     buckets (no Exchange on num_acc on either side)."""
     import re
-    from strata.plans import source_pipeline
-    silver = pipeline.silver_from_driver(spark, SF01)
+    from strata.plans import accident_files
+    silver = layers.silver_from_driver(spark, SF01)
     silver = {k: silver[k] for k in ("accidents", "severity")}
-    back = source_pipeline.write_silver_bucketed(spark, silver, str(tmp_path), 8, prefix="t_bucketed")
+    back = accident_files.write_silver_bucketed(spark, silver, str(tmp_path), 8, prefix="t_bucketed")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = agg.severity_by_weather(back["accidents"], back["severity"])
@@ -95,7 +95,7 @@ def test_bucketed_silver_joins_without_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p
     assert not re.search(r"Exchange hashpartitioning\(num_acc#\d+L, ", p), p
-    expected = sorted(agg.severity_by_weather(*[pipeline.silver_from_driver(spark, SF01)[k]
+    expected = sorted(agg.severity_by_weather(*[layers.silver_from_driver(spark, SF01)[k]
                                                 for k in ("accidents", "severity")]).collect())
     assert rows == expected
 
