@@ -68,3 +68,31 @@ def test_rebalanced_write_splits_hot_partition_value(spark):
     # the hot value (a third of the rows) is written by several tasks
     assert len(hot) > 2 and len(hot) > len(cold), (len(hot), len(cold))
     assert spark.read.parquet(path).count() == 600_000
+
+
+def test_aqe_splits_a_hot_join_key(spark):
+    """A join key holding a third of the rows: AQE splits its partition
+    (skew join) instead of giving it to one task."""
+    from strata.plans.explain import plan_text
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        facts = skewed(spark, 600_000).select("dep", "num_acc")
+        dims = spark.range(1001).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("dep"),
+                                        (F.col("id") % 7).alias("region"))
+        dims = dims.withColumn("dep", F.when(F.col("dep") == "000", F.lit("00")).otherwise(F.col("dep")))
+        joined = facts.join(dims, "dep").groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+        rows = joined.collect()
+        final = plan_text(joined)
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["n"] for r in rows) == 600_000
+    assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final, final
