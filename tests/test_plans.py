@@ -106,3 +106,29 @@ def test_source_row_bound_skips_counting_big_sources(spark):
     assert joins.source_bytes(spark, path) > 1_000_000
     assert joins.source_row_bound(spark, path) == 60_000
     assert joins.source_row_bound(spark, path, max_bytes=1000) is None   # too big to count: no bound
+
+
+def test_single_partition_exchanges_only_gather_aggregates(spark):
+    """Across every catalogue plan, an Exchange SinglePartition always sits on
+    aggregated rows (partial aggregates of a global merge, or one row per
+    bounded key before a global window), never on raw rows."""
+    from strata.plans.explain import SKIP, plan_text
+    offenders = []
+    for name, q in sorted(Q.items()):
+        if name in SKIP:
+            continue
+        lines = plan_text(q(spark, SF01)).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            pos = line.index("Exchange") - 3          # column of this node's "+-" / ":-"
+            child = next((ln for ln in lines[i + 1:]
+                          if len(ln) > pos + 3 and ln[pos + 3:pos + 5] in ("+-", ":-")), "")
+            if not any(op in child for op in ("HashAggregate", "TakeOrderedAndProject")):
+                offenders.append((name, child.strip()[:120]))
+    assert not offenders, offenders
+
+
+def test_partition_filter_query_pushes_data_filter(spark):
+    p = plan(Q["pushdown_partition_filter"](spark, SF01))
+    assert "PushedFilters: [IsNotNull(meteo)]" in p
