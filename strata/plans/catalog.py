@@ -39,20 +39,20 @@ def silver(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 # ---- step 1: the minimum slice -------------------------------------------------
 
 @query("severity_per_accident")
-def q_severity_per_accident(spark, d):
+def q_severity_per_accident(spark: SparkSession, d: str) -> DataFrame:
     """One row per accident: max severity score, killed, hospitalised, persons, serious flag."""
     return silver(spark, d)["severity"]
 
 
 @query("enrich_severity_score")
-def q_enrich_severity_score(spark, d):
+def q_enrich_severity_score(spark: SparkSession, d: str) -> DataFrame:
     """Persons per (severity code, increasing score); unknown codes keep a NULL score."""
     p = agg.with_severity_score(silver(spark, d)["persons"])
     return p.groupBy("grav", "score_gravite").agg(F.count(F.lit(1)).alias("nb_usagers"))
 
 
 @query("rank_departments_serious_rate")
-def q_rank_departments(spark, d):
+def q_rank_departments(spark: SparkSession, d: str) -> DataFrame:
     """Top 20 departments by serious-accident rate (ties broken by department)."""
     return layers.top_departments(silver(spark, d))
 
@@ -60,28 +60,28 @@ def q_rank_departments(spark, d):
 # ---- step 3: the source pipeline's analyses -----------------------------------------
 
 @query("join_severity_by_weather")
-def q_join_severity_by_weather(spark, d):
+def q_join_severity_by_weather(spark: SparkSession, d: str) -> DataFrame:
     """Per weather code: distinct accidents, mean max severity, total killed."""
     s = silver(spark, d)
     return agg.severity_by_weather(s["accidents"], s["severity"])
 
 
 @query("agg_weather_surface")
-def q_agg_weather_surface(spark, d):
+def q_agg_weather_surface(spark: SparkSession, d: str) -> DataFrame:
     """Per (weather, road surface): distinct accidents and distinct serious accidents."""
     s = silver(spark, d)
     return agg.weather_surface(s["accidents"], s["places"], s["severity"])
 
 
 @query("join_departments_shuffle")
-def q_join_departments_shuffle(spark, d):
+def q_join_departments_shuffle(spark: SparkSession, d: str) -> DataFrame:
     """Distinct accidents with a place per department; sort-merge join arm."""
     s = silver(spark, d)
     return agg.departments_with_places(s["accidents"], s["places"], strategy="shuffle")
 
 
 @query("join_departments_broadcast")
-def q_join_departments_broadcast(spark, d):
+def q_join_departments_broadcast(spark: SparkSession, d: str) -> DataFrame:
     """Same result; broadcast arm behind a proven row bound."""
     s = silver(spark, d)
     # proven bound: distinct place keys <= rows of the place source (counted
@@ -92,41 +92,41 @@ def q_join_departments_broadcast(spark, d):
 
 
 @query("agg_department_hour")
-def q_agg_department_hour(spark, d):
+def q_agg_department_hour(spark: SparkSession, d: str) -> DataFrame:
     """Distinct accidents with a place per (department, hour); NULL hour kept."""
     s = silver(spark, d)
     return agg.department_hour(s["accidents"], s["places"])
 
 
 @query("agg_distinct_count")
-def q_agg_distinct_count(spark, d):
+def q_agg_distinct_count(spark: SparkSession, d: str) -> DataFrame:
     """Exact distinct accidents per road surface and per vehicle category."""
     s = silver(spark, d)
     return agg.distinct_counts(s["places"], s["vehicles"])
 
 
 @query("agg_count_by_category")
-def q_agg_count_by_category(spark, d):
+def q_agg_count_by_category(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per weather code."""
     return agg.count_by_category(silver(spark, d)["accidents"], "meteo", "nb_accidents")
 
 
 @query("skew_profile")
-def q_skew_profile(spark, d):
+def q_skew_profile(spark: SparkSession, d: str) -> DataFrame:
     """Min / max / mean rows per department and max/mean ratio, joined rows vs distinct accidents."""
     s = silver(spark, d)
     return agg.skew_profile(s["accidents"], s["places"], "dep")
 
 
 @query("topk_groups")
-def q_topk_groups(spark, d):
+def q_topk_groups(spark: SparkSession, d: str) -> DataFrame:
     """The five departments with most accidents."""
     counts = agg.count_by_category(silver(spark, d)["accidents"], "dep", "nb_accidents")
     return top_k(counts, [F.desc("nb_accidents"), F.asc("dep")], 5)
 
 
 @query("having_min_count")
-def q_having_min_count(spark, d):
+def q_having_min_count(spark: SparkSession, d: str) -> DataFrame:
     """Ten best-rated parts among those with at least five ratings."""
     return agg.having_min_count(bindings.ratings(spark, d), "item_id", "rating", 5, 10)
 
@@ -135,61 +135,61 @@ def q_having_min_count(spark, d):
 
 
 @query("proj_select_rename")
-def q_proj_select_rename(spark, d):
+def q_proj_select_rename(spark: SparkSession, d: str) -> DataFrame:
     """Projection with the business rename atm -> meteo."""
     return (bindings.accidents(spark, d).select("num_acc", "dep", "atm")
             .withColumnsRenamed({"atm": "meteo"}))
 
 
 @query("clean_required_keys")
-def q_clean_required_keys(spark, d):
+def q_clean_required_keys(spark: SparkSession, d: str) -> DataFrame:
     """Raw accidents whose key is present and not blank."""
     return cl.require_keys(bindings.dirty_accidents(spark, d), "num_acc")
 
 
 @query("clean_year_range")
-def q_clean_year_range(spark, d):
+def q_clean_year_range(spark: SparkSession, d: str) -> DataFrame:
     """Raw accidents whose year reads as an integer within the plausible range."""
     lo, hi = bindings.ORDER_YEAR_RANGE
     return cl.year_range(bindings.dirty_accidents(spark, d), "an", lo, hi).select("num_acc", "an")
 
 
 @query("clean_trim_codes")
-def q_clean_trim_codes(spark, d):
+def q_clean_trim_codes(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per department after trimming padded codes."""
     t = cl.trim_codes(bindings.dirty_accidents(spark, d), "dep")
     return agg.count_by_category(t, "dep", "nb")
 
 
 @query("enrich_hour")
-def q_enrich_hour(spark, d):
+def q_enrich_hour(spark: SparkSession, d: str) -> DataFrame:
     """Rows per hour derived from HH:MM text (NULL when the text has another shape)."""
     t = bindings.dirty_accidents(spark, d).withColumn("heure_int", fx.hour_from_hrmn("hrmn"))
     return t.groupBy("heure_int").agg(F.count(F.lit(1)).alias("nb"), F.count("hrmn").alias("nb_avec_texte"))
 
 
 @query("enrich_hour_quality")
-def q_enrich_hour_quality(spark, d):
+def q_enrich_hour_quality(spark: SparkSession, d: str) -> DataFrame:
     """Time field quality: missing, malformed, shape-valid but impossible hours."""
     t = bindings.dirty_accidents(spark, d).withColumn("heure_int", fx.hour_from_hrmn("hrmn"))
     return cl.hour_quality(t)
 
 
 @query("enrich_safe_cast")
-def q_enrich_safe_cast(spark, d):
+def q_enrich_safe_cast(spark: SparkSession, d: str) -> DataFrame:
     """Rows per year cast with try_cast (unreadable text -> NULL)."""
     t = bindings.dirty_accidents(spark, d).withColumn("an_int", fx.safe_int("an"))
     return agg.count_by_category(t, "an_int", "nb")
 
 
 @query("dedup_full_row")
-def q_dedup_full_row(spark, d):
+def q_dedup_full_row(spark: SparkSession, d: str) -> DataFrame:
     """Raw accidents without exact duplicate rows."""
     return cl.dedup_full_row(bindings.dirty_accidents(spark, d))
 
 
 @query("clean_report")
-def q_clean_report(spark, d):
+def q_clean_report(spark: SparkSession, d: str) -> DataFrame:
     """Per table: raw, duplicate, rejected-by-reason and kept rows."""
     raw = bindings.raw_tables(spark, d)
     raw["accidents"] = bindings.dirty_accidents(spark, d)
@@ -197,14 +197,14 @@ def q_clean_report(spark, d):
 
 
 @query("clean_reject_reasons")
-def q_clean_reject_reasons(spark, d):
+def q_clean_reject_reasons(spark: SparkSession, d: str) -> DataFrame:
     """Raw accidents per first failing cleaning rule (NULL = kept)."""
     t = cl.with_reject_reason(bindings.dirty_accidents(spark, d), layers.TEXT_ACCIDENT_RULES)
     return agg.count_by_category(t, "reject_reason", "nb")
 
 
 @query("silver_from_text")
-def q_silver_from_text(spark, d):
+def q_silver_from_text(spark: SparkSession, d: str) -> DataFrame:
     """Typed, cleaned accident silver built from the all-text bronze."""
     return layers.silver_accidents_from_text(bindings.dirty_accidents(spark, d))
 
@@ -224,7 +224,7 @@ def _write_csv(df, path, compression=None):
 
 
 @query("src_csv_typed")
-def q_src_csv_typed(spark, d):
+def q_src_csv_typed(spark: SparkSession, d: str) -> DataFrame:
     """Accident bronze written as semicolon ISO-8859-1 text, read back typed by contract."""
     path = scratch_path(spark, "csv-typed")
     _write_csv(bindings.dirty_accidents(spark, d), path)
@@ -232,14 +232,14 @@ def q_src_csv_typed(spark, d):
 
 
 @query("src_bad_cells")
-def q_src_bad_cells(spark, d):
+def q_src_bad_cells(spark: SparkSession, d: str) -> DataFrame:
     """Per typed column: cells present but unreadable as the contract type."""
     # cells present as text but unreadable as their contract type (counted, not failed)
     return contracts.bad_cell_counts(bindings.dirty_accidents(spark, d), contracts.ACCIDENTS_TEXT)
 
 
 @query("src_csv_contract")
-def q_src_csv_contract(spark, d):
+def q_src_csv_contract(spark: SparkSession, d: str) -> DataFrame:
     """Same, from a file whose column order differs from the contract."""
     # the file's column order differs from the contract: binding is by name
     path = scratch_path(spark, "csv-contract")
@@ -250,7 +250,7 @@ def q_src_csv_contract(spark, d):
 
 
 @query("ingest_row_counts")
-def q_ingest_row_counts(spark, d):
+def q_ingest_row_counts(spark: SparkSession, d: str) -> DataFrame:
     """Rows per bronze table."""
     raw = bindings.raw_tables(spark, d)
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("nb_rows"))
@@ -262,7 +262,7 @@ def q_ingest_row_counts(spark, d):
 
 
 @query("sink_parquet_roundtrip")
-def q_sink_parquet_roundtrip(spark, d):
+def q_sink_parquet_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Gold weather table written as one Parquet file and read back."""
     s = silver(spark, d)
     path = scratch_path(spark, "gold-meteo")
@@ -271,7 +271,7 @@ def q_sink_parquet_roundtrip(spark, d):
 
 
 @query("sink_partitioned_roundtrip")
-def q_sink_partitioned_roundtrip(spark, d):
+def q_sink_partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Silver accidents written partitioned by department, read back with the declared schema."""
     acc = silver(spark, d)["accidents"]
     path = scratch_path(spark, "silver-accidents-by-dep")
@@ -281,7 +281,7 @@ def q_sink_partitioned_roundtrip(spark, d):
 
 
 @query("profile_schema")
-def q_profile_schema(spark, d):
+def q_profile_schema(spark: SparkSession, d: str) -> DataFrame:
     """Silver accident columns with type and non-NULL count."""
     acc = silver(spark, d)["accidents"]
     fields = acc.schema.fields
@@ -293,7 +293,7 @@ def q_profile_schema(spark, d):
 
 
 @query("run_metrics_rows")
-def q_run_metrics_rows(spark, d):
+def q_run_metrics_rows(spark: SparkSession, d: str) -> DataFrame:
     """Cleaning metrics as (step, table, metric, value) written to JSON and read back."""
     raw = bindings.raw_tables(spark, d)
     raw["accidents"] = bindings.dirty_accidents(spark, d)
@@ -308,7 +308,7 @@ GRAV_LABELS = [(1, "indemne"), (2, "tue"), (3, "blesse hospitalise"), (4, "bless
 
 
 @query("enrich_code_labels")
-def q_enrich_code_labels(spark, d):
+def q_enrich_code_labels(spark: SparkSession, d: str) -> DataFrame:
     """Persons per severity code with its label (broadcast 4-row lookup)."""
     labels = spark.createDataFrame(GRAV_LABELS, "grav int, libelle string")
     persons = silver(spark, d)["persons"]
@@ -322,7 +322,7 @@ def q_enrich_code_labels(spark, d):
 
 
 @query("cache_reuse_counts")
-def q_cache_reuse_counts(spark, d):
+def q_cache_reuse_counts(spark: SparkSession, d: str) -> DataFrame:
     """Two counts from one scoped cache of silver accidents."""
     acc = silver(spark, d)["accidents"].select("num_acc", "meteo", "dep")
     checkpoint_root(spark)
@@ -337,7 +337,7 @@ def q_cache_reuse_counts(spark, d):
 
 
 @query("repartition_agg")
-def q_repartition_agg(spark, d):
+def q_repartition_agg(spark: SparkSession, d: str) -> DataFrame:
     """Joined rows per department, aggregated first, then laid out on 50 partitions."""
     s = silver(spark, d)
     joined = s["accidents"].select("num_acc", "dep").join(s["places"].select("num_acc"), "num_acc")
@@ -347,7 +347,7 @@ def q_repartition_agg(spark, d):
 # ---- step 6: documented variants ------------------------------------------------------
 
 @query("dedup_by_key")
-def q_dedup_by_key(spark, d):
+def q_dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
     """One person per accident: the most severe (deterministic tie-break)."""
     p = agg.with_severity_score(silver(spark, d)["persons"])
     order = [F.desc_nulls_last("score_gravite"), F.asc("num_veh"), F.asc("catu"), F.asc("sexe"), F.asc("grav")]
@@ -355,7 +355,7 @@ def q_dedup_by_key(spark, d):
 
 
 @query("pushdown_partition_filter")
-def q_pushdown_partition_filter(spark, d):
+def q_pushdown_partition_filter(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per weather in department 07 read through partition pruning."""
     acc = silver(spark, d)["accidents"]
     path = scratch_path(spark, "accidents-by-dep")
@@ -369,7 +369,7 @@ def q_pushdown_partition_filter(spark, d):
 # ---- step 7: brief-level operators ----------------------------------------------------
 
 @query("salted_agg")
-def q_salted_agg(spark, d):
+def q_salted_agg(spark: SparkSession, d: str) -> DataFrame:
     """Rows and distinct accidents per department through a 16-way salted aggregate."""
     s = silver(spark, d)
     joined = s["accidents"].select("num_acc", "dep").join(s["places"].select("num_acc"), "num_acc")
@@ -377,7 +377,7 @@ def q_salted_agg(spark, d):
 
 
 @query("filter_compound")
-def q_filter_compound(spark, d):
+def q_filter_compound(spark: SparkSession, d: str) -> DataFrame:
     """Persons per code under a compound AND / OR / NOT predicate."""
     p = silver(spark, d)["persons"]
     cond = ((F.col("grav") == 2) & (F.col("catu") == 1)) | ~(F.col("num_veh") < 5)
@@ -385,7 +385,7 @@ def q_filter_compound(spark, d):
 
 
 @query("clean_na_drop_fill")
-def q_clean_na_drop_fill(spark, d):
+def q_clean_na_drop_fill(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per hour with missing values filled, and with them dropped."""
     acc = silver(spark, d)["accidents"]
     # one pass: rows per (hour, time text) -- bounded by the distinct times --
@@ -400,7 +400,7 @@ def q_clean_na_drop_fill(spark, d):
 
 
 @query("enrich_weekday")
-def q_enrich_weekday(spark, d):
+def q_enrich_weekday(spark: SparkSession, d: str) -> DataFrame:
     """Raw accidents per day of week (impossible or unreadable dates -> NULL)."""
     t = bindings.dirty_accidents(spark, d)
     t = t.withColumn("jour_semaine", fx.weekday_from_parts(fx.safe_int("an"), fx.safe_int("mois"), fx.safe_int("jour")))
@@ -408,21 +408,21 @@ def q_enrich_weekday(spark, d):
 
 
 @query("enrich_hour_bucket")
-def q_enrich_hour_bucket(spark, d):
+def q_enrich_hour_bucket(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per six-hour bucket of the day."""
     t = silver(spark, d)["accidents"].withColumn("tranche", fx.hour_bucket("heure_int"))
     return agg.count_by_category(t, "tranche", "nb")
 
 
 @query("join_four_tables")
-def q_join_four_tables(spark, d):
+def q_join_four_tables(spark: SparkSession, d: str) -> DataFrame:
     """One row per accident with place, vehicle and person summaries (no fan-out)."""
     s = silver(spark, d)
     return joins.four_table_join(s["accidents"], s["places"], s["vehicles"], s["severity"])
 
 
 @query("join_dimension_lookup")
-def q_join_dimension_lookup(spark, d):
+def q_join_dimension_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per region through nation and region lookups."""
     acc = silver(spark, d)["accidents"].select("num_acc", "dep")
     nation = bindings.table(spark, d, "nation", ["n_nationkey", "n_regionkey"])
@@ -435,25 +435,25 @@ def q_join_dimension_lookup(spark, d):
 
 
 @query("crosstab_pivot")
-def q_crosstab_pivot(spark, d):
+def q_crosstab_pivot(spark: SparkSession, d: str) -> DataFrame:
     """Department x weather cross-tabulation with a fixed value list."""
     return agg.crosstab(silver(spark, d)["accidents"], "dep", "meteo", [1, 2, 3, 4, 5], "meteo_")
 
 
 @query("agg_user_profiles")
-def q_agg_user_profiles(spark, d):
+def q_agg_user_profiles(spark: SparkSession, d: str) -> DataFrame:
     """Per (sex, user category): persons, killed, hospitalised, killed share."""
     return agg.user_profiles(silver(spark, d)["persons"])
 
 
 @query("agg_weekday_hour")
-def q_agg_weekday_hour(spark, d):
+def q_agg_weekday_hour(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per (day of week, hour)."""
     return agg.weekday_hour(silver(spark, d)["accidents"])
 
 
 @query("rank_within_group")
-def q_rank_within_group(spark, d):
+def q_rank_within_group(spark: SparkSession, d: str) -> DataFrame:
     """Top three departments per weather code."""
     counts = (silver(spark, d)["accidents"].groupBy("meteo", "dep")
               .agg(F.count(F.lit(1)).alias("nb_accidents")))
@@ -461,7 +461,7 @@ def q_rank_within_group(spark, d):
 
 
 @query("udf_equivalence")
-def q_udf_equivalence(spark, d):
+def q_udf_equivalence(spark: SparkSession, d: str) -> DataFrame:
     """The severity score three ways (native, Python UDF, pandas UDF) agree on every row."""
     from strata.functions.udfs import severity_score_pandas, severity_score_udf
     p = silver(spark, d)["persons"].select("grav")
@@ -474,7 +474,7 @@ def q_udf_equivalence(spark, d):
 
 
 @query("upsert_latest")
-def q_upsert_latest(spark, d):
+def q_upsert_latest(spark: SparkSession, d: str) -> DataFrame:
     """Two overlapping deliveries merged by incremental partition upsert, latest wins."""
     acc = silver(spark, d)["accidents"]
     first = acc.where(F.col("an") <= 1998).withColumn("version", F.lit(1))
@@ -489,7 +489,7 @@ FORMATS = ("csv", "json", "orc", "parquet")
 
 
 @query("format_roundtrip_agg")
-def q_format_roundtrip_agg(spark, d):
+def q_format_roundtrip_agg(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per weather after a round trip through CSV, JSON, ORC and Parquet."""
     acc = silver(spark, d)["accidents"].select("num_acc", "meteo", "dep")
     out = None
@@ -509,7 +509,7 @@ def q_format_roundtrip_agg(spark, d):
 
 
 @query("profile_numeric")
-def q_profile_numeric(spark, d):
+def q_profile_numeric(spark: SparkSession, d: str) -> DataFrame:
     """count / mean / stddev / min / max of the numeric accident columns."""
     return agg.numeric_profile(silver(spark, d)["accidents"], ["an", "mois", "jour", "heure_int", "meteo"])
 
@@ -517,19 +517,19 @@ def q_profile_numeric(spark, d):
 # ---- step 8: data-inventory ideas ---------------------------------------------------------
 
 @query("agg_yearly_change")
-def q_agg_yearly_change(spark, d):
+def q_agg_yearly_change(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per year with the change from the previous year."""
     return agg.yearly_change(silver(spark, d)["accidents"])
 
 
 @query("agg_revenue_by_hour")
-def q_agg_revenue_by_hour(spark, d):
+def q_agg_revenue_by_hour(spark: SparkSession, d: str) -> DataFrame:
     """Events per hour of day with total and mean amount."""
     return agg.amount_by_hour(bindings.table(spark, d, "events", ["ts", "value"]))
 
 
 @query("agg_unit_price")
-def q_agg_unit_price(spark, d):
+def q_agg_unit_price(spark: SparkSession, d: str) -> DataFrame:
     """Unit price statistics per part type."""
     li = bindings.table(spark, d, "lineitem", ["l_partkey", "l_extendedprice", "l_quantity"])
     p = bindings.table(spark, d, "part", ["p_partkey", "p_type"])
@@ -537,7 +537,7 @@ def q_agg_unit_price(spark, d):
 
 
 @query("topk_pairs")
-def q_topk_pairs(spark, d):
+def q_topk_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Ten most frequent (supplier nation, customer nation) pairs."""
     pairs = agg.origin_destination_counts(
         bindings.table(spark, d, "lineitem", ["l_orderkey", "l_suppkey"]),
@@ -548,14 +548,14 @@ def q_topk_pairs(spark, d):
 
 
 @query("detect_outliers_zscore")
-def q_detect_outliers_zscore(spark, d):
+def q_detect_outliers_zscore(spark: SparkSession, d: str) -> DataFrame:
     """Events more than two standard deviations from their type's mean."""
     ev = bindings.table(spark, d, "events", ["event_id", "event_type", "value"])
     return agg.zscore_outliers(ev, "event_type", "value", 2.0)
 
 
 @query("src_multifile_months")
-def q_src_multifile_months(spark, d):
+def q_src_multifile_months(spark: SparkSession, d: str) -> DataFrame:
     """Accidents per month read back from one folder per month."""
     acc = silver(spark, d)["accidents"].select("num_acc", "an", "mois")
     path = scratch_path(spark, "monthly")
@@ -566,7 +566,7 @@ def q_src_multifile_months(spark, d):
 
 
 @query("src_csv_gzip")
-def q_src_csv_gzip(spark, d):
+def q_src_csv_gzip(spark: SparkSession, d: str) -> DataFrame:
     """Accident bronze through gzip text (one task per file, spread after the read)."""
     path = scratch_path(spark, "csv-gzip")
     _write_csv(bindings.dirty_accidents(spark, d), path, compression="gzip")
@@ -575,7 +575,7 @@ def q_src_csv_gzip(spark, d):
 
 
 @query("json_event_props")
-def q_json_event_props(spark, d):
+def q_json_event_props(spark: SparkSession, d: str) -> DataFrame:
     """Event JSON properties parsed with a declared schema and aggregated per type."""
     ev = bindings.table(spark, d, "events", ["event_type", "props"])
     j = files.parse_json_column(ev, "props", "k int")
@@ -588,7 +588,7 @@ EVENT_DOC_SCHEMA = ("event_id bigint, meta struct<type: string, ts: timestamp_nt
 
 
 @query("src_json_nested")
-def q_src_json_nested(spark, d):
+def q_src_json_nested(spark: SparkSession, d: str) -> DataFrame:
     """Events as nested JSON documents (struct + array of measures), read back
     with a declared schema, measures exploded and summed per (type, name)."""
     ev = bindings.table(spark, d, "events", ["event_id", "ts", "event_type", "value", "props"])
@@ -605,7 +605,7 @@ def q_src_json_nested(spark, d):
 
 
 @query("stream_windowed_counts")
-def q_stream_windowed_counts(spark, d):
+def q_stream_windowed_counts(spark: SparkSession, d: str) -> DataFrame:
     """Events and amount per hour window and type from a file stream."""
     from strata.streaming import windowed
     out = scratch_path(spark, "stream-out")
@@ -616,7 +616,7 @@ def q_stream_windowed_counts(spark, d):
 
 
 @query("als_recommend")
-def q_als_recommend(spark, d):
+def q_als_recommend(spark: SparkSession, d: str) -> DataFrame:
     """Top five parts per supplier from an ALS model on quantities."""
     from strata.operators.recommend import als_recommend
     return als_recommend(bindings.ratings(spark, d), "user_id", "item_id", "rating", k=5)
