@@ -620,3 +620,37 @@ def q_als_recommend(spark: SparkSession, d: str) -> DataFrame:
     """Top five parts per supplier from an ALS model on quantities."""
     from strata.operators.recommend import als_recommend
     return als_recommend(bindings.ratings(spark, d), "user_id", "item_id", "rating", k=5)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """Run catalogue queries by name: write each to Parquet, or print n rows."""
+    import argparse
+
+    from strata.session import get_session
+    ap = argparse.ArgumentParser(description="run catalogue queries over a folder of driver tables")
+    ap.add_argument("names", nargs="*", help="query names (default: list them)")
+    ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--out", default=None, help="write each result to OUT/<name> as Parquet")
+    ap.add_argument("--show", type=int, default=20, help="rows to print when not writing")
+    ap.add_argument("--master", default=None)
+    a = ap.parse_args(argv)
+    if not a.names:
+        print("\n".join(sorted(QUERIES)))
+        return
+    unknown = [n for n in a.names if n not in QUERIES]
+    if unknown:
+        raise SystemExit(f"unknown query name(s): {', '.join(unknown)}")
+    spark = get_session("strata-query", master=a.master, cluster=a.master is None)
+    for n in a.names:
+        df = QUERIES[n](spark, a.sf_dir)
+        if a.out:
+            sinks.write_parquet(df, f"{a.out.rstrip('/')}/{n}")
+            print(f"{n}: written to {a.out.rstrip('/')}/{n}")
+        else:
+            print(f"== {n}")
+            df.show(a.show, truncate=False)
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()
