@@ -207,6 +207,17 @@ def zscore_outliers(df: DataFrame, group: str, value: str, threshold: float) ->
             .withColumn("zscore", F.round("zscore", 4)).drop("_mu", "_sd"))
 
 
+def schema_profile(df: DataFrame) -> DataFrame:
+    """printSchema as data: (column_name, data_type, non_null) for every
+    column, from one aggregate pass over the table."""
+    fields = df.schema.fields
+    wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
+    parts = []
+    for i, f in enumerate(fields):
+        parts += [F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f"c{i}")]
+    return wide.select(F.stack(F.lit(len(fields)), *parts).alias("column_name", "data_type", "non_null"))
+
+
 def numeric_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """describe(): count / mean / stddev / min / max per numeric column, one
     aggregate pass, then unpivoted to one row per column."""

@@ -283,13 +283,7 @@ def q_sink_partitioned_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 @query("profile_schema")
 def q_profile_schema(spark: SparkSession, d: str) -> DataFrame:
     """Silver accident columns with type and non-NULL count."""
-    acc = silver(spark, d)["accidents"]
-    fields = acc.schema.fields
-    wide = acc.agg(*[F.count(f.name).alias(f.name) for f in fields])
-    parts = []
-    for f in fields:
-        parts += [F.lit(f.name), F.lit(f.dataType.simpleString()), F.col(f.name)]
-    return wide.select(F.stack(F.lit(len(fields)), *parts).alias("column_name", "data_type", "non_null"))
+    return agg.schema_profile(silver(spark, d)["accidents"])
 
 
 @query("run_metrics_rows")
@@ -633,7 +627,16 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", default=None, help="write each result to OUT/<name> as Parquet")
     ap.add_argument("--show", type=int, default=20, help="rows to print when not writing")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--profile", default=None, help="profile a Parquet path: schema, rows, preview")
     a = ap.parse_args(argv)
+    if a.profile:
+        spark = get_session("strata-profile", master=a.master, cluster=a.master is None)
+        df = spark.read.parquet(a.profile)
+        agg.schema_profile(df).show(len(df.columns), truncate=False)
+        print("rows:", df.count())
+        df.show(min(a.show, 5), truncate=False)
+        spark.stop()
+        return
     if not a.names:
         print("\n".join(sorted(QUERIES)))
         return
