@@ -115,6 +115,16 @@ def time_arms(spark: SparkSession, arms: dict[str, Callable[[], DataFrame]], run
     return out
 
 
+def gain(result: dict, baseline: str, candidate: str) -> dict:
+    """Gain of ``candidate`` over ``baseline`` in % of the baseline median; it
+    counts as significant only when the two arms' [min, max] ranges do not
+    overlap."""
+    b, c = result[baseline], result[candidate]
+    pct = (b["median"] - c["median"]) / b["median"] * 100 if b["median"] > 0 else None
+    return {"gain_pct": None if pct is None else round(pct, 1),
+            "significant": c["max"] < b["min"] or b["max"] < c["min"]}
+
+
 def _restore(spark: SparkSession, saved: dict[str, str | None]) -> None:
     for k, v in saved.items():
         if v is None:

@@ -39,8 +39,10 @@ def broadcast_vs_shuffle(spark: SparkSession, d: str, runs: int = 5) -> dict:
             bound = joins.source_row_bound(spark, f"{d.rstrip('/')}/lineitem.parquet")
             return agg.departments_with_places(s["accidents"], s["places"], strategy, bound)
         return build
-    return measure.time_arms(spark, {"shuffle": arm("shuffle"), "broadcast": arm("broadcast")}, runs,
-                             confs={"shuffle": {"spark.sql.autoBroadcastJoinThreshold": "-1"}})
+    out = measure.time_arms(spark, {"shuffle": arm("shuffle"), "broadcast": arm("broadcast")}, runs,
+                            confs={"shuffle": {"spark.sql.autoBroadcastJoinThreshold": "-1"}})
+    out["broadcast_vs_shuffle"] = measure.gain(out, "shuffle", "broadcast")
+    return out
 
 
 def repartition_vs_plain(spark: SparkSession, d: str, runs: int = 5, n: int = 50) -> dict:
@@ -54,6 +56,8 @@ def repartition_vs_plain(spark: SparkSession, d: str, runs: int = 5, n: int = 50
             "dep", F.col("nb_lignes").alias("nb")),
     }
     out = measure.time_arms(spark, arms, runs)
+    out["repartition_vs_plain"] = measure.gain(out, "plain", "repartition_first")
+    out["salted_vs_plain"] = measure.gain(out, "plain", "salted")
     s = layers.silver_from_driver(spark, d)
     prof = {r["measure"]: r.asDict() for r in agg.skew_profile(s["accidents"], s["places"]).collect()}
     out["skew_profile"] = prof
@@ -128,6 +132,7 @@ def pushdown_bytes(spark: SparkSession, d: str, dep: str = "07", runs: int = 3)
         return (spark.read.schema(acc.schema).parquet(p).where(F.col("dep") == dep)
                 .groupBy("meteo").agg(F.count(F.lit(1)).alias("nb")))
     out = measure.time_arms(spark, {"partitioned": lambda: q(path), "flat": lambda: q(flat)}, runs)
+    out["partitioned_vs_flat"] = measure.gain(out, "flat", "partitioned")
     out["bytes_total"] = source_bytes(spark, path)
     out["bytes_read_with_filter"] = source_bytes(spark, f"{path}/dep={dep}")
     return out

@@ -131,3 +131,10 @@ def test_size_shuffles_from_input(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before[0])
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before[1])
+
+
+def test_gain_reports_significance_only_without_overlap():
+    r = {"a": {"median": 2.0, "min": 1.9, "max": 2.1}, "b": {"median": 1.0, "min": 0.9, "max": 1.1},
+         "c": {"median": 1.95, "min": 1.8, "max": 2.0}}
+    assert measure.gain(r, "a", "b") == {"gain_pct": 50.0, "significant": True}
+    assert measure.gain(r, "a", "c")["significant"] is False
