@@ -71,3 +71,54 @@ SELECT d.page_id, d.payload_bytes,
   CASE WHEN f.first_id = d.page_id THEN NULL ELSE f.first_id END AS refers_to
 FROM d JOIN f ON d.h = f.h AND d.payload_bytes = f.payload_bytes
 """
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.jaccard import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+_WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+ORACLE["op9_jaccard_join"] = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, {_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS sh FROM d),
+c AS (SELECT min(doc_id) AS rep, sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+e AS (SELECT rep, n, unnest(sh) AS g FROM c),
+f AS (SELECT g FROM e GROUP BY g HAVING count(*) > 1),
+x AS (SELECT e.* FROM e JOIN f ON e.g = f.g),
+p AS (SELECT a.rep AS a, b.rep AS b, count(*) AS o, any_value(a.n) AS na, any_value(b.n) AS nb
+      FROM x a JOIN x b ON a.g = b.g AND a.rep < b.rep AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n GROUP BY a.rep, b.rep),
+l AS (SELECT a, b FROM p WHERE 100 * o >= 85 * (na + nb - o)),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS node, a AS other FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.other = u.a),
+m AS (SELECT node, min(other) AS root FROM r GROUP BY node)
+SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, coalesce(m.root, c.rep, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN m ON m.node = c.rep
+"""
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.substring import remove_repeats
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_sha256").alias("kept_sha256"))
+
+
+ORACLE["op10_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+v AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+k AS (SELECT v.doc_id, v.i, md5(array_to_string(d.w[v.i:v.i + 49], ' ')) AS h FROM v JOIN d ON v.doc_id = d.doc_id),
+f AS (SELECT h, min(doc_id) AS first_id FROM k GROUP BY h),
+g AS (SELECT k.doc_id, k.i FROM k JOIN f ON k.h = f.h AND f.first_id < k.doc_id),
+o AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM g),
+q AS (SELECT doc_id, list(j) AS gone FROM o GROUP BY doc_id),
+t AS (SELECT d.doc_id, d.w, q.gone, CASE WHEN q.gone IS NULL THEN d.w ELSE
+        list_transform(list_filter(range(1, len(d.w) + 1), lambda j: NOT list_contains(q.gone, j)), lambda j: d.w[j]) END AS kept
+      FROM d LEFT JOIN q ON d.doc_id = q.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM t
+"""
