@@ -10,6 +10,8 @@ cut into lengths that are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,7 +23,10 @@ from pyspark.sql import functions as F
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 _BATCH_BYTES = 8 << 20
-_CACHE_WORDS = 300_000
+_CACHE_WORDS, _CACHE_PIECES = 400_000, 600_000
+# chunks whose split is known: ASCII and the letters of Latin-1, which lower-casing keeps apart
+_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _tokenizers: dict[str, WordIds] = {}
 
 
@@ -30,16 +35,23 @@ class WordIds(dict):
 
     The tokenizer drops white space and never looks across it, so ids of chunks between
     blanks, joined, are the ids of the text. Chunks recur; each is tokenised once while it is
-    held (at most ``_CACHE_WORDS`` chunks of up to 64 characters).
+    held (at most ``_CACHE_WORDS`` chunks of up to 64 characters). A new chunk of ASCII and
+    Latin-1 letters is first split as the tokenizer splits it, and its pieces are looked up.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = Pieces(self.ids)
+
+    def ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        out = np.asarray(ids, "<u4").tobytes()
+        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
+            out = b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk.lower())))
+        else:
+            out = self.ids(chunk)
         if len(chunk) <= 64:
             if len(self) >= _CACHE_WORDS:
                 self.clear()
@@ -51,6 +63,21 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, chunks))
 
 
+class Pieces(dict):
+    """Ids of what the tokenizer's split makes of chunks (at most ``_CACHE_PIECES`` are held)."""
+
+    def __init__(self, ids):
+        self.ids = ids
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.ids(piece)
+        if len(piece) <= 64:
+            if len(self) >= _CACHE_PIECES:
+                self.clear()
+            self[piece] = out
+        return out
+
+
 def word_ids(path: str) -> WordIds:
     if path not in _tokenizers:
         _tokenizers[path] = WordIds(path)
