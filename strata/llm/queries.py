@@ -122,3 +122,24 @@ t AS (SELECT d.doc_id, d.w, q.gone, CASE WHEN q.gone IS NULL THEN d.w ELSE
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
   sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM t
 """
+
+
+@query("op8_embedding_near_dedup")
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.vectors import near_vectors
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op8_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+z AS (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS norm FROM v
+      WHERE x IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND list_dot_product(x, x) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM z a JOIN z b
+      ON a.vec_id <> b.vec_id AND list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.9),
+r AS (SELECT a AS node, a AS other FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.other = l.a),
+m AS (SELECT node, min(other) AS root FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(m.root, v.vec_id) AS component_id,
+  coalesce(m.root, v.vec_id) = v.vec_id AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN m ON m.node = v.vec_id
+"""
