@@ -1,23 +1,57 @@
 """A corpus pipeline over ``documents``: language ID, near duplicates, repeated passages,
-benchmark decontamination, packing. Each stage calls one operator of ``strata.llm``."""
+benchmark decontamination, packing. Each stage calls one operator of ``strata.llm`` on all that the
+stage before it kept; all but the last return the columns of documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, table
 from strata.llm.decontam import leaks
+from strata.llm.jaccard import jaccard_components
+from strata.llm.langid import fit, held_out, predict
 from strata.llm.packing import pack
 from strata.llm.queries import tokenizer_path
+from strata.llm.substring import remove_repeats
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
+LEAST_CONFIDENCE = 0.5
+
+
+def _documents(docs: DataFrame, text: Column | None = None) -> DataFrame:
+    if text is None:
+        return docs.select(*DOCUMENT)
+    return docs.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: a null text, one without a letter, and one whose best language has a
+    calibrated probability below ``LEAST_CONFIDENCE`` go."""
+    model = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(3, 1)))
+    told = predict(_documents(docs), model)
+    return _documents(told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CONFIDENCE)))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles, Jaccard similarity of 0.8 or
+    more, linked transitively): that of the smallest doc_id. Texts without words and null ids stay."""
+    gone = (jaccard_components(docs, percent=80, w=5).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
+    return _documents(docs.join(gone, docs.doc_id == gone["_gone"], "left_anti"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the words of passages that a smaller doc_id has; texts that lose nothing stay as
+    they are, and documents that lose every word go."""
+    told = remove_repeats(_documents(docs))
+    text = F.when(F.col("_n_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
+    return _documents(told.where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_words"))), text)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; the columns of documents."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left_anti").select(*DOCUMENT)
+    """Documents that hold no benchmark item."""
+    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return _documents(docs.join(found, docs.doc_id.eqNullSafe(found["_leak"]), "left_anti"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +60,8 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("decontaminate", decontaminate), ("pack", pack_sequences)]
+STAGES = [("language_id", language_id), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages),
+          ("decontaminate", decontaminate), ("pack", pack_sequences)]
 
 # A learned language model and a tokenizer are among the stages; SQL can't express them.
 ORACLE_SQL = None

@@ -143,3 +143,15 @@ SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(m.root, v.vec_id)
   coalesce(m.root, v.vec_id) = v.vec_id AS kept
 FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN m ON m.node = v.vec_id
 """
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.langid import identify
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.toxicity import toxicity
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
