@@ -9,7 +9,8 @@ twice the budget that overlap by half, so that an alignment lies whole in one of
 bands that meet the bound are aligned.
 
 The most frequent q-grams of an item are left out of the index, and its bound is lowered by as
-many: the lemma still holds, so nothing is lost by it.
+many: the lemma still holds, so nothing is lost by it. A band that meets the lowered bound is
+counted again with all q-grams before it is aligned.
 """
 
 from __future__ import annotations
@@ -74,7 +75,8 @@ class Index:
         # a budget that leaves a bound of at least one shared q-gram
         self.budget = np.maximum(0, np.minimum((edit_rate * size).astype(np.int64), (size - Q) // Q))
         bound = size - Q + 1 - Q * self.budget
-        every = [grams(i) for i in self.items]
+        self.every, self.full_bound = [grams(i) for i in self.items], bound.copy()
+        every = self.every
         known = Counter(g for item in every for g in set(item.tolist()))
         gram, item, place = [], [], []
         for k, own in enumerate(every):
@@ -137,7 +139,8 @@ class Index:
         exact = text[a:b].tobytes().find(pattern.tobytes())
         if exact >= 0:
             return 0, a + exact, a + exact + len(pattern)
-        if not e:
+        # the lemma's bound with the q-grams that the index leaves out
+        if not e or np.isin(self.every[item], grams(text[a:b])).sum() < self.full_bound[item]:
             return None
         span = 2 * width + 2 * e + 1
         one = np.int64(1) << 40
