@@ -23,52 +23,30 @@ from pyspark.sql import functions as F
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 _BATCH_BYTES = 8 << 20
-_CACHE_WORDS, _CACHE_PIECES = 400_000, 600_000
-# chunks whose split is known: ASCII and the letters of Latin-1, which lower-casing keeps apart
-_PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
-_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_CACHE_PIECES = 900_000
+# texts whose split is known: ASCII and the letters of Latin-1, which lower-casing keeps apart
+_PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+_PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 _tokenizers: dict[str, WordIds] = {}
 
 
 class WordIds(dict):
-    """Ids of white-space-free chunks of text as little-endian unsigned 32-bit bytes.
+    """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    The tokenizer drops white space and never looks across it, so ids of chunks between
-    blanks, joined, are the ids of the text. Chunks recur; each is tokenised once while it is
-    held (at most ``_CACHE_WORDS`` chunks of up to 64 characters). A new chunk of ASCII and
-    Latin-1 letters is first split as the tokenizer splits it, and its pieces are looked up.
+    The tokenizer lower-cases, drops white space and splits into pieces (letters, digits, other
+    signs, contractions) that it encodes apart. Pieces recur: a text of ASCII and Latin-1
+    letters is split here in the same way, and each piece is encoded once while it is held (at
+    most ``_CACHE_PIECES`` of up to 64 characters). In other texts the chunks between blanks are
+    handled so where they can be, and given to the tokenizer whole where not.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = Pieces(self.ids)
 
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
-            out = b"".join(map(self.pieces.__getitem__, _PIECE.findall(chunk.lower())))
-        else:
-            out = self.ids(chunk)
-        if len(chunk) <= 64:
-            if len(self) >= _CACHE_WORDS:
-                self.clear()
-            self[chunk] = out
-        return out
-
-    def of_text(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        return b"".join(map(self.__getitem__, chunks))
-
-
-class Pieces(dict):
-    """Ids of what the tokenizer's split makes of chunks (at most ``_CACHE_PIECES`` are held)."""
-
-    def __init__(self, ids):
-        self.ids = ids
-
     def __missing__(self, piece: str) -> bytes:
         out = self.ids(piece)
         if len(piece) <= 64:
@@ -77,6 +55,14 @@ class Pieces(dict):
             self[piece] = out
         return out
 
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, _PIECE.findall(text.lower())))
+
+    def of_text(self, text: str) -> bytes:
+        if "<|" not in text and _PLAIN.fullmatch(text):
+            return self.plain(text)
+        return b"".join(self.plain(c) if "<|" not in c and _PLAIN.fullmatch(c) else self.ids(c) for c in re.split("[ \n\t\r]+", text))
+
 
 def word_ids(path: str) -> WordIds:
     if path not in _tokenizers:
