@@ -192,14 +192,31 @@ def bitmap_rows(hashes: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
 BITMAP_ROWS = "chunk long, offsets binary"
 
 
-def collect_bitmap(rows: DataFrame, bits: int) -> np.ndarray:
-    """The bitmap that rows (chunk, offsets) describe: OR by chunk on the executors, then bits / 8
-    bytes come to the driver (a fixed size)."""
+def repeat_rows(hashes: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk, offsets) of one bit a hash, twice where two of ``hashes`` set it."""
+    at, times = np.unique(hashes & U64(bits - 1), return_counts=True)
+    for some in (at, at[times > 1]):
+        chunk = (some // U64(CHUNK)).astype(np.int64)
+        edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=-2))
+        low = (some % U64(CHUNK)).astype("<u4")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(chunk[edges[:-1]], pa.int64()),
+             pa.array([low[a:z].tobytes() for a, z in zip(edges[:-1], edges[1:], strict=True)], pa.binary())], ["chunk", "offsets"])
+
+
+def collect_bitmap(rows: DataFrame, bits: int, twice: bool = False) -> np.ndarray:
+    """The bitmap that rows (chunk, offsets) describe: OR by chunk on the executors (``twice``: the bits
+    that come at least twice), then bits / 8 bytes come to the driver (a fixed size)."""
 
     def union(key, part: pd.DataFrame) -> pd.DataFrame:
-        flags = np.zeros(CHUNK, bool)
+        flags, once = np.zeros(CHUNK, bool), np.zeros(CHUNK, bool)
         for raw in part.offsets:
-            flags[np.frombuffer(raw, "<u4")] = True
+            at = np.frombuffer(raw, "<u4")
+            if twice:
+                flags[at[once[at]]] = True
+                once[at] = True
+            else:
+                flags[at] = True
         return pd.DataFrame({"chunk": [key[0]], "flags": [np.packbits(flags, bitorder="little").tobytes()]})
 
     out = np.zeros(bits // 8, np.uint8)
@@ -209,11 +226,11 @@ def collect_bitmap(rows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def holds(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether each hash may be in the bitmap (never False for one that is)."""
+def holds(bitmap: np.ndarray, hashes: np.ndarray, both: bool = True) -> np.ndarray:
+    """Whether each hash may be in the bitmap (never False for one that is); ``both``: two bits a hash."""
     bits = len(bitmap) * 8
     found = np.ones(len(hashes), bool)
-    for at in probes(hashes, bits):
+    for at in probes(hashes, bits)[: 2 if both else 1]:
         found &= (bitmap[at >> U64(3)] >> (at & U64(7)).astype(np.uint8)) & 1 == 1
     return found
 

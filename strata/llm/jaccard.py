@@ -3,11 +3,13 @@
 A document's set holds the 64-bit hashes of its distinct w-word shingles. The join:
 
 1. One scan hashes every set, counts shingles in a fixed table of cells (a document-frequency
-   estimate, used only to order shingles: rare first) and gives equal sets one node.
+   estimate, used only to order shingles: rare first), gives equal sets one node and each set a
+   profile (how many of its shingles fall into each of 64 classes).
 2. A second scan writes each node's prefix: two sets that link share a shingle among the first
-   n - ceil(t n) + 1 of each in that order (the shorter index prefix suffices for the smaller).
-3. Index lists are keyed by shingle and size class. Lists of one node, and blocks whose position
-   or size can't reach the threshold, are skipped. The rest joins nodes to candidate clusters.
+   n - ceil(t n) + 1 of each in that order.
+3. Index lists are keyed by shingle. Lists of one node are skipped; within a list, pairs are
+   skipped whose sizes, positions (what follows the shingle in both) or profiles bound the
+   overlap below the threshold. The rest joins nodes to candidate clusters.
 4. Clusters are compared in blocks of bounded size. In a block a set's overlap with all
    others comes from index lists in size order; a set much like one already answered starts from
    that answer and visits the lists of the differing shingles only.
@@ -18,7 +20,7 @@ A document's set holds the 64-bit hashes of its distinct w-word shingles. The jo
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (U64, bitmap_bits, bitmap_of, by_group, components, cut, drop, holds, longs, mix,
-                               word_slices)
+from strata.llm.common import (BITMAP_ROWS, U64, bitmap_bits, bitmap_rows, by_group, collect_bitmap, components, cut, drop,
+                               holds, longs, mix, repeat_rows, word_slices)
 
 CELLS = 1 << 20  # cells of the frequency table: 4 MB, whatever the input
 _PART = 1 << 15
+PROFILE = 64
+LIST_BLOCK = 2048  # entries of a list that meet in one task
 BLOCK_SETS, BLOCK_SHINGLES = 1024, 2_000_000
 
 
@@ -61,27 +65,28 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def index_overlap(n: int, percent: int) -> int:
-    """Overlap with a set that is at least as large: ceil(2 t n / (1 + t))."""
-    return -(-2 * percent * n // (100 + percent))
+def pair_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Overlap at which sets of n and m link: ceil(t (n + m) / (1 + t))."""
+    return -(-percent * (n + m) // (100 + percent))
 
 
-def size_class(n: np.ndarray, percent: int) -> np.ndarray:
-    """Sets that can link are in the same or in neighbouring classes."""
-    return np.floor(np.log(n) / -np.log((percent - 1) / 100)).astype(np.int64)
+def profile(own: np.ndarray) -> bytes:
+    """How many hashes fall into each class, as uint16; 65535 stands for that many or more."""
+    return np.minimum(np.bincount((own >> U64(58)).astype(np.int64), minlength=PROFILE), 65535).astype("<u2").tobytes()
 
 
 def _scan(docs: DataFrame, w: int) -> DataFrame:
-    """Rows (doc_id, n, node) per document, and (part, cells) per task with its shingle counts."""
+    """Rows (doc_id, n, node, profile) per document, and (part, cells) per task with its shingle counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
-        names = ["doc_id", "n", "node", "part", "cells"]
+        names = ["doc_id", "n", "node", "profile", "part", "cells"]
         for b in batches:
-            sizes, nodes, found = [], [], []
+            sizes, nodes, profiles, found = [], [], [], []
             for _, own in shingle_sets(b.column(1), w):
                 sizes.append(len(own))
                 nodes.append(node_of(own) if len(own) else None)
+                profiles.append(profile(own))
                 found.append(own)
                 if len(found) == 512:
                     counts += np.bincount((np.concatenate(found) & U64(CELLS - 1)).astype(np.int64), minlength=CELLS)
@@ -90,13 +95,14 @@ def _scan(docs: DataFrame, w: int) -> DataFrame:
                 counts += np.bincount((np.concatenate(found) & U64(CELLS - 1)).astype(np.int64), minlength=CELLS)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), none.cast(pa.int64()), none.cast(pa.binary())], names)
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(profiles, pa.binary()),
+                 none.cast(pa.int64()), none.cast(pa.binary())], names)
         parts = [p for p in range(CELLS // _PART) if counts[p * _PART: (p + 1) * _PART].any()]
         none = pa.nulls(len(parts), pa.int64())
         cells = [np.minimum(counts[p * _PART: (p + 1) * _PART], 2**31 - 1).astype("<i4").tobytes() for p in parts]
-        yield pa.RecordBatch.from_arrays([none, none, none, pa.array(parts, pa.int64()), pa.array(cells, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(parts), pa.binary()), pa.array(parts, pa.int64()), pa.array(cells, pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, part long, cells binary")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, profile binary, part long, cells binary")
 
 
 def _frequencies(scan: DataFrame) -> np.ndarray:
@@ -116,8 +122,8 @@ def _frequencies(scan: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, w: int, percent: int, frequency) -> DataFrame:
-    """(shingle, node, cls, small) of the prefix shingles of every set; small: in its index prefix.
-    A task writes a set once."""
+    """(shingle, node, n, pos) of the prefix shingles of every set, with its size and their position in
+    it. A task writes a set once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = frequency.value
@@ -135,38 +141,129 @@ def _prefixes(docs: DataFrame, w: int, percent: int, frequency) -> DataFrame:
                 known.add(node)
                 order = np.lexsort((own, rank[own & U64(CELLS - 1)]))
                 keep = n - least_overlap(n, percent) + 1
-                small = n - index_overlap(n, percent) + 1
-                out.append((own[order[:keep]], node, n, np.arange(keep) < small))
+                out.append((own[order[:keep]], node, n))
                 size += keep
                 if size > 200_000:
-                    yield _prefix_rows(out, percent)
+                    yield _prefix_rows(out)
                     out, size = [], 0
             if out:
-                yield _prefix_rows(out, percent)
+                yield _prefix_rows(out)
 
-    return docs.select("text").mapInArrow(run, "shingle long, node long, cls int, small boolean")
+    return docs.select("text").mapInArrow(run, "shingle long, node long, n int, pos int")
 
 
-def _prefix_rows(out: list[tuple], percent: int) -> pa.RecordBatch:
+def _prefix_rows(out: list[tuple]) -> pa.RecordBatch:
     times = [len(x[0]) for x in out]
-    cls = size_class(np.array([x[2] for x in out]), percent)
     return pa.RecordBatch.from_arrays(
         [longs(np.concatenate([x[0] for x in out])), pa.array(np.repeat(np.array([x[1] for x in out], np.int64), times)),
-         pa.array(np.repeat(cls, times).astype(np.int32)), pa.array(np.concatenate([x[3] for x in out]))],
-        ["shingle", "node", "cls", "small"])
-
-
-def _clusters(entries: DataFrame) -> DataFrame:
-    """(node, root) of the nodes that share an index list with another node they might link to."""
-    shared = entries.groupBy("shingle").agg(F.min("node").alias("_a"), F.max("node").alias("_b")).where("_a <> _b").select("shingle")
-    live = cut(entries.join(shared, "shingle"), "jaccard-lists")
-    # the list of a shingle and size class holds its own small sets, and larger sets that probe it
-    listed = live.select("node", "small", F.xxhash64("shingle", "cls").alias("hub")).union(
-        live.select("node", F.lit(False), F.xxhash64("shingle", F.col("cls") - 1)))
-    least = (listed.groupBy("hub").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.max("small").alias("_small"))
-             .where("_a <> _b and _small").select("hub", "_a"))
-    edges = listed.join(least, "hub").select("node", F.col("_a").alias("other")).distinct()
-    out = cut(components(edges, "node", "other"), "jaccard-clusters")
+         pa.array(np.repeat(np.array([x[2] for x in out], np.int32), times)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in times]))],
+        ["shingle", "node", "n", "pos"])
+
+
+def _live(entries: DataFrame) -> DataFrame:
+    """The entries whose shingle may have another entry: lists of one set are skipped. A bitmap of
+    bounded size tells; it never drops a shingle that comes twice."""
+    bits = bitmap_bits(entries.count(), per_row=4)
+
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for b in batches:
+            held.append(np.asarray(b.column(0)).view(U64))
+            size += len(held[-1])
+            if size > 1_000_000:
+                yield from repeat_rows(np.concatenate(held), bits)
+                held, size = [], 0
+        if size:
+            yield from repeat_rows(np.concatenate(held), bits)
+
+    twice = entries.sparkSession.sparkContext.broadcast(collect_bitmap(entries.select("shingle").mapInArrow(emit, BITMAP_ROWS), bits, twice=True))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(holds(twice.value, np.asarray(b.column(0)).view(U64), both=False)))
+
+    return entries.mapInArrow(run, entries.schema)
+
+
+def _compare_lists(percent: int):
+    """For rows sorted by list: a spanning forest (a, b) of the pairs of each list that may link."""
+
+    def near(part: pd.DataFrame) -> pd.DataFrame:
+        node, n, pos = (part[c].to_numpy(np.int64) for c in ("node", "n", "pos"))
+        group = part[["shingle", "a", "b"]].to_numpy(np.int64)
+        new = np.append(True, (group[1:] != group[:-1]).any(axis=1))
+        start = np.flatnonzero(new)
+        end = np.repeat(np.append(start[1:], len(part)), np.diff(np.append(start, len(part))))
+        rest, blk = n - pos, part.blk.to_numpy(np.int64)
+        cross = group[:, 1] != group[:, 2]  # a pair of blocks: only pairs between the two
+        profiles = np.frombuffer(b"".join(part.profile), "<u2").reshape(-1, PROFILE)
+        root = np.arange(len(part))
+        at, step = np.arange(len(part)), 0
+        while True:
+            step += 1
+            at = at[at + step < end[at]]
+            if not len(at):
+                break
+            i, j = at, at + step
+            need = pair_overlap(n[i], n[j], percent)
+            may = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (np.minimum(rest[i], rest[j]) >= need)
+            may &= (node[i] != node[j]) & (~cross[i] | (blk[i] != blk[j])) & (root[i] != root[j])
+            i, j, need = i[may], j[may], need[may]
+            if not len(i):
+                continue
+            p, q = profiles[i], profiles[j]
+            both = np.minimum(p, q).astype(np.int64)
+            may = (both.sum(axis=1) >= need) | ((p == 65535) & (q == 65535)).any(axis=1)
+            _unite(root, i[may], j[may])
+        tied = root != np.arange(len(root))
+        return pd.DataFrame({"a": node[tied], "b": node[root[tied]]})
+
+    def run(parts: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for part in parts:
+            if not len(part):
+                continue
+            held = part if held is None else pd.concat([held, part], ignore_index=True)
+            keys = held[["shingle", "a", "b"]]
+            inner = np.flatnonzero((keys != keys.iloc[-1]).any(axis=1).to_numpy())
+            if len(inner):  # the last list may go on
+                yield near(held.iloc[: inner[-1] + 1])
+                held = held.iloc[inner[-1] + 1:]
+        if held is not None and len(held):
+            yield near(held)
+
+    return run
+
+
+def _unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the components of the pairs (i, j); ``root`` holds each row's smallest known row."""
+    while len(i):
+        a, b = root[i], root[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        if not len(i):
+            break
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root[:] = up
+
+
+def _clusters(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, root) of the nodes that share an index list with another node they may link to."""
+    live = cut(_live(entries), "jaccard-lists")
+    shared = (live.groupBy("shingle").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.count("*").alias("_n"))
+              .where("_a <> _b").select("shingle", F.ceil(F.col("_n") / LIST_BLOCK).alias("blocks")))
+    listed = live.join(shared, "shingle").join(classes.select("node", "profile"), "node")
+    # a block alone, and every pair of blocks of a list
+    listed = (listed.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")))
+              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+              .select("shingle", F.least("blk", "other").alias("a"), F.greatest("blk", "other").alias("b"), "node", "n", "pos", "profile", "blk"))
+    keys = ["shingle", "a", "b"]
+    edges = listed.repartition(*keys).sortWithinPartitions(*keys, "node").mapInPandas(_compare_lists(percent), "a long, b long").distinct()
+    out = cut(components(edges, "a", "b"), "jaccard-clusters")
     drop(live)
     return out
 
@@ -234,26 +331,33 @@ def _link(percent: int):
     return compare
 
 
-def link_sets(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes that span the link graph of every cluster. ``sets``: (root, node,
-    n, set) with one or more equal rows per node."""
-    known = sets.groupBy("root", "node").agg(F.first("n").alias("n")).groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("sum"))
-    blocks = known.select("root", F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("sum") / BLOCK_SHINGLES)).alias("blocks"))
-    sets = sets.join(blocks, "root").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")))
+def place(clusters: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(root, node, blocks, blk): the block of its cluster that each node is compared in."""
+    known = clusters.join(sizes, "node")
+    blocks = known.groupBy("root").agg(F.count("*").alias("m"), F.sum("n").alias("sum")).select(
+        "root", F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("sum") / BLOCK_SHINGLES)).alias("blocks"))
+    return known.select("root", "node").join(blocks, "root").withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")))
+
+
+def link_sets(placed: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links (a, b) between nodes that span the link graph of every cluster. ``sets`` reads the sets
+    (node, set) of a table's nodes."""
     names = ["root", "blk", "node", "set", "guest"]
-    members = sets.withColumn("guest", F.lit(False))
-    links = cut(by_group(members.select(names), ["root", "blk"], _link(percent), "a long, b long"), "jaccard-links")
-    split = sets.where("blocks > 1")
-    if not split.limit(1).count():
+    found = sets(placed).join(placed, "node").withColumn("guest", F.lit(False))
+    links = cut(by_group(found.select(names), ["root", "blk"], _link(percent), "a long, b long"), "jaccard-links")
+    split = placed.where("blocks > 1")
+    if split.isEmpty():
         return links
+    # sets outside their cluster's largest component so far meet its other blocks
     part = components(links, "a", "b").select("node", F.col("root").alias("part"))
-    placed = split.join(part, "node", "left").withColumn("part", F.coalesce("part", "node"))
-    largest = (placed.groupBy("root", "part").agg(F.count_distinct("node").alias("_n"))
+    split = cut(split.join(part, "node", "left").withColumn("part", F.coalesce("part", "node")), "jaccard-split")
+    largest = (split.groupBy("root", "part").agg(F.count("*").alias("_n"))
                .groupBy("root").agg(F.max(F.struct("_n", "part")).alias("_most")).select("root", F.col("_most.part").alias("_part")))
-    guests = (placed.join(largest, "root").where("part <> _part")
+    guests = (split.join(largest, "root").where("part <> _part")
               .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("at <> blk")
-              .select("root", F.col("at").alias("blk"), "node", "set", F.lit(True).alias("guest")))
-    again = by_group(split.withColumn("guest", F.lit(False)).select(names).unionByName(guests), ["root", "blk"], _link(percent), "a long, b long")
+              .select("root", F.col("at").alias("blk"), "node", F.lit(True).alias("guest")))
+    rows = cut(split.select("root", "blk", "node", F.lit(False).alias("guest")).unionByName(guests), "jaccard-guests")
+    again = by_group(sets(split).join(rows, "node").select(names), ["root", "blk"], _link(percent), "a long, b long")
     return links.union(cut(again, "jaccard-links"))
 
 
@@ -271,46 +375,60 @@ def jaccard_components(docs: DataFrame, percent: int = 85, w: int = 4) -> DataFr
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scan = cut(_scan(docs, w), "jaccard-scan")
     frequency = spark.sparkContext.broadcast(_frequencies(scan))
+    rows = scan.where("part is null").select("doc_id", "n", "node")
+    # the document that stands for each node, its smallest
+    classes = cut(scan.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_doc"), F.first("n").alias("n"), F.first("profile").alias("profile")), "jaccard-classes")
     entries = cut(_prefixes(docs, w, percent, frequency), "jaccard-prefixes")
-    clusters = _clusters(entries)
+    clusters = _clusters(entries, classes, percent)
     drop(entries)
-    bits = bitmap_bits(clusters.count())
-    wanted = spark.sparkContext.broadcast(bitmap_of(clusters, "node", bits))
+    placed = cut(place(clusters, classes.select("node", "n")), "jaccard-places")
 
-    def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set[int] = set()
+    def sets(wanted: DataFrame) -> DataFrame:
+        return _sets(docs, w, wanted.select("node").join(classes, "node"))
+
+    roots = components(link_sets(placed, sets, percent), "a", "b")
+    first = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least = first.groupBy("root").agg(F.min("_doc").alias("component_id"))
+    ids = first.join(least, "root").select("node", "component_id")
+    return (rows.join(ids, "node", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+
+
+def _pair(node: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return mix(node.view(U64) + mix(doc.view(U64)))
+
+
+def _sets(docs: DataFrame, w: int, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the rows of ``docs`` that stand for a node of ``wanted`` (node, _doc); a bitmap of
+    the pairs picks them, so a few others may come along. Null ids stand under 0."""
+    pairs = wanted.select("node", F.coalesce("_doc", F.lit(0)).alias("_doc"))
+    bits = bitmap_bits(pairs.count())
+
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nodes, sets, size = [], [], 0
-            for _, own in shingle_sets(b.column(0), w):
-                if not len(own):
-                    continue
-                node = node_of(own)
-                if node in known or not holds(wanted.value, np.array([node], np.int64).view(U64))[0]:
+            yield from bitmap_rows(_pair(np.asarray(b.column(0)), np.asarray(b.column(1))), bits)
+
+    picked = docs.sparkSession.sparkContext.broadcast(collect_bitmap(pairs.mapInArrow(emit, BITMAP_ROWS), bits))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = np.asarray(b.column(0).fill_null(0))
+            nodes, found, size = [], [], 0
+            for row, own in shingle_sets(b.column(1), w):
+                node = node_of(own) if len(own) else 0
+                if not len(own) or not holds(picked.value, _pair(np.array([node]), ids[row: row + 1]))[0]:
                     continue
-                known.add(node)
                 nodes.append(node)
-                sets.append(own)
+                found.append(own)
                 size += len(own)
                 if size > 500_000:
-                    yield _set_rows(nodes, sets)
-                    nodes, sets, size = [], [], 0
+                    yield _set_rows(nodes, found)
+                    nodes, found, size = [], [], 0
             if nodes:
-                yield _set_rows(nodes, sets)
+                yield _set_rows(nodes, found)
 
-    sets = docs.select("text").mapInArrow(members, "node long, n long, set binary").join(clusters, "node")
-    sets = cut(sets, "jaccard-sets")
-    roots = components(link_sets(sets, percent), "a", "b")
-    drop(sets)
-    rows = scan.where("part is null").select("doc_id", "n", "node")
-    first = (rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_doc"))
-             .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
-    least = first.groupBy("root").agg(F.min("_doc").alias("component_id"))
-    ids = first.join(least, "root").select("node", "component_id")
-    return (rows.join(ids, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
+    return docs.mapInArrow(run, "node long, set binary")
 
 
 def _set_rows(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-        ["node", "n", "set"])
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "set"])
