@@ -41,9 +41,6 @@ class Contract:
     def struct(self) -> T.StructType:
         return T.StructType([T.StructField(c.name, _TYPES[c.type], not c.required) for c in self.columns])
 
-    def text_struct(self) -> T.StructType:
-        return T.StructType([T.StructField(c.name, T.StringType(), True) for c in self.columns])
-
 
 class ContractError(ValueError):
     pass
@@ -71,8 +68,9 @@ def apply_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*[typed_column(c) for c in contract.columns])
 
 
-def bad_cell_counts(df: DataFrame, contract: Contract) -> DataFrame:
-    """Per column: cells present as text but unreadable as the target type."""
+def bad_cell_counts(df: DataFrame, contract: Contract, weight: str | None = None) -> DataFrame:
+    """Per column: cells present as text but unreadable as the target type
+    (``weight``: a column that says how often each row came)."""
     check_columns(df, contract)
     aggs = []
     for c in contract.columns:
@@ -80,7 +78,8 @@ def bad_cell_counts(df: DataFrame, contract: Contract) -> DataFrame:
             continue
         raw = F.col(c.name)
         bad = raw.isNotNull() & (F.length(F.trim(raw)) > 0) & typed_column(c).isNull()
-        aggs.append(F.sum(F.when(bad, 1).otherwise(0)).cast("bigint").alias(c.name))
+        times = F.col(weight) if weight else F.lit(1)
+        aggs.append(F.coalesce(F.sum(F.when(bad, times).otherwise(0)), F.lit(0)).cast("bigint").alias(c.name))
     wide = df.agg(*aggs)
     names = [c.name for c in contract.columns if c.type != "string"]
     parts = []
@@ -124,4 +123,14 @@ LIEUX_V1 = Contract("lieux", (
     Column("catv", "string"),
 ))
 
+VEHICULES_V1 = Contract("vehicules", (
+    Column("Num_Acc", "string", required=True), Column("num_veh", "string"), Column("cat_veh", "string"),
+    Column("obs", "string"), Column("obsm", "string"), Column("choc", "string"), Column("manv", "string"),
+))
+USAGERS_V1 = Contract("usagers", (
+    Column("Num_Acc", "string", required=True), Column("num_veh", "string"), Column("catu", "string"),
+    Column("sexe", "string"), Column("trajet", "string"), Column("locp", "string"),
+))
+
+OLDER_CONTRACTS = {c.name: c for c in (CARACTERISTIQUES_V1, LIEUX_V1, VEHICULES_V1, USAGERS_V1)}
 SOURCE_CONTRACTS = {c.name: c for c in (CARACTERISTIQUES, LIEUX, VEHICULES, USAGERS)}

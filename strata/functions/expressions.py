@@ -14,7 +14,7 @@ __all__ = [
     "GRAV_UNHARMED", "GRAV_KILLED", "GRAV_HOSPITALISED", "GRAV_LIGHT",
     "SEVERITY_SCORE", "SERIOUS_MIN_SCORE", "HHMM_PATTERN",
     "col_of", "hour_from_hrmn", "severity_score", "flag", "safe_ratio",
-    "safe_int", "safe_double", "decimal_comma", "date_from_parts",
+    "safe_int", "decimal_comma", "date_from_parts",
     "weekday_from_parts", "hour_bucket", "nonblank", "count_where",
 ]
 
@@ -68,10 +68,6 @@ def safe_int(c: str | Column) -> Column:
     return col_of(c).try_cast("int")
 
 
-def safe_double(c: str | Column) -> Column:
-    return col_of(c).try_cast("double")
-
-
 def decimal_comma(c: str | Column) -> Column:
     """French decimal text ``48,85`` -> 48.85 (NULL when not a number)."""
     return F.regexp_replace(col_of(c).cast("string"), ",", ".").try_cast("double")

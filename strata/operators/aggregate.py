@@ -18,7 +18,10 @@ from strata.functions.expressions import (
 from strata.operators import joins
 from strata.operators.ranking import top_k
 
+# Gold column names (gravite_max, nb_tues, taux_graves, ...) are fixed values: the
+# tables' readers know them.
 KEY = "num_acc"
+STATS_MAX_GROUPS = 10_000  # group statistics of at most so many rows are broadcast
 
 
 def with_severity_score(persons: DataFrame) -> DataFrame:
@@ -39,6 +42,12 @@ def severity_per_accident(persons: DataFrame) -> DataFrame:
             .withColumn("accident_grave", flag(F.col("gravite_max") >= SERIOUS_MIN_SCORE)))
 
 
+def serious_flag(persons: DataFrame) -> DataFrame:
+    """One row per accident: its serious flag. A maximum, so copies of a person don't matter."""
+    return (with_severity_score(persons).groupBy(KEY).agg(F.max("score_gravite").alias("gravite_max"))
+            .select(KEY, flag(F.col("gravite_max") >= SERIOUS_MIN_SCORE).alias("accident_grave")))
+
+
 def severity_by_weather(accidents: DataFrame, severity: DataFrame) -> DataFrame:
     """Per weather code: distinct accidents, mean max severity, total killed."""
     return (accidents.select(KEY, "meteo").join(severity, KEY, "inner")
@@ -61,7 +70,8 @@ def weather_surface(accidents: DataFrame, places: DataFrame, severity: DataFrame
            .select("meteo", "etat_route", KEY, "accident_grave").distinct())
     return (one.groupBy("meteo", "etat_route")
             .agg(F.count(F.lit(1)).alias("nb_accidents"),
-                 count_where(F.col("accident_grave") == 1).alias("nb_graves")))
+                 count_where(F.col("accident_grave") == 1).alias("nb_graves"))
+            .orderBy(F.desc("nb_accidents"), F.asc_nulls_last("meteo"), F.asc_nulls_last("etat_route")))
 
 
 def departments_with_places(accidents: DataFrame, places: DataFrame, strategy: str = "auto",
@@ -81,7 +91,8 @@ def department_hour(accidents: DataFrame, places: DataFrame) -> DataFrame:
     """Distinct accidents (with a place) per (department, hour); NULL hour kept."""
     keys = joins.distinct_keys(places, KEY)
     return (accidents.select(KEY, "dep", "heure_int").join(keys, KEY, "inner")
-            .groupBy("dep", "heure_int").agg(F.count_distinct(KEY).alias("nb_accidents")))
+            .groupBy("dep", "heure_int").agg(F.count_distinct(KEY).alias("nb_accidents"))
+            .orderBy(F.desc("nb_accidents"), F.asc("dep"), F.asc_nulls_last("heure_int")))
 
 
 def department_serious_rate(accidents: DataFrame, severity: DataFrame) -> DataFrame:
@@ -133,12 +144,12 @@ def having_min_count(ratings: DataFrame, item: str, value: str, min_count: int,
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: list, prefix: str) -> DataFrame:
-    """Counts of ``row`` x ``column`` with a fixed list of column values (no
-    extra job to discover them); absent combinations are 0."""
-    p = df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1)))
-    out = p.select(row, *[F.coalesce(F.col(str(v)), F.lit(0).cast("bigint")).alias(f"{prefix}{v}")
-                          for v in values])
-    return out
+    """Counts of ``row`` x ``column`` with a column per listed value (no extra
+    job to discover them) and one for every other value and NULL, so each row of
+    ``df`` is counted once; absent combinations are 0."""
+    listed = F.coalesce(F.col(column).isin(values), F.lit(False))
+    return df.groupBy(row).agg(*[count_where(F.col(column) == v).alias(f"{prefix}{v}") for v in values],
+                               count_where(~listed).alias(f"{prefix}autre"))
 
 
 def user_profiles(persons: DataFrame) -> DataFrame:
@@ -198,9 +209,14 @@ def unit_price(lines: DataFrame, dim: DataFrame, line_key: str, dim_key: str, gr
 
 def zscore_outliers(df: DataFrame, group: str, value: str, threshold: float) -> DataFrame:
     """Rows whose value is more than ``threshold`` sample standard deviations
-    from their group mean. Group statistics are one row per group (partial
-    aggregation); the join back is left to Catalyst/AQE."""
-    stats = df.groupBy(group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
+    from their group mean. Group statistics are one row per group; up to
+    ``STATS_MAX_GROUPS`` of them are computed at once and broadcast, so the rows
+    are never shuffled by a hot group. More groups than that are joined by a shuffle
+    that AQE can split."""
+    stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
+    known = stats.limit(STATS_MAX_GROUPS + 1).collect()
+    if len(known) <= STATS_MAX_GROUPS:
+        stats = F.broadcast(df.sparkSession.createDataFrame(known, stats.schema))
     z = safe_ratio(F.col(value) - F.col("_mu"), F.col("_sd"))
     return (df.join(stats, group, "inner").withColumn("zscore", z)
             .where(F.abs(F.col("zscore")) > threshold)
@@ -249,3 +265,36 @@ def origin_destination_counts(lines: DataFrame, orders: DataFrame, customers: Da
                   .select("o_orderkey", F.col("c_nationkey").alias("destination")))
     return (line_side.join(order_side, line_side.l_orderkey == order_side.o_orderkey)
             .groupBy("origine", "destination").agg(F.count(F.lit(1)).alias("nb")))
+
+
+def mean_by(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
+    """Rows and mean of ``value`` (rounded to 6 digits) per group; NULL values do not
+    count into the mean."""
+    return df.groupBy(group).agg(F.count(F.lit(1)).alias("nb"), F.round(F.avg(value), 6).alias(name))
+
+
+def mean_duration_by_weekday(df: DataFrame, start: str, end: str) -> DataFrame:
+    """Mean days from ``start`` to ``end`` per weekday of the start (1 = Sunday)."""
+    days = F.datediff(F.col(end), F.col(start))
+    return mean_by(df.select(F.dayofweek(start).alias("jour_semaine"), days.alias("_d")), "jour_semaine", "_d", "duree_moyenne")
+
+
+def ratings_per_user(ratings: DataFrame, user: str, value: str) -> DataFrame:
+    """Ratings of each user: number, mean, lowest and highest."""
+    return ratings.groupBy(user).agg(F.count(F.lit(1)).alias("nb_notes"), F.round(F.avg(value), 6).alias("note_moyenne"),
+                                     F.min(value).alias("note_min"), F.max(value).alias("note_max"))
+
+
+def popularity_by_category(ratings: DataFrame, items: DataFrame, item: str, item_key: str, category: str, value: str) -> DataFrame:
+    """Ratings, rated items and mean rating per category. Ratings are reduced to one
+    row per item before they meet the items, so the join is item-sized."""
+    per_item = ratings.groupBy(item).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    return (per_item.join(items, per_item[item] == items[item_key]).groupBy(category)
+            .agg(F.sum("_n").cast("bigint").alias("nb_notes"), F.count(F.lit(1)).alias("nb_articles"),
+                 F.round(safe_ratio(F.sum("_s"), F.sum("_n")), 6).alias("note_moyenne")))
+
+
+def unit_price_over_time(lines: DataFrame, area: str, day: str, price: str, qty: str) -> DataFrame:
+    """Mean unit price per area and month."""
+    return (lines.withColumn("_up", safe_ratio(price, qty)).groupBy(F.col(area), F.year(day).alias("an"), F.month(day).alias("mois"))
+            .agg(F.count("_up").alias("nb"), F.round(F.avg("_up"), 6).alias("prix_unitaire_moyen")))

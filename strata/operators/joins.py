@@ -5,30 +5,29 @@ Rules of this module:
 * an n-side table is reduced to one row per key (``distinct`` keys or a
   per-key aggregate, both partially aggregated before the shuffle) before it
   meets another table, so measures are never multiplied by fan-out;
-* a broadcast hint is only given behind a proven row bound; beyond the bound
-  the join is left to Catalyst / AQE (sort-merge, or a runtime broadcast when
-  the shuffled side turns out small).
+* a broadcast hint is only given behind a proven bound in bytes; beyond it a
+  warning is given and the join is left to Catalyst / AQE (sort-merge, or a
+  runtime broadcast when the shuffled side turns out small);
+  ``join_strategies`` tells what a plan chose.
 """
 
 from __future__ import annotations
 
+import re
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Largest side we hint for broadcast (rows); a key column of longs at this
-# bound is ~16 MB on the wire, well inside executor memory.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-# A source whose files exceed this many bytes is never counted for a
-# broadcast: it cannot be small enough, and counting it would be a full job.
-COUNT_MAX_BYTES = 256 * 1024 * 1024
+# Largest side we hint for broadcast (bytes in memory).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+TEXT_BYTES = 40  # assumed for a text value; a row header and alignment are added per row
 
 
-def row_bound(df: DataFrame) -> int:
-    """Exact row count of a (small) relation, used as an upper bound for
-    anything derived from it by filters, projections or distinct."""
-    return df.count()
+def row_bytes(df: DataFrame) -> int:
+    """Bytes a row of ``df`` takes in memory, by its declared types."""
+    widths = {"string": TEXT_BYTES, "binary": TEXT_BYTES}
+    return 16 + sum(widths.get(f.dataType.typeName(), 16) for f in df.schema.fields)
 
 
 def source_bytes(spark: SparkSession, path: str) -> int:
@@ -37,23 +36,30 @@ def source_bytes(spark: SparkSession, path: str) -> int:
     return file_bytes(spark, path, "*.parquet")
 
 
-def source_row_bound(spark: SparkSession, path: str, max_bytes: int = COUNT_MAX_BYTES) -> int | None:
-    """Row count of a Parquet source when its files are small enough for a
-    broadcast to be possible, else None (= no proven bound: do not broadcast)."""
-    if source_bytes(spark, path) > max_bytes:
-        return None
-    return row_bound(spark.read.parquet(path))
+def source_row_bound(spark: SparkSession, path: str) -> int:
+    """Row count of a Parquet source, a bound for anything derived from it by filters,
+    projections or distinct. Only the file footers are read, at any size."""
+    return spark.read.parquet(path).count()
 
 
 def broadcast_if_bounded(df: DataFrame, upper_bound_rows: int | None,
-                         max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only when its row count is proven <= max_rows
-    (``None`` = no proven bound)."""
-    if upper_bound_rows is not None and upper_bound_rows <= max_rows:
+                         max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast only when its size is proven: at most
+    ``upper_bound_rows`` rows of its width within ``max_bytes``. Otherwise a warning
+    says that the hint is left out and Catalyst chooses (rows are the same)."""
+    if upper_bound_rows is not None and upper_bound_rows * row_bytes(df) <= max_bytes:
         return F.broadcast(df)
+    size = "no bound" if upper_bound_rows is None else f"up to {upper_bound_rows * row_bytes(df)} bytes"
+    warnings.warn(f"broadcast not hinted: {size}, the limit is {max_bytes}", stacklevel=3)
     return df
 
 
+def join_strategies(df: DataFrame) -> list[str]:
+    """The join operators of the physical plan, top down."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"\b(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)\b", text)
+
+
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """One row per key of an n-side table (partial aggregation map-side)."""
     return df.select(key).where(F.col(key).isNotNull()).distinct()
@@ -77,7 +83,7 @@ def keyed_inner_join(left: DataFrame, right: DataFrame, key: str,
 
 
 def dimension_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                   dim_rows: int, how: str = "inner") -> DataFrame:
+                   dim_rows: int | None, how: str = "inner") -> DataFrame:
     """Fact to small-dimension lookup; the dimension is broadcast when its
     counted size allows it."""
     d = broadcast_if_bounded(dim, dim_rows)

@@ -32,6 +32,18 @@ def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) ->
         p.unpersist(blocking=True)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the block; the values from before come back after it."""
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        _restore(spark, saved)
+
+
 def salt_column(key: str | Column, n: int) -> Column:
     """Deterministic salt in [0, n) from a row-level column."""
     c = F.col(key) if isinstance(key, str) else key

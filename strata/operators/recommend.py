@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.functions.expressions import count_where
+
 INT_MAX = 2**31 - 1
 
 
@@ -23,16 +25,19 @@ def dense_ids(values: DataFrame, col: str, out_col: str, partitions: int) -> Dat
     per_part = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (d.join(F.broadcast(offsets), "_pid")   # one row per partition: bounded
+    return (d.join(F.broadcast(offsets), "_pid")   # one row per shuffle partition: bounded by that setting
             .select(col, (F.col("_off") + F.col("_r") - 1).cast("int").alias(out_col)))
 
 
-def als_recommend(ratings: DataFrame, user: str, item: str, rating: str, k: int = 5,
-                  rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 42) -> DataFrame:
-    """Top-k items per user. Ratings are first reduced to one mean per
-    (user, item) pair (partial aggregation). ALS needs 32-bit ids: ids are used
-    as they are when they fit, else re-indexed densely (and mapped back). The
-    iterations cut lineage into the session's checkpoint folder."""
+def als_scores(ratings: DataFrame, user: str, item: str, rating: str,
+               rank: int = 8, max_iter: int = 5, reg: float = 0.1, seed: int = 42) -> DataFrame:
+    """(user, item, rating, score): the model's score of every rated pair.
+
+    Ratings are first reduced to one mean per (user, item) pair (partial
+    aggregation). Scores come from joins of the pairs with the factors; no user
+    is met with every item. ALS needs 32-bit ids: ids are used as they are when
+    they fit, else re-indexed densely (and mapped back). The iterations cut lineage
+    into the session's checkpoint folder."""
     from pyspark.ml.recommendation import ALS
 
     from strata.session import checkpoint_root
@@ -50,20 +55,17 @@ def als_recommend(ratings: DataFrame, user: str, item: str, rating: str, k: int
     train = pairs
     for c, m in maps.items():
         train = train.join(m, c)
-    train = train.select(F.col(f"_{user}_ix" if user in maps else user).cast("int").alias("user"),
-                         F.col(f"_{item}_ix" if item in maps else item).cast("int").alias("item"),
-                         "rating")
-    model = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=rank, maxIter=max_iter,
-                regParam=reg, seed=seed, nonnegative=True, coldStartStrategy="drop",
+    train = train.select("*", F.col(f"_{user}_ix" if user in maps else user).cast("int").alias("_user"),
+                         F.col(f"_{item}_ix" if item in maps else item).cast("int").alias("_item"))
+    model = ALS(userCol="_user", itemCol="_item", ratingCol="rating", rank=rank, maxIter=max_iter,
+                regParam=reg, seed=seed, nonnegative=True, coldStartStrategy="nan",
                 checkpointInterval=2).fit(train)
-    recs = (model.recommendForAllUsers(k)
-            .select("user", F.posexplode("recommendations").alias("pos", "r"))
-            .select("user", (F.col("pos") + 1).alias("rang"), F.col("r.item").alias("item"),
-                    F.col("r.rating").alias("score")))
-    for c, side in ((user, "user"), (item, "item")):
-        if c in maps:
-            recs = (recs.join(maps[c].withColumnRenamed(f"_{c}_ix", side), side)
-                    .drop(side).withColumnRenamed(c, f"_{side}_id"))
-        else:
-            recs = recs.withColumn(f"_{side}_id", F.col(side).cast("long")).drop(side)
-    return recs.select(F.col("_user_id").alias(user), "rang", F.col("_item_id").alias(item), "score")
+    return model.transform(train).select(user, item, "rating", F.col("prediction").alias("score"))
+
+
+def scored_pairs_per_user(scores: DataFrame, user: str) -> DataFrame:
+    """Per user: rated pairs, pairs with a finite score, pairs scored below zero."""
+    s = F.col("score")
+    return scores.groupBy(user).agg(F.count(F.lit(1)).alias("nb_paires"),
+                                    count_where(s.isNotNull() & ~F.isnan(s) & (F.abs(s) < float("inf"))).alias("nb_scores"),
+                                    count_where(s < 0).alias("nb_negatifs"))

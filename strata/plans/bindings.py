@@ -15,8 +15,12 @@ only the needed columns read from Parquet):
 * vehicles (n per key): ``lineitem`` joined to ``part`` (vehicle category =
   part type).
 
-``dirty_accidents`` adds reproducible defects (missing keys, unreadable
-years, padded codes, badly shaped times, re-delivered rows) chosen by rules on
+Roles are projections of whole source rows: duplicates are dropped on the source
+rows first (``layers.silver_from_driver``), so rows that differ only in a column no
+role reads stay apart.
+
+``dirty_accidents`` adds reproducible defects (missing keys, unreadable and
+implausible years, padded codes, badly shaped times, re-delivered rows) chosen by rules on
 the row values, so that the cleaning operators have work on every table size.
 """
 
@@ -26,9 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Complete calendar years present in the order table; 2001 is a partial year
-# and is rejected by the accidents' plausibility range.
-ORDER_YEAR_RANGE = (1995, 2000)
+# Plausible accident years (inclusive); only the text bronze holds others.
+PLAUSIBLE_YEARS = (1990, 2030)
 
 
 # Declared schemas of the driver tables: reading with a schema skips footer
@@ -110,7 +113,8 @@ def dirty_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     with defects chosen by rules on the row values:
 
     * key missing for status P + priority 5, key blank for status P + priority 4;
-    * year unreadable (``n/a``) for status O + priority 5;
+    * year unreadable (``n/a``) for status O + priority 5, a century late for
+      status P + priority 3;
     * department padded with spaces for status F + priority 2;
     * time written without its leading zero for error events;
     * rows of status F + priority 1 delivered twice.
@@ -129,6 +133,7 @@ def dirty_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when((st == "P") & (pr == "4"), F.lit("   "))
                  .otherwise(key).alias("num_acc"),
                 F.when((st == "O") & (pr == "5"), F.lit("n/a"))
+                 .when((st == "P") & (pr == "3"), (F.year("o_orderdate") + 100).cast("string"))
                  .otherwise(F.year("o_orderdate").cast("string")).alias("an"),
                 F.lpad(F.month("o_orderdate").cast("string"), 2, "0").alias("mois"),
                 F.lpad(F.dayofmonth("o_orderdate").cast("string"), 2, "0").alias("jour"),
@@ -144,35 +149,43 @@ def dirty_accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.drop("_copy")
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole rows behind the places, persons and vehicles."""
+    return table(spark, sf_dir, "lineitem")
+
+
+def place_columns(rows: DataFrame) -> DataFrame:
     """Place role (n per accident): num_acc, surf, supp."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linestatus", "l_suppkey"])
-    return li.select(F.col("l_orderkey").alias("num_acc"),
-                     F.col("l_linestatus").alias("surf"),
-                     F.col("l_suppkey").alias("supp"))
+    return rows.withColumns({"num_acc": F.col("l_orderkey"), "surf": F.col("l_linestatus"), "supp": F.col("l_suppkey")})
 
 
-def persons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def person_columns(rows: DataFrame) -> DataFrame:
     """Person role (n per accident): num_acc, num_veh, catu, sexe, grav."""
-    li = table(spark, sf_dir, "lineitem",
-               ["l_orderkey", "l_linenumber", "l_discount", "l_returnflag", "l_linestatus"])
-    return li.select(
-        F.col("l_orderkey").alias("num_acc"),
-        F.col("l_linenumber").alias("num_veh"),
-        F.when(F.col("l_linenumber") == 1, F.lit(1)).otherwise(F.lit(2)).alias("catu"),
-        F.when(F.col("l_discount") < 0.05, F.lit(1)).otherwise(F.lit(2)).alias("sexe"),
-        _grav_from_flags(F.col("l_returnflag"), F.col("l_linestatus")).alias("grav"),
-    )
-
-
-def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vehicle role (n per accident): num_acc, num_veh, cat_veh."""
-    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey"])
-    p = table(spark, sf_dir, "part", ["p_partkey", "p_type"])
-    return (li.join(p, li.l_partkey == p.p_partkey, "inner")
-            .select(F.col("l_orderkey").alias("num_acc"),
-                    F.col("l_linenumber").alias("num_veh"),
-                    F.col("p_type").alias("cat_veh")))
+    return rows.withColumns({
+        "num_acc": F.col("l_orderkey"),
+        "num_veh": F.col("l_linenumber"),
+        "catu": F.when(F.col("l_linenumber") == 1, F.lit(1)).otherwise(F.lit(2)),
+        "sexe": F.when(F.col("l_discount") < 0.05, F.lit(1)).otherwise(F.lit(2)),
+        "grav": _grav_from_flags(F.col("l_returnflag"), F.col("l_linestatus")),
+    })
+
+
+def vehicle_columns(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Vehicle role (n per accident): num_acc, num_veh, cat_veh. The category comes
+    from the part by a lookup after the rows are distinct (null-safe, so that no null
+    test goes below the dedup and all roles keep one plan for the whole rows)."""
+    named = parts.where("p_partkey is not null").select("p_partkey", F.col("p_type").alias("cat_veh"))
+    return (rows.withColumns({"num_acc": F.col("l_orderkey"), "num_veh": F.col("l_linenumber")})
+            .join(named, F.col("l_partkey").eqNullSafe(F.col("p_partkey")), "inner"))
+
+
+PLACE = ["num_acc", "surf", "supp"]
+PERSON = ["num_acc", "num_veh", "catu", "sexe", "grav"]
+VEHICLE = ["num_acc", "num_veh", "cat_veh"]
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part", ["p_partkey", "p_type"])
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,10 +196,12 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The four bronze tables of the pipeline, as a dict (like a multi-file ingest)."""
+    """The four bronze tables of the pipeline, as a dict (like a multi-file
+    ingest): whole source rows with the columns of their role."""
+    rows = lines(spark, sf_dir)
     return {
         "accidents": accidents(spark, sf_dir),
-        "places": places(spark, sf_dir),
-        "vehicles": vehicles(spark, sf_dir),
-        "persons": persons(spark, sf_dir),
+        "places": place_columns(rows),
+        "vehicles": vehicle_columns(rows, parts(spark, sf_dir)),
+        "persons": person_columns(rows),
     }

@@ -6,7 +6,7 @@ their whole extent. Names match the keys of ``strata.plans.oracle.ORACLE``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +32,15 @@ def query(name: str):
     return deco
 
 
-def silver(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def silver(spark: SparkSession, d: str) -> Mapping[str, DataFrame]:
     return layers.silver_from_driver(spark, d)
 
 
+def sets(spark: SparkSession, d: str) -> Mapping[str, DataFrame]:
+    """Silver for analyses that copies of a row can't change."""
+    return layers.sets_from_driver(spark, d)
+
+
 # ---- step 1: the minimum slice -------------------------------------------------
 
 @query("severity_per_accident")
@@ -54,7 +59,7 @@ def q_enrich_severity_score(spark: SparkSession, d: str) -> DataFrame:
 @query("rank_departments_serious_rate")
 def q_rank_departments(spark: SparkSession, d: str) -> DataFrame:
     """Top 20 departments by serious-accident rate (ties broken by department)."""
-    return layers.top_departments(silver(spark, d))
+    return layers.top_departments(sets(spark, d))
 
 
 # ---- step 3: the source pipeline's analyses -----------------------------------------
@@ -69,23 +74,22 @@ def q_join_severity_by_weather(spark: SparkSession, d: str) -> DataFrame:
 @query("agg_weather_surface")
 def q_agg_weather_surface(spark: SparkSession, d: str) -> DataFrame:
     """Per (weather, road surface): distinct accidents and distinct serious accidents."""
-    s = silver(spark, d)
+    s = sets(spark, d)
     return agg.weather_surface(s["accidents"], s["places"], s["severity"])
 
 
 @query("join_departments_shuffle")
 def q_join_departments_shuffle(spark: SparkSession, d: str) -> DataFrame:
     """Distinct accidents with a place per department; sort-merge join arm."""
-    s = silver(spark, d)
+    s = sets(spark, d)
     return agg.departments_with_places(s["accidents"], s["places"], strategy="shuffle")
 
 
 @query("join_departments_broadcast")
 def q_join_departments_broadcast(spark: SparkSession, d: str) -> DataFrame:
     """Same result; broadcast arm behind a proven row bound."""
-    s = silver(spark, d)
-    # proven bound: distinct place keys <= rows of the place source (counted
-    # only when its files are small enough for a broadcast to be possible)
+    s = sets(spark, d)
+    # proven bound: distinct place keys <= rows of the place source
     bound = joins.source_row_bound(spark, f"{d.rstrip('/')}/lineitem.parquet")
     return agg.departments_with_places(s["accidents"], s["places"], strategy="broadcast",
                                        places_bound_rows=bound)
@@ -94,14 +98,14 @@ def q_join_departments_broadcast(spark: SparkSession, d: str) -> DataFrame:
 @query("agg_department_hour")
 def q_agg_department_hour(spark: SparkSession, d: str) -> DataFrame:
     """Distinct accidents with a place per (department, hour); NULL hour kept."""
-    s = silver(spark, d)
+    s = sets(spark, d)
     return agg.department_hour(s["accidents"], s["places"])
 
 
 @query("agg_distinct_count")
 def q_agg_distinct_count(spark: SparkSession, d: str) -> DataFrame:
     """Exact distinct accidents per road surface and per vehicle category."""
-    s = silver(spark, d)
+    s = sets(spark, d)
     return agg.distinct_counts(s["places"], s["vehicles"])
 
 
@@ -150,7 +154,7 @@ def q_clean_required_keys(spark: SparkSession, d: str) -> DataFrame:
 @query("clean_year_range")
 def q_clean_year_range(spark: SparkSession, d: str) -> DataFrame:
     """Raw accidents whose year reads as an integer within the plausible range."""
-    lo, hi = bindings.ORDER_YEAR_RANGE
+    lo, hi = bindings.PLAUSIBLE_YEARS
     return cl.year_range(bindings.dirty_accidents(spark, d), "an", lo, hi).select("num_acc", "an")
 
 
@@ -191,9 +195,7 @@ def q_dedup_full_row(spark: SparkSession, d: str) -> DataFrame:
 @query("clean_report")
 def q_clean_report(spark: SparkSession, d: str) -> DataFrame:
     """Per table: raw, duplicate, rejected-by-reason and kept rows."""
-    raw = bindings.raw_tables(spark, d)
-    raw["accidents"] = bindings.dirty_accidents(spark, d)
-    return layers.cleaning_report(raw)
+    return layers.driver_report(spark, d)
 
 
 @query("clean_reject_reasons")
@@ -289,9 +291,7 @@ def q_profile_schema(spark: SparkSession, d: str) -> DataFrame:
 @query("run_metrics_rows")
 def q_run_metrics_rows(spark: SparkSession, d: str) -> DataFrame:
     """Cleaning metrics as (step, table, metric, value) written to JSON and read back."""
-    raw = bindings.raw_tables(spark, d)
-    raw["accidents"] = bindings.dirty_accidents(spark, d)
-    metrics = sinks.metrics_from_report(layers.cleaning_report(raw), "nettoyage")
+    metrics = sinks.metrics_from_report(layers.driver_report(spark, d), "nettoyage")
     path = scratch_path(spark, "metrics")
     sinks.write_metrics_json(metrics, path)
     return sinks.read_metrics_json(spark, path)
@@ -355,8 +355,8 @@ def q_pushdown_partition_filter(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "accidents-by-dep")
     sinks.write_partitioned(acc, path, ["dep"])
     back = spark.read.schema(acc.schema).parquet(path)
-    # dep = '07' prunes to one folder (PartitionFilters); meteo filter is pushed to Parquet
-    return (back.where((F.col("dep") == "07") & F.col("meteo").isNotNull())
+    # dep = '07' prunes to one folder (PartitionFilters)
+    return (back.where(F.col("dep") == "07")
             .groupBy("meteo").agg(F.count(F.lit(1)).alias("nb_accidents")))
 
 
@@ -421,8 +421,9 @@ def q_join_dimension_lookup(spark: SparkSession, d: str) -> DataFrame:
     acc = silver(spark, d)["accidents"].select("num_acc", "dep")
     nation = bindings.table(spark, d, "nation", ["n_nationkey", "n_regionkey"])
     region = bindings.table(spark, d, "region", ["r_regionkey", "r_name"])
-    n_rows = joins.row_bound(nation)
-    dims = (joins.dimension_join(nation, region, "n_regionkey", "r_regionkey", joins.row_bound(region))
+    n_rows = joins.source_row_bound(spark, f"{d.rstrip('/')}/nation.parquet")
+    r_rows = joins.source_row_bound(spark, f"{d.rstrip('/')}/region.parquet")
+    dims = (joins.dimension_join(nation, region, "n_regionkey", "r_regionkey", r_rows)
             .select(F.lpad(F.col("n_nationkey").cast("string"), 2, "0").alias("code_dep"), "r_name"))
     j = joins.dimension_join(acc, dims, "dep", "code_dep", n_rows)
     return j.groupBy("r_name").agg(F.count(F.lit(1)).alias("nb_accidents"))
@@ -430,7 +431,7 @@ def q_join_dimension_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 @query("crosstab_pivot")
 def q_crosstab_pivot(spark: SparkSession, d: str) -> DataFrame:
-    """Department x weather cross-tabulation with a fixed value list."""
+    """Department x weather cross-tabulation: a column per listed code, one for all others and NULL."""
     return agg.crosstab(silver(spark, d)["accidents"], "dep", "meteo", [1, 2, 3, 4, 5], "meteo_")
 
 
@@ -458,24 +459,31 @@ def q_rank_within_group(spark: SparkSession, d: str) -> DataFrame:
 def q_udf_equivalence(spark: SparkSession, d: str) -> DataFrame:
     """The severity score three ways (native, Python UDF, pandas UDF) agree on every row."""
     from strata.functions.udfs import severity_score_pandas, severity_score_udf
-    p = silver(spark, d)["persons"].select("grav")
-    t = p.select("grav", fx.severity_score("grav").alias("native"),
+    # the score depends on the code alone: the distinct codes are scored three ways
+    p = silver(spark, d)["persons"].groupBy("grav").agg(F.count(F.lit(1)).alias("nb"))
+    t = p.select("grav", "nb", fx.severity_score("grav").alias("native"),
                  severity_score_udf("grav").alias("py"), severity_score_pandas("grav").alias("pd"))
-    return t.groupBy("grav").agg(
-        F.count(F.lit(1)).alias("nb"),
-        fx.count_where(F.col("native").eqNullSafe(F.col("py"))).alias("nb_udf_egal"),
-        fx.count_where(F.col("native").eqNullSafe(F.col("pd"))).alias("nb_pandas_egal"))
+    zero = F.lit(0).cast("bigint")
+    return t.select("grav", "nb",
+                    F.when(F.col("native").eqNullSafe(F.col("py")), F.col("nb")).otherwise(zero).alias("nb_udf_egal"),
+                    F.when(F.col("native").eqNullSafe(F.col("pd")), F.col("nb")).otherwise(zero).alias("nb_pandas_egal"))
 
 
 @query("upsert_latest")
 def q_upsert_latest(spark: SparkSession, d: str) -> DataFrame:
-    """Two overlapping deliveries merged by incremental partition upsert, latest wins."""
+    """Three deliveries merged by incremental upsert into a table partitioned by a text
+    code, latest version wins: accidents up to 1998 as version 2, those from 1998 on as
+    version 3 with some departments corrected (keys move between partitions), and a late
+    older delivery (version 1) of the years 1997 to 1999 that changes nothing it finds."""
     acc = silver(spark, d)["accidents"]
-    first = acc.where(F.col("an") <= 1998).withColumn("version", F.lit(1))
-    second = acc.where(F.col("an") >= 1998).withColumn("version", F.lit(2))
+    moved = F.when(F.col("num_acc") % 7 == 0, F.lit("07")).otherwise(F.col("dep"))
+    first = acc.where(F.col("an") <= 1998).withColumn("version", F.lit(2))
+    second = acc.where(F.col("an") >= 1998).withColumn("dep", moved).withColumn("version", F.lit(3))
+    late = acc.where(F.col("an").between(1997, 1999)).withColumn("dep", F.lit("99")).withColumn("version", F.lit(1))
     path = scratch_path(spark, "upsert")
-    sinks.write_partitioned(first, path, ["an"])
-    sinks.upsert_partitions(spark, path, second, ["num_acc"], "an", version="version")
+    sinks.write_partitioned(first, path, ["dep"])
+    for delivery in (second, late):
+        sinks.upsert_partitions(spark, path, delivery, ["num_acc"], "dep", version="version")
     return spark.read.schema(first.schema).parquet(path).select(*first.columns)
 
 
@@ -564,8 +572,7 @@ def q_src_csv_gzip(spark: SparkSession, d: str) -> DataFrame:
     """Accident bronze through gzip text (one task per file, spread after the read)."""
     path = scratch_path(spark, "csv-gzip")
     _write_csv(bindings.dirty_accidents(spark, d), path, compression="gzip")
-    return files.read_gzip_csv(spark, path, contracts.ACCIDENTS_TEXT,
-                               int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return files.read_gzip_csv(spark, path, contracts.ACCIDENTS_TEXT)
 
 
 @query("json_event_props")
@@ -609,11 +616,221 @@ def q_stream_windowed_counts(spark: SparkSession, d: str) -> DataFrame:
     return windowed.read_windowed_counts(spark, out)
 
 
-@query("als_recommend")
-def q_als_recommend(spark: SparkSession, d: str) -> DataFrame:
-    """Top five parts per supplier from an ALS model on quantities."""
-    from strata.operators.recommend import als_recommend
-    return als_recommend(bindings.ratings(spark, d), "user_id", "item_id", "rating", k=5)
+@query("als_pair_scores")
+def q_als_pair_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Per supplier: rated parts and those that an ALS model on quantities gives a score."""
+    from strata.operators.recommend import als_scores, scored_pairs_per_user
+    return scored_pairs_per_user(als_scores(bindings.ratings(spark, d), "user_id", "item_id", "rating"), "user_id")
+
+
+@query("src_csv_multifile")
+def q_src_csv_multifile(spark: SparkSession, d: str) -> DataFrame:
+    """Text bronze in one folder of files whose columns differ in order (and one without
+    the weather column), each bound by its own header."""
+    path = scratch_path(spark, "csv-multi")
+    text = bindings.dirty_accidents(spark, d)
+    layouts = [("_part = 0", text.columns), ("_part = 1", list(reversed(text.columns))),
+               ("_part = 2", [c for c in text.columns if c != "atm"])]
+    dealt = text.withColumn("_part", F.pmod(F.xxhash64("num_acc", "jour"), F.lit(3)))
+    for n, (part, columns) in enumerate(layouts):
+        dealt.where(part).select(*columns).write.mode("append" if n else "overwrite").options(**_CSV_WRITE).csv(path)
+    return files.read_csv_contract(spark, path, contracts.ACCIDENTS_TEXT).groupBy("an", "dep").agg(
+        F.count(F.lit(1)).alias("nb"), F.sum("num_acc").alias("somme_cles"), F.count("hrmn").alias("nb_heures"))
+
+
+@query("src_grown_months")
+def q_src_grown_months(spark: SparkSession, d: str) -> DataFrame:
+    """Yearly deliveries whose schema grew (the time from 1998 on, the weather from 2000 on),
+    read with the wide schema: what a file does not have is NULL."""
+    acc = silver(spark, d)["accidents"].select("num_acc", "an", "dep", "hrmn", "meteo")
+    path = scratch_path(spark, "grown")
+    acc.where("an < 1998").drop("hrmn", "meteo").write.parquet(f"{path}/a")
+    acc.where("an between 1998 and 1999").drop("meteo").write.parquet(f"{path}/b")
+    acc.where("an >= 2000").write.parquet(f"{path}/c")
+    back = files.read_grown_parquet(spark, [f"{path}/a", f"{path}/b", f"{path}/c"], acc.schema)
+    return back.groupBy("an").agg(F.count(F.lit(1)).alias("nb"), F.count("hrmn").alias("nb_heures"), F.count("meteo").alias("nb_meteo"))
+
+
+@query("missing_sources_rows")
+def q_missing_sources_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Which sources are there: tables, a folder without files and a path that is not there."""
+    empty = scratch_path(spark, "empty")
+    spark.range(0).write.csv(empty)   # a folder with a success mark only
+    found = {"orders": f"{d.rstrip('/')}/orders.parquet", "lineitem": f"{d.rstrip('/')}/lineitem.parquet",
+             "empty": f"{empty}/*.csv", "absent": f"{d.rstrip('/')}/no_such_table.parquet"}
+    missing = files.missing_paths(spark, list(found.values()))
+    rows = spark.createDataFrame([(n, p in missing) for n, p in found.items()], "source string, absent boolean")
+    counts = bindings.table(spark, d, "orders", ["o_orderkey"]).agg(F.count(F.lit(1)).alias("nb")).select(F.lit("orders").alias("source"), "nb")
+    return rows.join(counts, "source", "left")
+
+
+@query("write_status_rows")
+def q_write_status_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Status of each table of a write in which one fails: the others are written."""
+    s = silver(spark, d)
+    path = scratch_path(spark, "status")
+    tables = {"accidents": s["accidents"], "places": s["places"], "severity": s["severity"]}
+    status = sinks.write_each(tables, path, partitions={"accidents": ["dep"], "places": ["no_such_column"]})
+    rows = spark.createDataFrame([(n, state.split(":")[0]) for n, _, state in status], "table_name string, status string")
+    written = None
+    for name, folder, state in status:
+        if state == "ok":
+            part = spark.read.schema(tables[name].schema).parquet(folder).agg(F.count(F.lit(1)).alias("nb_lignes")).withColumn("table_name", F.lit(name))
+            written = part if written is None else written.unionByName(part)
+    return rows.join(written, "table_name", "left")
+
+
+@query("cache_arms_equal")
+def q_cache_arms_equal(spark: SparkSession, d: str) -> DataFrame:
+    """The same aggregate with and without a cache: rows that differ between the arms (none)."""
+    acc = silver(spark, d)["accidents"]
+    checkpoint_root(spark)
+
+    def reuse(df):
+        return df.groupBy("meteo").agg(F.count(F.lit(1)).alias("nb"))
+
+    with measure.cached(acc.select("num_acc", "meteo")) as c:
+        warm = reuse(c).checkpoint(eager=True)
+    return _arms({"cache": warm, "no_cache": reuse(acc)})
+
+
+@query("aqe_arms_equal")
+def q_aqe_arms_equal(spark: SparkSession, d: str) -> DataFrame:
+    """Departments by serious rate with AQE on and off and other partition counts: equal rows."""
+    from strata.sources.sinks import write_parquet
+    arms = {}
+    for aqe, n in (("true", 8), ("false", 8), ("false", 37)):
+        path = scratch_path(spark, "aqe")
+        with measure.settings(spark, {"spark.sql.adaptive.enabled": aqe, "spark.sql.shuffle.partitions": str(n)}):
+            write_parquet(layers.top_departments(sets(spark, d)).select("dep", "total_accidents", "accidents_graves"), path, files=1)
+        arms[f"aqe={aqe},partitions={n}"] = spark.read.parquet(path)
+    return _arms(arms)
+
+
+def _arms(arms: dict[str, DataFrame]) -> DataFrame:
+    """Per arm: its rows, and how many of them the first arm does not have."""
+    first = next(iter(arms.values()))
+    out = None
+    for name, df in arms.items():
+        part = (df.agg(F.count(F.lit(1)).alias("nb_lignes"))
+                .crossJoin(df.exceptAll(first).agg(F.count(F.lit(1)).alias("nb_differences")))   # one row each
+                .withColumn("arm", F.lit(name)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("gold_departements")
+def q_gold_departements(spark: SparkSession, d: str) -> DataFrame:
+    """Gold departments built from silver tables that were written and read back."""
+    s = sets(spark, d)
+    path = scratch_path(spark, "silver")
+    tables = {n: s[n] for n in ("accidents", "places")}
+    sinks.write_all(tables, path, partitions={"accidents": ["dep"]})
+    back = {n: spark.read.schema(df.schema).parquet(f"{path}/{n}") for n, df in tables.items()}
+    return agg.departments_with_places(back["accidents"], back["places"])
+
+
+@query("pipeline_files_gold")
+def q_pipeline_files_gold(spark: SparkSession, d: str) -> DataFrame:
+    """The whole file pipeline over the driver tables rendered as the four source files."""
+    from strata.plans import accident_files
+    paths = _render_files(spark, d)
+    out = scratch_path(spark, "pipeline")
+    accident_files.run_pipeline(spark, paths, out)
+    return spark.read.parquet(f"{out}/gold/top_departements_graves")
+
+
+def _render_files(spark: SparkSession, d: str) -> dict[str, str]:
+    """The accident roles as the four semicolon files, years moved into the files' range."""
+    acc = bindings.accidents(spark, d).select(
+        F.col("num_acc").alias("Num_Acc"), "jour", "mois", (F.col("an") + 20).alias("an"), "hrmn", F.lit(1).alias("lum"), "dep", "atm")
+    rows = bindings.lines(spark, d)
+    veh = bindings.vehicle_columns(rows, bindings.parts(spark, d)).select(F.col("num_acc").alias("Num_Acc"), "num_veh", "cat_veh", "l_suppkey")
+    per = bindings.person_columns(rows).select(F.col("num_acc").alias("Num_Acc"), "num_veh", "catu", "sexe", "grav", F.col("l_partkey").alias("id_usager"), "l_suppkey", "l_extendedprice")
+    pla = bindings.place_columns(rows).select(F.col("num_acc").alias("Num_Acc"), F.when(F.col("surf") == "F", 1).otherwise(2).alias("surf"), F.col("l_suppkey").alias("voie"))
+    out = {}
+    for name, df in (("caracteristiques", acc), ("lieux", pla), ("vehicules", veh), ("usagers", per)):
+        out[name] = scratch_path(spark, f"source-{name}")
+        _write_csv(df, out[name])
+    return out
+
+
+# ---- the older layout: severity coded on the accident, department on the place ------------
+
+
+@query("older_weather_surface")
+def q_older_weather_surface(spark: SparkSession, d: str) -> DataFrame:
+    """Older layout: distinct accidents and serious ones per (weather, surface)."""
+    from strata.plans import older_layout
+    return older_layout.weather_surface(older_layout.silver_from_driver(spark, d))
+
+
+@query("older_department_hour")
+def q_older_department_hour(spark: SparkSession, d: str) -> DataFrame:
+    """Older layout: distinct accidents per (department of the place, hour)."""
+    from strata.plans import older_layout
+    return older_layout.department_hour(older_layout.silver_from_driver(spark, d))
+
+
+@query("older_top_departments")
+def q_older_top_departments(spark: SparkSession, d: str) -> DataFrame:
+    """Older layout: top 20 departments by serious rate."""
+    from strata.plans import older_layout
+    return older_layout.top_departments(older_layout.silver_from_driver(spark, d))
+
+
+# ---- further analyses ---------------------------------------------------------------------
+
+
+@query("agg_tax_by_nation")
+def q_agg_tax_by_nation(spark: SparkSession, d: str) -> DataFrame:
+    """Mean extra charge (tax share of the price) per supplier nation: the tip by zone."""
+    li = bindings.table(spark, d, "lineitem", ["l_suppkey", "l_extendedprice", "l_tax"])
+    s = bindings.table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    rows = li.join(s, li.l_suppkey == s.s_suppkey).select("s_nationkey", (F.col("l_extendedprice") * F.col("l_tax")).alias("_t"))
+    return agg.mean_by(rows, "s_nationkey", "_t", "supplement_moyen")
+
+
+@query("agg_duration_by_weekday")
+def q_agg_duration_by_weekday(spark: SparkSession, d: str) -> DataFrame:
+    """Mean days from order to shipment per weekday of the order."""
+    o = bindings.table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
+    li = bindings.table(spark, d, "lineitem", ["l_orderkey", "l_shipdate"])
+    return agg.mean_duration_by_weekday(o.join(li, o.o_orderkey == li.l_orderkey), "o_orderdate", "l_shipdate")
+
+
+@query("agg_ratings_per_user")
+def q_agg_ratings_per_user(spark: SparkSession, d: str) -> DataFrame:
+    """Number, mean, lowest and highest rating of each user."""
+    return agg.ratings_per_user(bindings.ratings(spark, d), "user_id", "rating")
+
+
+@query("agg_popularity_by_category")
+def q_agg_popularity_by_category(spark: SparkSession, d: str) -> DataFrame:
+    """Ratings, rated parts and mean rating per part type."""
+    return agg.popularity_by_category(bindings.ratings(spark, d), bindings.parts(spark, d), "item_id", "p_partkey", "p_type", "rating")
+
+
+@query("agg_price_over_time")
+def q_agg_price_over_time(spark: SparkSession, d: str) -> DataFrame:
+    """Mean unit price per supplier nation and month of shipment."""
+    li = bindings.table(spark, d, "lineitem", ["l_suppkey", "l_extendedprice", "l_quantity", "l_shipdate"])
+    s = bindings.table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    rows = li.join(s, li.l_suppkey == s.s_suppkey)
+    return agg.unit_price_over_time(rows, "s_nationkey", "l_shipdate", "l_extendedprice", "l_quantity")
+
+
+@query("clean_outlier_reasons")
+def q_clean_outlier_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Orders and balances per first failing value rule: negative amounts, impossible dates."""
+    o = bindings.table(spark, d, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    c = bindings.table(spark, d, "customer", ["c_custkey", "c_acctbal"])
+    # the day of the month moved by the key's last digit: some dates do not exist
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderkey").alias("num_acc"), "c_acctbal", F.year("o_orderdate").alias("an"), F.month("o_orderdate").alias("mois"),
+        (F.dayofmonth("o_orderdate") + (F.col("o_orderkey") % 10).cast("int")).alias("jour"))
+    rules = cl.CleanRules(key="num_acc", nonnegative=("c_acctbal",), dates=(("an", "mois", "jour"),))
+    return agg.count_by_category(cl.with_reject_reason(rows, rules), "reject_reason", "nb")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import sys
 
-SKIP = {"stream_windowed_counts", "als_recommend"}  # a stream run / an iterative fit, not one plan
+SKIP = {"stream_windowed_counts", "als_pair_scores"}  # a stream run / an iterative fit, not one plan
 
 
 def plan_text(df) -> str:

@@ -7,7 +7,7 @@ binds the roles onto the driver's tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,15 +16,15 @@ from strata import contracts
 from strata.contracts import apply_contract
 from strata.functions.expressions import hour_from_hrmn
 from strata.operators import aggregate as agg
-from strata.operators.clean import CleanRules, clean, clean_report
+from strata.operators.clean import CleanRules, clean, clean_report, dedup_full_row
 from strata.operators.ranking import rank_global
 from strata.plans import bindings
 
 TOP_K_DEPARTMENTS = 20  # fixed value: the source ranks the top 20 departments
 
-ACCIDENT_RULES = CleanRules(key="num_acc", ranges={"an": bindings.ORDER_YEAR_RANGE}, trim=("dep",))
-# Same rules over the all-text bronze (the key is tested as text: NULL, blank).
-TEXT_ACCIDENT_RULES = ACCIDENT_RULES
+ACCIDENT_RULES = CleanRules(key="num_acc", trim=("dep",), unique_key=True)
+# The all-text bronze: the key is tested as text (NULL, blank), the year for plausibility.
+TEXT_ACCIDENT_RULES = CleanRules(key="num_acc", ranges={"an": bindings.PLAUSIBLE_YEARS}, trim=("dep",), unique_key=True)
 PLACE_RULES = CleanRules(key="num_acc")
 VEHICLE_RULES = CleanRules(key="num_acc")
 PERSON_RULES = CleanRules(key="num_acc", required=("grav",))
@@ -33,8 +33,8 @@ RULES = {"accidents": ACCIDENT_RULES, "places": PLACE_RULES,
          "vehicles": VEHICLE_RULES, "persons": PERSON_RULES}
 
 
-def silver_accidents(raw: DataFrame, rules: CleanRules = ACCIDENT_RULES) -> DataFrame:
-    return (clean(raw, rules)
+def silver_accidents(raw: DataFrame, rules: CleanRules = ACCIDENT_RULES, distinct: bool = False) -> DataFrame:
+    return (clean(raw, rules, distinct=distinct)
             .withColumn("heure_int", hour_from_hrmn("hrmn"))
             .withColumn("meteo", F.col("atm")))
 
@@ -46,16 +46,16 @@ def silver_accidents_from_text(text: DataFrame, rules: CleanRules = TEXT_ACCIDEN
     return typed.withColumn("heure_int", hour_from_hrmn("hrmn")).withColumn("meteo", F.col("atm"))
 
 
-def silver_places(raw: DataFrame) -> DataFrame:
-    return clean(raw, PLACE_RULES).withColumn("etat_route", F.col("surf"))
+def silver_places(raw: DataFrame, distinct: bool = False) -> DataFrame:
+    return clean(raw, PLACE_RULES, distinct=distinct).withColumn("etat_route", F.col("surf"))
 
 
-def silver_vehicles(raw: DataFrame) -> DataFrame:
-    return clean(raw, VEHICLE_RULES)
+def silver_vehicles(raw: DataFrame, distinct: bool = False) -> DataFrame:
+    return clean(raw, VEHICLE_RULES, distinct=distinct)
 
 
-def silver_persons(raw: DataFrame) -> DataFrame:
-    return clean(raw, PERSON_RULES)
+def silver_persons(raw: DataFrame, distinct: bool = False) -> DataFrame:
+    return clean(raw, PERSON_RULES, distinct=distinct)
 
 
 def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -69,6 +69,20 @@ def clean_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def driver_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning report of the text accidents and the three n-sides over the
+    driver tables; duplicates are counted on whole source rows."""
+    rows = bindings.lines(spark, sf_dir)
+    parts = [clean_report(bindings.dirty_accidents(spark, sf_dir), TEXT_ACCIDENT_RULES, "accidents"),
+             clean_report(rows, PLACE_RULES, "places", columns=bindings.place_columns),
+             clean_report(rows, VEHICLE_RULES, "vehicles", columns=lambda r: bindings.vehicle_columns(r, bindings.parts(spark, sf_dir))),
+             clean_report(rows, PERSON_RULES, "persons", columns=bindings.person_columns)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def cleaning_report(raw: dict[str, DataFrame], rules: dict[str, CleanRules] = RULES) -> DataFrame:
     parts = [clean_report(raw[name], rules[name], name) for name in raw]
     out = parts[0]
@@ -90,41 +104,57 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-class LazyTables(dict):
-    """A dict of DataFrames built on first access, so a query only plans the
-    tables it uses (a plan never executes more than it references anyway;
-    this saves the driver-side analysis of unused tables)."""
+class LazyTables(Mapping):
+    """DataFrames built on first access, so a query only plans the tables it
+    uses (this saves the driver-side analysis of unused tables)."""
 
     def __init__(self, factories: dict[str, Callable[[], DataFrame]]):
-        super().__init__()
         self._factories = factories
+        self._built: dict[str, DataFrame] = {}
 
-    def __missing__(self, name: str) -> DataFrame:
-        df = self._factories[name]()
-        self[name] = df
-        return df
-
-    def __contains__(self, name: object) -> bool:
-        return name in self._factories
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
 
-    def keys(self):
-        return self._factories.keys()
-
-    def __iter__(self):
+    def __iter__(self) -> Iterator[str]:
         return iter(self._factories)
 
-    def items(self):
-        return [(k, self[k]) for k in self._factories]
+    def __len__(self) -> int:
+        return len(self._factories)
+
 
+def silver_from_driver(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """Silver roles over the driver tables, built lazily.
 
-def silver_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Silver roles over the driver tables, built lazily."""
+    The three n-sides share one scan and one exchange by the accident key (equal
+    plans, so Spark reuses the exchange): whole rows become distinct there, and the
+    per-key work of each role follows without a further exchange."""
+    # the accident key has many values: a third of the lines never share one
+    rows = dedup_full_row(bindings.lines(spark, sf_dir), "l_orderkey")
     tables = LazyTables({
-        "accidents": lambda: silver_accidents(bindings.accidents(spark, sf_dir)),
-        "places": lambda: silver_places(bindings.places(spark, sf_dir)),
-        "vehicles": lambda: silver_vehicles(bindings.vehicles(spark, sf_dir)),
-        "persons": lambda: silver_persons(bindings.persons(spark, sf_dir)),
+        # one row per key is kept, so copies need no dedup of their own
+        "accidents": lambda: silver_accidents(bindings.accidents(spark, sf_dir), distinct=True),
+        "places": lambda: silver_places(bindings.place_columns(rows), True).select(*bindings.PLACE, "etat_route"),
+        "vehicles": lambda: silver_vehicles(bindings.vehicle_columns(rows, bindings.parts(spark, sf_dir)), True).select(*bindings.VEHICLE),
+        "persons": lambda: silver_persons(bindings.person_columns(rows), True).select(*bindings.PERSON),
         # severity is built on the same persons frame as tables["persons"]
         "severity": lambda: agg.severity_per_accident(tables["persons"]),
     })
     return tables
+
+
+def sets_from_driver(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    """The silver roles for analyses that copies can't change (a maximum, distinct
+    keys): built on the needed columns of all lines, without the dedup of whole rows.
+
+    ``accidents`` is the silver table; ``severity`` has the serious flag of each
+    accident, ``places`` distinct (key, surface), ``vehicles`` distinct (key, category)."""
+    lines = bindings.lines(spark, sf_dir)
+    persons = silver_persons(bindings.person_columns(lines), True)
+    return LazyTables({
+        "accidents": lambda: silver_from_driver(spark, sf_dir)["accidents"],
+        "severity": lambda: agg.serious_flag(persons),
+        "places": lambda: silver_places(bindings.place_columns(lines), True).select("num_acc", "etat_route").distinct(),
+        "vehicles": lambda: silver_vehicles(bindings.vehicle_columns(lines, bindings.parts(spark, sf_dir)), True).select("num_acc", "cat_veh").distinct(),
+    })

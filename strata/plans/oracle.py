@@ -27,24 +27,22 @@ accidents AS (
               THEN TRY_CAST(substr(hrmn, 1, 2) AS INTEGER) END AS heure_int,
          atm AS meteo
   FROM (SELECT DISTINCT * FROM accidents_raw)
-  WHERE num_acc IS NOT NULL AND length(trim(CAST(num_acc AS VARCHAR))) > 0
-    AND an BETWEEN 1995 AND 2000)"""
+  WHERE num_acc IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY num_acc ORDER BY an, mois, jour, hrmn, dep, atm) = 1)"""
 
-PERSONS_RAW = """persons_raw AS (
-  SELECT l_orderkey AS num_acc, l_linenumber AS num_veh,
+# Duplicates are judged on whole source rows.
+PERSON_OF = """l_orderkey AS num_acc, l_linenumber AS num_veh,
          CASE WHEN l_linenumber = 1 THEN 1 ELSE 2 END AS catu,
          CASE WHEN l_discount < 0.05 THEN 1 ELSE 2 END AS sexe,
          CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 2
               WHEN l_returnflag = 'R' THEN 3
               WHEN l_returnflag = 'A' THEN 4
               WHEN l_linestatus = 'F' THEN 1
-              ELSE -1 END AS grav
-  FROM lineitem)"""
+              ELSE -1 END AS grav"""
+PERSONS_RAW = f"""persons_raw AS (SELECT l.*, {PERSON_OF} FROM lineitem l)"""
 
-PERSONS = PERSONS_RAW + """,
-persons AS (
-  SELECT * FROM (SELECT DISTINCT * FROM persons_raw)
-  WHERE num_acc IS NOT NULL AND length(trim(CAST(num_acc AS VARCHAR))) > 0 AND grav IS NOT NULL)"""
+PERSONS = f"""persons AS (
+  SELECT {PERSON_OF} FROM (SELECT DISTINCT * FROM lineitem) WHERE l_orderkey IS NOT NULL)"""
 
 SCORE = """CASE grav WHEN 2 THEN 4 WHEN 3 THEN 3 WHEN 4 THEN 2 WHEN 1 THEN 1 END"""
 
@@ -59,17 +57,16 @@ severity AS (
   FROM persons GROUP BY num_acc)"""
 
 PLACES = """places_raw AS (
-  SELECT l_orderkey AS num_acc, l_linestatus AS surf, l_suppkey AS supp FROM lineitem),
+  SELECT l.*, l_orderkey AS num_acc, l_linestatus AS surf, l_suppkey AS supp FROM lineitem l),
 places AS (
-  SELECT *, surf AS etat_route FROM (SELECT DISTINCT * FROM places_raw)
-  WHERE num_acc IS NOT NULL AND length(trim(CAST(num_acc AS VARCHAR))) > 0)"""
+  SELECT num_acc, surf, supp, surf AS etat_route FROM (SELECT DISTINCT * FROM places_raw) WHERE num_acc IS NOT NULL)"""
 
 VEHICLES = """vehicles_raw AS (
-  SELECT l.l_orderkey AS num_acc, l.l_linenumber AS num_veh, p.p_type AS cat_veh
+  SELECT l.*, l.l_orderkey AS num_acc, l.l_linenumber AS num_veh, p.p_type AS cat_veh
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
 vehicles AS (
-  SELECT * FROM (SELECT DISTINCT * FROM vehicles_raw)
-  WHERE num_acc IS NOT NULL AND length(trim(CAST(num_acc AS VARCHAR))) > 0)"""
+  SELECT l.l_orderkey AS num_acc, l.l_linenumber AS num_veh, p.p_type AS cat_veh
+  FROM (SELECT DISTINCT * FROM lineitem) l JOIN part p ON l.l_partkey = p.p_partkey WHERE l.l_orderkey IS NOT NULL)"""
 
 
 def w(*ctes: str) -> str:
@@ -156,6 +153,7 @@ DIRTY = """dirty_base AS (
               WHEN o.o_orderstatus = 'P' AND substr(o.o_orderpriority, 1, 1) = '4' THEN '   '
               ELSE CAST(o.o_orderkey AS VARCHAR) END AS num_acc,
          CASE WHEN o.o_orderstatus = 'O' AND substr(o.o_orderpriority, 1, 1) = '5' THEN 'n/a'
+              WHEN o.o_orderstatus = 'P' AND substr(o.o_orderpriority, 1, 1) = '3' THEN CAST(year(o.o_orderdate) + 100 AS VARCHAR)
               ELSE CAST(year(o.o_orderdate) AS VARCHAR) END AS an,
          lpad(CAST(month(o.o_orderdate) AS VARCHAR), 2, '0') AS mois,
          lpad(CAST(day(o.o_orderdate) AS VARCHAR), 2, '0') AS jour,
@@ -172,7 +170,7 @@ dirty AS (
   UNION ALL SELECT num_acc, an, mois, jour, hrmn, dep, atm FROM dirty_base WHERE again)"""
 
 KEY_OK = "num_acc IS NOT NULL AND length(trim(num_acc)) > 0"
-YEAR_OK = "TRY_CAST(an AS INTEGER) BETWEEN 1995 AND 2000"
+YEAR_OK = "TRY_CAST(an AS INTEGER) BETWEEN 1990 AND 2030"
 HOUR = """CASE WHEN regexp_matches(hrmn, '^[0-9]{2}:[0-9]{2}$') THEN TRY_CAST(substr(hrmn, 1, 2) AS INTEGER) END"""
 
 TYPED_DIRTY = """TRY_CAST(trim(num_acc) AS BIGINT) AS num_acc, TRY_CAST(trim(an) AS INTEGER) AS an,
@@ -209,18 +207,20 @@ SELECT '{name}' AS table_name, CAST(sum(copies) AS BIGINT) AS raw_rows,
        CAST(sum(CASE WHEN {key_bad} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_key,
        CAST(sum(CASE WHEN NOT ({key_bad}) AND {req_bad} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_required,
        CAST(sum(CASE WHEN NOT ({key_bad}) AND NOT ({req_bad}) AND {range_bad} THEN 1 ELSE 0 END) AS BIGINT) AS rejected_range,
-       CAST(sum(CASE WHEN NOT ({key_bad}) AND NOT ({req_bad}) AND NOT ({range_bad}) THEN 1 ELSE 0 END) AS BIGINT) AS kept_rows
+       CAST(0 AS BIGINT) AS rejected_outlier, CAST({repeated} AS BIGINT) AS rejected_repeated_key,
+       CAST(sum(CASE WHEN NOT ({key_bad}) AND NOT ({req_bad}) AND NOT ({range_bad}) THEN 1 ELSE 0 END) - ({repeated}) AS BIGINT) AS kept_rows
 FROM (SELECT *, count(*) AS copies FROM {src} GROUP BY ALL)"""
 
 ORACLE["clean_report"] = w(DIRTY, ACCIDENTS_RAW, PERSONS_RAW, PLACES, VEHICLES) + " UNION ALL ".join([
     _REPORT_TABLE.format(name="accidents", src="dirty", key_bad=f"NOT coalesce({KEY_OK}, false)",
-                         req_bad="false", range_bad=f"NOT coalesce({YEAR_OK}, false)"),
+                         req_bad="false", range_bad=f"NOT coalesce({YEAR_OK}, false)",
+                         repeated=f"count(*) FILTER (WHERE {KEY_OK} AND {YEAR_OK}) - count(DISTINCT CASE WHEN {KEY_OK} AND {YEAR_OK} THEN trim(num_acc) END)"),
     _REPORT_TABLE.format(name="places", src="places_raw", key_bad="num_acc IS NULL",
-                         req_bad="false", range_bad="false"),
+                         req_bad="false", range_bad="false", repeated="0"),
     _REPORT_TABLE.format(name="vehicles", src="vehicles_raw", key_bad="num_acc IS NULL",
-                         req_bad="false", range_bad="false"),
+                         req_bad="false", range_bad="false", repeated="0"),
     _REPORT_TABLE.format(name="persons", src="persons_raw", key_bad="num_acc IS NULL",
-                         req_bad="grav IS NULL", range_bad="false"),
+                         req_bad="grav IS NULL", range_bad="false", repeated="0"),
 ])
 
 ORACLE["clean_reject_reasons"] = w(DIRTY) + f"""
@@ -231,7 +231,8 @@ SELECT CASE WHEN num_acc IS NULL THEN 'key_missing'
 FROM dirty GROUP BY 1"""
 
 ORACLE["silver_from_text"] = w(DIRTY) + f""",
-kept AS (SELECT * REPLACE (trim(dep) AS dep) FROM (SELECT DISTINCT * FROM dirty) WHERE {KEY_OK} AND {YEAR_OK})
+kept AS (SELECT * REPLACE (trim(dep) AS dep) FROM (SELECT DISTINCT * FROM dirty) WHERE {KEY_OK} AND {YEAR_OK}
+  QUALIFY row_number() OVER (PARTITION BY num_acc ORDER BY an, mois, jour, hrmn, trim(dep), atm) = 1)
 SELECT {TYPED_DIRTY}, {HOUR} AS heure_int, TRY_CAST(trim(atm) AS INTEGER) AS meteo FROM kept"""
 
 # ---- step 4: sources, sinks, reports ------------------------------------------------
@@ -290,7 +291,7 @@ SELECT num_acc, num_veh, catu, sexe, grav, score_gravite FROM (
 QUALIFY row_number() OVER (PARTITION BY num_acc ORDER BY score_gravite DESC NULLS LAST, num_veh, catu, sexe, grav) = 1"""
 
 ORACLE["pushdown_partition_filter"] = w(ACCIDENTS) + """
-SELECT meteo, count(*) AS nb_accidents FROM accidents WHERE dep = '07' AND meteo IS NOT NULL GROUP BY meteo"""
+SELECT meteo, count(*) AS nb_accidents FROM accidents WHERE dep = '07' GROUP BY meteo"""
 
 # ---- step 7 ---------------------------------------------------------------------------
 
@@ -334,7 +335,8 @@ JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY r.r_name"""
 
 ORACLE["crosstab_pivot"] = w(ACCIDENTS) + """
 SELECT dep, """ + ", ".join(
-    f"count(*) FILTER (WHERE meteo = {v}) AS meteo_{v}" for v in (1, 2, 3, 4, 5)) + """
+    f"count(*) FILTER (WHERE meteo = {v}) AS meteo_{v}" for v in (1, 2, 3, 4, 5)) + """,
+       count(*) FILTER (WHERE meteo IS NULL OR meteo NOT IN (1, 2, 3, 4, 5)) AS meteo_autre
 FROM accidents GROUP BY dep"""
 
 ORACLE["agg_user_profiles"] = w(PERSONS) + """
@@ -358,7 +360,8 @@ ORACLE["udf_equivalence"] = w(PERSONS) + """
 SELECT grav, count(*) AS nb, count(*) AS nb_udf_egal, count(*) AS nb_pandas_egal FROM persons GROUP BY grav"""
 
 ORACLE["upsert_latest"] = w(ACCIDENTS) + """
-SELECT *, CASE WHEN an >= 1998 THEN 2 ELSE 1 END AS version FROM accidents"""
+SELECT * REPLACE (CASE WHEN an >= 1998 AND num_acc % 7 = 0 THEN '07' ELSE dep END AS dep),
+       CASE WHEN an >= 1998 THEN 3 ELSE 2 END AS version FROM accidents"""
 
 ORACLE["format_roundtrip_agg"] = w(ACCIDENTS) + """
 SELECT meteo, count(*) AS nb, f.format
@@ -424,3 +427,95 @@ ORACLE["stream_windowed_counts"] = """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        event_type, count(*) AS nb, round(sum(value), 6) AS total
 FROM events GROUP BY ALL"""
+
+# ---- further rows ---------------------------------------------------------------------
+
+ORACLE["als_pair_scores"] = """
+SELECT l_suppkey AS user_id, count(DISTINCT l_partkey) AS nb_paires, count(DISTINCT l_partkey) AS nb_scores,
+       CAST(0 AS BIGINT) AS nb_negatifs
+FROM lineitem GROUP BY 1"""
+
+ORACLE["src_csv_multifile"] = w(DIRTY) + f"""
+SELECT an, dep, count(*) AS nb, CAST(sum(num_acc) AS BIGINT) AS somme_cles, count(hrmn) AS nb_heures
+FROM (SELECT {TYPED_DIRTY} FROM dirty) GROUP BY an, dep"""
+
+ORACLE["src_grown_months"] = w(ACCIDENTS) + """
+SELECT an, count(*) AS nb, count(CASE WHEN an >= 1998 THEN hrmn END) AS nb_heures,
+       count(CASE WHEN an >= 2000 THEN meteo END) AS nb_meteo
+FROM accidents GROUP BY an"""
+
+ORACLE["missing_sources_rows"] = """
+SELECT s.source, s.absent, CASE WHEN s.source = 'orders' THEN (SELECT count(*) FROM orders) END AS nb
+FROM (VALUES ('orders', false), ('lineitem', false), ('empty', true), ('absent', true)) s(source, absent)"""
+
+ORACLE["write_status_rows"] = w(ACCIDENTS, SEVERITY) + """
+SELECT 'accidents' AS table_name, 'ok' AS status, count(*) AS nb_lignes FROM accidents
+UNION ALL SELECT 'severity', 'ok', count(*) FROM severity
+UNION ALL SELECT 'places', 'failed', NULL"""
+
+ORACLE["cache_arms_equal"] = w(ACCIDENTS) + """
+SELECT arm, (SELECT count(*) FROM (SELECT meteo FROM accidents GROUP BY meteo)) AS nb_lignes, CAST(0 AS BIGINT) AS nb_differences
+FROM (VALUES ('cache'), ('no_cache')) a(arm)"""
+
+ORACLE["aqe_arms_equal"] = w(ACCIDENTS, SEVERITY) + """
+SELECT arm, (SELECT least(20, count(DISTINCT a.dep)) FROM accidents a JOIN severity s ON a.num_acc = s.num_acc) AS nb_lignes,
+       CAST(0 AS BIGINT) AS nb_differences
+FROM (VALUES ('aqe=true,partitions=8'), ('aqe=false,partitions=8'), ('aqe=false,partitions=37')) t(arm)"""
+
+ORACLE["gold_departements"] = _DEPTS
+ORACLE["pipeline_files_gold"] = ORACLE["rank_departments_serious_rate"]
+
+OLDER = """older_raw AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS num_acc, strftime(e.ts, '%H:%M') AS heure,
+         substr(o.o_orderpriority, 1, 1) AS meteo, o.o_orderstatus AS etat_route,
+         TRY_CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) % 4 AS gravite, year(o.o_orderdate) + 20 AS an
+  FROM (SELECT DISTINCT * FROM orders) o LEFT JOIN events e ON o.o_orderkey = e.event_id),
+older AS (SELECT num_acc, meteo, etat_route, gravite, CAST(substr(heure, 1, 2) AS INTEGER) AS heure_int
+  FROM older_raw WHERE an BETWEEN 2005 AND 2030),
+older_dep AS (SELECT DISTINCT CAST(l.l_orderkey AS VARCHAR) AS num_acc, lpad(CAST(s.s_nationkey AS VARCHAR), 2, '0') AS dep
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
+
+ORACLE["older_weather_surface"] = w(OLDER) + """
+SELECT meteo, etat_route, count(DISTINCT num_acc) AS nb_accidents, count(*) FILTER (WHERE gravite >= 2) AS nb_graves
+FROM older GROUP BY meteo, etat_route"""
+
+ORACLE["older_department_hour"] = w(OLDER) + """
+SELECT p.dep, a.heure_int, count(DISTINCT a.num_acc) AS nb_accidents
+FROM older a JOIN older_dep p ON a.num_acc = p.num_acc GROUP BY p.dep, a.heure_int"""
+
+ORACLE["older_top_departments"] = w(OLDER) + """,
+stats AS (SELECT p.dep, count(DISTINCT a.num_acc) AS total_accidents, count(*) FILTER (WHERE a.gravite >= 2) AS accidents_graves
+  FROM older a JOIN older_dep p ON a.num_acc = p.num_acc GROUP BY p.dep)
+SELECT *, accidents_graves / NULLIF(total_accidents, 0) AS taux_graves,
+       CAST(row_number() OVER (ORDER BY accidents_graves / NULLIF(total_accidents, 0) DESC NULLS LAST, dep) AS INTEGER) AS rang_dep
+FROM stats QUALIFY rang_dep <= 20"""
+
+ORACLE["agg_tax_by_nation"] = """
+SELECT s.s_nationkey, count(*) AS nb, round(avg(l.l_extendedprice * l.l_tax), 6) AS supplement_moyen
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1"""
+
+ORACLE["agg_duration_by_weekday"] = """
+SELECT CAST(dayofweek(o.o_orderdate) + 1 AS INTEGER) AS jour_semaine, count(*) AS nb,
+       round(avg(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(l.l_shipdate AS DATE))), 6) AS duree_moyenne
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY 1"""
+
+ORACLE["agg_ratings_per_user"] = """
+SELECT l_suppkey AS user_id, count(*) AS nb_notes, round(avg(l_quantity), 6) AS note_moyenne,
+       min(l_quantity) AS note_min, max(l_quantity) AS note_max FROM lineitem GROUP BY 1"""
+
+ORACLE["agg_popularity_by_category"] = """
+SELECT p.p_type, count(*) AS nb_notes, count(DISTINCT l.l_partkey) AS nb_articles, round(avg(l.l_quantity), 6) AS note_moyenne
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY 1"""
+
+ORACLE["agg_price_over_time"] = """
+SELECT s.s_nationkey, CAST(year(l.l_shipdate) AS INTEGER) AS an, CAST(month(l.l_shipdate) AS INTEGER) AS mois,
+       count(l.l_extendedprice / NULLIF(l.l_quantity, 0)) AS nb,
+       round(avg(l.l_extendedprice / NULLIF(l.l_quantity, 0)), 6) AS prix_unitaire_moyen
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey GROUP BY 1, 2, 3"""
+
+ORACLE["clean_outlier_reasons"] = """
+SELECT CASE WHEN c.c_acctbal < 0 THEN 'negative_c_acctbal'
+            WHEN TRY_CAST(lpad(CAST(year(o.o_orderdate) AS VARCHAR), 4, '0') || '-' || lpad(CAST(month(o.o_orderdate) AS VARCHAR), 2, '0') || '-' ||
+                 lpad(CAST(day(o.o_orderdate) + o.o_orderkey % 10 AS VARCHAR), 2, '0') AS DATE) IS NULL
+            THEN 'impossible_date_an_mois_jour' END AS reject_reason, count(*) AS nb
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -72,7 +73,8 @@ def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 256
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    """One JVM on one machine (``local-cluster`` is a cluster)."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -94,6 +96,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused location under the shared checkpoint folder."""
+    """A fresh, never reused location under the shared checkpoint folder.
+
+    Scratch tables belong to the run that made them and may be read until its result is; the
+    owner of the checkpoint folder removes ``strata-scratch`` between runs."""
     root = checkpoint_root(spark)
     return f"{root}/strata-scratch/{label}-{uuid.uuid4().hex}"

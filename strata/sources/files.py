@@ -18,15 +18,21 @@ CSV_ENCODING = "iso-8859-1"   # Spark 4 rejects the alias "latin1"
 
 
 def missing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Paths (or globs) that match nothing. Resolving a file source lists the
-    path through the session's Hadoop file system (local, HDFS, object stores)
-    without reading any content."""
+    """Paths (or globs) that match no file; an empty folder has none. Resolving
+    a file source lists the path through the session's Hadoop file system (local,
+    HDFS, object stores) without reading any content. Other errors (no access, no
+    such store) are raised."""
     from pyspark.errors import AnalysisException
     out = []
     for p in paths:
         try:
-            spark.read.format("binaryFile").load(p)
-        except AnalysisException:
+            found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(p)
+                     .where(~F.element_at(F.split("path", "/"), -1).rlike("^[._]")).select("length"))
+            if found.isEmpty():
+                out.append(p)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             out.append(p)
     return out
 
@@ -48,11 +54,33 @@ def check_sources(spark: SparkSession, paths: list[str]) -> None:
         raise FileNotFoundError("missing input file(s): " + ", ".join(missing))
 
 
+def header_layouts(spark: SparkSession, path: str, encoding: str) -> dict[str, list[str]]:
+    """Header line -> files that begin with it. One file needs no reading; for a
+    folder one text pass keeps the first line of each file (one row a file)."""
+    listed = spark.read.format("binaryFile").load(path).inputFiles()
+    if len(listed) < 2:
+        return {"": [path]}
+    lines = (spark.read.option("encoding", encoding).text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                     F.monotonically_increasing_id().alias("line")).where("at = 0"))
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    return {r["header"]: sorted(r["files"]) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()}
+
+
 def read_text_table(spark: SparkSession, path: str, sep: str = CSV_SEP,
                     encoding: str = CSV_ENCODING, header: bool = True) -> DataFrame:
-    """Delimited text, every column as STRING, names from the header row."""
-    return (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
-            .option("inferSchema", False).option("mode", "PERMISSIVE").csv(path))
+    """Delimited text, every column as STRING, bound by each file's own header:
+    files of a folder may differ in column order, and a column that a file does
+    not have is NULL in its rows."""
+    reader = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
+              .option("inferSchema", False).option("mode", "PERMISSIVE").option("enforceSchema", False))
+    if not header:
+        return reader.csv(path)
+    out = None
+    for _, paths in sorted(header_layouts(spark, path, encoding).items()):
+        part = reader.csv(paths)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_csv_contract(spark: SparkSession, path: str, contract: Contract, **opts) -> DataFrame:
@@ -64,23 +92,23 @@ def read_csv_contract(spark: SparkSession, path: str, contract: Contract, **opts
 
 def read_csv_text_contract(spark: SparkSession, path: str, contract: Contract, **opts) -> DataFrame:
     """Same binding by name, but every column kept as text (for cleaning
-    rules that must see the raw cell, e.g. blank keys)."""
+    rules that must see the raw cell, e.g. blank keys). The contract's columns come
+    first; the file's other columns are carried along."""
     raw = read_text_table(spark, path, **opts)
     check_columns(raw, contract)
-    return raw.select(*contract.names)
+    return raw.select(*contract.names, *[c for c in raw.columns if c not in contract.names])
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                 columns: list[str] | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
-    return df.select(*columns) if columns else df
+def read_grown_parquet(spark: SparkSession, paths: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """Parquet deliveries whose schema grew over time, read with the declared wide
+    schema: a column that a file does not have is NULL in its rows."""
+    return spark.read.schema(schema).parquet(*([paths] if isinstance(paths, str) else paths))
 
 
-def read_gzip_csv(spark: SparkSession, path: str, contract: Contract, partitions: int, **opts) -> DataFrame:
-    """Gzip text is not splittable: one task per file. Spread the rows right
-    after the read so the rest of the plan runs wide."""
-    return read_csv_contract(spark, path, contract, **opts).repartition(partitions)
+def read_gzip_csv(spark: SparkSession, path: str, contract: Contract, **opts) -> DataFrame:
+    """Gzip text is not splittable: one task per file. A REBALANCE spreads the
+    rows right after the read so the rest of the plan runs wide."""
+    return read_csv_contract(spark, path, contract, **opts).hint("rebalance")
 
 
 def parse_json_column(df: DataFrame, column: str, schema: T.StructType | str, alias: str = "j") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,11 +29,10 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
      .partitionBy(*partition_cols).parquet(path))
 
 
-def write_all(tables: dict[str, DataFrame], base: str, partitions: dict[str, list[str]] | None = None,
-              files: int | None = None) -> list[tuple[str, str, str]]:
-    """Write every table, isolating failures: returns (table, path, status) and
-    raises once at the end if any table failed, so a run never reports success
-    over a missing output."""
+def write_each(tables: Mapping[str, DataFrame], base: str, partitions: dict[str, list[str]] | None = None,
+               files: int | None = None) -> list[tuple[str, str, str]]:
+    """Write every table, isolating failures: (table, path, status), where the status
+    is ``ok`` or ``failed: ...``."""
     partitions = partitions or {}
     status = []
     for name, df in tables.items():
@@ -42,8 +43,16 @@ def write_all(tables: dict[str, DataFrame], base: str, partitions: dict[str, lis
             else:
                 write_parquet(df, path, files=files)
             status.append((name, path, "ok"))
-        except Exception as exc:  # noqa: BLE001 - collected, re-raised below
+        except Exception as exc:  # noqa: BLE001 - told in the status
             status.append((name, path, f"failed: {type(exc).__name__}: {exc}"))
+    return status
+
+
+def write_all(tables: Mapping[str, DataFrame], base: str, partitions: dict[str, list[str]] | None = None,
+              files: int | None = None) -> list[tuple[str, str, str]]:
+    """``write_each``, raising once at the end if any table failed, so a run never
+    reports success over a missing output."""
+    status = write_each(tables, base, partitions, files)
     failed = [s for s in status if s[2] != "ok"]
     if failed:
         raise RuntimeError(f"{len(failed)} table(s) failed to write: {failed}")
@@ -64,6 +73,12 @@ def metrics_from_report(report: DataFrame, step: str) -> DataFrame:
             .select(F.lit(step).alias("step"), "table_name", "metric", F.col("value").cast("bigint")))
 
 
+def failure_rows(spark: SparkSession, step: str, error: Exception) -> DataFrame:
+    """The metrics row of a run that failed: the step, and the error as its name."""
+    text = f"erreur: {type(error).__name__}: {str(error).splitlines()[0][:300] if str(error) else ''}"
+    return spark.createDataFrame([(step, "", text, 1)], METRICS_SCHEMA)
+
+
 def write_metrics_json(metrics: DataFrame, path: str) -> None:
     metrics.coalesce(1).write.mode("overwrite").json(path)
 
@@ -83,31 +98,57 @@ def latest_by_key(df: DataFrame, key: list[str], version: str) -> DataFrame:
 
 def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, key: list[str],
                       partition_col: str, version: str | None = None) -> None:
-    """Incremental upsert of a partitioned Parquet table: rewrite only the
-    partitions the updates touch (dynamic partition overwrite). With
-    ``version``, a delivery holding several rows per key keeps its latest.
-
-    The merged rows of the touched partitions are checkpointed (lineage cut to
-    the shared checkpoint folder) before the overwrite, because a job may not
-    read and overwrite the same files.
+    """Incremental upsert of a partitioned Parquet table of the schema of
+    ``updates``: only partitions that hold a delivered key, or get one, are rewritten.
+
+    With ``version``, stored and delivered rows of a key compete and the highest
+    version wins (equal versions: the first by the other columns), so a late, older
+    delivery changes nothing. Without it, all stored rows of a delivered key are
+    replaced by the delivered ones. A key may move to another partition; a
+    partition that loses its last row is removed. Stored partitions are read with the
+    declared schema, so text codes like ``07`` stay text.
+
+    The new rows are written to a staging table first, then the touched partitions are
+    overwritten. The overwrite is not atomic: if a run breaks in between, run the same
+    delivery again (it is idempotent).
     """
-    from strata.session import checkpoint_root
-    checkpoint_root(spark)  # the lineage cut below goes to the shared folder
+    from strata.session import scratch_path
+    current = spark.read.schema(updates.schema).parquet(path).select(*updates.columns)
+    keys = updates.select(*key).distinct()
+    touched = (current.join(keys, key, "left_semi").select(partition_col)
+               .union(updates.select(partition_col)).distinct())
+    stored = current.join(touched, current[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
     if version:
-        updates = latest_by_key(updates, key, version)
-    current = spark.read.parquet(path)
-    touched = updates.select(partition_col).distinct()
-    existing = current.join(touched, partition_col, "left_semi")
-    merged = (existing.join(updates.select(*key), key, "left_anti")
-              .unionByName(updates.select(*current.columns)))
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        merged = latest_by_key(stored.unionByName(updates), key, version)
+    else:
+        merged = stored.join(keys, key, "left_anti").unionByName(updates)
+    staging = scratch_path(spark, "upsert")
+    merged.write.parquet(f"{staging}/rows")
+    touched.write.parquet(f"{staging}/touched")
+    rows = spark.read.schema(updates.schema).parquet(f"{staging}/rows")
+    before = spark.read.schema(touched.schema).parquet(f"{staging}/touched")
+    left = rows.select(partition_col).distinct()
+    empty = before.join(left, before[partition_col].eqNullSafe(left[partition_col]), "left_anti")
+    gone = [r[0] for r in empty.collect()]   # partition values: as many as folders
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+    for value in gone:
+        drop_partition(spark, path, partition_col, value)
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
+    """Remove one partition folder of a Parquet table."""
+    jvm = spark._jvm
+    text = None if value is None else str(value)
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, text)
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
     """External table bucketed and sorted by ``key``: later joins and
     aggregations on ``key`` between tables of the same bucket count read
-    co-located buckets and need no shuffle."""
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    co-located buckets and need no shuffle. Rows are dealt by the key first, so
+    each bucket is one file."""
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
      .option("path", path).saveAsTable(table))

@@ -10,8 +10,9 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from strata.session import get_session
-    s = get_session("strata-tests", master="local[4]", shuffle_partitions=8)
+    s = get_session("strata-tests", master="local[4]", shuffle_partitions=8,
+                    extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     yield s
     s.stop()

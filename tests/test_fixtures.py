@@ -93,8 +93,8 @@ def test_clean_report(raw):
     u = rows["usagers"]
     assert (u["raw_rows"], u["duplicate_rows"], u["rejected_key"], u["rejected_required"], u["kept_rows"]) == (9, 1, 1, 1, 6)
     for r in rows.values():  # each reason counted on its own
-        assert r["raw_rows"] == (r["duplicate_rows"] + r["rejected_key"] + r["rejected_required"]
-                                 + r["rejected_range"] + r["kept_rows"])
+        assert r["raw_rows"] == (r["duplicate_rows"] + r["rejected_key"] + r["rejected_required"] + r["rejected_range"]
+                                 + r["rejected_outlier"] + r["rejected_repeated_key"] + r["kept_rows"])
 
 
 def test_kept_accidents_and_hours(silver):
@@ -221,6 +221,94 @@ def test_pipeline_metrics_include_bad_cells_and_durations(spark, paths, tmp_path
     assert ("ecriture_gold", "", "duree_ms") in m
 
 
+def test_rows_that_differ_in_any_column_stay_apart(spark, tmp_path):
+    """Three persons that differ in columns no analysis reads are three persons; two places
+    that differ in the street are two; an accident delivered twice with another weather is one."""
+    texts = {"caracteristiques": "Num_Acc;jour;mois;an;hrmn;lum;dep;atm\nA;1;1;2020;06:00;1;75;2\nA;1;1;2020;06:00;1;75;1\n",
+             "lieux": "Num_Acc;surf;voie\nA;1;rue x\nA;1;rue y\n", "vehicules": "Num_Acc;num_veh;cat_veh\nA;A01;7\n",
+             "usagers": "Num_Acc;num_veh;catu;sexe;grav;id_usager;an_nais\nA;A01;2;1;2;1;1990\nA;A01;2;1;2;2;1991\nA;A01;2;1;2;3;1992\n"}
+    out = str(tmp_path / "whole")
+    accident_files.run_pipeline(spark, _write_delivery(tmp_path, "whole-in", texts), out)
+    sev = spark.read.parquet(f"{out}/silver/severity").first()
+    assert (sev["nb_usagers"], sev["nb_tues"]) == (3, 3)
+    assert {r["voie"] for r in spark.read.parquet(f"{out}/silver/places").collect()} == {"rue x", "rue y"}
+    acc = spark.read.parquet(f"{out}/silver/accidents").collect()
+    assert [(r["num_acc"], r["atm"]) for r in acc] == [("A", 1)]   # the first by the other columns
+    top = spark.read.parquet(f"{out}/gold/top_departements_graves").first()
+    assert (top["total_accidents"], top["accidents_graves"], top["taux_graves"]) == (1, 1, 1.0)
+    from strata.sources import sinks
+    m = {(r["table_name"], r["metric"]): r["value"] for r in sinks.read_metrics_json(spark, f"{out}/logs/metrics").collect()}
+    assert m["caracteristiques", "rejected_repeated_key"] == 1 and m["caracteristiques", "kept_rows"] == 1
+
+
+def test_metrics_of_a_failed_run_tell_the_error(spark, paths, tmp_path):
+    from strata.sources import sinks
+    out = str(tmp_path / "failed")
+    with pytest.raises(FileNotFoundError):
+        accident_files.run_pipeline(spark, dict(paths, lieux="/no/such/file.csv"), out)
+    rows = sinks.read_metrics_json(spark, f"{out}/logs/metrics").collect()
+    assert any(r["step"] == "ingestion" and r["metric"].startswith("erreur: FileNotFoundError") for r in rows)
+
+
+def test_unreadable_cells_of_every_table_are_counted(spark, tmp_path):
+    from strata.sources import sinks
+    texts = {"caracteristiques": "Num_Acc;jour;mois;an;hrmn;lum;dep;atm\nA;1;1;2020;06:00;1;75;2\n", "lieux": "Num_Acc;surf\nA;x\nA;x\n",
+             "vehicules": "Num_Acc;num_veh;cat_veh\nA;A01;7\n", "usagers": "Num_Acc;num_veh;catu;sexe;grav\nA;A01;2;1;bad\n"}
+    out = str(tmp_path / "cells")
+    accident_files.run_pipeline(spark, _write_delivery(tmp_path, "cells-in", texts), out)
+    m = {(r["table_name"], r["metric"]): r["value"] for r in sinks.read_metrics_json(spark, f"{out}/logs/metrics").collect()}
+    assert m["usagers", "cellules_illisibles_grav"] == 1 and m["lieux", "cellules_illisibles_surf"] == 2
+
+
+def test_empty_folder_is_a_missing_source(spark, tmp_path):
+    from strata.sources import files
+    (tmp_path / "nothing").mkdir()
+    (tmp_path / "some").mkdir()
+    (tmp_path / "some" / "a.csv").write_text("x\n1\n")
+    assert files.missing_paths(spark, [str(tmp_path / "nothing"), str(tmp_path / "some"), str(tmp_path / "absent")]) == [
+        str(tmp_path / "nothing"), str(tmp_path / "absent")]
+
+
+def test_files_of_a_folder_bind_by_their_own_headers(spark, tmp_path):
+    from strata.sources import files
+    (tmp_path / "a.csv").write_text("Num_Acc;surf\nA;1\n")
+    (tmp_path / "b.csv").write_text("surf;Num_Acc\n2;B\n")
+    (tmp_path / "c.csv").write_text("Num_Acc;surf;voie\nC;3;x\n")
+    rows = files.read_text_table(spark, str(tmp_path)).select("Num_Acc", "surf", "voie").collect()
+    assert sorted(map(tuple, rows), key=str) == [("A", "1", None), ("B", "2", None), ("C", "3", "x")]
+
+
+def test_older_layout_gold(spark, tmp_path):
+    from strata.plans import older_layout
+    texts = {"caracteristiques": "Num_Acc;an;jour;heure;dep;agglo;atm;surf;catr;circ;descr_grav\n"
+                                 "1;2010;1;06:30;75;1;1;1;1;1;3\n1;2010;1;06:30;75;1;1;1;1;1;3\n2;2010;1;7h;75;1;1;2;1;1;1\n ;2010;1;06:30;75;1;1;1;1;1;3\n3;1990;1;06:30;75;1;1;1;1;1;3\n",
+             "lieux": "Num_Acc;com;dep;lat;long;catv\n1;x; 75 ;48,1;2,1;1\n1;y;75;48,2;2,1;1\n2;x;69;;;1\n2;x;;;;1\n",
+             "vehicules": "Num_Acc;num_veh;cat_veh;obs;obsm;choc;manv\n1;A;1;;;;\n", "usagers": "Num_Acc;num_veh;catu;sexe;trajet;locp\n1;A;1;1;;\n"}
+    tables = older_layout.silver(older_layout.ingest(spark, _write_delivery(tmp_path, "older", texts)))
+    gold = older_layout.gold(tables)
+    assert [tuple(r) for r in gold["gravite_par_meteo"].collect()] == [("1", "1", 1, 1), ("1", "2", 1, 0)]
+    assert [tuple(r) for r in gold["accidents_par_dep_heure"].collect()] == [("69", None, 1), ("75", 6, 1)]
+    assert [(r["dep"], r["taux_graves"], r["rang_dep"]) for r in gold["top_departements_gravite"].collect()] == [("75", 1.0, 1), ("69", 0.0, 2)]
+    assert tables["usagers"].count() == tables["vehicules"].count() == 1 and tables["lieux"].count() == 3
+
+
+def test_outlier_reasons(spark):
+    from strata.operators.clean import CleanRules, clean, clean_report, with_reject_reason
+    rules = CleanRules(key="k", nonnegative=("v",), dates=(("y", "m", "d"),))
+    df = spark.createDataFrame([("1", "5", "2020", "2", "29"), ("2", "-1", "2020", "1", "1"), ("3", "x", "2021", "2", "29"), ("4", None, "n/a", "2", "31")], "k string, v string, y string, m string, d string")
+    got = {r["k"]: r["reject_reason"] for r in with_reject_reason(df, rules).collect()}
+    assert got == {"1": None, "2": "negative_v", "3": "impossible_date_y_m_d", "4": None}
+    assert sorted(r["k"] for r in clean(df, rules).collect()) == ["1", "4"]
+    r = clean_report(df, rules, "t").first()
+    assert (r["raw_rows"], r["rejected_outlier"], r["kept_rows"]) == (4, 2, 2)
+
+
+def test_crosstab_counts_every_row(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 9), ("a", None), ("b", 2)], "dep string, meteo int")
+    rows = agg.crosstab(df, "dep", "meteo", [1, 2], "m_").orderBy("dep").collect()
+    assert [tuple(r) for r in rows] == [("a", 1, 0, 2), ("b", 0, 1, 0)]
+
+
 def test_pipeline_cli(paths, tmp_path):
     import subprocess
     import sys

@@ -30,18 +30,16 @@ def test_cache_scope_releases(spark):
 
 
 def test_clean_report_adds_up(spark):
-    raw = bindings.raw_tables(spark, SF001)
-    raw["accidents"] = bindings.dirty_accidents(spark, SF001)
-    for r in layers.cleaning_report(raw).collect():
-        assert r["raw_rows"] == (r["duplicate_rows"] + r["rejected_key"] + r["rejected_required"]
-                                 + r["rejected_range"] + r["kept_rows"])
+    for r in layers.driver_report(spark, SF001).collect():
+        assert r["raw_rows"] == (r["duplicate_rows"] + r["rejected_key"] + r["rejected_required"] + r["rejected_range"]
+                                 + r["rejected_outlier"] + r["rejected_repeated_key"] + r["kept_rows"])
 
 
 def test_stream_equals_batch(spark):
     from strata.streaming import windowed
     stream = Q["stream_windowed_counts"](spark, SF001)
     ev = spark.read.schema(windowed.EVENTS_SCHEMA).parquet(f"{SF001}/events.parquet")
-    batch = windowed.finish(windowed.windowed_counts(ev, "1 hour", "2 hours"), "UTC")
+    batch = windowed.finish(windowed.windowed_counts(ev, "1 hour"), "UTC")
     assert sorted(stream.collect()) == sorted(batch.select(*stream.columns).collect())
 
 
@@ -72,20 +70,18 @@ def test_checkpoint_root_is_read_from_session(spark):
 
 
 def test_stream_over_many_micro_batches_equals_batch(spark):
-    """Events split into daily files, read three files per trigger: the update
-    rows of every micro-batch merge (latest per window) into the batch result."""
+    """Events dealt over files by hash, read two files per trigger, so every window
+    comes in several micro-batches and in any order: their sum is the batch result."""
     from strata.streaming import windowed
     ev = spark.read.schema(windowed.EVENTS_SCHEMA).parquet(f"{SF001}/events.parquet")
-    src = scratch_path(spark, "events-by-day")
-    ev.withColumn("day", F.to_date("ts")).repartition("day").write.partitionBy("day").parquet(src)
+    src = scratch_path(spark, "events-by-hash")
+    ev.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(8))).repartition("part").write.partitionBy("part").parquet(src)
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    # a watermark wider than the data: file order inside a trigger cannot drop rows as late
-    windowed.run_windowed_counts(spark, f"{src}/day=*/*.parquet", out, ckpt,
-                                 watermark="40 days", max_files_per_trigger=3)
+    windowed.run_windowed_counts(spark, f"{src}/part=*/*.parquet", out, ckpt, max_files_per_trigger=2)
     n_batches = spark.read.parquet(out).select("batch_id").distinct().count()
     assert n_batches > 3
     stream = windowed.read_windowed_counts(spark, out)
-    batch = windowed.finish(windowed.windowed_counts(ev, "1 hour", "40 days"), "UTC")
+    batch = windowed.finish(windowed.windowed_counts(ev, "1 hour"), "UTC")
     assert sorted(stream.collect()) == sorted(batch.select(*stream.columns).collect())
 
 
@@ -113,6 +109,39 @@ def test_upsert_keeps_latest_version_within_a_delivery(spark):
     assert got == [(1, "a"), (2, "b3"), (3, "c"), (4, "d")]
 
 
+def test_upsert_older_delivery_moved_key_and_text_partition(spark):
+    schema = "num_acc long, dep string, v string, version int"
+    path = scratch_path(spark, "upsert-three")
+    sinks.write_partitioned(spark.createDataFrame([(1, "07", "a", 5), (2, "2A", "b", 1), (3, "10", "c", 1)], schema), path, ["dep"])
+    updates = spark.createDataFrame([(1, "07", "old", 3), (2, "07", "moved", 2), (4, None, "d", 1)], schema)
+    for _ in range(2):   # the same delivery again changes nothing
+        sinks.upsert_partitions(spark, path, updates, ["num_acc"], "dep", version="version")
+        got = sorted(map(tuple, spark.read.schema(schema).parquet(path).select("num_acc", "dep", "v", "version").collect()))
+        assert got == [(1, "07", "a", 5), (2, "07", "moved", 2), (3, "10", "c", 1), (4, None, "d", 1)]
+
+
+def test_lazy_tables_are_a_mapping(spark):
+    t = layers.silver_from_driver(spark, SF001)
+    assert len(t) == 5 and t.get("nothing") is None and t.get("places") is t["places"] and len(list(t.values())) == 5
+
+
+def test_whole_rows_are_kept_apart(spark):
+    s = layers.silver_from_driver(spark, SF001)
+    lines = spark.read.parquet(f"{SF001}/lineitem.parquet").distinct().count()
+    orders = spark.read.parquet(f"{SF001}/orders.parquet").count()
+    assert s["persons"].count() == s["places"].count() == s["vehicles"].count() == lines
+    assert s["accidents"].count() == orders   # every year
+
+
+def test_sorted_results_come_in_order(spark):
+    rows = Q["agg_weather_surface"](spark, SF001).collect()
+    assert [r["nb_accidents"] for r in rows] == sorted((r["nb_accidents"] for r in rows), reverse=True)
+    rows = Q["agg_department_hour"](spark, SF001).collect()
+    assert [r["nb_accidents"] for r in rows] == sorted((r["nb_accidents"] for r in rows), reverse=True)
+    rows = Q["topk_groups"](spark, SF001).collect()
+    assert [(-r["nb_accidents"], r["dep"]) for r in rows] == sorted((-r["nb_accidents"], r["dep"]) for r in rows)
+
+
 def test_clean_tables_equals_lazy_driver_silver(spark):
     eager = layers.clean_tables(bindings.raw_tables(spark, SF001))
     lazy = layers.silver_from_driver(spark, SF001)

@@ -1,8 +1,8 @@
-"""ALS: dense re-indexing of 64-bit ids and the recommendation shape."""
+"""ALS: dense re-indexing of 64-bit ids and the scores of rated pairs."""
 
 from pyspark.sql import functions as F
 
-from strata.operators.recommend import als_recommend, dense_ids
+from strata.operators.recommend import als_scores, dense_ids, scored_pairs_per_user
 from strata.plans import bindings
 from tests.conftest import SF001
 
@@ -20,9 +20,9 @@ def test_dense_ids_are_a_bijection(spark):
 def test_als_with_ids_beyond_int_range(spark):
     r = bindings.ratings(spark, SF001)
     shifted = r.withColumn("item_id", F.col("item_id") + F.lit(10_000_000_000))
-    recs = als_recommend(shifted, "user_id", "item_id", "rating", k=3, max_iter=2)
-    rows = recs.collect()
-    users = r.select("user_id").distinct().count()
-    assert len(rows) == users * 3
-    assert all(x["item_id"] >= 10_000_000_000 for x in rows)
-    assert {x["rang"] for x in rows} == {1, 2, 3}
+    scores = als_scores(shifted, "user_id", "item_id", "rating", max_iter=2)
+    pairs = r.select("user_id", "item_id").distinct().count()
+    assert scores.count() == pairs and scores.where("item_id < 10000000000").count() == 0
+    per_user = scored_pairs_per_user(scores, "user_id").collect()
+    assert sum(x["nb_paires"] for x in per_user) == pairs
+    assert all(x["nb_scores"] == x["nb_paires"] and x["nb_negatifs"] == 0 for x in per_user)
