@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, table
-from strata.llm.decontam import leaks
+from strata.llm.decontam import without_leaks
 from strata.llm.jaccard import jaccard_components
 from strata.llm.langid import fit, held_out, predict
 from strata.llm.packing import pack
@@ -27,15 +27,19 @@ def _documents(docs: DataFrame, text: Column | None = None) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: a null text, one without a letter, and one whose best language has a
-    calibrated probability below ``LEAST_CONFIDENCE`` go."""
+    calibrated probability below ``LEAST_CONFIDENCE`` go. Where no row has a language to learn from,
+    texts with a letter stay."""
     model = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(3, 1)))
+    if model is None:
+        return _documents(docs.where(F.col("text").rlike("\\p{L}")))
     told = predict(_documents(docs), model)
     return _documents(told.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_CONFIDENCE)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, Jaccard similarity of 0.8 or
-    more, linked transitively): that of the smallest doc_id. Texts without words and null ids stay."""
+    more, linked transitively): that of the smallest doc_id. Texts without words and null ids stay;
+    rows that share a doc_id are one document and stay or go together."""
     gone = (jaccard_components(docs, percent=80, w=5).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
     return _documents(docs.join(gone, docs.doc_id == gone["_gone"], "left_anti"))
 
@@ -50,8 +54,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return _documents(docs.join(found, docs.doc_id.eqNullSafe(found["_leak"]), "left_anti"))
+    return without_leaks(_documents(docs), table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -177,48 +177,73 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.1, block_i
     fewer than 8 folded bytes, match nothing. Items of equal text are reported each; repeated
     document rows and null ids are reported as they come; other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     out = None
-    block: list = []
-    wanted = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna(subset=["text"]).orderBy("item_id", "text")
+    for shared in _blocks(benchmark, edit_rate, block_items):
+        found = rows.mapInArrow(lambda batches, shared=shared: _search(batches, shared.value), SCHEMA)
+        out = found if out is None else out.unionAll(found)
+    return out
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.1, block_items: int = 5_000) -> DataFrame:
+    """The rows of ``docs`` in whose text ``leaks`` finds no item, with all their columns. Judged row
+    by row, so rows that repeat an id or have none are kept or dropped by their own text."""
+    text_at = docs.columns.index("text")
+    for shared in _blocks(benchmark, edit_rate, block_items):
 
-    def one(some: list) -> DataFrame:
-        shared = spark.sparkContext.broadcast(Index([r[0] for r in some], [r[1] for r in some], edit_rate))
-        return rows.mapInArrow(lambda batches: _search(batches, shared.value), SCHEMA)
+        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                clean = np.ones(b.num_rows, bool)
+                clean[[r for r, _ in _hits(b.column(text_at).cast(pa.string()), shared.value)]] = False
+                yield b.filter(pa.array(clean))
 
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
+def _blocks(benchmark: DataFrame, edit_rate: float, block_items: int) -> Iterator:
+    """Broadcast indexes of the items, ``block_items`` at a time; at least one."""
+    wanted = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).dropna(subset=["text"]).orderBy("item_id", "text")
+    share = benchmark.sparkSession.sparkContext.broadcast
+    block: list = []
+    first = True
     for r in wanted.toLocalIterator():
         block.append(r)
         if len(block) == block_items:
-            out = one(block) if out is None else out.unionAll(one(block))
-            block = []
-    if block or out is None:
-        out = one(block) if out is None else out.unionAll(one(block))
-    return out
+            yield share(Index([r[0] for r in block], [r[1] for r in block], edit_rate))
+            block, first = [], False
+    if block or first:
+        yield share(Index([r[0] for r in block], [r[1] for r in block], edit_rate))
+
+
+def _hits(texts: pa.Array, index: Index) -> dict[tuple[int, int], tuple]:
+    """(row, item) -> (edits, start in the folded slice, first and last character, shared q-grams)."""
+    found: dict[tuple[int, int], tuple] = {}
+    for row, _, data, ends in text_slices(texts):
+        # rows are kept apart by a zero byte, which no item holds
+        marks = np.insert(data, ends, 0) if len(data) else np.zeros(len(ends), np.uint8)
+        text, at = fold(marks)
+        row_ends = ends + np.arange(len(ends))  # of the marks, each row's zero byte
+        folded_ends = np.searchsorted(at, row_ends)
+        row_of = np.searchsorted(row_ends, at, "left")
+        for r, item, band, shared in index.regions(text, row_of.astype(np.int64)):
+            known = found.get((row + r, item))
+            if known and known[0] == 0:
+                continue
+            low = int(folded_ends[r - 1]) + 1 if r else 0
+            hit = index.align(text, low, int(folded_ends[r]), item, band)
+            if hit and (known is None or (hit[0], hit[1]) < known[:2]):
+                begin = int(row_ends[r - 1]) + 1 if r else 0
+                own = marks[begin: int(row_ends[r])]
+                chars = [len(bytes(own[: x - begin]).decode(errors="ignore")) for x in (int(at[hit[1]]), int(at[hit[2] - 1]) + 1)]
+                found[row + r, item] = (hit[0], hit[1], chars[0], chars[1], shared)
+    return found
 
 
 def _search(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = b.column(0).to_pylist()
-        found: dict[tuple[int, int], tuple] = {}
-        for row, _, data, ends in text_slices(b.column(1)):
-            # rows are kept apart by a zero byte, which no item holds
-            marks = np.insert(data, ends, 0) if len(data) else np.zeros(len(ends), np.uint8)
-            text, at = fold(marks)
-            row_ends = ends + np.arange(len(ends))  # of the marks, each row's zero byte
-            folded_ends = np.searchsorted(at, row_ends)
-            row_of = np.searchsorted(row_ends, at, "left")
-            for r, item, band, shared in index.regions(text, row_of.astype(np.int64)):
-                known = found.get((row + r, item))
-                if known and known[0] == 0:
-                    continue
-                low = int(folded_ends[r - 1]) + 1 if r else 0
-                hit = index.align(text, low, int(folded_ends[r]), item, band)
-                if hit and (known is None or (hit[0], hit[1]) < known[:2]):
-                    begin = int(row_ends[r - 1]) + 1 if r else 0
-                    own = marks[begin: int(row_ends[r])]
-                    chars = [len(bytes(own[: x - begin]).decode(errors="ignore")) for x in (int(at[hit[1]]), int(at[hit[2] - 1]) + 1)]
-                    found[row + r, item] = (hit[0], hit[1], chars[0], chars[1], shared)
+        found = _hits(b.column(1), index)
         if found:
             keys = sorted(found)
             values = [found[k] for k in keys]
