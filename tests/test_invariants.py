@@ -2,14 +2,14 @@
 
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from strata.operators import measure
 from strata.plans import bindings, layers
+from strata.plans.catalog import QUERIES
 from strata.session import scratch_path
 from strata.sources import sinks
 from tests.conftest import SF001
 
-Q = entry.queries()
+Q = QUERIES
 
 
 def test_ab_harness_equal_arms(spark):

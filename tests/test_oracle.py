@@ -3,12 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans.catalog import QUERIES
+from strata.plans.oracle import ORACLE
 from tests.conftest import SF01
 from tests.oracle_compare import compare, duck
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -22,8 +21,9 @@ def test_query_matches_oracle(spark, con, name):
     assert r["spark_rows"] > 0
 
 
-def test_every_query_but_iterative_ones_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_runs_on_sf0001(spark):

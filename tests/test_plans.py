@@ -4,13 +4,13 @@ from pyspark.sql import functions as F
 
 from strata.plans.explain import plan_text
 
-import __spark_entry__ as entry
 from strata.operators import aggregate as agg
 from strata.operators import measure
 from strata.plans import layers
+from strata.plans.catalog import QUERIES
 from tests.conftest import SF01
 
-Q = entry.queries()
+Q = QUERIES
 
 
 def plan(df) -> str:
