@@ -280,33 +280,67 @@ def by_group(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataF
     return df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys).mapInPandas(run, schema)
 
 
+def unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the components of the pairs (i, j); ``root`` holds each entry's smallest known entry."""
+    while len(i):
+        a, b = root[i], root[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        if not len(i):
+            break
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root[:] = up
+
+
+def _contract(edges: DataFrame) -> DataFrame:
+    """The links (hi, lo) of each task as stars around its components' smallest nodes: no shuffle, no
+    more rows than nodes or links, the same components."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches if b.num_rows]
+        if not parts:
+            return
+        hi, lo = (np.concatenate(x) for x in zip(*parts, strict=True))
+        nodes, code = np.unique(np.concatenate([hi, lo]), return_inverse=True)
+        root = np.arange(len(nodes))
+        unite(root, code[: len(hi)], code[len(hi):])
+        tied = np.flatnonzero(root != np.arange(len(nodes)))
+        for k in range(0, len(tied), 100_000):
+            some = tied[k: k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(nodes[root[some]])], ["hi", "lo"])
+
+    return edges.mapInArrow(run, "hi long, lo long")
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected links between longs: one row (node, root) for every
     node with a link to another node; root is the smallest node reachable.
 
     Alternating large-star and small-star steps on Spark joins, each round written to a scratch
-    table, until a round changes nothing (a logarithmic number of rounds). Hot nodes meet only in
-    aggregates that combine before the shuffle and in joins that AQE can split. Null ends and
-    self-links are ignored; no links give an empty table.
+    table, until the links are stars (a logarithmic number of rounds); each task first contracts
+    the links that it holds. Hot nodes meet only in aggregates that combine before the shuffle and in
+    joins that AQE can split. Null ends and self-links are ignored; no links give an empty table.
     """
     e = edges.select(F.greatest(a, b).cast("long").alias("hi"), F.least(a, b).cast("long").alias("lo")).dropna().where("hi <> lo")
-    e = cut(e.distinct(), "cc")
-    state = None
+    e = cut(_contract(e).distinct(), "cc")
     while True:
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if now == state or now[0] == 0:
+        # stars: no node hangs on two others, and none that others hang on hangs itself
+        ends = e.select(F.col("hi").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("lo", F.lit(0), F.lit(1)))
+        loose = ends.groupBy("u").agg(F.sum("up").alias("up"), F.sum("down").alias("down")).where("up > 1 or up = 1 and down > 0")
+        if loose.isEmpty():
             break
-        state = now
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-                 .where("hi <> lo").distinct())
-        large = cut(large, "cc")
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = cut(_contract(large), "cc")
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         met = large.join(low, "hi")
-        small = (met.select(F.col("hi"), F.col("m").alias("lo"))
-                 .union(met.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))).distinct())
-        new = cut(small, "cc")
+        small = met.select(F.col("hi"), F.col("m").alias("lo")).union(met.where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo")))
+        new = cut(_contract(small).distinct(), "cc")
         drop(e)
         drop(large)
         e = new

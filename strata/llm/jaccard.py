@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import (BITMAP_ROWS, U64, bitmap_bits, bitmap_rows, by_group, collect_bitmap, components, cut, drop,
-                               holds, longs, mix, repeat_rows, word_slices)
+                               holds, longs, mix, repeat_rows, unite, word_slices)
 
 CELLS = 1 << 20  # cells of the frequency table: 4 MB, whatever the input
 _PART = 1 << 15
 PROFILE = 64
 LIST_BLOCK = 2048  # entries of a list that meet in one task
-BLOCK_SETS, BLOCK_SHINGLES = 1024, 2_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 4096, 4_000_000  # sets and shingles that one task compares
 
 
 def shingle_sets(column: pa.Array, w: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -214,7 +214,7 @@ def _compare_lists(percent: int):
             p, q = profiles[i], profiles[j]
             both = np.minimum(p, q).astype(np.int64)
             may = (both.sum(axis=1) >= need) | ((p == 65535) & (q == 65535)).any(axis=1)
-            _unite(root, i[may], j[may])
+            unite(root, i[may], j[may])
         tied = root != np.arange(len(root))
         return pd.DataFrame({"a": node[tied], "b": node[root[tied]]})
 
@@ -235,22 +235,6 @@ def _compare_lists(percent: int):
     return run
 
 
-def _unite(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Join the components of the pairs (i, j); ``root`` holds each row's smallest known row."""
-    while len(i):
-        a, b = root[i], root[j]
-        apart = a != b
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        if not len(i):
-            break
-        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            up = root[root]
-            if (up == root).all():
-                break
-            root[:] = up
-
-
 def _clusters(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the nodes that share an index list with another node they may link to."""
     live = cut(_live(entries), "jaccard-lists")
