@@ -32,9 +32,25 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 # fixed values: words of class and id attributes that name page furniture
 FURNITURE = set("ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion popup modal overlay cookie cookies consent gdpr notice notification alert sidebar side widget widgets menu navbar nav navigation breadcrumb breadcrumbs header masthead topbar footer foot copyright legal related recommended recommendations share sharing social subscribe subscription newsletter signup login search comment comments disqus reply replies respond discussion pager pagination toolbar tags teaser complementary contentinfo paywall".split())
 BODY = set("article content main story post entry text body maincontent articlebody".split())
+# fixed value: parts of such names that stand for the whole name wherever they occur in it
+FURNITURE_PART = re.compile("cookie|comment|sidebar|footer|advert|sponsor|newsletter|breadcrumb|subscri|popup|masthead|navig|navbar|topnav|disqus|consent|gdpr|promo")
+# fixed values: of these, names that also occur on the frame around an article
+LAYOUT = set("sidebar side header masthead topbar footer foot menu navbar nav navigation banner search social share related widget widgets".split())
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading", "item"]
 
 
+def furniture_level(name: str, hints: set[str], article: bool) -> int:
+    """2: page furniture; 1: named like it, but maybe the frame around an article; 0: neither."""
+    if name in BOILER and not (name == "header" and article):
+        return 2
+    if name in ("html", "body", "main"):
+        return 0
+    named = {h for h in hints if h in FURNITURE or FURNITURE_PART.search(h)}
+    if named - LAYOUT:
+        return 2
+    return 1 if named else 0
+
+
 def _names(rest: str) -> set[str]:
     found: set[str] = set()
     for m in HINT.finditer(rest):
@@ -46,11 +62,11 @@ def _names(rest: str) -> set[str]:
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
     """(text, words, words in links, furniture, article, heading, list item) of the text blocks."""
     out: list[tuple] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, furniture, article, left out
+    stack: list[tuple[str, int, bool, bool]] = []  # name, furniture level, article, left out
     parts: list[str] = []
     linked: list[str] = []
     in_link, at = 0, 0
-    furniture = article = skip = False
+    furniture, article, skip = 0, False, False
     heading = item = False
 
     def end() -> None:
@@ -59,7 +75,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
             words = entities.unescape("".join(parts)).split()
             if words:
                 of_links = sum(len(entities.unescape(x).split()) for x in linked)
-                out.append((" ".join(words), len(words), min(of_links, len(words)), furniture, article, heading, item))
+                out.append((" ".join(words), len(words), min(of_links, len(words)), furniture > 0, article, heading, item))
         parts, linked = [], []
 
     def text(piece: str) -> None:
@@ -89,7 +105,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
                     if name not in INLINE:
                         end()
                     del stack[k:]
-                    furniture, article, skip = stack[-1][1:] if stack else (False, False, False)
+                    furniture, article, skip = stack[-1][1:] if stack else (0, False, False)
                     in_link = sum(s[0] == "a" for s in stack)
                     break
             if re.fullmatch("h[1-6]", name):
@@ -120,14 +136,15 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
         if name in INLINE and name != "a" and not rest.strip():
             continue
         if name in ("p", "li", "tr", "td", "dt", "dd") and stack and stack[-1][0] == name:
-            furniture, article, skip = stack[-2][1:] if len(stack) > 1 else (False, False, False)
+            furniture, article, skip = stack[-2][1:] if len(stack) > 1 else (0, False, False)
             stack.pop()
         hints = _names(rest) if rest.strip() else set()
         off = bool(rest) and bool(HIDDEN.search(rest))
-        body_like = name in ("article", "main") or bool(hints & BODY)
-        boiler = (name in BOILER and not (name == "header" and article)) or (bool(hints & FURNITURE) and name not in ("html", "body", "main"))
-        furniture = furniture or boiler
-        article = article or (body_like and not boiler)
+        level = furniture_level(name, hints, article)
+        if name in ("article", "main") and not level and furniture == 1:
+            furniture = 0  # the name was that of the frame
+        article = article or (not level and (name in ("article", "main") or bool(hints & BODY)))
+        furniture = max(furniture, level)
         skip = skip or off or name in SKIP
         stack.append((name, furniture, article, skip))
     end()

@@ -34,6 +34,15 @@ def test_left_out(tree):
     assert main_text(page, tree) == f"Head & line {body} A b cd <e>"
 
 
+def test_names_of_page_furniture(tree):
+    body = " ".join(["word"] * 30)
+    for attribute in ("class=cookieBar", "id='user-comments'", "class='ad'", "class=\"site_footer x\"", "role=navigation", "class=newsletterSignup", "class=sidebar-left"):
+        assert main_text(f"<article><p>{body}</p></article><div {attribute}><p>{body}</p><ul><li>{body}</li></ul></div>", tree) == body, attribute
+    # a frame that is named after its layout does not hide the article, comments do
+    assert main_text(f"<div class='layout with-sidebar'><div class=sidebar>{body}</div><article><p>{body}</p></article></div>", tree) == body
+    assert main_text(f"<main><p>{body}</p></main><section id=comments><article><p>{body}</p></article></section>", tree) == body
+
+
 def test_broken_markup(tree):
     assert main_text("<p>One<p>two <b>three", tree) in ("One two three", "")
     assert [b[0] for b in blocks("a<div>b</span></div>c<!-- d")] == ["a", "b", "c"]
