@@ -6,26 +6,26 @@ Two documents that share ``window`` consecutive words share one of the aligned b
 1. Aligned blocks of every document are indexed (a bitmap of their hashes, of bounded size).
 2. Every rolling block-sized window probes the index. Probes that hit are grouped by hash;
    an anchor is one that is aligned somewhere and occurs in two documents.
-3. Windows that hold an anchor are candidates; runs of them are the maximal stretches that can
-   repeat. A run that a smaller document has word for word is settled at once (copies).
-4. The windows of the other runs are matched by hash over all documents: exact, as a window
-   that repeats holds an anchor in both documents.
+3. Windows whose aligned blocks are all anchors are candidates (a window that repeats has only
+   such blocks, in either document); runs of them are the maximal stretches that can repeat. A
+   run that a smaller document has word for word is settled at once (copies).
+4. The windows of the other runs are matched by hash over all documents, which is exact.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.llm.common import (BITMAP_ROWS, U64, Words, bitmap_bits, bitmap_of, bitmap_rows, collect_bitmap, cut, drop,
                                holds, longs, mix, word_slices)
 
+# fixed value: what separates words
+SPACES = "[\\x20\\x09-\\x0D]+"
 RUNS = "doc_id long, first long, n long, hash long, words binary"
 
 
@@ -93,8 +93,8 @@ def _anchors(docs: DataFrame, block: int, index) -> DataFrame:
 
 
 def _runs(docs: DataFrame, block: int, window: int, anchors) -> DataFrame:
-    """Maximal stretches of words whose windows all hold an anchor: (doc_id, first word, words, hash of
-    the stretch, word hashes)."""
+    """Maximal stretches of words in whose windows all aligned blocks are anchors: (doc_id, first word,
+    words, hash of the stretch, word hashes)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -102,16 +102,13 @@ def _runs(docs: DataFrame, block: int, window: int, anchors) -> DataFrame:
             for row, _, words in word_slices(b.column(1)):
                 n = len(words.hash)
                 hashes, full = words.windows(block)
-                hit = np.zeros(n + 1, np.int64)
-                some = np.flatnonzero(full)
-                some = some[holds(anchors.value, hashes[some])]
-                if not len(some):
-                    continue
-                hit[some + 1] = 1
-                before = np.cumsum(hit)  # anchors that start before each word
+                miss = np.zeros(n + 1, np.int64)
+                own = np.flatnonzero(full & _aligned(words, block))
+                miss[own[~holds(anchors.value, hashes[own])] + 1] = 1
+                before = np.cumsum(miss)  # aligned blocks that are no anchors and start before each word
                 last = np.repeat(words.first[1:], np.diff(words.first))
                 at = np.flatnonzero(np.arange(n) + window <= last)
-                at = at[before[at + window - block + 1] > before[at]]
+                at = at[before[at + window - block + 1] == before[at]]
                 if not len(at):
                     continue
                 doc = _rows_of(words)
@@ -130,22 +127,25 @@ def _runs(docs: DataFrame, block: int, window: int, anchors) -> DataFrame:
     return docs.mapInArrow(run, RUNS)
 
 
-def _windows(runs: DataFrame, window: int) -> DataFrame:
-    """(hash, doc_id, at): the windows of runs of documents."""
+def _windows(runs: DataFrame, window: int, picked) -> DataFrame:
+    """(hash, doc_id, at): the windows of the runs whose h is in the bitmap."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, first, raw in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            b = b.filter(pa.array(holds(picked.value, np.asarray(b.column(3)).view(U64))))
+            for k in range(0, b.num_rows, 500):
+                some = b.slice(k, 500)
                 own = Words.__new__(Words)
-                own.hash = np.frombuffer(raw, np.uint64)
-                own.first = np.array([0, len(own.hash)])
+                raw = some.column(2).to_pylist()
+                size = np.array([len(r) // 8 for r in raw])
+                own.hash = np.frombuffer(b"".join(raw), np.uint64)
+                own.first = np.concatenate(([0], np.cumsum(size)))
                 hashes, full = own.windows(window)
-                hashes = hashes[full]
-                yield pa.RecordBatch.from_arrays(
-                    [longs(hashes), pa.array(np.full(len(hashes), doc)) if doc is not None else pa.nulls(len(hashes), pa.int64()),
-                     pa.array(np.arange(len(hashes)) + first)], ["hash", "doc_id", "at"])
+                at = np.arange(len(hashes)) - np.repeat(own.first[:-1], size) + np.repeat(np.asarray(some.column(1)), size)
+                doc = np.repeat(np.asarray(some.column(0)), size)
+                yield pa.RecordBatch.from_arrays([longs(hashes[full]), pa.array(doc[full]), pa.array(at[full])], ["hash", "doc_id", "at"])
 
-    return runs.select("doc_id", "first", "words").mapInArrow(run, "hash long, doc_id long, at long")
+    return runs.mapInArrow(run, "hash long, doc_id long, at long")
 
 
 def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
@@ -159,17 +159,21 @@ def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
     index = spark.sparkContext.broadcast(_index(docs, block))
     anchors = cut(_anchors(docs, block, index), "repeat-anchors")
     index.unpersist()
-    marks = spark.sparkContext.broadcast(bitmap_of(anchors, "hash", bitmap_bits(anchors.count())))
+    marks = spark.sparkContext.broadcast(bitmap_of(anchors, "hash", bitmap_bits(anchors.count(), per_row=32)))
     runs = cut(_runs(docs, block, window, marks), "repeat-runs")
     drop(anchors)
     # a run that a smaller document has whole repeats whole
-    first = runs.groupBy("hash", "n").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last")).where("_doc <> _last").drop("_last")
-    told = runs.join(first, ["hash", "n"], "left").withColumn("_copy", F.coalesce(F.col("_doc") < F.col("doc_id"), F.lit(False)))
-    told = cut(told.select("doc_id", "first", "n", F.when(~F.col("_copy"), F.col("words")).alias("words")), "repeat-told")
-    drop(runs)
-    copies = told.where("words is null").select("doc_id", "first", (F.col("first") + F.col("n")).alias("end"))
-    windows = cut(_windows(told.where("words is not null"), window), "repeat-windows")
-    least = (windows.groupBy("hash").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last"))
+    keys = runs.select("doc_id", "first", "n", "hash")
+    first = keys.groupBy("hash", "n").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last")).where("_doc <> _last").drop("_last")
+    told = keys.join(first, ["hash", "n"], "left").select(
+        "doc_id", "first", "n", F.coalesce(F.col("_doc") < F.col("doc_id"), F.lit(False)).alias("_copy"))
+    told = cut(told, "repeat-told")
+    copies = told.where("_copy").select("doc_id", "first", (F.col("first") + F.col("n")).alias("end"))
+    # the other runs, by a bitmap (a copy that comes along is only compared once more)
+    rest = told.where("not _copy").select(F.xxhash64("doc_id", "first").alias("h"))
+    picked = spark.sparkContext.broadcast(bitmap_of(rest, "h", bitmap_bits(rest.count())))
+    windows = _windows(runs.select("doc_id", "first", "words", F.xxhash64("doc_id", "first").alias("h")), window, picked)
+    least = (windows.select("hash", "doc_id").groupBy("hash").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last"))
              .where("_doc <> _last").select("hash", "_doc"))
     again = (windows.join(least, "hash").where("_doc < doc_id")
              .select("doc_id", F.col("at").alias("first"), (F.col("at") + window).alias("end")))
@@ -188,7 +192,7 @@ def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
 
     gathered = copies.union(again).groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("pairs"))
     out = cut(gathered.mapInArrow(spans, "doc_id long, spans array<array<long>>"), "repeat-spans")
-    drop(windows)
+    drop(runs)
     drop(told)
     return out
 
@@ -202,59 +206,15 @@ def remove_repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFr
     document of smaller doc_id; windows are judged on the input. Null and empty texts have no
     words. Rows that repeat a doc_id are one document to this rule (a window in both is not
     a repeat; what goes from one goes from each at the same word positions). Documents of null doc_id
-    keep all words. An empty table gives an empty table.
+    keep all words. An empty table gives an empty table. The names above and ``_doc``, ``_spans``,
+    ``_words`` and ``_left`` are taken.
     """
-    spark = docs.sparkSession
     found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), window, block)
-    marks = spark.sparkContext.broadcast(
-        bitmap_of(found.select(F.xxhash64("doc_id").alias("h")), "h", bitmap_bits(found.count())))
-    names = [f.name for f in docs.schema.fields]
-    schema = T.StructType([*docs.schema.fields, T.StructField("_mark", T.LongType())])
-
-    # rows that can have spans, by a bitmap of their ids, meet them in a join; the others need none
-    def split(wanted: bool):
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yes = holds(marks.value, np.asarray(b.column(b.num_columns - 1)).view(U64))
-                yield b.filter(pa.array(yes == wanted))
-        return run
-
-    marked = docs.withColumn("_mark", F.xxhash64(F.col("doc_id").cast("long")))
-    with_spans = marked.mapInArrow(split(True), schema)
-    found = found.withColumnRenamed("doc_id", "_doc").withColumnRenamed("spans", "_spans")
-    left = with_spans.join(found, with_spans.doc_id.cast("long") == found["_doc"], "left").drop("_doc", "_mark")
-    right = marked.mapInArrow(split(False), schema).drop("_mark").withColumn("_spans", F.lit(None).cast("array<array<long>>"))
-    text_at = names.index("text")
-
-    def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, spans = b.column(text_at), b.column(b.num_columns - 1)
-            kept, sizes, gone = [], [], []
-            for row, end, words in word_slices(texts.cast(pa.string())):
-                data = words.data
-                for r in range(end - row):
-                    a, z = int(words.first[r]), int(words.first[r + 1])
-                    keep = np.ones(z - a, bool)
-                    for x, y in spans[row + r].as_py() or ():
-                        keep[x:y] = False
-                    sizes.append(z - a)
-                    gone.append(int((~keep).sum()))
-                    kept.append(_joined(data, words.start[a:z][keep], words.stop[a:z][keep]))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([k.decode() for k in kept], pa.string()), pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())],
-                [*names, "_kept", "_n_words", "_n_removed", "_sha256"])
-
-    out_schema = T.StructType([*docs.schema.fields, T.StructField("_kept", T.StringType()), T.StructField("_n_words", T.LongType()),
-                               T.StructField("_n_removed", T.LongType()), T.StructField("_sha256", T.StringType())])
-    return left.unionByName(right).mapInArrow(apply, out_schema)
-
-
-def _joined(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> bytes:
-    """Words joined by one space: a slice where the text already has single spaces between them."""
-    if not len(start):
-        return b""
-    gaps = np.flatnonzero((start[1:] - stop[:-1] != 1) | (data[stop[:-1]] != 0x20))
-    begins, ends = start[np.append(0, gaps + 1)], stop[np.append(gaps, len(start) - 1)]
-    raw = data.tobytes() if len(begins) > 1 and len(data) < 1 << 16 else None
-    return b" ".join(raw[a:z] if raw is not None else data[a:z].tobytes() for a, z in zip(begins.tolist(), ends.tolist(), strict=True))
+    found = found.withColumnsRenamed({"doc_id": "_doc", "spans": "_spans"})
+    words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), SPACES), lambda w: w != "")
+    gone = lambda i: F.exists("_spans", lambda s: (i >= s[0]) & (i < s[1]))
+    left = F.when(F.col("_spans").isNull(), F.col("_words")).otherwise(F.filter("_words", lambda w, i: ~gone(i)))
+    joined = docs.join(found, docs.doc_id.cast("long") == found["_doc"], "left").withColumn("_words", words).withColumn("_left", left)
+    told = joined.select(*[docs[c] for c in docs.columns], F.array_join("_left", " ").alias("_kept"),
+                         F.size("_words").cast("long").alias("_n_words"), (F.size("_words") - F.size("_left")).cast("long").alias("_n_removed"))
+    return told.withColumn("_sha256", F.sha2("_kept", 256))
