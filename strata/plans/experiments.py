@@ -42,6 +42,10 @@ def broadcast_vs_shuffle(spark: SparkSession, d: str, runs: int = 5) -> dict:
     out = measure.time_arms(spark, {"shuffle": arm("shuffle"), "broadcast": arm("broadcast")}, runs,
                             confs={"shuffle": {"spark.sql.autoBroadcastJoinThreshold": "-1"}})
     out["broadcast_vs_shuffle"] = measure.gain(out, "shuffle", "broadcast")
+    out["strategies"] = {}
+    for name, conf in (("shuffle", {"spark.sql.autoBroadcastJoinThreshold": "-1"}), ("broadcast", {})):
+        with measure.settings(spark, conf):   # which join each arm's plan chose
+            out["strategies"][name] = joins.join_strategies(arm(name)())
     return out
 
 

@@ -20,11 +20,10 @@ DEFAULT_CONF = {
 
 
 # Starting points for a large cluster (~100 TB inputs, ~1000 executors).
-# Shuffles start wide and AQE coalesces them to ~256 MB partitions; hot join
-# partitions are split; lost executors are retried and, with decommissioning,
+# The shuffle partition count comes from the input's size (``size_shuffles``), the one
+# rule for it; AQE coalesces to ~256 MB partitions; hot join partitions are split; lost executors are retried and, with decommissioning,
 # their shuffle blocks migrate instead of being recomputed.
 CLUSTER_CONF = {
-    "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
