@@ -1,6 +1,6 @@
 """Embedding near-dedup (8): a forest of random-projection trees with spill overlap.
 
-Every tree splits by the median of a random projection; vectors within a margin of a split go to
+Every tree splits near the median of a random projection; vectors within a margin of a split go to
 both sides. A vector so falls into a few leaves of each tree, and two similar vectors share
 one with high probability (misses of different trees are independent). Within a leaf all
 cosines are computed in double precision; a link is counted in the first leaf that its ends
@@ -16,15 +16,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.llm.common import by_group, components, cut, drop
+from strata.llm.common import U64, by_group, components, cut, mix
 
+MOST_SHARED = 0.3  # of a node's vectors may go to both sides
 LEAF_BLOCK = 2048  # vectors of a leaf that one task holds twice at most
 
 
 class Forest:
-    """Trees over a sample: per level one random direction, per node the sample's median on it.
-    Node k has the children 2k + 1 and 2k + 2; a node without a median is a leaf."""
+    """Trees over a sample: per level one random direction, per node a cut near the sample's median on
+    it. Node k has the children 2k + 1 and 2k + 2; a node without a cut is a leaf."""
 
     def __init__(self, sample: np.ndarray, rows: int, trees: int, leaf: int, spill: float, seed: int):
         rng = np.random.default_rng(seed)
@@ -42,14 +44,16 @@ class Forest:
                 if len(own) * share <= leaf or len(own) < 16 or level == len(directions):
                     continue
                 at = sample[own] @ directions[level]
-                middle = float(np.median(at))
-                low, high = own[at <= middle + spill], own[at >= middle - spill]
-                if len(low) == len(own) or len(high) == len(own):
-                    # all on both sides: another direction may still split; a tight group never does
-                    if len(low) == len(high):
-                        continue
+                # of the central quantiles the one with the fewest vectors in the margin, so that a
+                # tight group stays on one side; a node that no cut divides well is a leaf
+                cuts = np.quantile(at, np.linspace(0.3, 0.7, 9))
+                both = [int((np.abs(at - c) <= spill).sum()) for c in cuts]
+                best = int(np.argmin(both))
+                if both[best] > MOST_SHARED * len(own):
+                    continue
+                middle = float(cuts[best])
                 medians[node] = middle
-                todo += [(2 * node + 1, level + 1, low), (2 * node + 2, level + 1, high)]
+                todo += [(2 * node + 1, level + 1, own[at <= middle + spill]), (2 * node + 2, level + 1, own[at >= middle - spill])]
             self.trees.append((directions, medians))
 
     def leaves(self, x: np.ndarray) -> list[list[int]]:
@@ -77,15 +81,16 @@ class Forest:
         return out
 
 
-def _unit(columns: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(which rows are usable, their unit vectors in double precision)."""
-    flat = columns.flatten()
-    size = np.diff(np.asarray(columns.offsets))
-    dim = int(size.max(initial=0))
-    x = np.asarray(flat.cast(pa.float64()).to_numpy(zero_copy_only=False), float).reshape(-1, dim) if dim else np.zeros((len(size), 0))
-    scale = np.abs(x).max(axis=1, keepdims=True)  # so that squares neither overflow nor vanish
-    x = x / scale
-    return x / np.linalg.norm(x, axis=1, keepdims=True), size
+def matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of one length as rows, in double precision."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def normal(x: np.ndarray) -> np.ndarray:
+    """Unit vectors; scaled first so that squares neither overflow nor vanish."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def spanning(linked: np.ndarray) -> np.ndarray:
@@ -116,17 +121,17 @@ def _shared_before(leaf: int, members: list[np.ndarray]) -> np.ndarray:
     return held @ held.T > 0
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, wide: bool):
     def run(key, part: pd.DataFrame) -> pd.DataFrame:
         leaf, first, second = (int(k) for k in key)
         part = part.sort_values("rep", kind="stable", ignore_index=True)
-        x = np.vstack([np.frombuffer(v, "<f8") for v in part.unit])
+        x = normal(np.vstack([np.frombuffer(v, "<f8" if wide else "<f4") for v in part.vector]).astype(float))
         near = x @ x.T >= threshold
         np.fill_diagonal(near, False)
         if first != second:  # a pair of blocks: only links between the two are its own
             block = part.blk.to_numpy()
             near &= block[:, None] != block[None, :]
-        new = near & ~_shared_before(leaf, [np.asarray(v, np.int64) for v in part.leaves]) if near.any() else near
+        new = near & ~_shared_before(leaf, [np.frombuffer(v, "<i8") for v in part.leaves]) if near.any() else near
         weight = part.copies.to_numpy(np.float64)
         count = (new @ weight).astype(np.int64)
         root = spanning(near)
@@ -137,7 +142,7 @@ def _compare(threshold: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, leaf: int = 512, spill: float = 0.03,
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, leaf: int = 512, spill: float = 0.02,
                  sample_rows: int = 20_000, seed: int = 8) -> DataFrame:
     """(vec_id, n_links, component_id, kept): links are pairs of cosine >= ``threshold`` that the forest
     finds; n_links counts other vectors linked directly, component_id is the smallest vec_id reachable.
@@ -151,7 +156,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
     columns are ignored; an empty table gives an empty table.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    kind = vectors.schema["embedding"].dataType.elementType
+    wide = not isinstance(kind, T.FloatType)
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>" if wide else "array<float>").alias("v"))
     usable = (F.size("v") > 0) & F.forall("v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf"))) & F.exists("v", lambda e: e != 0)
     rows = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
     size = rows.where("ok").groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), "size").first()
@@ -159,37 +166,51 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     rows = rows.withColumn("ok", F.col("ok") & (F.size("v") == size[0]))
     # -0.0 and 0.0 are the same component
-    rows = cut(rows.withColumn("v", F.transform("v", lambda e: e + F.lit(0.0))).withColumn("hash", F.when(F.col("ok"), F.xxhash64("v"))), "vectors")
+    zero = F.lit(0.0).cast(kind if wide else "float")
+    rows = cut(rows.withColumn("v", F.transform("v", lambda e: e + zero)).withColumn("hash", F.when(F.col("ok"), F.xxhash64("v"))), "vectors")
     equal = cut(rows.where("ok").groupBy("hash", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
                 .withColumn("rep", F.coalesce("least", "hash")), "vector-reps")
     n = equal.count()
     sample = equal.orderBy("hash", "rep").select("v").limit(sample_rows).toArrow().column(0).combine_chunks()
-    forest = spark.sparkContext.broadcast(Forest(_unit(sample)[0], n, trees, leaf, spill, seed))
+    forest = spark.sparkContext.broadcast(Forest(normal(matrix(sample)), n, trees, leaf, spill, seed))
+
+    def leaves_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = forest.value.leaves(normal(matrix(b.column(0))))
+            leaf_ids, count = np.unique(np.concatenate(own), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(leaf_ids.astype(np.int64)), pa.array(count)], ["leaf", "n"])
+
+    # one row a leaf: as many as the forest has, which the sample bounds
+    sizes = equal.select("v").mapInArrow(leaves_of, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).where("n > 1").collect()
+    blocks = spark.sparkContext.broadcast({r.leaf: -(-r.n // LEAF_BLOCK) for r in sizes})
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for k in range(0, whole.num_rows, 1000):
                 b = whole.slice(k, 1000)
-                x, _ = _unit(b.column(1))
-                own = forest.value.leaves(x)
-                times = [len(o) for o in own]
-                at = np.repeat(np.arange(len(own)), times)
-                flat = pa.array(np.concatenate(own).astype(np.int64))
-                unit = pa.array([v.astype("<f8").tobytes() for v in x], pa.binary())
-                leaves = pa.array([sorted(o) for o in own], pa.list_(pa.int64()))
-                take = pa.array(at)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(2).take(take), unit.take(take), leaves.take(take), flat],
-                                                 ["rep", "copies", "unit", "leaves", "leaf"])
-
-    listed = equal.select("rep", "v", "copies").mapInArrow(index, "rep long, copies long, unit binary, leaves array<long>, leaf long")
-    listed = cut(listed, "vector-leaves")
-    blocks = listed.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_BLOCK).alias("blocks"), F.count("*").alias("m")).where("m > 1").drop("m")
-    placed = listed.join(blocks, "leaf").withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    # a block alone, and every pair of blocks of a leaf
-    tasks = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    tasks = tasks.select("leaf", F.least("blk", "other").alias("a"), F.greatest("blk", "other").alias("b"), "rep", "copies", "unit", "leaves", "blk")
-    found = cut(by_group(tasks, ["leaf", "a", "b"], _compare(threshold), "rep long, n long, to long"), "vector-links")
-    drop(listed)
+                x = matrix(b.column(1))
+                own = forest.value.leaves(normal(x))
+                raw = [v.tobytes() for v in (x if wide else x.astype("<f4"))]
+                names = b.column(0).to_pylist()
+                out: list[tuple] = []
+                for r, found_in in enumerate(own):
+                    every = np.array(sorted(found_in), "<i8").tobytes()
+                    for leaf_id in found_in:
+                        parts = blocks.value.get(leaf_id, 0)
+                        blk = int(mix(np.array([names[r]], np.int64).view(U64))[0] % U64(parts)) if parts > 1 else 0
+                        # a block alone, and with every other block of its leaf
+                        for other in range(parts):
+                            out.append((leaf_id, min(blk, other), max(blk, other), r, raw[r], every, blk))
+                leaf_col, first, second, at, vector, every_leaf, blk_col = zip(*out, strict=True) if out else ([],) * 7
+                take = pa.array(at, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(c, pa.int64()) for c in (leaf_col, first, second)], b.column(0).take(take), b.column(2).take(take),
+                     pa.array(vector, pa.binary()), pa.array(every_leaf, pa.binary()), pa.array(blk_col, pa.int64())],
+                    ["leaf", "a", "b", "rep", "copies", "vector", "leaves", "blk"])
+
+    tasks = equal.select("rep", "v", "copies").mapInArrow(
+        index, "leaf long, a long, b long, rep long, copies long, vector binary, leaves binary, blk long")
+    found = cut(by_group(tasks, ["leaf", "a", "b"], _compare(threshold, wide), "rep long, n long, to long"), "vector-links")
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))
     roots = components(found.where("rep <> to"), "rep", "to").select(F.col("node").alias("rep"), "root")
     known = equal.join(links, "rep", "left").join(roots, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
