@@ -16,7 +16,8 @@ from strata.llm.queries import tokenizer_path
 from strata.llm.substring import remove_repeats
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_CONFIDENCE = 0.5
+# Texts in two languages stay: only where no language stands out a document is rejected.
+LEAST_CONFIDENCE = 0.3
 
 
 def _documents(docs: DataFrame, text: Column | None = None) -> DataFrame:
@@ -41,7 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     more, linked transitively): that of the smallest doc_id. Texts without words and null ids stay;
     rows that share a doc_id are one document and stay or go together."""
     gone = (jaccard_components(docs, percent=80, w=5).where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return _documents(docs.join(gone, docs.doc_id == gone["_gone"], "left_anti"))
+    # the copies grow with the documents: the same join at every size
+    return _documents(docs.join(gone.hint("merge"), docs.doc_id == gone["_gone"], "left_anti"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

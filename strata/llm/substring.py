@@ -214,7 +214,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFr
     words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), SPACES), lambda w: w != "")
     gone = lambda i: F.exists("_spans", lambda s: (i >= s[0]) & (i < s[1]))
     left = F.when(F.col("_spans").isNull(), F.col("_words")).otherwise(F.filter("_words", lambda w, i: ~gone(i)))
-    joined = docs.join(found, docs.doc_id.cast("long") == found["_doc"], "left").withColumn("_words", words).withColumn("_left", left)
+    # spans grow with the documents: the same join at every size
+    joined = docs.join(found.hint("merge"), docs.doc_id.cast("long") == found["_doc"], "left").withColumn("_words", words).withColumn("_left", left)
     told = joined.select(*[docs[c] for c in docs.columns], F.array_join("_left", " ").alias("_kept"),
                          F.size("_words").cast("long").alias("_n_words"), (F.size("_words") - F.size("_left")).cast("long").alias("_n_removed"))
     return told.withColumn("_sha256", F.sha2("_kept", 256))
