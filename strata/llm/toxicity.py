@@ -39,7 +39,7 @@ class Corpus:
         column = pa.array(texts, pa.string())
         ids, first, vocabulary = [], [0], {}
         names: list[str] = []
-        for _, _, data, ends in text_slices(column, 1 << 22):
+        for _, _, data, ends in text_slices(column):
             words = Words(data, ends)
             distinct, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
             raw = data.tobytes()
@@ -49,12 +49,16 @@ class Corpus:
                     vocabulary[h] = len(names)
                     names.append(raw[a:z].decode(errors="replace"))
                 number[k] = vocabulary[h]
-            ids.append(number[back])
+            ids.append(number[back].astype(np.int32))
             first += (first[-1] + words.first[1:]).tolist()
-        self.words = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        del vocabulary
+        self.words = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         self.first = np.array(first)
-        self.grams, self.begin = _subwords(names)
-        self.size = np.diff(self.begin)
+        # a part of the words at a time, as the n-grams in the making take far more room than their buckets
+        parts = [_subwords(names[k: k + 20_000]) for k in range(0, len(names), 20_000)]
+        self.grams = np.concatenate([g.astype(np.int32) for g, _ in parts]) if parts else np.zeros(0, np.int32)
+        self.size = np.concatenate([np.diff(b) for _, b in parts]) if parts else np.zeros(0, np.int64)
+        self.begin = np.concatenate(([0], np.cumsum(self.size)))
 
 
 def span_scores(value: np.ndarray, count: np.ndarray, first: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
