@@ -71,7 +71,10 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
     buckets = max(256, n // 5000)
     # linked: the hub occurs more than once
     known = nodes.where(F.col(hub).isNotNull()).groupBy(hub).agg(F.count("*").alias("_total")).where("_total > 1")
-    state = nodes.join(known, hub, "left").select(*nodes.columns, F.when(F.col("_total") > 1, F.col(hub)).alias("_hub"))
+    known = cut(known, "shard-hubs")  # tables on both sides, so that AQE can split a hot hub
+    state = (nodes.where(F.col(hub).isNotNull()).join(known, hub, "left")
+             .select(*nodes.columns, F.when(F.col("_total") > 1, F.col(hub)).alias("_hub"))
+             .unionByName(nodes.where(F.col(hub).isNull()).withColumn("_hub", F.col(hub))))
     state = dense_rank_in(state.withColumn("_one", F.lit(1)), ["_one"], order, buckets, "_at")
     state = cut(state.withColumn("shard", (F.col("_at") % shards).cast("int")).drop("_one", "_at"), "shard-state")
     cap = [n // shards + (t < n % shards) for t in range(shards)]
@@ -85,7 +88,9 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
         cells = state.where(F.col("_hub").isNotNull() & F.col("shard").isin(open_to)).groupBy("_hub", "shard").agg(F.count("*").alias("_n"))
         best = (cells.groupBy("_hub").agg(F.max(F.struct("_n", F.xxhash64("_hub", "shard").alias("_tie"), "shard")).alias("_best"), F.count("*").alias("_cells"))
                 .where("_cells > 1").select("_hub", F.col("_best.shard").alias("_to")))
-        wished = state.join(best, "_hub", "left").withColumn(
+        best = cut(best, "shard-best")
+        # rows without a hub take no part in the join: null keys would meet in one task
+        wished = state.where("_hub is not null").join(best, "_hub", "left").withColumn(
             "_to", F.when(F.col("shard").isin(open_to) & (F.col("_to") != F.col("shard")), F.col("_to")))
         wished = cut(wished.select(*state.columns, "_to"), "shard-wish")
         wish = {(r.shard, r["_to"]): r["count"] for r in wished.where("_to is not null").groupBy("shard", "_to").count().collect()}
@@ -101,8 +106,8 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
             moved = moved.withColumn("shard", F.when(may, F.col("_to")).otherwise(F.col("shard"))).drop("_at")
         else:
             moved = moved.withColumn("shard", F.col("_to"))
-        stay = wished.where("_to is null and _hub is not null")
-        single = wished.where("_hub is null")
+        stay = wished.where("_to is null")
+        single = state.where("_hub is null")
         if back:
             single = dense_rank_in(single, ["shard"], order, buckets, "_at")
             target, passed = F.col("shard"), {}
@@ -115,6 +120,7 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
         new = cut(moved.select(names).unionByName(stay.select(names)).unionByName(single.select(names))
                   .withColumn("shard", F.col("shard").cast("int")), "shard-state")
         drop(wished)
+        drop(best)
         drop(state)
         state = new
     return dense_rank_in(state.drop("_hub"), ["shard"], order, buckets, "slot")
