@@ -322,8 +322,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Alternating large-star and small-star steps on Spark joins, each round written to a scratch
     table, until the links are stars (a logarithmic number of rounds); each task first contracts
-    the links that it holds. Hot nodes meet only in aggregates that combine before the shuffle and in
-    joins that AQE can split. Null ends and self-links are ignored; no links give an empty table.
+    the links that it holds, so a node that many hang on has at most one link per other node and task.
+    Null ends and self-links are ignored; no links give an empty table.
     """
     e = edges.select(F.greatest(a, b).cast("long").alias("hi"), F.least(a, b).cast("long").alias("lo")).dropna().where("hi <> lo")
     e = cut(_contract(e).distinct(), "cc")

@@ -165,6 +165,7 @@ def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
     # a run that a smaller document has whole repeats whole
     keys = runs.select("doc_id", "first", "n", "hash")
     first = keys.groupBy("hash", "n").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last")).where("_doc <> _last").drop("_last")
+    first = cut(first, "repeat-copies")  # tables on both sides of the joins, so that AQE can split a hot run or window
     told = keys.join(first, ["hash", "n"], "left").select(
         "doc_id", "first", "n", F.coalesce(F.col("_doc") < F.col("doc_id"), F.lit(False)).alias("_copy"))
     told = cut(told, "repeat-told")
@@ -175,6 +176,7 @@ def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
     windows = _windows(runs.select("doc_id", "first", "words", F.xxhash64("doc_id", "first").alias("h")), window, picked)
     least = (windows.select("hash", "doc_id").groupBy("hash").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last"))
              .where("_doc <> _last").select("hash", "_doc"))
+    least = cut(least, "repeat-least")
     again = (windows.join(least, "hash").where("_doc < doc_id")
              .select("doc_id", F.col("at").alias("first"), (F.col("at") + window).alias("end")))
 
@@ -192,8 +194,8 @@ def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
 
     gathered = copies.union(again).groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("pairs"))
     out = cut(gathered.mapInArrow(spans, "doc_id long, spans array<array<long>>"), "repeat-spans")
-    drop(runs)
-    drop(told)
+    for table in (runs, told, first, least):
+        drop(table)
     return out
 
 
