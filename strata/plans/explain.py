@@ -42,7 +42,7 @@ def summarise(plan: str) -> dict:
 
 def main(argv: list[str]) -> None:
     sys.path.insert(0, ".")
-    import __spark_entry__ as entry
+    from strata.plans.catalog import QUERIES
     from strata.session import get_session
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     spark = get_session("plans", master="local[8]", shuffle_partitions=16)
@@ -55,7 +55,7 @@ def main(argv: list[str]) -> None:
           "branches of `clean_na_drop_fill`).\n")
     print("| query | hash | range | single | SMJ | BHJ | partial agg | partial limit | python | scans |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in sorted(entry.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         if name in SKIP:
             continue
         s = summarise(plan_text(q(spark, sf_dir)))
