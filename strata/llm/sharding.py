@@ -1,15 +1,19 @@
 """Sharding (2): balanced label propagation over documents that share a hub.
 
 Documents with the same hub (here: equal texts) are neighbours. Labels are shards. The start is
-balanced exactly (a dealt rank); every round moves linked documents to the shard where most of
-their neighbours are, as far as quotas allow, and sends as many unlinked documents back, so the
-row counts of the shards differ by at most one after every round. All of it is DataFrame
+balanced exactly: linked documents lie hub after hub in equal runs, one a shard, and unlinked ones
+fill the shards up, so only the hubs at the borders of runs are cut. Every round moves linked
+documents to the shard where most of their neighbours are, as far as quotas allow, against linked
+ones that come the other way and unlinked ones that are sent back, so the row counts of the shards
+differ by at most one after every round. All of it is DataFrame
 operations; the driver sees shard x shard counts only (256 numbers at 16 shards).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, drop
@@ -27,6 +31,37 @@ def dense_rank_in(df: DataFrame, keys: list[str], order: list[str], buckets: int
             .withColumn(out, F.col("_r") - 1 + F.col("_start")).drop("_b", "_r", "_start"))
 
 
+def run_of(rank: Column, sizes: list[int]) -> Column:
+    """Which of the runs of these sizes a gapless rank from 0 lies in."""
+    ends = list(accumulate(sizes))[:-1]
+    return F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e <= rank)) if ends else F.lit(0)
+
+
+def dealt(state: DataFrame, known: DataFrame, order: list[str], cap: list[int], buckets: int) -> DataFrame:
+    """``state`` with a balanced first ``shard``: linked rows in runs hub after hub (``known`` has the
+    rows of each), unlinked ones where room is left. Each border of runs cuts one hub at most."""
+    shards = len(cap)
+    linked = known.agg(F.coalesce(F.sum("_total"), F.lit(0)).alias("n")).first().n
+    runs = [linked // shards + (t < linked % shards) for t in range(shards)]
+    hubs = known.toDF("_hub", "_total").withColumn("_b", F.pmod(F.xxhash64("_hub"), F.lit(buckets)))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_b").orderBy("_hub").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a bucket in the window without keys
+    starts = hubs.groupBy("_b").agg(F.sum("_total").alias("_sum")).withColumn("_start", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    hubs = hubs.withColumn("_into", F.coalesce(F.sum("_total").over(within), F.lit(0))).join(starts, "_b")
+    hubs = hubs.select("_hub", (F.col("_start") + F.col("_into")).alias("_from"), "_total")
+    hubs = hubs.withColumn("_first", run_of(F.col("_from"), runs)).withColumn("_last", run_of(F.col("_from") + F.col("_total") - 1, runs))
+    hubs = cut(hubs.select("_hub", "_from", "_first", "_last"), "shard-runs")
+    rows = cut(state.where("_hub is not null").join(hubs, "_hub"), "shard-linked")
+    whole = rows.where("_first = _last").withColumn("shard", F.col("_first"))
+    # rows are numbered within the few hubs that lie on a border
+    border = dense_rank_in(rows.where("_first < _last"), ["_hub"], order, buckets, "_at").withColumn("shard", run_of(F.col("_from") + F.col("_at"), runs))
+    single = dense_rank_in(state.where("_hub is null").withColumn("_one", F.lit(1)), ["_one"], order, buckets, "_at")
+    single = single.withColumn("shard", run_of(F.col("_at"), [c - r for c, r in zip(cap, runs, strict=True)]))
+    names = [*state.columns, "shard"]
+    return whole.select(names).unionByName(border.select(names)).unionByName(single.select(names))
+
+
 def quotas(rows: list[int], cap: list[int], free: list[int], wish: dict[tuple[int, int], int]):
     """How many of the wished moves (from, to) may take place, and the moves of unlinked documents
     that even the shards out again. Wishes into a shard shrink until its unlinked documents can
@@ -61,9 +96,11 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
 
     Row counts of shards differ by at most one. Rows of equal non-null ``hub`` are linked; a null
     hub links with nothing. ``order`` names columns that fix the order of rows (repeated rows
-    are interchangeable). A hub larger than a shard fills one shard after another: in each round
-    only shards that still hold unlinked documents are targets. Propagation ends when no
-    document wishes to move, or after ``rounds``. An empty table gives an empty table.
+    are interchangeable). Of the hubs that fit in a shard at most shards - 1 are cut at the start,
+    with or without unlinked documents, and no round cuts another; a hub larger than a shard
+    fills one shard after another. Shards that still hold unlinked documents are the first targets,
+    others take linked documents as far as linked ones leave. Propagation ends when
+    no document can move, or after ``rounds``. An empty table gives an empty table.
     ``nodes`` may not have columns that begin with an underscore, or shard or slot.
     """
     nodes = cut(nodes, "shard-nodes")
@@ -75,23 +112,23 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
     state = (nodes.where(F.col(hub).isNotNull()).join(known, hub, "left")
              .select(*nodes.columns, F.when(F.col("_total") > 1, F.col(hub)).alias("_hub"))
              .unionByName(nodes.where(F.col(hub).isNull()).withColumn("_hub", F.col(hub))))
-    state = dense_rank_in(state.withColumn("_one", F.lit(1)), ["_one"], order, buckets, "_at")
-    state = cut(state.withColumn("shard", (F.col("_at") % shards).cast("int")).drop("_one", "_at"), "shard-state")
     cap = [n // shards + (t < n % shards) for t in range(shards)]
+    state = cut(dealt(cut(state, "shard-hubbed"), known, order, cap, buckets).withColumn("shard", F.col("shard").cast("int")), "shard-state")
     for _ in range(rounds):
-        seen = {r.shard: r for r in state.groupBy("shard").agg(F.count("*").alias("n"), F.count_if(F.col("_hub").isNull()).alias("free")).collect()}
+        seen = {r.shard: r for r in state.groupBy("shard").agg(F.count("*").alias("n"), F.count_if(F.col("_hub").isNull()).alias("free"),
+                                                                F.min("_hub").alias("low"), F.max("_hub").alias("high")).collect()}
         rows = [seen[t].n if t in seen else 0 for t in range(shards)]
         free = [seen[t].free if t in seen else 0 for t in range(shards)]
-        open_to = [t for t in range(shards) if free[t] > 0]
-        if not open_to:
-            break
-        cells = state.where(F.col("_hub").isNotNull() & F.col("shard").isin(open_to)).groupBy("_hub", "shard").agg(F.count("*").alias("_n"))
-        best = (cells.groupBy("_hub").agg(F.max(F.struct("_n", F.xxhash64("_hub", "shard").alias("_tie"), "shard")).alias("_best"), F.count("*").alias("_cells"))
+        # a shard that one hub has to itself is done
+        done = [t for t in seen if not seen[t].free and seen[t].low == seen[t].high]
+        cells = state.where(F.col("_hub").isNotNull() & ~F.col("shard").isin(done)).groupBy("_hub", "shard").agg(F.count("*").alias("_n"))
+        cells = cells.withColumn("_open", F.col("shard").isin([t for t in range(shards) if free[t] > 0]))
+        best = (cells.groupBy("_hub").agg(F.max(F.struct("_open", "_n", F.xxhash64("_hub", "shard").alias("_tie"), "shard")).alias("_best"), F.count("*").alias("_cells"))
                 .where("_cells > 1").select("_hub", F.col("_best.shard").alias("_to")))
         best = cut(best, "shard-best")
         # rows without a hub take no part in the join: null keys would meet in one task
         wished = state.where("_hub is not null").join(best, "_hub", "left").withColumn(
-            "_to", F.when(F.col("shard").isin(open_to) & (F.col("_to") != F.col("shard")), F.col("_to")))
+            "_to", F.when((F.col("_to") != F.col("shard")) & ~F.col("shard").isin(done), F.col("_to")))
         wished = cut(wished.select(*state.columns, "_to"), "shard-wish")
         wish = {(r.shard, r["_to"]): r["count"] for r in wished.where("_to is not null").groupBy("shard", "_to").count().collect()}
         take, back = quotas(rows, cap, free, wish)

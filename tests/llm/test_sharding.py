@@ -57,3 +57,29 @@ def test_quotas_keep_the_counts():
             after[a], after[b] = after[a] - n, after[b] + n
             gone[a] += n
         assert after == cap and all(gone[t] <= free[t] for t in gone)
+
+
+def test_table_delivered_twice(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    few = spark.createDataFrame([(10**9 + k, f"alone {k}") for k in range(5)], "doc_id long, text string")
+    for twice in (docs.unionByName(docs), docs.unionByName(docs).unionByName(few)):
+        rows = shard_documents(twice).collect()
+        balanced(rows)
+        where = {}
+        for r in rows:
+            where.setdefault((r["size"], r.text_crc32), set()).add(r.shard)
+        cut_groups = [s for s in where.values() if len(s) > 1]
+        # exactly even shards can cut one group at each of 15 borders; all others are whole
+        assert len(cut_groups) <= 15 and all(len(s) == 2 for s in cut_groups), len(cut_groups)
+
+
+def test_copies_only(spark):
+    pairs = [(k, k // 2) for k in range(1600)]  # 16 shards of 50 pairs: none has to be cut
+    mixed = [(k, k // 2 if k < 800 else k // 5) for k in range(1600)]
+    for nodes, most in ((pairs, 0), (mixed, 15)):
+        rows = balanced_shards(spark.createDataFrame(nodes, "id long, hub long"), "hub", ["id"]).collect()
+        balanced(rows)
+        where = {}
+        for r in rows:
+            where.setdefault(r.hub, set()).add(r.shard)
+        assert sum(len(s) > 1 for s in where.values()) <= most
