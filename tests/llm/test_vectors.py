@@ -70,3 +70,28 @@ def test_edge_tables(spark):
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0) for r in rows) == [(0, 0, 0), (0, 0, 0), (1, 1, 1), (1, 1, 1)]
     assert near_vectors(frame.limit(0)).count() == 0
     assert [r.n_links for r in near_vectors(frame.where("embedding is null")).collect()] == [0]
+
+
+def planted(rng, n, dim, pairs, cosine=0.9):
+    """Random unit vectors, the last ``pairs`` of them at exactly this cosine with the first."""
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = x[-pairs:] - (x[-pairs:] * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    x[-pairs:] = cosine * x[:pairs] + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other, axis=1, keepdims=True)
+    return x
+
+
+def test_recall_in_any_dimension(spark):
+    for dim, n, pairs in ((16, 6000, 600), (32, 6000, 600), (256, 3000, 300)):
+        x = np.float32(planted(np.random.default_rng(dim), n, dim, pairs, 0.902))
+        unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+        want = int((unit @ unit.T >= 0.9).sum()) - n
+        frame = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], SCHEMA)
+        got = sum(r.n_links for r in near_vectors(frame, leaf=64).collect())
+        assert want >= got >= 0.99 * want >= 1.98 * pairs, (dim, got, want)
+
+
+def test_trees_divide_wide_vectors():
+    x = planted(np.random.default_rng(5), 4000, 768, 100)
+    forest = vectors.Forest(x, len(x), 1, 512, vectors.margin(0.9, 768), 8)
+    assert len(set(sum(forest.leaves(x), []))) > 4
