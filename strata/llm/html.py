@@ -22,7 +22,9 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'](?=[^<>]*>))*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)", re.S)
 HINT = re.compile(r"(?:\b(?:class|id|role|aria-label)\s*=\s*)(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+MAY_HIDE = re.compile(r"hidden|display\s*:\s*none", re.I)  # what the attributes of a hidden element contain at least
+ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+HIDING_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 # fixed values: HTML element names
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 SKIP = set("script style noscript template svg math iframe object embed canvas head title select option textarea button video audio map".split())
@@ -59,6 +61,18 @@ def _names(rest: str) -> set[str]:
     return found
 
 
+def _hidden(rest: str) -> bool:
+    """Whether the attributes of a tag hide its element: hidden (but not =false), aria-hidden=true, or a
+    style that does not display it. The words in other names and values say nothing."""
+    if not MAY_HIDE.search(rest):
+        return False
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(rest):
+        found.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))  # the first of a name counts
+    return (found.get("hidden", "false").strip().lower() != "false" or found.get("aria-hidden", "").strip().lower() == "true"
+            or bool(HIDING_STYLE.search(found.get("style", ""))))
+
+
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
     """(text, words, words in links, furniture, article, heading, list item) of the text blocks."""
     out: list[tuple] = []
@@ -139,7 +153,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
             furniture, article, skip = stack[-2][1:] if len(stack) > 1 else (0, False, False)
             stack.pop()
         hints = _names(rest) if rest.strip() else set()
-        off = bool(rest) and bool(HIDDEN.search(rest))
+        off = bool(rest) and _hidden(rest)
         level = furniture_level(name, hints, article)
         if name in ("article", "main") and not level and furniture == 1:
             furniture = 0  # the name was that of the frame

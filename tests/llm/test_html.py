@@ -57,3 +57,14 @@ def test_edge_rows(spark):
     assert [rows[k].n_chars for k in (1, None, 3)] == [0, 0, 0] and rows[1].text == ""
     assert rows[2**60 + 1].n_chars == 5 * 300_000 - 1
     assert extract(pages.limit(0)).count() == 0
+
+
+def test_hidden_is_an_attribute_or_a_style(tree):
+    body = " ".join(["word"] * 30)
+    for shown in ("style=\"overflow:hidden\"", "class='overflow-hidden'", "title=\"The hidden valley\"", "data-x=hidden", "aria-hidden=false",
+                  "data-style='display:none'", "title='a style=\"display:none\" b'", "style='--x-display:none'", "data-hidden"):
+        assert main_text(f"<body {shown}><article><p>{body}</p></article></body>", tree) == body, shown
+    assert main_text(f"<article><p>{body} <a href=\"/hidden-gems\">of gems</a> {body}</p></article>", tree) == f"{body} of gems {body}"
+    for left_out in ("hidden", "class=x HIDDEN id=y", "hidden=''", "hidden=hidden", "aria-hidden=true", "aria-hidden=\"TRUE\"",
+                     "style='display:none'", "style=\"color:red; Display : none !important\"", "style=visibility:hidden"):
+        assert main_text(f"<article><p>{body}</p><div {left_out}><p>{body}</p></div></article>", tree) == body, left_out
