@@ -53,10 +53,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_warc")
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strata.llm.warc import read_warc, write_warc
+    from strata.llm.warc import base32, read_warc, write_warc
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    return read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records = read_warc(spark, path).withColumn("sha1", F.sha1("payload"))
+    # a revisit has no payload; its header gives both
+    size = F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_bytes"))
+    digest = F.coalesce(base32(F.col("sha1")), F.col("payload_digest"))
+    return records.select("page_id", size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
 
 
 ORACLE["op7_warc"] = """

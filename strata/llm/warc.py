@@ -12,8 +12,11 @@ does not reach are payload, and go back into the payload they were cut from.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -57,14 +60,16 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0, compression: str
     """One record per row of ``pages`` (page_id, url, html). Null html is an empty payload; a null
     page_id or url is an empty header value; repeated rows are records of their own (all
     rows of the smallest page_id are responses). Other columns are ignored. A revisit has no block; its
-    header names the payload's digest, length and the page it refers to."""
+    header names the payload's digest, length and the page it refers to. WARC-Date is the time of writing (UTC)."""
     rows = with_originals(pages, min_bytes)
     revisit = F.col("refers_to").isNotNull()
     size = F.octet_length("payload").cast("string")
+    written = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     head = F.concat_ws(
         "\r\n",
         F.when(revisit, "WARC-Type: revisit").otherwise("WARC-Type: response"),
         F.concat(F.lit("WARC-Record-ID: <urn:page:"), _line(F.col("page_id")), F.lit(">")),
+        F.concat(F.lit("WARC-Date: "), written),
         F.concat(F.lit("WARC-Target-URI: "), _line(F.col("url"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
@@ -78,39 +83,45 @@ def _header(name: str, pattern: str) -> Column:
     return F.regexp_extract(F.col("_head"), f"(?i)(?:^|\\r\\n){name}: *{pattern}", 1)
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """One row per magic: (file, off, next, _body, ...). off and next count uncompressed bytes; next
-    is null where the header gives no length or the file ends before it."""
+def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (value, file, split, bytes) with the bytes before each in its split, summed where it is read."""
+    before: dict[tuple, int] = {}
+    for b in batches:
+        into = []
+        for at in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            into.append(before.get(at[:2], 0))
+            before[at[:2]] = into[-1] + at[2]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(into, pa.int64())], ["value", "file", "split", "bytes", "into"])
+
+
+def lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per magic: (file, off, size, bytes, value, _size, _length, _entire): the text up to the next
+    magic, offset and file size in uncompressed bytes, the header's size, the length it gives,
+    and whether the text is a whole record."""
     raw = (spark.read.option("lineSep", MAGIC).text(path)
            .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
-                   F.monotonically_increasing_id().alias("line"))
-           .withColumn("bytes", F.octet_length("value").cast("long") + len(MAGIC)))
-    raw = cut(raw, "warc-lines")
-    lengths = raw.select("file", "split", "line", "bytes")
+                   (F.octet_length("value").cast("long") + len(MAGIC)).alias("bytes")))
+    raw = cut(raw.mapInArrow(_sums, "value string, file string, split long, bytes long, into long"), "warc-lines")
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (lengths.groupBy("file", "split").agg(F.sum("bytes").alias("sum"))
+    starts = (raw.groupBy("file", "split").agg(F.sum("bytes").alias("sum"))
               .withColumn("start", F.coalesce(F.sum("sum").over(before), F.lit(0)))
               .withColumn("size", F.sum("sum").over(Window.partitionBy("file")) - len(MAGIC)))
-    within = Window.partitionBy("file", "split").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
-    head = F.substring_index("value", END, 1)
-    placed = (raw.withColumn("_head", head)
-              .withColumn("_size", F.octet_length("_head").cast("long") + len(END))
-              .withColumn("_length", F.expr("try_cast(regexp_extract(_head, '(?i)(?:^|\\r\\n)Content-Length: *([0-9]+) *(?:\\r\\n|$)', 1) as bigint)"))
-              .withColumn("_length", F.when(F.octet_length("_head") < F.octet_length("value"), F.col("_length"))))
-    # what a record that was not cut by a magic says of its payload, read where the row is
-    body = F.col("value").cast("binary").substr(F.col("_size").cast("int") + 1, F.col("_length").cast("int"))
-    entire = F.col("_size") + F.col("_length") + len(END) == F.col("bytes") - len(MAGIC)
-    placed = placed.select(
-        "file", "split", "line", "bytes", "_size", "_length", "_head",
-        F.when(entire, F.sha1(body)).alias("_digest"))
-    sums = lengths.withColumn("into", F.coalesce(F.sum("bytes").over(within), F.lit(0))).drop("bytes")
-    rows = (placed.join(sums, ["file", "split", "line"]).join(starts.drop("sum"), ["file", "split"])
+    starts = cut(starts.drop("sum"), "warc-starts")  # one row a split, of known size: no line is shuffled
+    return (raw.join(starts, ["file", "split"])
             .withColumn("off", F.col("start") + F.col("into") - len(MAGIC)).where("off >= 0")
-            .withColumn("next", F.col("off") + len(MAGIC) + F.col("_size") + F.col("_length") + len(END)))
-    rows = rows.withColumn("next", F.when(F.col("next") <= F.col("size"), F.col("next")))
-    out = cut(rows.select("file", "split", "line", "off", "next", "size", "_size", "_length", "_head", "_digest"), "warc-candidates")
-    out._lines = raw
-    return out
+            .withColumn("_head", F.substring_index("value", END, 1))
+            .withColumn("_size", F.octet_length("_head").cast("long") + len(END))
+            .withColumn("_length", F.expr("try_cast(regexp_extract(_head, '(?i)(?:^|\\r\\n)Content-Length: *([0-9]+) *(?:\\r\\n|$)', 1) as bigint)"))
+            .withColumn("_length", F.when(F.octet_length("_head") < F.octet_length("value"), F.col("_length")))
+            .withColumn("_entire", F.coalesce(F.col("_size") + F.col("_length") + len(END) == F.col("bytes") - len(MAGIC), F.lit(False)))
+            .select("file", "off", "size", "bytes", "value", "_head", "_size", "_length", "_entire"))
+
+
+def candidates(read: DataFrame) -> DataFrame:
+    """(file, off, next, _size, _length, _entire) of ``lines``; next is null where the header gives no
+    length or the file ends before it."""
+    after = F.col("off") + len(MAGIC) + F.col("_size") + F.col("_length") + len(END)
+    return cut(read.select("file", "off", F.when(after <= F.col("size"), after).alias("next"), "_size", "_length", "_entire"), "warc-candidates")
 
 
 def reachable(found: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -164,30 +175,36 @@ def read_warc(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     payload_bytes, payload_digest, payload). A revisit's payload is null; its bytes and digest are those of
     its header. A chain ends at a record whose header has no length or that the file's end cuts
     off; what follows is not read. An empty file or folder of empty files gives no rows."""
-    found = candidates(spark, path)
+    read = lines(spark, path)
+    found = candidates(read)
     chain = cut(reachable(found, block), "warc-chain")
-    records = found.join(chain, ["file", "off"])
     # records that hold a magic: their pieces are the candidates up to the next record
-    broken = records.where("_digest is null").select("file", "off", "next", "_size", "_length")
+    broken = found.where("not _entire").join(chain, ["file", "off"]).select("file", "off", "next", "_size", "_length")
     blocks = broken.withColumn("blk", F.explode(F.sequence(F.floor(F.col("off") / block), F.floor((F.col("next") - 1) / block))))
-    pieces = found.select("file", "split", "line", F.col("off").alias("at")).withColumn("blk", F.floor(F.col("at") / block))
+    pieces = found.select("file", F.col("off").alias("at")).withColumn("blk", F.floor(F.col("at") / block))
     owned = (pieces.join(blocks, ["file", "blk"]).where("at >= off and at < next")
-             .select("file", "split", "line", "at", "off", "_size", "_length"))
+             .select("file", "at", "off", "_size", "_length"))
     owned = cut(owned, "warc-owned")  # of known size: where few records hold a magic, no line is shuffled
-    texts = owned.join(found._lines.select("file", "split", "line", "value"), ["file", "split", "line"])
+    texts = owned.join(read.select("file", F.col("off").alias("at"), "value"), ["file", "at"])
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda p: p.value), MAGIC)
     whole = texts.groupBy("file", "off", "_size", "_length").agg(joined.alias("_all"))
-    body = F.col("_all").cast("binary").substr(F.col("_size").cast("int") + 1, F.col("_length").cast("int"))
-    mended = whole.select("file", "off", F.sha1(body).alias("_mended"))
-    digest = base32(F.coalesce("_digest", "_mended"))
+
+    def body(text: str) -> Column:
+        return F.col(text).cast("binary").substr(F.col("_size").cast("int") + 1, F.col("_length").cast("int"))
+
+    mended = cut(whole.select("file", "off", body("_all").alias("_mended")), "warc-mended")
+    # the lines that are no records are few where few records hold a magic: payloads stay where they are
+    others = cut(found.join(chain, ["file", "off"], "left_anti").select("file", "off"), "warc-others")
+    records = read.join(others, ["file", "off"], "left_anti").join(mended, ["file", "off"], "left")
     kind = _header("WARC-Type", "(\\w+)")
     revisit = F.col("record_type") == "revisit"
     number = "try_cast(regexp_extract(_head, '(?i)(?:^|\\r\\n){}', 1) as bigint)"
-    out = (records.join(mended, ["file", "off"], "left")
-           .withColumn("record_type", F.lower(kind))
+    out = (records.withColumn("record_type", F.lower(kind))
            .withColumn("page_id", F.expr(number.format("WARC-Record-ID: *<urn:page:(-?[0-9]+)>")))
            .withColumn("refers_to", F.expr(number.format("WARC-Refers-To: *<urn:page:(-?[0-9]+)>")))
            .withColumn("url", F.nullif(_header("WARC-Target-URI", "([^\\r\\n]*)"), F.lit("")))
-           .withColumn("payload_bytes", F.when(revisit, F.expr(number.format("X-Payload-Length: *([0-9]+)"))).otherwise(F.col("_length")))
-           .withColumn("payload_digest", F.when(revisit, _header("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")).otherwise(digest)))
-    return out.select("file", "off", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest")
+           .withColumn("payload", F.when(revisit, F.lit(None)).when(F.col("_entire"), body("value")).otherwise(F.col("_mended")))
+           .withColumn("payload_bytes", F.when(revisit, F.expr(number.format("X-Payload-Length: *([0-9]+)"))).otherwise(F.octet_length("payload").cast("long")))
+           .withColumn("_sha1", F.sha1("payload"))
+           .withColumn("payload_digest", F.when(revisit, _header("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")).otherwise(base32(F.col("_sha1")))))
+    return out.select("file", "off", "page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload")

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import re
 import uuid
 
 import pytest
@@ -57,3 +58,30 @@ def test_tables(spark, sf, tmp_path):
     path = f"{tmp_path}/pages"
     write_warc(pages, path, compression="none")
     assert sorted([tuple(r)[2:] for r in warc.read_warc(spark, path, 5000).select("file", "off", "page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]) == sorted(expected([tuple(r) for r in pages.collect()]))
+
+
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_payloads_come_back(spark, tmp_path, block):
+    record = MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    bodies = ["plain", None, "", MAGIC * 3, "x" + record + record + "y", record[:-4], "été \x00 \r\n\r\n", "word " * 100_000, "plain", record]
+    rows = [(k, f"http://x/{k}", b, "p", None) for k, b in enumerate(bodies)]
+    path = f"{tmp_path}/payloads"
+    write_warc(spark.createDataFrame(rows, SCHEMA).repartition(2), path)
+    got = {r.page_id: r for r in read_warc(spark, path, block).collect()}
+    for k, body in enumerate(bodies):
+        raw = (body or "").encode()
+        if got[k].record_type == "revisit":
+            assert got[k].payload is None and got[got[k].refers_to].payload == raw
+        else:
+            assert got[k].payload == raw
+    assert sum(r.record_type == "revisit" for r in got.values()) == 2
+
+
+def test_records_have_the_headers_of_the_format(spark, tmp_path):
+    write_warc(spark.createDataFrame([(1, "http://x/1", "a", "p", None), (2, "http://x/2", "a", "p", None)], SCHEMA), f"{tmp_path}/dated", compression="none")
+    heads = [r.value.split("\r\n\r\n")[0] for r in spark.read.option("lineSep", MAGIC).text(f"{tmp_path}/dated").collect() if r.value]
+    assert len(heads) == 2
+    for head in heads:
+        names = [line.split(": ", 1)[0] for line in head.split("\r\n")]
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(names)
+        assert re.search(r"(?m)^WARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r?$", head)
