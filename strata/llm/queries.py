@@ -159,3 +159,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.llm.toxicity import toxicity
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.conversations import damage, repair_report
+    conversations = table(spark, sf_dir, "conversations")
+    told = repair_report(damage(conversations)).withColumnRenamed("conv_id", "_conv")
+    every = conversations.select("conv_id").distinct()
+    met = every.join(told.hint("merge"), F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return met.select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
