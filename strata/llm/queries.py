@@ -171,3 +171,38 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
     return met.select("conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
                       F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.spelling import group_variants, mistyped, runs, vocabulary
+    found = runs(table(spark, sf_dir, "documents")).select(mistyped(F.col("doc_id"), F.col("run")).alias("word"))
+    return group_variants(vocabulary(found))
+
+
+# crc32 of a string's bytes, by a table that a rule makes
+_CRC_TABLE = ("(SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), "
+              "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc)")
+_CRC32 = ("xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(octet_length(encode({0}))), "
+          "lambda i: ('0x' || substr(hex({0}), (2 * i + 1)::INT, 2))::BIGINT)), "
+          "lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255)::INT + 1])), 4294967295)")
+
+ORACLE["op13_spelling_variants"] = f"""
+WITH RECURSIVE t AS {_CRC_TABLE},
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+c AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS k, run, count(*) AS times FROM r GROUP BY ALL),
+h AS (SELECT run, times, {_CRC32.format('k')} AS h FROM c, t),
+m AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, times FROM h),
+v AS (SELECT word, sum(times)::BIGINT AS n FROM m WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM v),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM p),
+e AS (SELECT a.word AS u, b.word AS near, b.n FROM d a JOIN d b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+      UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.less = v.word
+      UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.less = v.word),
+b AS (SELECT u, count(*) AS n_near, max(n) AS top, arg_min(near, (-n, near)) AS best FROM e GROUP BY u),
+f AS (SELECT v.word, CASE WHEN b.top >= 2 * v.n THEN b.best END AS form, v.n, coalesce(b.n_near, 0)::BIGINT AS n_near,
+        CASE WHEN b.top >= 2 * v.n THEN b.top END AS form_n FROM v LEFT JOIN b ON v.word = b.u),
+g AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT g.word, f.form, step + 1 FROM g JOIN f ON g.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(g.root, g.step) AS root, f.n, f.n_near, f.form_n FROM f JOIN g ON f.word = g.word GROUP BY ALL
+"""
