@@ -206,3 +206,11 @@ f AS (SELECT v.word, CASE WHEN b.top >= 2 * v.n THEN b.best END AS form, v.n, co
 g AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT g.word, f.form, step + 1 FROM g JOIN f ON g.root = f.word WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, arg_max(g.root, g.step) AS root, f.n, f.n_near, f.form_n FROM f JOIN g ON f.word = g.word GROUP BY ALL
 """
+
+
+@query("op12_suffix_array_dedup")
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strata.llm.suffixes import remove_repeated_bytes
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.col("_n_removed").alias("n_removed"),
+                      F.col("_n_spans").alias("n_spans"), F.sha2("_kept", 256).alias("kept_sha256"))
