@@ -20,44 +20,51 @@ from pyspark.sql import functions as F
 from strata.llm.common import by_group, word_slices
 from strata.llm.subwords import WordTable, word_grams
 
-BITS = 16
+BITS, LEAST_BITS = 16, 10
+CELLS = 1 << 24  # weights of a model
 LEAST, MOST = 1, 3
 SCALE = 30.0  # of the features, so that the learning rate suits them
 _PART = 1 << 13
+LEAST_ROWS = 20  # of a language to learn from, where it has them
 
 
-def _counts(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def bits_for(languages: int) -> int:
+    """Bits of the feature hash: ``BITS``, and fewer where buckets x languages would be over ``CELLS``."""
+    return max(LEAST_BITS, min(BITS, (CELLS // max(languages, 1)).bit_length() - 1))
+
+
+def _counts(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(row, buckets, counts) of every text."""
     for row, end, words in word_slices(column):
         distinct, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
         raw = words.data.tobytes()
         grams, first = word_grams([raw[a:z].decode(errors="replace") for a, z in zip(words.start[at].tolist(), words.stop[at].tolist(), strict=True)],
-                                  LEAST, MOST, BITS)
+                                  LEAST, MOST, bits)
         for r in range(end - row):
             own, times = np.unique(back[words.first[r]: words.first[r + 1]], return_counts=True)
             size = first[own + 1] - first[own]
             place = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            total = np.bincount(grams[place], np.repeat(times, size), minlength=1 << BITS)
+            total = np.bincount(grams[place], np.repeat(times, size), minlength=1 << bits)
             found = np.flatnonzero(total)
             yield row + r, found, total[found].astype(np.int64)
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+def document_frequencies(docs: DataFrame, bits: int = BITS) -> tuple[np.ndarray, int]:
     """Documents that hold each bucket, over all rows of ``docs``, and the number of rows."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = np.zeros((1 << BITS) + 1, np.int64), 0
+        held, n = np.zeros((1 << bits) + 1, np.int64), 0
         for b in batches:
             for row, end, words in word_slices(b.column(0)):
                 distinct, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
                 raw = words.data.tobytes()
                 grams, first = word_grams([raw[a:z].decode(errors="replace") for a, z in zip(words.start[at].tolist(), words.stop[at].tolist(), strict=True)],
-                                          LEAST, MOST, BITS)
+                                          LEAST, MOST, bits)
                 for r in range(end - row):
                     own = np.unique(back[words.first[r]: words.first[r + 1]])
                     size = first[own + 1] - first[own]
                     place = np.repeat(first[own] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    seen = np.zeros(1 << BITS, bool)
+                    seen = np.zeros(1 << bits, bool)
                     seen[grams[place]] = True
                     held[:-1] += seen
                     n += 1
@@ -71,7 +78,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         total = sum(np.frombuffer(raw, "<i8") for raw in part.cells)
         return pd.DataFrame({"part": [key[0]], "cells": [total.astype("<i8").tobytes()]})
 
-    out = np.zeros((1 << BITS) + 1, np.int64)
+    out = np.zeros((1 << bits) + 1, np.int64)
     rows = docs.select("text").mapInArrow(run, "part long, cells binary")
     for r in by_group(rows, ["part"], add, "part long, cells binary").toLocalIterator():
         cells = np.frombuffer(r.cells, "<i8")
@@ -83,7 +90,7 @@ class Model:
     """Weights (buckets x languages), biases, temperature and IDF."""
 
     def __init__(self, languages: list[str], idf: np.ndarray, alpha=0.5, beta=1.0, l1=0.02, l2=0.02):
-        self.languages, self.idf = languages, idf
+        self.languages, self.idf, self.bits = languages, idf, len(idf).bit_length() - 1
         k = len(languages)
         self.z, self.n = np.zeros((len(idf) + 1, k)), np.zeros((len(idf) + 1, k))  # the last row is the bias
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
@@ -121,30 +128,33 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(docs: DataFrame, sample_rows: int = 4000, max_languages: int = 500, epochs: int = 3) -> Model | None:
-    """A model of the ``lang`` values of ``docs`` (doc_id, text, lang): document frequencies over all
-    its rows, weights on about ``sample_rows`` of them, as many of each language, chosen by a
-    hash of the id; every fifth of those only sets the temperature. The ``max_languages`` most
-    frequent values are learned. None if there is nothing to learn from."""
-    known = docs.where("lang is not null and text is not null")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+def fit(docs: DataFrame, sample_rows: int = 4000, epochs: int = 3) -> Model | None:
+    """A model of every ``lang`` value of ``docs`` (doc_id, text, lang): document frequencies over all
+    its rows, weights on about ``sample_rows`` distinct rows (at most twice as many, but
+    ``LEAST_ROWS`` of each language), as many of each language, chosen by a hash of id and text; every
+    fifth of those only sets the temperature. Rows that repeat are one. Many languages share fewer
+    feature buckets (``bits_for``), so the model's memory is bounded. None if there is nothing to learn from."""
+    known = docs.where("lang is not null and text is not null").withColumn("at", F.xxhash64("doc_id", "text"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("at", 0.02).alias("rows")).orderBy("lang").collect()
     if not counts:
         return None
-    languages = sorted(r.lang for r in counts)
-    quota = sample_rows / len(counts)
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, quota / r["count"]))])
-    unit = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.where(unit < share[F.col("lang")]).select(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("order")), F.lit(1 << 40)).alias("at"), "lang", "text")
+    languages, bits = [r.lang for r in counts], bits_for(len(counts))
+    quota = max(sample_rows / len(counts), LEAST_ROWS)
+    shares = docs.sparkSession.createDataFrame([(r.lang, min(1.0, 1.1 * quota / max(r.rows, 1))) for r in counts], "lang string, share double")
+    unit = F.pmod(F.xxhash64("at", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
+    most = int(2 * quota * len(counts)) + 1
+    sample = (known.join(F.broadcast(shares), "lang").where(unit < F.col("share"))  # one row a language
+              .select("at", "lang", "text").dropDuplicates(["at", "lang"]).orderBy("at", "lang").limit(most))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = list(_counts(b.column(2)))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([f[1].astype("<i4").tobytes() for f in found], pa.binary()),
-                 pa.array([f[2].astype("<i4").tobytes() for f in found], pa.binary())], ["at", "lang", "buckets", "counts"])
+            for row, buckets, times in _counts(b.column(2), bits):
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(row, 1), b.column(1).slice(row, 1), pa.array([buckets.astype("<i4").tobytes()], pa.binary()),
+                     pa.array([times.astype("<i4").tobytes()], pa.binary())], ["at", "lang", "buckets", "counts"])
 
     rows = sample.mapInArrow(run, "at long, lang string, buckets binary, counts binary").toPandas().sort_values(["at", "lang"], ignore_index=True)
-    held, n = document_frequencies(known)
+    held, n = document_frequencies(known, bits)
     model = Model(languages, np.log((1 + n) / (1 + held)) + 1)
     label = rows.lang.map({v: k for k, v in enumerate(languages)}).to_numpy()
     x = [(np.frombuffer(a, "<i4"), np.frombuffer(c, "<i4")) for a, c in zip(rows.buckets, rows.counts, strict=True)]
@@ -172,14 +182,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     text_at = names.index("text")
     schema = docs.withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
     if model is not None:
-        k = len(model.languages)
+        k, bits = len(model.languages), model.bits
         scaled = np.column_stack([SCALE * model.idf[:, None] * model.weights(slice(0, -1)) / model.temperature, np.ones(len(model.idf))])
         shared = docs.sparkSession.sparkContext.broadcast((model.languages, scaled, model.weights(slice(-1, None))[0] / model.temperature))
 
     def make(words: list[str]) -> np.ndarray:
         """Per word: what its n-grams add to each logit, their number, whether it has a letter."""
         table = shared.value[1]
-        grams, first = word_grams(words, LEAST, MOST, BITS)
+        grams, first = word_grams(words, LEAST, MOST, bits)
         out = np.add.reduceat(table[grams], first[:-1])
         return np.column_stack([out, [any(map(str.isalpha, w)) for w in words]])
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 _BATCH_BYTES = 8 << 20
-_CACHE_PIECES = 900_000
+_CACHE_BYTES = 80 << 20  # of the pieces that a worker keeps, with some 200 bytes of overhead each
 # texts whose split is known: ASCII and the letters of Latin-1, which lower-casing keeps apart
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
@@ -35,14 +35,15 @@ class WordIds(dict):
 
     The tokenizer lower-cases, drops white space and splits into pieces (letters, digits, other
     signs, contractions) that it encodes apart. Pieces recur: a text of ASCII and Latin-1
-    letters is split here in the same way, and each piece is encoded once while it is held (at
-    most ``_CACHE_PIECES`` of up to 64 characters). In other texts the chunks between blanks are
+    letters is split here in the same way, and each piece is encoded once while it is held (those
+    of up to 64 characters, ``_CACHE_BYTES`` at most). In other texts the chunks between blanks are
     handled so where they can be, and given to the tokenizer whole where not.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.held = 0
 
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -50,8 +51,10 @@ class WordIds(dict):
     def __missing__(self, piece: str) -> bytes:
         out = self.ids(piece)
         if len(piece) <= 64:
-            if len(self) >= _CACHE_PIECES:
+            self.held += 200 + len(piece) + len(out)
+            if self.held > _CACHE_BYTES:
                 self.clear()
+                self.held = 0
             self[piece] = out
         return out
 

@@ -47,10 +47,11 @@ def word_grams(words: list[str], least: int, most: int, bits: int, whole: bool =
 
 
 class WordTable:
-    """Rows of ``make(new words)`` (one array row a word) by word hash; at most ``limit`` words are held."""
+    """Rows of ``make(new words)`` (one array row a word) by word hash; it starts anew when some
+    ``held_bytes`` are held."""
 
-    def __init__(self, make: Callable[[list[str]], np.ndarray], limit: int = 400_000):
-        self.make, self.limit = make, limit
+    def __init__(self, make: Callable[[list[str]], np.ndarray], held_bytes: int = 64 << 20):
+        self.make, self.held_bytes = make, held_bytes
         self.row: dict[int, int] = {}
         self.values: np.ndarray | None = None
         self.used = 0
@@ -58,8 +59,9 @@ class WordTable:
     def of(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """(row of each word, the table)."""
         distinct, at, back = np.unique(words.hash, return_index=True, return_inverse=True)
-        if self.used + len(distinct) > self.limit:
-            self.row, self.used = {}, 0
+        each = 120 + (2 * self.values[0].nbytes if self.values is not None else 0)  # the table grows by doubling
+        if self.used and (self.used + len(distinct)) * each > self.held_bytes:
+            self.row, self.values, self.used = {}, None, 0
         rows = np.fromiter((self.row.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
         new = np.flatnonzero(rows < 0)
         if len(new):

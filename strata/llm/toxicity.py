@@ -16,7 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import Words, text_slices, word_slices
@@ -191,10 +191,12 @@ class Model:
             self.slope, self.shift = a / spread, b - a * x.mean() / spread
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000, sample_bytes: int = 48 << 20) -> Model | None:
     """A model of ``labels.toxic`` (0 or 1) of the documents, fitted on about ``sample_rows`` labelled rows: half
-    of each class where there are as many, chosen by a hash of the id. Every fifth of them is
-    kept back and sets the scale of the scores. None without labels of both classes."""
+    of each class where there are as many, chosen by a hash of the id. Rows that repeat are one; an id
+    with many texts counts for at most as many rows as fit into twice ``sample_rows``, and texts for at
+    most ``sample_bytes`` together (each for an eighth of it), so what the driver gathers is bounded.
+    Every fifth row is kept back and sets the scale of the scores. None without labels of both classes."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)").distinct()
     counts = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(counts) < 2:
@@ -205,9 +207,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 6000) -> Model |
     share = {k: min(1.0, quota[k] / counts[k]) for k in counts}
     unit = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
     chosen = known.where(unit < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    # about sample_rows short rows: a size that is bounded by the parameter
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-            .toPandas().sort_values(["doc_id", "toxic"], ignore_index=True))
+    # chosen is bounded by sample_rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    size = F.octet_length("text")
+    rows = (texts.where(size <= sample_bytes // 8).join(F.broadcast(chosen), "doc_id").withColumn("_at", F.xxhash64("doc_id", "text"))
+            .dropDuplicates(["_at", "toxic"]).orderBy("_at", "toxic").limit(2 * sample_rows))
+    before = Window.partitionBy(F.lit(0)).orderBy("_at", "toxic").rowsBetween(Window.unboundedPreceding, 0)  # over these rows only
+    rows = rows.withColumn("_bytes", F.sum(size).over(before)).where(F.col("_bytes") <= sample_bytes).select("doc_id", "toxic", "text")
+    rows = rows.toPandas().sort_values(["doc_id", "toxic", "text"], ignore_index=True)
     if rows.toxic.nunique() < 2:
         return None
     label = rows.toxic.to_numpy(np.int64)

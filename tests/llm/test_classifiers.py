@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import pytest
@@ -85,3 +86,70 @@ def test_long_texts(spark, size):
     docs = spark.createDataFrame([(1, "word " * size, "en"), (4, "mot " * size, "fr"), (8, "w" * size, "en"), (9, "m" * size, "fr")], "doc_id long, text string, lang string")
     assert len(identify(docs).collect()) == 4
     assert len(toxicity(docs, spark.createDataFrame([(k, k % 2) for k in range(1, 10)], "doc_id long, toxic int")).collect()) == 4
+
+
+def test_every_language_is_learned(spark):
+    """600 languages of one word each, in fewer feature buckets."""
+    words = [f"{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(600)]
+    rows = [(4 * k + c, f"{w * 3} {w}{w}", w) for k, w in enumerate(words) for c in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(docs, 3000)
+    assert len(model.languages) == 600 and (1 << model.bits) * 600 <= 1 << 24
+    told = predict(docs.where("doc_id % 4 = 0"), model).collect()
+    assert len({r.lang_pred for r in told}) > 500
+
+
+def test_samples_are_bounded(spark, monkeypatch):
+    """An id that comes 20,000 times, in one text or in many, is not gathered whole."""
+    import pandas as pd
+    gathered = []
+    whole = pd.DataFrame.sort_values
+
+    def sort_values(self, *args, **kwargs):
+        gathered.append(len(self))
+        return whole(self, *args, **kwargs)
+
+    monkeypatch.setattr(pd.DataFrame, "sort_values", sort_values)
+    docs = spark.sql("SELECT 1L AS doc_id, 'the big dog' AS text, 'en' AS lang FROM range(20000) UNION ALL "
+                     "SELECT 2L, concat('el perro ', id), 'es' FROM range(20000) UNION ALL SELECT id + 10, 'le chien', 'fr' FROM range(200)")
+    fit(docs, 100)
+    labels = spark.sql("SELECT id AS doc_id, CAST(id % 2 AS int) AS toxic FROM range(300)")
+    toxicity(docs, labels, 100)
+    assert len(gathered) == 2 and all(0 < n <= 250 for n in gathered)
+
+
+def test_repeated_deliveries_train_a_model(spark):
+    docs = spark.sql("SELECT k AS doc_id, IF(k % 2 = 0, 'la casa y el perro', 'the house and the dog') AS text, IF(k % 2 = 0, 'es', 'en') AS lang "
+                     "FROM (SELECT id % 40 AS k FROM range(20000))")
+    told = predict(docs.distinct(), fit(docs, 40)).collect()
+    assert all(r.lang_pred == r.lang for r in told)
+
+
+def test_scores_against_each_text_alone(spark):
+    """The scorer over words against the model's own arrays, text by text."""
+    import numpy as np
+
+    from strata.llm import langid, subwords
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").where("doc_id < 400")
+    model = langid.fit(docs, 200)
+    for r in predict(docs, model).collect():
+        words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", r.text or "") if w]
+        if not words or r.lang_pred == "und":
+            continue
+        grams, _ = subwords.word_grams(words, langid.LEAST, langid.MOST, model.bits)
+        buckets, times = np.unique(grams, return_counts=True)
+        at, x = model.features(buckets, times)
+        p = langid.softmax(x @ model.weights(at) / model.temperature)
+        assert model.languages[int(p.argmax())] == r.lang_pred and abs(p.max() - r.score) < 1e-6
+
+
+def test_one_ftrl_step_by_hand():
+    import numpy as np
+
+    from strata.llm.langid import Model
+    model = Model(["a", "b"], np.ones(1024))
+    model.learn(np.array([3]), np.array([2]), 0)
+    g = 30.0 * (0.5 - 1)  # feature 30 (its whole text) times p - 1
+    assert np.allclose(model.z[3], [g, -g]) and np.allclose(model.n[3], [g * g, g * g])
+    w = -(g - np.sign(g) * model.l1) / ((model.beta + abs(g)) / model.alpha + model.l2)
+    assert np.allclose(model.weights(np.array([3]))[0], [w, -w])
