@@ -30,7 +30,7 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _STEP = U64(0x9E3779B97F4A7C15)
 _WORD_STEP = U64(0xD6E8FEB86659FD93)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 # -- tables -----------------------------------------------------------------------------

@@ -50,7 +50,7 @@ class WordTable:
     """Rows of ``make(new words)`` (one array row a word) by word hash; it starts anew when some
     ``held_bytes`` are held."""
 
-    def __init__(self, make: Callable[[list[str]], np.ndarray], held_bytes: int = 64 << 20):
+    def __init__(self, make: Callable[[list[str]], np.ndarray], held_bytes: int = 40 << 20):
         self.make, self.held_bytes = make, held_bytes
         self.row: dict[int, int] = {}
         self.values: np.ndarray | None = None
