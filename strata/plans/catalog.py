@@ -15,7 +15,8 @@ from strata import contracts
 from strata.functions import expressions as fx
 from strata.operators import aggregate as agg
 from strata.operators import clean as cl
-from strata.operators import joins, measure
+from strata.operators import joins, measure, recommend, skew
+from strata.operators.quantiles import exact_quantiles
 from strata.operators.ranking import rank_within_group, top_k
 from strata.plans import bindings, layers
 from strata.session import checkpoint_root, scratch_path
@@ -477,7 +478,7 @@ def q_upsert_latest(spark: SparkSession, d: str) -> DataFrame:
     older delivery (version 1) of the years 1997 to 1999 that changes nothing it finds."""
     acc = silver(spark, d)["accidents"]
     moved = F.when(F.col("num_acc") % 7 == 0, F.lit("07")).otherwise(F.col("dep"))
-    first = acc.where(F.col("an") <= 1998).withColumn("version", F.lit(2))
+    first = acc.where(F.col("an").isNull() | (F.col("an") <= 1998)).withColumn("version", F.lit(2))
     second = acc.where(F.col("an") >= 1998).withColumn("dep", moved).withColumn("version", F.lit(3))
     late = acc.where(F.col("an").between(1997, 1999)).withColumn("dep", F.lit("99")).withColumn("version", F.lit(1))
     path = scratch_path(spark, "upsert")
@@ -644,7 +645,7 @@ def q_src_grown_months(spark: SparkSession, d: str) -> DataFrame:
     read with the wide schema: what a file does not have is NULL."""
     acc = silver(spark, d)["accidents"].select("num_acc", "an", "dep", "hrmn", "meteo")
     path = scratch_path(spark, "grown")
-    acc.where("an < 1998").drop("hrmn", "meteo").write.parquet(f"{path}/a")
+    acc.where("an < 1998 or an is null").drop("hrmn", "meteo").write.parquet(f"{path}/a")
     acc.where("an between 1998 and 1999").drop("meteo").write.parquet(f"{path}/b")
     acc.where("an >= 2000").write.parquet(f"{path}/c")
     back = files.read_grown_parquet(spark, [f"{path}/a", f"{path}/b", f"{path}/c"], acc.schema)
@@ -833,6 +834,107 @@ def q_clean_outlier_reasons(spark: SparkSession, d: str) -> DataFrame:
     return agg.count_by_category(cl.with_reject_reason(rows, rules), "reject_reason", "nb")
 
 
+# ---- hot keys, exact quantiles, state, recommendations -------------------------------------
+
+
+@query("agg_unit_price_quantiles")
+def q_agg_unit_price_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Exact median, first and ninth decile of the unit price per supplier nation."""
+    li = bindings.table(spark, d, "lineitem", ["l_suppkey", "l_extendedprice", "l_quantity"])
+    s = bindings.table(spark, d, "supplier", ["s_suppkey", "s_nationkey"])
+    rows = li.join(s, li.l_suppkey == s.s_suppkey).select("s_nationkey", fx.safe_ratio("l_extendedprice", "l_quantity").alias("_up"))
+    return exact_quantiles(rows, "s_nationkey", "_up", {"decile_1": 0.1, "mediane": 0.5, "decile_9": 0.9})
+
+
+@query("join_hot_key")
+def q_join_hot_key(spark: SparkSession, d: str) -> DataFrame:
+    """Events against their type's mean (few types, each a hot key) by the salted join: per type, events and those
+    above the mean."""
+    ev = bindings.table(spark, d, "events", ["event_id", "event_type", "value"])
+    per_type = ev.groupBy("event_type").agg(F.avg("value").alias("moyenne"))
+    met = skew.skew_join(ev, per_type, "event_type")
+    return met.groupBy("event_type").agg(F.count(F.lit(1)).alias("nb"), fx.count_where(F.col("value") > F.col("moyenne")).alias("nb_au_dessus"))
+
+
+@query("heavy_hitter_keys")
+def q_heavy_hitter_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Part types that hold more than 1 % of the lines."""
+    li = bindings.table(spark, d, "lineitem", ["l_partkey"])
+    p = bindings.parts(spark, d)
+    return skew.heavy_hitters(li.join(p, li.l_partkey == p.p_partkey), "p_type", 0.01)
+
+
+def _arrivals(spark: SparkSession, d: str) -> str:
+    """The events as files that arrive one after the other, shuffled by the event's number."""
+    path = scratch_path(spark, "arrivals")
+    ev = bindings.table(spark, d, "events")
+    for k in range(4):
+        ev.where(F.pmod(F.coalesce("event_id", F.lit(0)), F.lit(4)) == k).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query("stream_stateful_counts")
+def q_stream_stateful_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Events and amount per day window and type over four triggers, open windows in the state store; the delay is longer
+    than the data, so nothing is late."""
+    from strata.streaming import stateful
+    out = scratch_path(spark, "state-out")
+    stateful.run_stateful_counts(spark, _arrivals(spark, d), out, scratch_path(spark, "state-ckpt"), "1 day", "100000 days", 1, 8)
+    return stateful.read_stateful_counts(spark, out)
+
+
+@query("stream_late_rows")
+def q_stream_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Per day window and type: events counted in state and events that came after their window was closed (by a
+    watermark two days behind the latest event)."""
+    from strata.streaming import stateful
+    source, counts, late = _arrivals(spark, d), scratch_path(spark, "state-out"), scratch_path(spark, "late-out")
+    stateful.run_stateful_counts(spark, source, counts, scratch_path(spark, "state-ckpt"), "1 day", "2 days", 1, 8)
+    stateful.run_late_rows(spark, source, late, scratch_path(spark, "late-ckpt"), "1 day", "2 days", 1)
+    return stateful.counted_and_late(spark, counts, late)
+
+
+@query("als_recommend")
+def q_als_recommend(spark: SparkSession, d: str) -> DataFrame:
+    """The ten best unrated parts per supplier, from an ALS model and a candidate index over its part factors."""
+    pairs, users, items = recommend.als_model(bindings.ratings(spark, d), "user_id", "item_id", "rating")
+    return recommend.recommend(users, items, pairs, "user_id", "item_id")
+
+
+@query("als_rated_scores")
+def q_als_rated_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Rating and model score of every rated (supplier, part) pair."""
+    return recommend.als_scores(bindings.ratings(spark, d), "user_id", "item_id", "rating")
+
+
+@query("write_observed_counts")
+def q_write_observed_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Raw, kept and rejected accidents per reason, counted in the pass that writes the kept ones."""
+    rows = cl.with_reject_reason(bindings.dirty_accidents(spark, d), layers.TEXT_ACCIDENT_RULES)
+    reason = F.col("reject_reason")
+    tests = {r: reason == r for r in ("key_missing", "key_blank", "out_of_range_an")}
+    path = scratch_path(spark, "observed")
+    counts = sinks.write_kept(rows, path, reason.isNull(), tests)
+    back = spark.read.schema(rows.schema).parquet(path).agg(F.count(F.lit(1)).alias("nb")).select(F.lit("written").alias("mesure"), "nb")
+    return spark.createDataFrame(sorted(counts.items()), "mesure string, nb long").union(back)
+
+
+@query("gold_incremental")
+def q_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Departments kept up to date from three deliveries: accidents up to 1996, those from 1996 on with some departments
+    corrected, and every fifth accident with its score taken back."""
+    from strata.plans import incremental
+    s = silver(spark, d)
+    rows = s["accidents"].select("num_acc", "dep", "an").join(s["severity"], "num_acc").select(
+        "num_acc", "dep", "an", F.col("gravite_max").alias("score"), F.col("accident_grave").alias("grave"))
+    corrected = rows.withColumn("dep", F.when(F.col("num_acc") % 7 == 0, F.lit("07")).otherwise(F.col("dep")))
+    base, bucket = scratch_path(spark, "incremental"), F.col("num_acc") / 5000
+    for number, delivery in enumerate((rows.where("an is null or an <= 1996"), corrected.where("an >= 1996"),
+                                       corrected.where("num_acc % 5 = 0").withColumns({"score": F.lit(1), "grave": F.lit(0)}))):
+        incremental.deliver(spark, base, number, delivery, bucket)
+    return incremental.gold(spark, base)
+
+
 def main(argv: list[str] | None = None) -> None:
     """Run catalogue queries by name: write each to Parquet, or print n rows."""
     import argparse

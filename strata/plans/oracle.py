@@ -519,3 +519,45 @@ SELECT CASE WHEN c.c_acctbal < 0 THEN 'negative_c_acctbal'
                  lpad(CAST(day(o.o_orderdate) + o.o_orderkey % 10 AS VARCHAR), 2, '0') AS DATE) IS NULL
             THEN 'impossible_date_an_mois_jour' END AS reject_reason, count(*) AS nb
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1"""
+
+# ---- hot keys, exact quantiles, state -----------------------------------------------------
+
+ORACLE["agg_unit_price_quantiles"] = """
+SELECT s.s_nationkey, count(up) AS nb, quantile_disc(up, 0.1) AS decile_1, quantile_disc(up, 0.5) AS mediane, quantile_disc(up, 0.9) AS decile_9
+FROM (SELECT l_suppkey, l_extendedprice / NULLIF(l_quantity, 0) AS up FROM lineitem) l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+WHERE up IS NOT NULL GROUP BY 1"""
+
+ORACLE["join_hot_key"] = """
+SELECT e.event_type, count(*) AS nb, count(CASE WHEN e.value > m.moyenne THEN 1 END) AS nb_au_dessus
+FROM events e JOIN (SELECT event_type, avg(value) AS moyenne FROM events GROUP BY 1) m ON e.event_type = m.event_type GROUP BY 1"""
+
+ORACLE["heavy_hitter_keys"] = """
+WITH c AS (SELECT p.p_type, count(*) AS nb FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey WHERE p.p_type IS NOT NULL GROUP BY 1)
+SELECT p_type, nb FROM c WHERE nb > 0.01 * (SELECT sum(nb) FROM c)"""
+
+ORACLE["stream_stateful_counts"] = """
+SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+       event_type, count(*) AS nb, round(sum(value), 6) AS total
+FROM events GROUP BY ALL"""
+
+ORACLE["stream_late_rows"] = """
+WITH e AS (SELECT *, date_trunc('day', ts)::TIMESTAMP AS window_start, coalesce(event_id, 0) % 4 AS batch FROM events),
+m AS (SELECT b.batch, max(e.ts) - INTERVAL 2 DAY AS mark FROM (SELECT DISTINCT batch FROM e) b JOIN e ON e.batch < b.batch - 1 GROUP BY b.batch)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type,
+       count(CASE WHEN m.mark IS NULL OR window_start + INTERVAL 1 DAY > m.mark THEN 1 END) AS nb_comptes,
+       count(CASE WHEN window_start + INTERVAL 1 DAY <= m.mark THEN 1 END) AS nb_retard
+FROM e LEFT JOIN m ON e.batch = m.batch GROUP BY ALL"""
+
+ORACLE["write_observed_counts"] = w(DIRTY) + f""",
+r AS (SELECT CASE WHEN num_acc IS NULL THEN 'key_missing' WHEN NOT (length(trim(num_acc)) > 0) THEN 'key_blank'
+                  WHEN NOT coalesce({YEAR_OK}, false) THEN 'out_of_range_an' END AS reason FROM dirty)
+SELECT m.mesure, count(CASE WHEN m.mesure = 'raw' OR m.mesure IN ('kept', 'written') AND r.reason IS NULL OR m.mesure = r.reason THEN 1 END) AS nb
+FROM r CROSS JOIN (VALUES ('raw'), ('kept'), ('written'), ('key_missing'), ('key_blank'), ('out_of_range_an')) m(mesure) GROUP BY 1"""
+
+ORACLE["gold_incremental"] = w(ACCIDENTS, SEVERITY) + """,
+r AS (SELECT CASE WHEN a.num_acc % 7 = 0 AND (a.an >= 1996 OR a.num_acc % 5 = 0) THEN '07' ELSE a.dep END AS dep,
+             CASE WHEN a.num_acc % 5 = 0 THEN 1 ELSE s.gravite_max END AS score,
+             CASE WHEN a.num_acc % 5 = 0 THEN 0 ELSE coalesce(s.accident_grave, 0) END AS grave
+      FROM accidents a JOIN severity s ON a.num_acc = s.num_acc)
+SELECT dep, count(*) AS nb_accidents, CAST(sum(grave) AS BIGINT) AS nb_graves, max(score) AS score_max, round(avg(score), 6) AS score_moyen
+FROM r GROUP BY dep"""

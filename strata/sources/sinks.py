@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,19 @@ def read_metrics_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
+def write_kept(df: DataFrame, path: str, kept: Column, counts: dict[str, Column], partition_cols: list[str] | None = None) -> dict[str, int]:
+    """Write the rows of ``df`` that are ``kept`` as Parquet and count, in the same pass, every row, those kept
+    and those of each test in ``counts``. The counts are Spark's observed metrics of the write: the
+    source is read once, and they are of the attempt that was committed."""
+    seen = Observation("written")
+    kept = F.coalesce(kept, F.lit(False))
+    tests = {"raw": F.lit(True), "kept": kept, **counts}
+    rows = df.observe(seen, *[F.count(F.when(test, F.lit(1))).alias(name) for name, test in tests.items()]).where(kept)
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
+    return dict(seen.get)
+
+
 def latest_by_key(df: DataFrame, key: list[str], version: str) -> DataFrame:
     """Latest-wins per key (highest ``version``; equal versions are broken by
     the other columns, so the choice is deterministic); a partial per-key

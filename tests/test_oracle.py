@@ -22,7 +22,8 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_sql_and_is_registered():
-    assert set(QUERIES) == set(ORACLE)
+    # learned models: tests/test_recommend.py compares them with brute force
+    assert set(QUERIES) - set(ORACLE) == {"als_recommend", "als_rated_scores"} and set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 

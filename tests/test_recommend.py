@@ -26,3 +26,40 @@ def test_als_with_ids_beyond_int_range(spark):
     per_user = scored_pairs_per_user(scores, "user_id").collect()
     assert sum(x["nb_paires"] for x in per_user) == pairs
     assert all(x["nb_scores"] == x["nb_paires"] and x["nb_negatifs"] == 0 for x in per_user)
+
+
+def _factors(spark):
+    from strata.operators.recommend import als_model
+    return als_model(bindings.ratings(spark, SF001), "user_id", "item_id", "rating", max_iter=3)
+
+
+def test_recommendations_against_all_items(spark):
+    """Recall of the ten best of the index against the products of every user with every item, and exact scores."""
+    from strata.operators.recommend import recommend
+    pairs, users, items = _factors(spark)
+    u, i = {r.user_id: r.factors for r in users.collect()}, {r.item_id: r.factors for r in items.collect()}
+    rated = {(r.user_id, r.item_id) for r in pairs.collect()}
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+    best = {x: sorted(((-dot(f, g), y) for y, g in i.items() if (x, y) not in rated))[:10] for x, f in u.items()}
+    for bits in (None, 5):
+        told = {}
+        for r in recommend(users, items, pairs, "user_id", "item_id", bits=bits).collect():
+            told.setdefault(r.user_id, []).append((r["rank"], r.item_id, r.score))
+            assert (r.user_id, r.item_id) not in rated and abs(r.score - dot(u[r.user_id], i[r.item_id])) < 1e-9
+        hits = sum(len({y for _, y in best[x]} & {y for _, y, _ in told.get(x, [])}) for x in u)
+        assert hits >= 0.9 * sum(map(len, best.values()))
+        assert all([k for k, _, _ in sorted(rows)] == list(range(1, len(rows) + 1)) and [s for _, _, s in sorted(rows)] == sorted((s for _, _, s in rows), reverse=True)
+                   for rows in told.values())
+
+
+def test_scores_follow_the_ratings(spark):
+    """A rank-one table is learned: scores near ratings, unrated pairs near the product."""
+    from strata.operators.recommend import als_model, pair_scores, recommend
+    rows = [(x, y, float(x * y)) for x in range(1, 13) for y in range(1, 13) if (x * 5 + y * 3) % 7]
+    df = spark.createDataFrame(rows + rows[:9] + [(None, 1, 2.0), (1, None, 2.0), (1, 2, None)], "u long, i long, r double")
+    pairs, users, items = als_model(df, "u", "i", "r", rank=4, max_iter=12, reg=0.01)
+    scored = pair_scores(pairs, users, items, "u", "i").collect()
+    assert len(scored) == len(rows) and sum(abs(r.score - r.rating) for r in scored) / len(scored) < 1.0
+    told = recommend(users, items, pairs, "u", "i", k=3).collect()
+    assert told and all((r.u * 5 + r.i * 3) % 7 == 0 and abs(r.score - r.u * r.i) < 0.25 * r.u * r.i + 2 for r in told)
+    assert recommend(users, items.limit(0), pairs, "u", "i").count() == 0
