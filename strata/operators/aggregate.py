@@ -21,7 +21,6 @@ from strata.operators.ranking import top_k
 # Gold column names (gravite_max, nb_tues, taux_graves, ...) are fixed values: the
 # tables' readers know them.
 KEY = "num_acc"
-STATS_MAX_GROUPS = 10_000  # group statistics of at most so many rows are broadcast
 
 
 def with_severity_score(persons: DataFrame) -> DataFrame:
@@ -209,18 +208,15 @@ def unit_price(lines: DataFrame, dim: DataFrame, line_key: str, dim_key: str, gr
 
 def zscore_outliers(df: DataFrame, group: str, value: str, threshold: float) -> DataFrame:
     """Rows whose value is more than ``threshold`` sample standard deviations
-    from their group mean. Group statistics are one row per group; up to
-    ``STATS_MAX_GROUPS`` of them are computed at once and broadcast, so the rows
-    are never shuffled by a hot group. More groups than that are joined by a shuffle
-    that AQE can split."""
+    from their group mean. Group statistics are one row per group; rows of hot groups
+    are dealt over salts, so neither many groups nor a large one is a special case."""
+    from strata.operators.skew import skew_join
+    columns = df.columns
     stats = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.avg(value).alias("_mu"), F.stddev_samp(value).alias("_sd"))
-    known = stats.limit(STATS_MAX_GROUPS + 1).collect()
-    if len(known) <= STATS_MAX_GROUPS:
-        stats = F.broadcast(df.sparkSession.createDataFrame(known, stats.schema))
     z = safe_ratio(F.col(value) - F.col("_mu"), F.col("_sd"))
-    return (df.join(stats, group, "inner").withColumn("zscore", z)
+    return (skew_join(df, stats, group).withColumn("zscore", z)
             .where(F.abs(F.col("zscore")) > threshold)
-            .withColumn("zscore", F.round("zscore", 4)).drop("_mu", "_sd"))
+            .select(*columns, F.round("zscore", 4).alias("zscore")))
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

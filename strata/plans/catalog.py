@@ -458,16 +458,12 @@ def q_rank_within_group(spark: SparkSession, d: str) -> DataFrame:
 
 @query("udf_equivalence")
 def q_udf_equivalence(spark: SparkSession, d: str) -> DataFrame:
-    """The severity score three ways (native, Python UDF, pandas UDF) agree on every row."""
-    from strata.functions.udfs import severity_score_pandas, severity_score_udf
-    # the score depends on the code alone: the distinct codes are scored three ways
-    p = silver(spark, d)["persons"].groupBy("grav").agg(F.count(F.lit(1)).alias("nb"))
-    t = p.select("grav", "nb", fx.severity_score("grav").alias("native"),
-                 severity_score_udf("grav").alias("py"), severity_score_pandas("grav").alias("pd"))
-    zero = F.lit(0).cast("bigint")
-    return t.select("grav", "nb",
-                    F.when(F.col("native").eqNullSafe(F.col("py")), F.col("nb")).otherwise(zero).alias("nb_udf_egal"),
-                    F.when(F.col("native").eqNullSafe(F.col("pd")), F.col("nb")).otherwise(zero).alias("nb_pandas_egal"))
+    """The severity score natively, by Python UDFs, a pandas UDF and an Arrow UDF: rows per code, and those where each
+    way gives the native score. Every row is scored in every way."""
+    from strata.functions.udfs import WAYS
+    t = silver(spark, d)["persons"].select("grav", fx.severity_score("grav").alias("native"), *[way("grav").alias(name) for name, way in WAYS.items()])
+    return t.groupBy("grav").agg(F.count(F.lit(1)).alias("nb"),
+                                 *[fx.count_where(F.col("native").eqNullSafe(F.col(name))).alias(f"nb_{name}_egal") for name in WAYS])
 
 
 @query("upsert_latest")
@@ -709,12 +705,13 @@ def q_aqe_arms_equal(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _arms(arms: dict[str, DataFrame]) -> DataFrame:
-    """Per arm: its rows, and how many of them the first arm does not have."""
+    """Per arm: its rows, and how many rows it has that the first arm lacks, or lacks that the first arm has."""
     first = next(iter(arms.values()))
     out = None
     for name, df in arms.items():
+        apart = df.exceptAll(first).union(first.exceptAll(df))
         part = (df.agg(F.count(F.lit(1)).alias("nb_lignes"))
-                .crossJoin(df.exceptAll(first).agg(F.count(F.lit(1)).alias("nb_differences")))   # one row each
+                .crossJoin(apart.agg(F.count(F.lit(1)).alias("nb_differences")))   # one row each
                 .withColumn("arm", F.lit(name)))
         out = part if out is None else out.unionByName(part)
     return out
@@ -935,6 +932,46 @@ def q_gold_incremental(spark: SparkSession, d: str) -> DataFrame:
     return incremental.gold(spark, base)
 
 
+@query("replace_partitions_switch")
+def q_replace_partitions_switch(spark: SparkSession, d: str) -> DataFrame:
+    """Accidents per department after a second delivery replaced whole departments by a switch of folders."""
+    from strata.sources import versions
+    acc = silver(spark, d)["accidents"].select("num_acc", "an", "dep")
+    path = scratch_path(spark, "versions")
+    table = "versions_" + path.rsplit("-", 1)[1]
+    versions.create(spark, table, path, acc, "dep")
+    versions.replace_partitions(spark, table, path, acc, "dep")
+    versions.replace_partitions(spark, table, path, acc.where("dep < '05' and an >= 1995"), "dep")
+    return spark.table(table).groupBy("dep").agg(F.count(F.lit(1)).alias("nb"), F.min("an").alias("premier_an"))
+
+
+@query("pushdown_clustered")
+def q_pushdown_clustered(spark: SparkSession, d: str) -> DataFrame:
+    """A department's year and single accidents read from a layout by range with Bloom filters on the key."""
+    from strata.sources import versions
+    acc = silver(spark, d)["accidents"].select("num_acc", "dep", "an", "meteo")
+    path = scratch_path(spark, "clustered")
+    versions.write_clustered(acc, path, ["dep", "an"], bloom=["num_acc"])
+    back = spark.read.schema(acc.schema).parquet(path)
+    some = back.where("dep = '07' and an = 1996").groupBy("dep").agg(F.count(F.lit(1)).alias("nb"), F.sum("num_acc").alias("somme_cles"))
+    one = back.where("num_acc in (1, 7, 33)").groupBy("dep").agg(F.count(F.lit(1)).alias("nb"), F.sum("num_acc").alias("somme_cles"))
+    return some.withColumn("filtre", F.lit("rang")).unionByName(one.withColumn("filtre", F.lit("cle")))
+
+
+@query("stream_static_join")
+def q_stream_static_join(spark: SparkSession, d: str) -> DataFrame:
+    """Events of a stream against a table of their users' mean amount, read anew in each trigger: per type, events and
+    those above their user's mean."""
+    from strata.streaming import enrich
+    ev = bindings.table(spark, d, "events", ["user_id", "value"])
+    static, out = scratch_path(spark, "static"), scratch_path(spark, "enriched")
+    ev.where("user_id is not null").groupBy("user_id").agg(F.avg("value").alias("moyenne")).write.parquet(static)
+    schema = "user_id long, moyenne double"
+    enrich.run_enriched(spark, _arrivals(spark, d), static, schema, "user_id", out, scratch_path(spark, "enriched-ckpt"), 1)
+    return enrich.read_enriched(spark, out, schema, "user_id").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("nb"), fx.count_where(F.col("value") > F.col("moyenne")).alias("nb_au_dessus"))
+
+
 def main(argv: list[str] | None = None) -> None:
     """Run catalogue queries by name: write each to Parquet, or print n rows."""
     import argparse

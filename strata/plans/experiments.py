@@ -12,6 +12,7 @@ Each function returns a dict of timings from :func:`strata.operators.measure.tim
 * aqe_sweep             (M8): AQE on/off and shuffle partition counts.
 * format_sizes          (M10): bytes on disk and re-aggregation time per
   format and codec.
+* udf_ways              (U1): the severity score five ways over every row.
 * pushdown_bytes        (M9): bytes of the partitioned table against the bytes
   a partition filter reads, filtered aggregate on partitioned vs flat layout.
 """
@@ -142,7 +143,22 @@ def pushdown_bytes(spark: SparkSession, d: str, dep: str = "07", runs: int = 3)
     return out
 
 
-EXPERIMENTS = {"broadcast_vs_shuffle": broadcast_vs_shuffle, "repartition_vs_plain": repartition_vs_plain,
+def udf_ways(spark: SparkSession, d: str, runs: int = 3) -> dict:
+    """The severity score of every person five ways (U1): native, Python UDF with pickled and with Arrow rows, pandas
+    and Arrow UDF; gains over the pickled way with their ranges."""
+    from strata.functions.expressions import severity_score
+    from strata.functions.udfs import WAYS
+    path = scratch_path(spark, "persons")
+    layers.silver_from_driver(spark, d)["persons"].select("num_acc", "grav").write.parquet(path)
+
+    def arm(score):
+        return lambda: spark.read.parquet(path).select("num_acc", score("grav").alias("score"))
+    out = measure.time_arms(spark, {"native": arm(severity_score), **{name: arm(way) for name, way in WAYS.items()}}, runs)
+    out["gains"] = {name: measure.gain(out, "udf_pickled", name) for name in ("native", "udf", "pandas", "arrow")}
+    return out
+
+
+EXPERIMENTS = {"udf_ways": udf_ways, "broadcast_vs_shuffle": broadcast_vs_shuffle, "repartition_vs_plain": repartition_vs_plain,
                "cache_vs_nocache": cache_vs_nocache, "aqe_sweep": aqe_sweep, "format_sizes": format_sizes,
                "pushdown_bytes": pushdown_bytes}
 

@@ -357,7 +357,8 @@ FROM (SELECT meteo, dep, count(*) AS nb_accidents FROM accidents GROUP BY meteo,
 QUALIFY rang <= 3"""
 
 ORACLE["udf_equivalence"] = w(PERSONS) + """
-SELECT grav, count(*) AS nb, count(*) AS nb_udf_egal, count(*) AS nb_pandas_egal FROM persons GROUP BY grav"""
+SELECT grav, count(*) AS nb, count(*) AS nb_udf_egal, count(*) AS nb_udf_pickled_egal, count(*) AS nb_pandas_egal, count(*) AS nb_arrow_egal
+FROM persons GROUP BY grav"""
 
 ORACLE["upsert_latest"] = w(ACCIDENTS) + """
 SELECT * REPLACE (CASE WHEN an >= 1998 AND num_acc % 7 = 0 THEN '07' ELSE dep END AS dep),
@@ -561,3 +562,15 @@ r AS (SELECT CASE WHEN a.num_acc % 7 = 0 AND (a.an >= 1996 OR a.num_acc % 5 = 0)
       FROM accidents a JOIN severity s ON a.num_acc = s.num_acc)
 SELECT dep, count(*) AS nb_accidents, CAST(sum(grave) AS BIGINT) AS nb_graves, max(score) AS score_max, round(avg(score), 6) AS score_moyen
 FROM r GROUP BY dep"""
+
+ORACLE["replace_partitions_switch"] = w(ACCIDENTS) + """
+SELECT dep, count(*) AS nb, min(an) AS premier_an FROM accidents a
+WHERE NOT (dep < '05' AND coalesce(an, 0) < 1995 AND dep IN (SELECT dep FROM accidents WHERE an >= 1995)) GROUP BY dep"""
+
+ORACLE["pushdown_clustered"] = w(ACCIDENTS) + """
+SELECT 'rang' AS filtre, dep, count(*) AS nb, CAST(sum(num_acc) AS BIGINT) AS somme_cles FROM accidents WHERE dep = '07' AND an = 1996 GROUP BY dep
+UNION ALL SELECT 'cle', dep, count(*), CAST(sum(num_acc) AS BIGINT) FROM accidents WHERE num_acc IN (1, 7, 33) GROUP BY dep"""
+
+ORACLE["stream_static_join"] = """
+SELECT e.event_type, count(*) AS nb, count(CASE WHEN e.value > m.moyenne THEN 1 END) AS nb_au_dessus
+FROM events e LEFT JOIN (SELECT user_id, avg(value) AS moyenne FROM events GROUP BY 1) m ON e.user_id = m.user_id GROUP BY 1"""
