@@ -38,26 +38,38 @@ BODY = set("article content main story post entry text body maincontent articleb
 FURNITURE_PART = re.compile("cookie|comment|sidebar|footer|advert|sponsor|newsletter|breadcrumb|subscri|popup|masthead|navig|navbar|topnav|disqus|consent|gdpr|promo")
 # fixed values: of these, names that also occur on the frame around an article
 LAYOUT = set("sidebar side header masthead topbar footer foot menu navbar nav navigation banner search social share related widget widgets".split())
+# fixed values: words that turn the meaning of a name (ad-free, no-sidebar, comments-open)
+TURNS = set("no not non without with has have is free open opened closed enabled disabled on off".split())
+# a furniture frame is none if it holds that share of the page's words, or this one together with main or h1
+ALL_WORDS, MOST_WORDS = 0.9, 0.5
 FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "furniture", "article", "heading", "item"]
 
 
-def furniture_level(name: str, hints: set[str], article: bool) -> int:
-    """2: page furniture; 1: named like it, but maybe the frame around an article; 0: neither."""
+def furniture_level(name: str, hints: list[list[str]], article: bool) -> int:
+    """2: page furniture; 1: named like it, but maybe the frame around an article; 0: neither. ``hints``: the
+    words of each name; an article or main element is furniture only by a name that says nothing else."""
     if name in BOILER and not (name == "header" and article):
         return 2
-    if name in ("html", "body", "main"):
+    if name in ("html", "body"):
         return 0
-    named = {h for h in hints if h in FURNITURE or FURNITURE_PART.search(h)}
+    if name in ("article", "main"):
+        return 2 if any(h and all(w in FURNITURE for w in h) and not LAYOUT.issuperset(h) for h in hints) else 0
+    named = {w for h in hints for w in h if w in FURNITURE or FURNITURE_PART.search(w)}
+    if article:
+        named.discard("header")  # of the article
     if named - LAYOUT:
         return 2
     return 1 if named else 0
 
 
-def _names(rest: str) -> set[str]:
-    found: set[str] = set()
+def _names(rest: str) -> list[list[str]]:
+    """The words of each name in the attributes that name an element, but of names that are turned."""
+    found = []
     for m in HINT.finditer(rest):
-        value = m[1] or m[2] or m[3] or ""
-        found.update(re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+        for value in (m[1] or m[2] or m[3] or "").split():
+            words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()) if w]
+            if not TURNS.intersection(words):
+                found.append(words)
     return found
 
 
@@ -75,12 +87,14 @@ def _hidden(rest: str) -> bool:
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
     """(text, words, words in links, furniture, article, heading, list item) of the text blocks."""
-    out: list[tuple] = []
-    stack: list[tuple[str, int, bool, bool]] = []  # name, furniture level, article, left out
+    out: list[list] = []
+    stack: list[tuple[str, tuple, tuple, bool, bool]] = []  # name, furniture frames, those that may be layout, article, left out
+    frames = 0
+    central: set[int] = set()  # frames around a main or h1 element
     parts: list[str] = []
     linked: list[str] = []
     in_link, at = 0, 0
-    furniture, article, skip = 0, False, False
+    hard, soft, article, skip = (), (), False, False
     heading = item = False
 
     def end() -> None:
@@ -89,7 +103,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
             words = entities.unescape("".join(parts)).split()
             if words:
                 of_links = sum(len(entities.unescape(x).split()) for x in linked)
-                out.append((" ".join(words), len(words), min(of_links, len(words)), furniture > 0, article, heading, item))
+                out.append([" ".join(words), len(words), min(of_links, len(words)), hard + soft, article, heading, item])
         parts, linked = [], []
 
     def text(piece: str) -> None:
@@ -119,7 +133,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
                     if name not in INLINE:
                         end()
                     del stack[k:]
-                    furniture, article, skip = stack[-1][1:] if stack else (0, False, False)
+                    hard, soft, article, skip = stack[-1][1:] if stack else ((), (), False, False)
                     in_link = sum(s[0] == "a" for s in stack)
                     break
             if re.fullmatch("h[1-6]", name):
@@ -150,19 +164,31 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool, bool, bool]]:
         if name in INLINE and name != "a" and not rest.strip():
             continue
         if name in ("p", "li", "tr", "td", "dt", "dd") and stack and stack[-1][0] == name:
-            furniture, article, skip = stack[-2][1:] if len(stack) > 1 else (0, False, False)
+            hard, soft, article, skip = stack[-2][1:] if len(stack) > 1 else ((), (), False, False)
             stack.pop()
-        hints = _names(rest) if rest.strip() else set()
+        hints = _names(rest) if rest.strip() else []
         off = bool(rest) and _hidden(rest)
         level = furniture_level(name, hints, article)
-        if name in ("article", "main") and not level and furniture == 1:
-            furniture = 0  # the name was that of the frame
-        article = article or (not level and (name in ("article", "main") or bool(hints & BODY)))
-        furniture = max(furniture, level)
+        if name in ("article", "main") and not level:
+            soft = ()  # the name was that of the frame
+        if name in ("h1", "main"):
+            central.update(hard + soft)
+        article = article or (not level and (name in ("article", "main") or any(w in BODY for h in hints for w in h)))
+        frames += 1
+        if level == 2:
+            hard += (frames,)
+        elif level:
+            soft += (frames,)
         skip = skip or off or name in SKIP
-        stack.append((name, furniture, article, skip))
+        stack.append((name, hard, soft, article, skip))
     end()
-    return out
+    words: dict[int, int] = {}
+    for b in out:
+        for f in b[3]:
+            words[f] = words.get(f, 0) + b[1]
+    total = sum(b[1] for b in out)
+    kept = {f for f, n in words.items() if n < ALL_WORDS * total and not (f in central and n >= MOST_WORDS * total)}
+    return [(*b[:3], any(f in kept for f in b[3]), *b[4:]) for b in out]
 
 
 def features(found: list[tuple]) -> np.ndarray:
@@ -247,7 +273,9 @@ def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars): main text of every page, from the whole html.
 
     Null or empty html, and a page without main text, give an empty text of 0 code points. Null ids
-    and urls, repeated rows and an empty table pass through; other columns are ignored.
+    and urls, repeated rows and an empty table pass through; other columns are ignored; pages of any
+    length are looked at whole. Names alone do not take the page away: a frame with nearly all of its
+    words, or with most of them and a main or h1 element, is none of its furniture.
     """
     x, y = labelled_table()
     tree = grow(x, y)

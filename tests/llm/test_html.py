@@ -68,3 +68,25 @@ def test_hidden_is_an_attribute_or_a_style(tree):
     for left_out in ("hidden", "class=x HIDDEN id=y", "hidden=''", "hidden=hidden", "aria-hidden=true", "aria-hidden=\"TRUE\"",
                      "style='display:none'", "style=\"color:red; Display : none !important\"", "style=visibility:hidden"):
         assert main_text(f"<article><p>{body}</p><div {left_out}><p>{body}</p></div></article>", tree) == body, left_out
+
+
+def test_names_do_not_take_an_article_away(tree):
+    body = " ".join(["word"] * 30)
+    around = f"<nav><a href=/>Home</a></nav>%s<footer>{body}</footer>"
+    for attribute in ("class='post ad-free'", "class=\"post comments-open\"", "class='post no-sidebar'", "class=tag-subscription", "id=navigation-systems",
+                      "class=paywall-free", "class='hentry has-sidebar'"):
+        page = around % f"<article {attribute}><h1>Head</h1><p>{body}</p></article>"
+        assert main_text(page, tree) == f"Head {body}", attribute
+    assert main_text(around % f"<div class='content no-sidebar'><p>{body}</p></div>", tree) == body
+    title = f"<article><div class=entry-header><h1>Head</h1></div><p>{body}</p><div class=entry-footer><a href=x>Tag</a></div></article>"
+    assert main_text(around % title, tree) == f"Head {body}"
+    # a form or dialog around the whole page, as some servers write it
+    whole = f"<body><form action=x><div class=menu><a href=/>Home</a></div><h1>Head</h1><p>{body}</p><p>{body}</p><div class=footer>Imprint</div></form></body>"
+    assert main_text(whole, tree) == f"Head {body} {body}"
+
+
+def test_long_comments_stay_out(tree):
+    body = " ".join(["word"] * 30)
+    comments = "".join(f"<article class=comment><p>{body}</p></article>" for _ in range(20))
+    assert main_text(f"<article><h1>Head</h1><p>{body}</p></article><section id=comments>{comments}</section>", tree) == f"Head {body}"
+    assert main_text(f"<article><h1>Head</h1><p>{body}</p></article>{comments}", tree) == f"Head {body}"
