@@ -3,7 +3,8 @@
 Two texts within e edits share at least m - q + 1 - q * e of the m - q + 1 q-grams of one of
 them, at offsets that differ by at most e. Texts are compared as UTF-8 bytes with letters A-Z and
 the capitals of Latin-1 in lower case and every run of other ASCII characters as one blank.
-Every window of q = 8 bytes of a document is one 64-bit word; one table lookup tells whether an
+Every window of q = 8 bytes of a document is one 64-bit word (short items, of which 8 bytes are too
+many for the lemma, have an index of their own with a smaller q); one table lookup tells whether an
 item may have it. Shared q-grams are counted per document, item and diagonal band (bands of
 twice the budget that overlap by half, so that an alignment lies whole in one of them), and the
 bands that meet the bound are aligned.
@@ -57,25 +58,29 @@ def item_bytes(text: str) -> np.ndarray:
     return np.frombuffer(out.tobytes().replace(b"\0", b"").strip(b" "), np.uint8)
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    if len(data) < Q:
+def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
+    if len(data) < q:
         return np.zeros(0, U64)
-    a = data.astype(U64)
+    a = data.astype(U64) if q == Q else np.concatenate([data, np.zeros(Q - q, np.uint8)]).astype(U64)
     for width in (1, 2, 4):
         a = a[:-width] | a[width:] << U64(8 * width)
-    return a
+    return a if q == Q else a & U64((1 << 8 * q) - 1)
+
+
+def gram_size(size: int, edit_rate: float) -> int:
+    """The largest q, up to ``Q``, that leaves an item of ``size`` bytes a bound of at least one shared q-gram."""
+    return min(Q, size // (int(edit_rate * size) + 1))
 
 
 class Index:
-    """Q-grams of a block of benchmark items, with each item's edit budget and count bound."""
+    """Q-grams of a block of benchmark items of one q, with each item's edit budget and count bound."""
 
-    def __init__(self, ids: list, texts: list[str], edit_rate: float):
-        self.ids, self.items = ids, [item_bytes(t) for t in texts]
+    def __init__(self, ids: list, items: list[np.ndarray], edit_rate: float, q: int):
+        self.ids, self.items, self.q = ids, items, q
         size = np.array([len(i) for i in self.items], np.int64)
-        # a budget that leaves a bound of at least one shared q-gram
-        self.budget = np.maximum(0, np.minimum((edit_rate * size).astype(np.int64), (size - Q) // Q))
-        bound = size - Q + 1 - Q * self.budget
-        self.every, self.full_bound = [grams(i) for i in self.items], bound.copy()
+        self.budget = (edit_rate * size).astype(np.int64)
+        bound = size - q + 1 - q * self.budget
+        self.every, self.full_bound = [grams(i, q) for i in self.items], bound.copy()
         every = self.every
         known = Counter(g for item in every for g in set(item.tolist()))
         gram, item, place = [], [], []
@@ -97,7 +102,7 @@ class Index:
 
     def regions(self, text: np.ndarray, row_of: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(row, item, band, shared q-grams) that meet the bound, over the folded bytes of a slice."""
-        g = grams(text)
+        g = grams(text, self.q)
         at = np.flatnonzero(self.table[(g * _SPREAD) >> U64(64 - _TABLE_BITS)])
         if not len(at) or not len(self.gram):
             return []
@@ -140,7 +145,7 @@ class Index:
         if exact >= 0:
             return 0, a + exact, a + exact + len(pattern)
         # the lemma's bound with the q-grams that the index leaves out
-        if not e or np.isin(self.every[item], grams(text[a:b])).sum() < self.full_bound[item]:
+        if not e or np.isin(self.every[item], grams(text[a:b], self.q)).sum() < self.full_bound[item]:
             return None
         span = 2 * width + 2 * e + 1
         one = np.int64(1) << 40
@@ -173,9 +178,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.1, block_i
     offsets in the text; edits counts bytes, within ``edit_rate`` of the item's folded bytes.
 
     The benchmark is the stated query set: it is read in blocks of ``block_items`` items, and each
-    block meets all documents (only a block is broadcast at a time). Null texts, and items of
-    fewer than 8 folded bytes, match nothing. Items of equal text are reported each; repeated
-    document rows and null ids are reported as they come; other columns are ignored.
+    block meets all documents (only a block is broadcast at a time). Items of any length have the same
+    budget (those of fewer than ten folded bytes: none, found exactly). Null texts, and items that
+    fold to nothing, match nothing. Items of equal text are reported each; repeated
+    document rows and null ids are reported as they come; other columns are ignored; texts of any length
+    are searched whole. An empty table gives an empty table.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     out = None
@@ -194,7 +201,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, edit_rate: float = 0.1,
         def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
-                clean[[r for r, _ in _hits(b.column(text_at).cast(pa.string()), shared.value)]] = False
+                clean[[r for r, _, _ in _hits(b.column(text_at).cast(pa.string()), shared.value)]] = False
                 yield b.filter(pa.array(clean))
 
         docs = docs.mapInArrow(run, docs.schema)
@@ -210,15 +217,27 @@ def _blocks(benchmark: DataFrame, edit_rate: float, block_items: int) -> Iterato
     for r in wanted.toLocalIterator():
         block.append(r)
         if len(block) == block_items:
-            yield share(Index([r[0] for r in block], [r[1] for r in block], edit_rate))
+            yield share(indexes(block, edit_rate))
             block, first = [], False
     if block or first:
-        yield share(Index([r[0] for r in block], [r[1] for r in block], edit_rate))
+        yield share(indexes(block, edit_rate))
+
+
+def indexes(block: list, edit_rate: float) -> list[Index]:
+    """One index per q that the items (id, text) of a block need."""
+    by_q: dict[int, tuple[list, list]] = {}
+    for item_id, text in block:
+        item = item_bytes(text)
+        if len(item):
+            ids, items = by_q.setdefault(gram_size(len(item), edit_rate), ([], []))
+            ids.append(item_id)
+            items.append(item)
+    return [Index(ids, items, edit_rate, q) for q, (ids, items) in sorted(by_q.items(), reverse=True) if q]
 
 
-def _hits(texts: pa.Array, index: Index) -> dict[tuple[int, int], tuple]:
-    """(row, item) -> (edits, start in the folded slice, first and last character, shared q-grams)."""
-    found: dict[tuple[int, int], tuple] = {}
+def _hits(texts: pa.Array, block: list[Index]) -> dict[tuple[int, int, int], tuple]:
+    """(row, index, item) -> (edits, start in the folded slice, first and last character, shared q-grams)."""
+    found: dict[tuple[int, int, int], tuple] = {}
     for row, _, data, ends in text_slices(texts):
         # rows are kept apart by a zero byte, which no item holds
         marks = np.insert(data, ends, 0) if len(data) else np.zeros(len(ends), np.uint8)
@@ -226,28 +245,29 @@ def _hits(texts: pa.Array, index: Index) -> dict[tuple[int, int], tuple]:
         row_ends = ends + np.arange(len(ends))  # of the marks, each row's zero byte
         folded_ends = np.searchsorted(at, row_ends)
         row_of = np.searchsorted(row_ends, at, "left")
-        for r, item, band, shared in index.regions(text, row_of.astype(np.int64)):
-            known = found.get((row + r, item))
-            if known and known[0] == 0:
-                continue
-            low = int(folded_ends[r - 1]) + 1 if r else 0
-            hit = index.align(text, low, int(folded_ends[r]), item, band)
-            if hit and (known is None or (hit[0], hit[1]) < known[:2]):
-                begin = int(row_ends[r - 1]) + 1 if r else 0
-                own = marks[begin: int(row_ends[r])]
-                chars = [len(bytes(own[: x - begin]).decode(errors="ignore")) for x in (int(at[hit[1]]), int(at[hit[2] - 1]) + 1)]
-                found[row + r, item] = (hit[0], hit[1], chars[0], chars[1], shared)
+        for n, index in enumerate(block):
+            for r, item, band, shared in index.regions(text, row_of.astype(np.int64)):
+                known = found.get((row + r, n, item))
+                if known and known[0] == 0:
+                    continue
+                low = int(folded_ends[r - 1]) + 1 if r else 0
+                hit = index.align(text, low, int(folded_ends[r]), item, band)
+                if hit and (known is None or (hit[0], hit[1]) < known[:2]):
+                    begin = int(row_ends[r - 1]) + 1 if r else 0
+                    own = marks[begin: int(row_ends[r])]
+                    chars = [len(bytes(own[: x - begin]).decode(errors="ignore")) for x in (int(at[hit[1]]), int(at[hit[2] - 1]) + 1)]
+                    found[row + r, n, item] = (hit[0], hit[1], chars[0], chars[1], shared)
     return found
 
 
-def _search(batches: Iterable[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
+def _search(batches: Iterable[pa.RecordBatch], block: list[Index]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = b.column(0).to_pylist()
-        found = _hits(b.column(1), index)
+        found = _hits(b.column(1), block)
         if found:
             keys = sorted(found)
             values = [found[k] for k in keys]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[r] for r, _ in keys], pa.int64()), pa.array([index.ids[i] for _, i in keys], pa.int64()),
+                [pa.array([ids[r] for r, _, _ in keys], pa.int64()), pa.array([block[n].ids[i] for _, n, i in keys], pa.int64()),
                  *[pa.array([v[c] for v in values], pa.int64()) for c in (2, 3, 0, 4)]],
                 [c.split(" ")[0] for c in SCHEMA.split(", ")])
