@@ -148,6 +148,52 @@ def _windows(runs: DataFrame, window: int, picked) -> DataFrame:
     return runs.mapInArrow(run, "hash long, doc_id long, at long")
 
 
+def _merged(pairs: DataFrame) -> DataFrame:
+    """(doc_id, spans): the sorted disjoint spans that the rows (doc_id, first, end) cover. Rows come in order, so
+    a task holds one document's disjoint spans, however many windows cover them."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, held = None, []
+        ids, lists = [], []
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lists, pa.list_(pa.list_(pa.int64())))], ["doc_id", "spans"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            code, a, z = (np.asarray(b.column(k)) for k in range(3))
+            for lo, hi in zip(*_edges(code), strict=True):
+                if code[lo] != doc:
+                    if held:
+                        ids.append(doc)
+                        lists.append(held)
+                    doc, held = int(code[lo]), []
+                first, last = a[lo:hi], np.maximum.accumulate(z[lo:hi])
+                new = np.append(True, first[1:] > last[:-1])
+                for x, y in zip(first[new].tolist(), last[np.append(np.flatnonzero(new)[1:], len(first)) - 1].tolist(), strict=True):
+                    if held and x <= held[-1][1]:
+                        held[-1][1] = max(held[-1][1], y)
+                    else:
+                        held.append([x, y])
+                if len(ids) >= 2000:
+                    yield batch()
+                    ids, lists = [], []
+        if held:
+            ids.append(doc)
+            lists.append(held)
+        if ids:
+            yield batch()
+
+    return pairs.repartition("doc_id").sortWithinPartitions("doc_id", "first").mapInArrow(run, "doc_id long, spans array<array<long>>")
+
+
+def _edges(code: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where the runs of equal values begin and end."""
+    at = np.flatnonzero(np.diff(code)) + 1
+    return [0, *at.tolist()], [*at.tolist(), len(code)]
+
+
 def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
     """(doc_id, spans): the words of each document that a window also found in a document of smaller
     doc_id covers, as sorted disjoint [first, end) word ranges; documents without any are absent.
@@ -180,20 +226,7 @@ def repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFrame:
     again = (windows.join(least, "hash").where("_doc < doc_id")
              .select("doc_id", F.col("at").alias("first"), (F.col("at") + window).alias("end")))
 
-    def spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for pairs in b.column(1):
-                flat = pairs.values
-                a, z = (np.asarray(flat.field(k)) for k in (0, 1))
-                order = np.argsort(a, kind="stable")
-                a, z = a[order], np.maximum.accumulate(z[order])
-                new = np.append(True, a[1:] > z[:-1])
-                out.append(np.column_stack([a[new], z[np.append(np.flatnonzero(new)[1:], len(a)) - 1]]).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.list_(pa.int64())))], ["doc_id", "spans"])
-
-    gathered = copies.union(again).groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("pairs"))
-    out = cut(gathered.mapInArrow(spans, "doc_id long, spans array<array<long>>"), "repeat-spans")
+    out = cut(_merged(copies.union(again)), "repeat-spans")
     for table in (runs, told, first, least):
         drop(table)
     return out
@@ -208,14 +241,16 @@ def remove_repeats(docs: DataFrame, window: int = 50, block: int = 25) -> DataFr
     document of smaller doc_id; windows are judged on the input. Null and empty texts have no
     words. Rows that repeat a doc_id are one document to this rule (a window in both is not
     a repeat; what goes from one goes from each at the same word positions). Documents of null doc_id
-    keep all words. An empty table gives an empty table. The names above and ``_doc``, ``_spans``,
+    keep all words. Texts of any length are looked at whole. An empty table gives an empty table. The names above and ``_doc``, ``_spans``,
     ``_words`` and ``_left`` are taken.
     """
     found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), window, block)
     found = found.withColumnsRenamed({"doc_id": "_doc", "spans": "_spans"})
     words = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), SPACES), lambda w: w != "")
-    gone = lambda i: F.exists("_spans", lambda s: (i >= s[0]) & (i < s[1]))
-    left = F.when(F.col("_spans").isNull(), F.col("_words")).otherwise(F.filter("_words", lambda w, i: ~gone(i)))
+    # the words between the spans, each looked at once
+    left = F.expr("""CASE WHEN _spans IS NULL THEN _words ELSE flatten(transform(sequence(0, size(_spans)), k ->
+        slice(_words, CAST(coalesce(get(_spans, k - 1)[1], 0) + 1 AS int),
+              CAST(greatest(0, least(coalesce(get(_spans, k)[0], size(_words)), size(_words)) - coalesce(get(_spans, k - 1)[1], 0)) AS int)))) END""")
     # spans grow with the documents: the same join at every size
     joined = docs.join(found.hint("merge"), docs.doc_id.cast("long") == found["_doc"], "left").withColumn("_words", words).withColumn("_left", left)
     told = joined.select(*[docs[c] for c in docs.columns], F.array_join("_left", " ").alias("_kept"),
