@@ -1,11 +1,13 @@
 """Sharding (2): balanced label propagation over documents that share a hub.
 
-Documents with the same hub (here: equal texts) are neighbours. Labels are shards. The start is
-balanced exactly: linked documents lie hub after hub in equal runs, one a shard, and unlinked ones
-fill the shards up, so only the hubs at the borders of runs are cut. Every round moves linked
-documents to the shard where most of their neighbours are, as far as quotas allow, against linked
-ones that come the other way and unlinked ones that are sent back, so the row counts of the shards
-differ by at most one after every round. All of it is DataFrame
+Documents with the same hub (here: equal texts) are neighbours. Labels are shards. The start is a
+balanced deal by hash that knows nothing of hubs, but for hubs larger than a shard, which fill some. In every round each hub that is cut wishes its
+documents into the shard where most of them are; wishes take place as far as the quotas allow,
+against wishes that come the other way and unlinked documents that are sent back, so the row
+counts of the shards differ by at most one after every round. Ties fall anew each round, so that
+what had to wait meets other partners. What no exchange brings together in the end (row counts
+are exact, so the last documents may find no partner) changes places once more: the rows of the hubs
+that are still cut are laid hub after hub into the places that they hold. All of it is DataFrame
 operations; the driver sees shard x shard counts only (256 numbers at 16 shards).
 """
 
@@ -37,12 +39,9 @@ def run_of(rank: Column, sizes: list[int]) -> Column:
     return F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e <= rank)) if ends else F.lit(0)
 
 
-def dealt(state: DataFrame, known: DataFrame, order: list[str], cap: list[int], buckets: int) -> DataFrame:
-    """``state`` with a balanced first ``shard``: linked rows in runs hub after hub (``known`` has the
-    rows of each), unlinked ones where room is left. Each border of runs cuts one hub at most."""
-    shards = len(cap)
-    linked = known.agg(F.coalesce(F.sum("_total"), F.lit(0)).alias("n")).first().n
-    runs = [linked // shards + (t < linked % shards) for t in range(shards)]
+def in_runs(rows: DataFrame, known: DataFrame, order: list[str], runs: list[int], buckets: int) -> DataFrame:
+    """``rows`` of the hubs of ``known`` (hub, rows) with ``shard`` chosen anew: hub after hub in runs of the given
+    sizes, one a shard. Each border of runs cuts one hub at most."""
     hubs = known.toDF("_hub", "_total").withColumn("_b", F.pmod(F.xxhash64("_hub"), F.lit(buckets)))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     within = Window.partitionBy("_b").orderBy("_hub").rowsBetween(Window.unboundedPreceding, -1)
@@ -52,21 +51,50 @@ def dealt(state: DataFrame, known: DataFrame, order: list[str], cap: list[int],
     hubs = hubs.select("_hub", (F.col("_start") + F.col("_into")).alias("_from"), "_total")
     hubs = hubs.withColumn("_first", run_of(F.col("_from"), runs)).withColumn("_last", run_of(F.col("_from") + F.col("_total") - 1, runs))
     hubs = cut(hubs.select("_hub", "_from", "_first", "_last"), "shard-runs")
-    rows = cut(state.where("_hub is not null").join(hubs, "_hub"), "shard-linked")
+    names = rows.columns
+    rows = cut(rows.join(hubs, "_hub"), "shard-linked")
     whole = rows.where("_first = _last").withColumn("shard", F.col("_first"))
     # rows are numbered within the few hubs that lie on a border
     border = dense_rank_in(rows.where("_first < _last"), ["_hub"], order, buckets, "_at").withColumn("shard", run_of(F.col("_from") + F.col("_at"), runs))
-    single = dense_rank_in(state.where("_hub is null").withColumn("_one", F.lit(1)), ["_one"], order, buckets, "_at")
-    single = single.withColumn("shard", run_of(F.col("_at"), [c - r for c, r in zip(cap, runs, strict=True)]))
-    names = [*state.columns, "shard"]
-    return whole.select(names).unionByName(border.select(names)).unionByName(single.select(names))
+    return whole.select(names).unionByName(border.select(names))
+
+
+def exchange(wish: dict[tuple[int, int], int]) -> dict[tuple[int, int], int]:
+    """The part of the wished moves (from, to) that needs no room: rounds a -> b -> .. -> a, taken as often as all
+    of their wishes allow, until none is left (each uses a wish up). Shards are few, so this is a small table."""
+    left = {m: n for m, n in wish.items() if n}
+
+    def ring() -> list[int] | None:
+        for start in sorted({a for a, _ in left}):
+            path, seen = [start], {start}
+            while path:  # depth first; a shard without a way on is left for good
+                step = next((b for a, b in sorted(left) if a == path[-1] and (b not in seen or b in path)), None)
+                if step is None:
+                    path.pop()
+                elif step in path:
+                    return path[path.index(step):]
+                else:
+                    path.append(step)
+                    seen.add(step)
+        return None
+
+    while (way := ring()) is not None:
+        moves = list(zip(way, way[1:] + way[:1], strict=True))
+        n = min(left[m] for m in moves)
+        for m in moves:
+            left[m] -= n
+            if not left[m]:
+                del left[m]
+    return {m: n - left.get(m, 0) for m, n in wish.items() if n > left.get(m, 0)}
 
 
 def quotas(rows: list[int], cap: list[int], free: list[int], wish: dict[tuple[int, int], int]):
     """How many of the wished moves (from, to) may take place, and the moves of unlinked documents
-    that even the shards out again. Wishes into a shard shrink until its unlinked documents can
-    make room; no move at all is always possible as the rows start even."""
-    take = dict(wish)
+    that even the shards out again. Moves that others make up for take place at once; the other wishes
+    into a shard shrink until its unlinked documents can make room; no move at all is always possible as
+    the rows start even."""
+    swaps = exchange(wish)
+    take = {m: n - swaps.get(m, 0) for m, n in wish.items()}
     k = len(rows)
     while True:
         after = [rows[t] + sum(n for (_, b), n in take.items() if b == t) - sum(n for (a, _), n in take.items() if a == t) for t in range(k)]
@@ -78,6 +106,7 @@ def quotas(rows: list[int], cap: list[int], free: list[int], wish: dict[tuple[in
                 cut_by = min(n, take[move])
                 take[move] -= cut_by
                 n -= cut_by
+    take = {m: n + swaps.get(m, 0) for m, n in take.items()}
     give = {t: after[t] - cap[t] for t in range(k) if after[t] > cap[t]}
     need = {t: cap[t] - after[t] for t in range(k) if after[t] < cap[t]}
     back: list[tuple[int, int, int]] = []
@@ -91,16 +120,18 @@ def quotas(rows: list[int], cap: list[int], free: list[int], wish: dict[tuple[in
     return {m: n for m, n in take.items() if n}, back
 
 
-def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int = 16, rounds: int = 12) -> DataFrame:
+def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int = 16, rounds: int = 12,
+                    cuts: list[int] | None = None) -> DataFrame:
     """``nodes`` with a column ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 within it).
 
     Row counts of shards differ by at most one. Rows of equal non-null ``hub`` are linked; a null
     hub links with nothing. ``order`` names columns that fix the order of rows (repeated rows
-    are interchangeable). Of the hubs that fit in a shard at most shards - 1 are cut at the start,
-    with or without unlinked documents, and no round cuts another; a hub larger than a shard
+    are interchangeable). Of the hubs that fit in a shard at most shards - 1 are cut in the end,
+    with or without unlinked documents; a hub larger than a shard
     fills one shard after another. Shards that still hold unlinked documents are the first targets,
     others take linked documents as far as linked ones leave. Propagation ends when
-    no document can move, or after ``rounds``. An empty table gives an empty table.
+    no document can move, or after ``rounds``. ``cuts`` receives the number of cut hubs before each
+    round and, last, after the rounds. An empty table gives an empty table.
     ``nodes`` may not have columns that begin with an underscore, or shard or slot.
     """
     nodes = cut(nodes, "shard-nodes")
@@ -113,8 +144,31 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
              .select(*nodes.columns, F.when(F.col("_total") > 1, F.col(hub)).alias("_hub"))
              .unionByName(nodes.where(F.col(hub).isNull()).withColumn("_hub", F.col(hub))))
     cap = [n // shards + (t < n % shards) for t in range(shards)]
-    state = cut(dealt(cut(state, "shard-hubbed"), known, order, cap, buckets).withColumn("shard", F.col("shard").cast("int")), "shard-state")
-    for _ in range(rounds):
+    state = cut(state, "shard-hubbed")
+    # a hub larger than a shard fills shards of its own first (there are fewer such hubs than shards)
+    large = {r[0]: r._total for r in known.where(F.col("_total") > cap[0]).orderBy(hub).collect()}
+    own, left = {}, list(cap)
+    for name, total in large.items():
+        own[name] = []
+        for t in reversed(range(shards)):
+            if left[t] and left[t] == cap[t] and total >= cap[t]:
+                own[name].append(t)
+                total, left[t] = total - cap[t], 0
+    rest = state
+    if own:
+        numbered = cut(dense_rank_in(state.where(F.col("_hub").isin(list(own))), ["_hub"], order, buckets, "_at"), "shard-large")
+        shard = F.lit(None).cast("int")
+        for name, places in own.items():
+            run = run_of(F.col("_at"), [*[cap[t] for t in places], 0])
+            place = F.element_at(F.array(*[F.lit(t) for t in places], F.lit(None).cast("int")), run + 1)
+            shard = F.when(F.col("_hub") == name, place).otherwise(shard)
+        numbered = numbered.withColumn("shard", shard).drop("_at")
+        rest = state.where(F.col("_hub").isNull() | ~F.col("_hub").isin(list(own))).unionByName(numbered.where("shard is null").drop("shard"))
+    rest = dense_rank_in(rest.withColumn("_one", F.lit(1)), ["_one"], order, buckets, "_at").drop("_one")
+    rest = rest.withColumn("shard", run_of(F.col("_at"), left).cast("int")).drop("_at")
+    state = cut(rest.unionByName(numbered.where("shard is not null")) if own else rest, "shard-state")
+    cuts = [] if cuts is None else cuts
+    for turn in range(rounds):
         seen = {r.shard: r for r in state.groupBy("shard").agg(F.count("*").alias("n"), F.count_if(F.col("_hub").isNull()).alias("free"),
                                                                 F.min("_hub").alias("low"), F.max("_hub").alias("high")).collect()}
         rows = [seen[t].n if t in seen else 0 for t in range(shards)]
@@ -123,9 +177,10 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
         done = [t for t in seen if not seen[t].free and seen[t].low == seen[t].high]
         cells = state.where(F.col("_hub").isNotNull() & ~F.col("shard").isin(done)).groupBy("_hub", "shard").agg(F.count("*").alias("_n"))
         cells = cells.withColumn("_open", F.col("shard").isin([t for t in range(shards) if free[t] > 0]))
-        best = (cells.groupBy("_hub").agg(F.max(F.struct("_open", "_n", F.xxhash64("_hub", "shard").alias("_tie"), "shard")).alias("_best"), F.count("*").alias("_cells"))
+        best = (cells.groupBy("_hub").agg(F.max(F.struct("_open", "_n", F.xxhash64("_hub", "shard", F.lit(turn)).alias("_tie"), "shard")).alias("_best"), F.count("*").alias("_cells"))
                 .where("_cells > 1").select("_hub", F.col("_best.shard").alias("_to")))
         best = cut(best, "shard-best")
+        cuts.append(best.count())
         # rows without a hub take no part in the join: null keys would meet in one task
         wished = state.where("_hub is not null").join(best, "_hub", "left").withColumn(
             "_to", F.when((F.col("_to") != F.col("shard")) & ~F.col("shard").isin(done), F.col("_to")))
@@ -160,6 +215,19 @@ def balanced_shards(nodes: DataFrame, hub: str, order: list[str], shards: int =
         drop(best)
         drop(state)
         state = new
+    spread = state.where("_hub is not null").groupBy("_hub").agg(F.count("*").alias("_total"), F.min("shard").alias("_a"), F.max("shard").alias("_z"))
+    spread = cut(spread, "shard-spread")
+    cuts.append(spread.where("_a < _z").count())
+    if cuts[-1]:
+        # the cut hubs that fit in a shard, and some whole ones, so that each shard has a few places to lay out
+        every = max(1, spread.count() // (64 * shards))
+        picked = ((F.col("_a") < F.col("_z")) | (F.pmod(F.xxhash64("_hub", F.lit("whole")), F.lit(every)) == 0)) & (F.col("_total") <= cap[-1])
+        picked = cut(spread.where(picked).select("_hub", "_total"), "shard-picked")
+        some = cut(state.join(picked.hint("merge"), "_hub", "left_semi").select(state.columns), "shard-picked")
+        sizes = {r.shard: r["count"] for r in some.groupBy("shard").count().collect()}
+        laid = in_runs(some, picked, order, [sizes.get(t, 0) for t in range(shards)], buckets)
+        rest = state.where("_hub is null").unionByName(state.where("_hub is not null").join(picked.hint("merge"), "_hub", "left_anti").select(state.columns))
+        state = cut(laid.withColumn("shard", F.col("shard").cast("int")).unionByName(rest), "shard-state")
     return dense_rank_in(state.drop("_hub"), ["shard"], order, buckets, "slot")
 
 
@@ -168,7 +236,8 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     ``rows``, equal texts together as far as it allows.
 
     Size: UTF-8 bytes of the text plus 1; a null text has size 1, checksum 0 and counts as equal to
-    the empty text. Repeated rows and null ids are rows like others; other columns are ignored.
+    the empty text. Repeated rows and null ids are rows like others; other columns are ignored; texts
+    of any length are read whole; an empty table gives an empty table.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     nodes = docs.select(F.col("doc_id").cast("long").alias("doc_id"),

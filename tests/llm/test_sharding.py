@@ -1,6 +1,6 @@
 from collections import Counter
 
-from strata.llm.sharding import balanced_shards, quotas, shard_documents
+from strata.llm.sharding import balanced_shards, exchange, quotas, shard_documents
 
 
 def balanced(rows, shards=16):
@@ -83,3 +83,62 @@ def test_copies_only(spark):
         for r in rows:
             where.setdefault(r.hub, set()).add(r.shard)
         assert sum(len(s) > 1 for s in where.values()) <= most
+
+
+def test_rounds_bring_groups_together(spark):
+    """From a deal that knows nothing of groups, cut groups fall round by round, also without unlinked rows."""
+    for nodes in ([(k, k // 4) for k in range(3200)], [(k, k // 3 if k % 3 and k < 2400 else 10_000 + k) for k in range(3200)]):
+        cuts = []
+        rows = balanced_shards(spark.createDataFrame(nodes, "id long, hub long"), "hub", ["id"], cuts=cuts).collect()
+        balanced(rows)
+        assert cuts[0] > 700 and cuts == sorted(cuts, reverse=True) and cuts[1] < cuts[0] / 2 and cuts[-1] < cuts[0] / 5, cuts
+        where = {}
+        for r in rows:
+            where.setdefault(r.hub, set()).add(r.shard)
+        assert sum(len(s) > 1 for s in where.values()) < 16
+
+
+def test_very_long_texts(spark):
+    docs = spark.createDataFrame([(k, ("x" * 3_000_000) + str(k % 2)) for k in range(6)], "doc_id long, text string")
+    rows = shard_documents(docs, 2).collect()
+    balanced(rows, 2)
+    assert {r["size"] for r in rows} == {3_000_002} and len({(r.text_crc32, r.shard) for r in rows}) == 2
+
+
+def best_cut(sizes, shards):
+    """Fewest groups that have to be cut to fill equal shards, by trying every order of whole groups (small tables)."""
+    from itertools import permutations
+    room = sum(sizes) // shards
+    best = len(sizes)
+    for order in set(permutations(sizes)):
+        cut, level = 0, 0
+        for n in order:
+            cut += level + n > room
+            level = (level + n) % room
+        best = min(best, cut)
+    return best
+
+
+def test_small_tables_against_every_arrangement(spark):
+    for sizes in ([2, 2, 2, 2, 2, 2], [3, 3, 2, 2, 1, 1], [4, 1, 1, 1, 1, 4]):
+        nodes = [(10 * g + k, g) for g, n in enumerate(sizes) for k in range(n)]
+        rows = balanced_shards(spark.createDataFrame(nodes, "id long, hub long"), "hub", ["id"], 2).collect()
+        balanced(rows, 2)
+        where = {}
+        for r in rows:
+            where.setdefault(r.hub, set()).add(r.shard)
+        assert best_cut(sizes, 2) <= sum(len(s) > 1 for s in where.values()) <= 1
+
+
+def test_exchange_is_even_and_leaves_no_ring():
+    wish = {(0, 1): 4, (1, 2): 3, (2, 0): 7, (1, 0): 2, (3, 0): 5, (2, 3): 1}
+    take = exchange(wish)
+    assert all(0 < n <= wish[m] for m, n in take.items())
+    assert all(sum(n for (a, _), n in take.items() if a == t) == sum(n for (_, b), n in take.items() if b == t) for t in range(4))
+    left = {m for m, n in wish.items() if n > take.get(m, 0)}
+    while True:  # shards without a way in or out are on no ring
+        inner = {(a, b) for a, b in left if any(y == a for _, y in left) and any(x == b for x, _ in left)}
+        if inner == left:
+            break
+        left = inner
+    assert not left and exchange({}) == {}
