@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long")
 _BATCH_BYTES = 8 << 20
-_CACHE_BYTES = 80 << 20  # of the pieces that a worker keeps, with some 200 bytes of overhead each
+_CACHE_BYTES = 160 << 20  # of the pieces that a worker keeps, with some 200 bytes of overhead each
 # texts whose split is known: ASCII and the letters of Latin-1, which lower-casing keeps apart
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
 _PIECE = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
