@@ -7,12 +7,15 @@ A document's set holds the 64-bit hashes of its distinct w-word shingles. The jo
    profile (how many of its shingles fall into each of 64 classes).
 2. A second scan writes each node's prefix: two sets that link share a shingle among the first
    n - ceil(t n) + 1 of each in that order.
-3. Index lists are keyed by shingle. Lists of one node are skipped; within a list, pairs are
-   skipped whose sizes, positions (what follows the shingle in both) or profiles bound the
-   overlap below the threshold. The rest joins nodes to candidate clusters.
+3. Index lists are keyed by shingle and ordered by size class, position and size. Lists of one node
+   are skipped; a list is cut into blocks that carry their least size and the largest size that
+   any entry's position (what follows the shingle) lets it link to. Two blocks meet only where these
+   allow a link, between tasks (long lists) as inside one; of what meets, pairs are skipped
+   by their own positions and profiles. The rest joins nodes to candidate clusters.
 4. Clusters are compared in blocks of bounded size. In a block a set's overlap with all
-   others comes from index lists in size order; a set much like one already answered starts from
-   that answer and visits the lists of the differing shingles only.
+   larger ones comes from index lists in size order, entered and left where sizes begin and cease
+   to fit; a set much like one already answered starts from that answer and visits the lists of the
+   differing shingles only.
 5. In clusters of several blocks, sets outside the largest component found so far meet the other
    blocks too, so every pair that is not already connected is compared, and copies need
    not be compared with each other across blocks.
@@ -20,12 +23,14 @@ A document's set holds the 64-bit hashes of its distinct w-word shingles. The jo
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import (BITMAP_ROWS, U64, bitmap_bits, bitmap_rows, by_group, collect_bitmap, components, cut, drop,
@@ -35,6 +40,9 @@ CELLS = 1 << 20  # cells of the frequency table: 4 MB, whatever the input
 _PART = 1 << 15
 PROFILE = 64
 LIST_BLOCK = 2048  # entries of a list that meet in one task
+SKIP = 64  # entries of a list that a task skips at once
+STEPS = 4  # size classes that linked sets are apart at most
+_PAIRS = 1 << 15  # pairs that a task looks at together
 BLOCK_SETS, BLOCK_SHINGLES = 4096, 4_000_000  # sets and shingles that one task compares
 
 
@@ -70,6 +78,17 @@ def pair_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def reach(n, pos, percent: int):
+    """Largest size of a set that an entry can link to. The n - pos shingles from its position on bound the
+    overlap, so that two entries may link exactly where each one's size is within the other's reach."""
+    return (n - pos) * (100 + percent) // percent - n
+
+
+def class_width(percent: int) -> float:
+    """Width of a size class in ln n: linked sets are at most ``STEPS`` classes apart."""
+    return max(math.log(100 / percent), 0.01) * (1 + 1e-9) / STEPS
+
+
 def profile(own: np.ndarray) -> bytes:
     """How many hashes fall into each class, as uint16; 65535 stands for that many or more."""
     return np.minimum(np.bincount((own >> U64(58)).astype(np.int64), minlength=PROFILE), 65535).astype("<u2").tobytes()
@@ -185,35 +204,61 @@ def _live(entries: DataFrame) -> DataFrame:
     return entries.mapInArrow(run, entries.schema)
 
 
+def blocks_that_meet(of: np.ndarray, blk: np.ndarray, cross: np.ndarray, low: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (x, y), x <= y, of the blocks of one list (``of``, ascending) that may hold a link: the least size of
+    each is within the other's reach. Where two blocks of a long list meet, only pairs across them count."""
+    last = np.searchsorted(of, of, "right")
+    times = last - np.arange(len(of))
+    x = np.repeat(np.arange(len(of)), times)
+    y = x + ragged(times)
+    keep = (far[x] >= low[y]) & (far[y] >= low[x]) & (~cross[x] | (blk[x] != blk[y]))
+    x, y = x[keep], y[keep]
+    order = np.argsort(y - x, kind="stable")  # neighbours first: what they tie need not be compared again
+    return x[order], y[order]
+
+
+def ragged(times: np.ndarray) -> np.ndarray:
+    """0 .. t - 1 for each t."""
+    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+
+
 def _compare_lists(percent: int):
     """For rows sorted by list: a spanning forest (a, b) of the pairs of each list that may link."""
 
     def near(part: pd.DataFrame) -> pd.DataFrame:
-        node, n, pos = (part[c].to_numpy(np.int64) for c in ("node", "n", "pos"))
         group = part[["shingle", "a", "b"]].to_numpy(np.int64)
-        new = np.append(True, (group[1:] != group[:-1]).any(axis=1))
+        of = np.cumsum(np.append(False, (group[1:] != group[:-1]).any(axis=1)))
+        n, pos, blk = (part[c].to_numpy(np.int64) for c in ("n", "pos", "blk"))
+        order = np.lexsort((n, pos, np.floor(np.log(n) / class_width(percent)), blk, of))
+        of, n, pos, blk, cross = of[order], n[order], pos[order], blk[order], (group[:, 1] != group[:, 2])[order]
+        node = part.node.to_numpy(np.int64)[order]
+        far = reach(n, pos, percent)
+        new = np.append(True, (of[1:] != of[:-1]) | (blk[1:] != blk[:-1]))
         start = np.flatnonzero(new)
-        end = np.repeat(np.append(start[1:], len(part)), np.diff(np.append(start, len(part))))
-        rest, blk = n - pos, part.blk.to_numpy(np.int64)
-        cross = group[:, 1] != group[:, 2]  # a pair of blocks: only pairs between the two
+        within = np.arange(len(n)) - np.repeat(start, np.diff(np.append(start, len(n))))
+        head = np.flatnonzero(within % SKIP == 0)
+        many = np.diff(np.append(head, len(n)))
+        x, y = blocks_that_meet(of[head], blk[head], cross[head], np.minimum.reduceat(n, head), np.maximum.reduceat(far, head))
         profiles = np.frombuffer(b"".join(part.profile), "<u2").reshape(-1, PROFILE)
-        root = np.arange(len(part))
-        at, step = np.arange(len(part)), 0
-        while True:
-            step += 1
-            at = at[at + step < end[at]]
-            if not len(at):
-                break
-            i, j = at, at + step
-            need = pair_overlap(n[i], n[j], percent)
-            may = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (np.minimum(rest[i], rest[j]) >= need)
-            may &= (node[i] != node[j]) & (~cross[i] | (blk[i] != blk[j])) & (root[i] != root[j])
-            i, j, need = i[may], j[may], need[may]
+        root = np.arange(len(n))
+        times = many[x] * many[y]
+        chunk = np.cumsum(times) // _PAIRS
+        ends = np.append(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, len(x))
+        at = 0
+        for end in ends:
+            p, q, t = x[at:end], y[at:end], times[at:end]
+            at = end
+            least, most = np.minimum.reduceat(root, head), np.maximum.reduceat(root, head)
+            apart = (np.minimum(least[p], least[q]) != np.maximum(most[p], most[q])) & ((p != q) | (many[p] > 1))
+            p, q, t = p[apart], q[apart], t[apart]
+            step, wide = ragged(t), np.repeat(many[q], t)
+            i, j = np.repeat(head[p], t) + step // wide, np.repeat(head[q], t) + step % wide
+            may = (i < j) & (far[i] >= n[j]) & (far[j] >= n[i]) & (node[i] != node[j]) & (root[i] != root[j])
+            i, j = i[may], j[may]
             if not len(i):
                 continue
-            p, q = profiles[i], profiles[j]
-            both = np.minimum(p, q).astype(np.int64)
-            may = (both.sum(axis=1) >= need) | ((p == 65535) & (q == 65535)).any(axis=1)
+            left, right = profiles[order[i]], profiles[order[j]]
+            may = (np.minimum(left, right).sum(axis=1, dtype=np.int64) >= pair_overlap(n[i], n[j], percent)) | ((left == 65535) & (right == 65535)).any(axis=1)
             unite(root, i[may], j[may])
         tied = root != np.arange(len(root))
         return pd.DataFrame({"a": node[tied], "b": node[root[tied]]})
@@ -235,16 +280,59 @@ def _compare_lists(percent: int):
     return run
 
 
+def size_class(percent: int) -> Column:
+    return F.floor(F.log("n") / class_width(percent))
+
+
+def list_blocks(entries: DataFrame, percent: int) -> DataFrame:
+    """(shingle, node, n, pos, cls, blk) of long lists, each ordered by size class, position and size over as
+    many tasks as it fills and cut into blocks of at most ``LIST_BLOCK`` entries."""
+    keys = ["shingle", "cls", "pos", "n", "node"]
+    size = LIST_BLOCK
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blk, last, held = (TaskContext.get().partitionId() << 32) - 1, None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            shingle = np.asarray(b.column(0))
+            new = np.append(shingle[0] != last, shingle[1:] != shingle[:-1])
+            start = np.flatnonzero(new)
+            start = start if new[0] else np.append(-held, start)
+            within = np.arange(len(new)) - start[np.searchsorted(start, np.arange(len(new)), "right") - 1]
+            ids = blk + np.cumsum(within % size == 0)
+            blk, last, held = int(ids[-1]), shingle[-1], int(within[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids)], ["shingle", "node", "n", "pos", "cls", "blk"])
+
+    rows = entries.select("shingle", "node", "n", "pos", size_class(percent).alias("cls"))
+    return rows.repartitionByRange(*keys).sortWithinPartitions(*keys).mapInArrow(run, "shingle long, node long, n int, pos int, cls long, blk long")
+
+
+def meetings(blocks: DataFrame, percent: int) -> DataFrame:
+    """(shingle, blk, a, b): the blocks of each list with the pairs (a, b) of blocks that they meet in; pairs
+    whose sizes and positions allow no link are skipped."""
+    far = F.expr(f"(cast(n as bigint) - pos) * {100 + percent} div {percent} - n")  # as ``reach``
+    bounds = blocks.groupBy("shingle", "blk").agg(F.min("n").alias("low"), F.max(far).alias("far"), F.min("cls").alias("first"), F.max("cls").alias("last"))
+    one = bounds.select("shingle", F.explode(F.sequence("first", "last")).alias("cls"), F.col("blk").alias("a"), F.col("low").alias("a_low"), F.col("far").alias("a_far"))
+    two = bounds.select("shingle", F.explode(F.sequence(F.col("first") - STEPS, F.col("last") + STEPS)).alias("cls"),
+                        F.col("blk").alias("b"), F.col("low").alias("b_low"), F.col("far").alias("b_far"))
+    pairs = one.join(two, ["shingle", "cls"]).where("a <= b and a_far >= b_low and b_far >= a_low").select("shingle", "a", "b").distinct()
+    return pairs.select("shingle", F.explode(F.array_distinct(F.array("a", "b"))).alias("blk"), "a", "b")
+
+
 def _clusters(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the nodes that share an index list with another node they may link to."""
     live = cut(_live(entries), "jaccard-lists")
-    shared = (live.groupBy("shingle").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.count("*").alias("_n"))
-              .where("_a <> _b").select("shingle", F.ceil(F.col("_n") / LIST_BLOCK).alias("blocks")))
-    listed = live.join(shared, "shingle").join(classes.select("node", "profile"), "node")
-    # a block alone, and every pair of blocks of a list
-    listed = (listed.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")))
-              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-              .select("shingle", F.least("blk", "other").alias("a"), F.greatest("blk", "other").alias("b"), "node", "n", "pos", "profile", "blk"))
+    shared = cut(live.groupBy("shingle").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.count("*").alias("_n"))
+                 .where("_a <> _b").select("shingle", (F.col("_n") > LIST_BLOCK).alias("long")), "jaccard-shared")
+    zero = F.lit(0).cast("long")
+    names = ["shingle", "a", "b", "node", "n", "pos", "blk"]
+    listed = live.join(shared.where("not long"), "shingle").withColumns({"a": zero, "b": zero, "blk": zero}).select(names)
+    split = shared.where("long")
+    if not split.isEmpty():
+        blocks = cut(list_blocks(live.join(split, "shingle"), percent), "jaccard-blocks")
+        listed = listed.unionByName(blocks.join(cut(meetings(blocks, percent), "jaccard-meetings"), ["shingle", "blk"]).select(names))
+    listed = listed.join(classes.select("node", "profile"), "node")
     keys = ["shingle", "a", "b"]
     edges = listed.repartition(*keys).sortWithinPartitions(*keys, "node").mapInPandas(_compare_lists(percent), "a long, b long").distinct()
     out = cut(components(edges, "a", "b"), "jaccard-clusters")
@@ -260,39 +348,43 @@ class Block:
         every, code = np.unique(np.concatenate(sets), return_inverse=True)
         first = np.concatenate(([0], np.cumsum(self.size)))
         self.sets = [code[first[k]: first[k + 1]] for k in range(len(sets))]
-        member = np.repeat(np.arange(len(sets)), self.size)
-        order = np.argsort(code, kind="stable")
-        self.member = member[order]  # each list is in size order, as the sets are
-        self.first = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=len(every)))))
+        # lists one after the other, each in size order, as the sets are
+        self.entries = np.sort(code * len(sets) + np.repeat(np.arange(len(sets)), self.size))
+        # past the last set that each may link to
+        self.high = np.searchsorted(self.size, self.size * 100 // percent, "right")
         self.percent = percent
+        self.visited = 0  # entries of lists
 
-    def tally(self, codes: np.ndarray) -> np.ndarray:
-        a, b = self.first[codes], self.first[codes + 1]
+    def tally(self, codes: np.ndarray, low: int, high: int) -> np.ndarray:
+        """Overlaps with the sets low .. high - 1; what a list holds before and after them is skipped."""
+        m = len(self.sets)
+        if high <= low or not len(codes):
+            return np.zeros(max(0, high - low), np.int64)
+        a, b = np.searchsorted(self.entries, codes * m + low), np.searchsorted(self.entries, codes * m + high)
         times = b - a
-        at = np.repeat(a - (np.cumsum(times) - times), times) + np.arange(times.sum())
-        return np.bincount(self.member[at], minlength=len(self.sets))
+        self.visited += int(times.sum())
+        return np.bincount(self.entries[np.repeat(a, times) + ragged(times)] % m - low, minlength=high - low)
 
     def answers(self) -> Iterator[tuple[int, np.ndarray]]:
-        """(set, the sets it links to): overlaps are counted from the lists, or carried over from the
-        set most like it among those answered."""
+        """(set, the later sets it links to): overlaps are counted from the lists, or carried over from
+        the set most like it among those answered."""
         m = len(self.sets)
         like, best = np.full(m, -1), np.zeros(m, np.int64)
         held: dict[int, np.ndarray] = {}
         for k in range(m):
-            own, r = self.sets[k], like[k]
+            own, r, low, high = self.sets[k], like[k], k + 1, int(self.high[k])
             if r >= 0 and self.size[k] + self.size[r] - 2 * best[k] < self.size[k]:
-                other = self.sets[r]
-                overlap = held[r] + self.tally(np.setdiff1d(own, other, True)) - self.tally(np.setdiff1d(other, own, True))
+                other, known = self.sets[r], int(self.high[r])
+                overlap = np.concatenate((
+                    held[r][k - r:] + self.tally(np.setdiff1d(own, other, True), low, known) - self.tally(np.setdiff1d(other, own, True), low, known),
+                    self.tally(own, known, high)))
             else:
-                overlap = self.tally(own)
-            closer = overlap > best
-            if closer[k + 1:].any():
-                held[k] = overlap
-                best[closer], like[closer] = overlap[closer], k
-            low = np.searchsorted(self.size, least_overlap(int(self.size[k]), self.percent))
-            high = np.searchsorted(self.size, self.size[k] * 100 // self.percent, "right")  # other sizes are skipped
-            some = overlap[low:high]
-            linked = 100 * some >= self.percent * (self.size[k] + self.size[low:high] - some)
+                overlap = self.tally(own, low, high)
+            closer = overlap > best[low:high]
+            if closer.any():
+                held[k] = overlap.astype(np.int32)
+                best[low:high][closer], like[low:high][closer] = overlap[closer], k
+            linked = 100 * overlap >= self.percent * (self.size[k] + self.size[low:high] - overlap)
             yield k, low + np.flatnonzero(linked)
 
 
@@ -306,7 +398,7 @@ def _link(percent: int):
         root = np.arange(len(node))
         if len(node) > 1:
             for k, others in Block([sets[x] for x in order], percent).answers():
-                near = np.unique(root[others])
+                near = np.unique(root[np.append(others, k)])
                 if len(near) > 1:
                     root[np.isin(root, near)] = near[0]
         tied = root != np.arange(len(node))

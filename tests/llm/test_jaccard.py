@@ -74,3 +74,62 @@ def test_very_long_text(spark):
     docs = [(1, " ".join(words)), (2, " ".join(words[:55_000])), (3, "".join(words))]
     rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {1: (59_997, 1), 2: (54_997, 1), 3: (1, 3)}
+
+
+def test_long_lists_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", 5)
+    monkeypatch.setattr(jaccard, "SKIP", 2)
+    docs = variants(3, 12, 40, (3, 70), 4)
+    for percent in (85, 60, 100):
+        rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), percent).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute(docs, percent, 4)
+
+
+def may_link(x, y, percent=85):
+    (n, p), (m, q) = x, y
+    return 100 * min(n, m) >= percent * max(n, m) and min(n - p, m - q) >= -(-percent * (n + m) // (100 + percent))
+
+
+def test_blocks_are_skipped_by_size_and_position(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", 20)
+    rng = random.Random(4)
+    rows = [(7, k, n, rng.randint(0, n - jaccard.least_overlap(n, 85))) for k in range(2000) for n in [rng.randint(20, 2000)]]
+    blocks = jaccard.list_blocks(spark.createDataFrame(rows, "shingle long, node long, n int, pos int").repartition(3), 85).collect()
+    assert sorted((r.shingle, r.node, r.n, r.pos) for r in blocks) == sorted(rows)
+    held = {}
+    for r in blocks:
+        held.setdefault(r.blk, []).append((r.n, r.pos))
+    assert max(map(len, held.values())) <= 20
+    met = {(r.a, r.b) for r in jaccard.meetings(spark.createDataFrame(blocks), 85).collect()}
+    every = [(a, b) for a in held for b in held if a <= b]
+    need = {(a, b) for a, b in every if any(may_link(x, y) for x in held[a] for y in held[b])}
+    assert need <= met and len(met) < len(every) / 4
+    # by position, beyond what sizes alone skip
+    by_size = {(a, b) for a, b in every if any(100 * min(x[0], y[0]) >= 85 * max(x[0], y[0]) for x in held[a] for y in held[b])}
+    assert len(met & by_size) < 0.8 * len(by_size)
+
+
+def test_reach_is_the_bound_of_a_pair():
+    for n in range(1, 40):
+        for p in range(n):
+            for m in range(1, 40):
+                for q in (0, 1, m // 3):
+                    both = jaccard.reach(n, p, 85) >= m and jaccard.reach(m, q, 85) >= n
+                    assert both == may_link((n, p), (m, q))
+
+
+def test_answers_skip_lists_and_carry_over():
+    rng = random.Random(6)
+    sets = []
+    for _ in range(60):
+        base = set(rng.sample(range(4000), rng.randint(5, 300)))
+        for _ in range(rng.randint(1, 6)):
+            sets.append((base - set(rng.sample(sorted(base), len(base) // 20))) | set(rng.sample(range(4000), 2)))
+    sets = sorted((jaccard.np.array(sorted(s), jaccard.U64) for s in sets), key=len)
+    block = jaccard.Block(sets, 85)
+    links = {(k, int(j)) for k, others in block.answers() for j in others}
+    found = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+             for both in [len(set(sets[i].tolist()) & set(sets[j].tolist()))] if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both)}
+    assert links == found and found
+    whole = jaccard.np.bincount((block.entries // len(sets)).astype(int))
+    assert block.visited < sum(whole[s].sum() for s in block.sets) / 4
