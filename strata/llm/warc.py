@@ -25,6 +25,8 @@ from strata.llm.common import by_group, cut
 MAGIC = "WARC/1.0\r\n"
 END = "\r\n\r\n"
 BLOCK = 1 << 20
+# fixed value: the format's name for revisits that are found by an equal payload digest
+PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 # fixed value: the alphabet of base 32
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -59,8 +61,11 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write_warc(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "gzip") -> None:
     """One record per row of ``pages`` (page_id, url, html). Null html is an empty payload; a null
     page_id or url is an empty header value; repeated rows are records of their own (all
-    rows of the smallest page_id are responses). Other columns are ignored. A revisit has no block; its
-    header names the payload's digest, length and the page it refers to. WARC-Date is the time of writing (UTC)."""
+    rows of the smallest page_id are responses). Other columns are ignored. A record's id is its page_id
+    and a random UUID, so that repeated and null page_ids have ids of their own. A revisit has no block;
+    its header names the profile (equal payload digests), the payload's digest and length and, in a header of our
+    own, the page it refers to. WARC-Date is the time of writing (UTC). With ``compression`` a file is
+    one member: offsets are those of the uncompressed bytes, and only ``none`` lets a reader seek to them."""
     rows = with_originals(pages, min_bytes)
     revisit = F.col("refers_to").isNotNull()
     size = F.octet_length("payload").cast("string")
@@ -68,11 +73,12 @@ def write_warc(pages: DataFrame, path: str, min_bytes: int = 0, compression: str
     head = F.concat_ws(
         "\r\n",
         F.when(revisit, "WARC-Type: revisit").otherwise("WARC-Type: response"),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), _line(F.col("page_id")), F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: <urn:page:"), _line(F.col("page_id")), F.lit(":"), F.uuid(), F.lit(">")),
         F.concat(F.lit("WARC-Date: "), written),
         F.concat(F.lit("WARC-Target-URI: "), _line(F.col("url"))),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
-        F.when(revisit, F.concat(F.lit("WARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
+        F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}")).otherwise(F.lit("Content-Type: text/html; charset=utf-8")),
+        F.when(revisit, F.concat(F.lit("X-Refers-To-Page: "), F.col("refers_to").cast("string"))),
         F.when(revisit, F.concat(F.lit("X-Payload-Length: "), size)),
         F.concat(F.lit("Content-Length: "), F.when(revisit, "0").otherwise(size)))
     record = F.concat(F.lit(MAGIC), head, F.lit(END), F.when(revisit, F.lit("")).otherwise(F.col("payload").cast("string")))
@@ -200,8 +206,8 @@ def read_warc(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     revisit = F.col("record_type") == "revisit"
     number = "try_cast(regexp_extract(_head, '(?i)(?:^|\\r\\n){}', 1) as bigint)"
     out = (records.withColumn("record_type", F.lower(kind))
-           .withColumn("page_id", F.expr(number.format("WARC-Record-ID: *<urn:page:(-?[0-9]+)>")))
-           .withColumn("refers_to", F.expr(number.format("WARC-Refers-To: *<urn:page:(-?[0-9]+)>")))
+           .withColumn("page_id", F.expr(number.format("WARC-Record-ID: *<urn:page:(-?[0-9]+)[:>]")))
+           .withColumn("refers_to", F.expr(number.format("X-Refers-To-Page: *(-?[0-9]+)")))
            .withColumn("url", F.nullif(_header("WARC-Target-URI", "([^\\r\\n]*)"), F.lit("")))
            .withColumn("payload", F.when(revisit, F.lit(None)).when(F.col("_entire"), body("value")).otherwise(F.col("_mended")))
            .withColumn("payload_bytes", F.when(revisit, F.expr(number.format("X-Payload-Length: *([0-9]+)"))).otherwise(F.octet_length("payload").cast("long")))

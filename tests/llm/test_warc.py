@@ -85,3 +85,16 @@ def test_records_have_the_headers_of_the_format(spark, tmp_path):
         names = [line.split(": ", 1)[0] for line in head.split("\r\n")]
         assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(names)
         assert re.search(r"(?m)^WARC-Date: \d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\r?$", head)
+
+
+def test_record_ids_are_unique_and_revisits_have_a_profile(spark, tmp_path):
+    rows = [(1, "u", "a", None, None)] * 3 + [(2, "u", "a", None, None), (None, "u", "b", None, None), (None, None, "c", None, None)]
+    path = f"{tmp_path}/ids"
+    write_warc(spark.createDataFrame(rows, SCHEMA).repartition(2), path, compression="none")
+    heads = [dict(line.split(": ", 1) for line in r.value.split("\r\n\r\n")[0].split("\r\n")) for r in spark.read.option("lineSep", MAGIC).text(path).collect() if r.value]
+    assert len({h["WARC-Record-ID"] for h in heads}) == len(rows)
+    for h in heads:
+        revisit = h["WARC-Type"] == "revisit"
+        assert h.get("WARC-Profile") == (warc.PROFILE if revisit else None)
+        assert ("Content-Type" in h) != revisit and "WARC-Refers-To" not in h
+    assert sorted((str(r.page_id), r.record_type) for r in read_warc(spark, path).collect()) == [("1", "response")] * 3 + [("2", "revisit")] + [("None", "response")] * 2
