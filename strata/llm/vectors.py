@@ -14,14 +14,17 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import U64, by_group, components, cut, mix
+from strata.llm.common import U64, by_group, components, cut, drop, mix
 
 MOST_SHARED = 0.3  # of a node's vectors may go to both sides
 LEAF_BLOCK = 2048  # vectors of a leaf that one task holds twice at most
+LEVELS = 48  # of a tree at most, so that leaf ids are longs
+NODE_SAMPLE = 4096  # vectors, as expected, on which a large leaf's own part of the tree is fitted
 
 
 def margin(threshold: float, dim: int) -> float:
@@ -31,60 +34,83 @@ def margin(threshold: float, dim: int) -> float:
     return 0.54 * max(2 - 2 * threshold, 1e-12) ** 0.5 / dim ** 0.5
 
 
+def level_of(node: int) -> int:
+    return (node + 1).bit_length() - 1
+
+
+def divide(sample: np.ndarray, share: float, node: int, directions: np.ndarray, leaf: int, spill: float) -> dict[int, float]:
+    """Cuts of the nodes from ``node`` down, fitted on a sample of its vectors that each stand for
+    ``share``. Node k has the children 2k + 1 and 2k + 2; a node without a cut is a leaf, one with
+    a cut of NaN is a leaf that no cut divides well."""
+    cuts: dict[int, float] = {}
+    todo = [(node, np.arange(len(sample)))]
+    while todo:
+        node, own = todo.pop()
+        if len(own) * share <= leaf or len(own) < 16:
+            continue
+        level = level_of(node)
+        if level == len(directions):
+            cuts[node] = np.nan
+            continue
+        at = sample[own] @ directions[level]
+        # of the central quantiles the one with the fewest vectors in the margin, so that a
+        # tight group stays on one side
+        tried = np.quantile(at, np.linspace(0.3, 0.7, 9))
+        both = [int((np.abs(at - c) <= spill).sum()) for c in tried]
+        best = int(np.argmin(both))
+        if both[best] > MOST_SHARED * len(own):
+            cuts[node] = np.nan
+            continue
+        middle = cuts[node] = float(tried[best])
+        todo += [(2 * node + 1, own[at <= middle + spill]), (2 * node + 2, own[at >= middle - spill])]
+    return cuts
+
+
+def descend(x: np.ndarray, node: int, directions: np.ndarray, cuts: dict[int, float], spill: float) -> Iterator[tuple[int, np.ndarray]]:
+    """The leaves from ``node`` down that rows of ``x`` fall into, each with its rows."""
+    todo = [(node, np.arange(len(x)))]
+    projected: dict[int, np.ndarray] = {}
+    while todo:
+        node, own = todo.pop()
+        if not len(own):
+            continue
+        middle = cuts.get(node, np.nan)
+        if np.isnan(middle):
+            yield node, own
+            continue
+        level = level_of(node)
+        if level not in projected:
+            projected[level] = x @ directions[level]
+        value = projected[level][own]
+        todo += [(2 * node + 1, own[value <= middle + spill]), (2 * node + 2, own[value >= middle - spill])]
+
+
 class Forest:
     """Trees over a sample: per level one random direction, per node a cut near the sample's median on
-    it. Node k has the children 2k + 1 and 2k + 2; a node without a cut is a leaf."""
+    it. A leaf's id is its node's number times the number of trees, plus its tree's number."""
 
     def __init__(self, sample: np.ndarray, rows: int, trees: int, leaf: int, spill: float, seed: int):
         rng = np.random.default_rng(seed)
         dim = sample.shape[1] if len(sample) else 1
-        share = rows / max(1, len(sample))
         self.spill = spill
         self.trees: list[tuple[np.ndarray, dict[int, float]]] = []
         for _ in range(trees):
-            directions = rng.standard_normal((32, dim))
+            directions = rng.standard_normal((LEVELS, dim))
             directions /= np.linalg.norm(directions, axis=1, keepdims=True)
-            medians: dict[int, float] = {}
-            todo = [(0, 0, np.arange(len(sample)))]
-            while todo:
-                node, level, own = todo.pop()
-                if len(own) * share <= leaf or len(own) < 16 or level == len(directions):
-                    continue
-                at = sample[own] @ directions[level]
-                # of the central quantiles the one with the fewest vectors in the margin, so that a
-                # tight group stays on one side; a node that no cut divides well is a leaf
-                cuts = np.quantile(at, np.linspace(0.3, 0.7, 9))
-                both = [int((np.abs(at - c) <= spill).sum()) for c in cuts]
-                best = int(np.argmin(both))
-                if both[best] > MOST_SHARED * len(own):
-                    continue
-                middle = float(cuts[best])
-                medians[node] = middle
-                todo += [(2 * node + 1, level + 1, own[at <= middle + spill]), (2 * node + 2, level + 1, own[at >= middle - spill])]
-            self.trees.append((directions, medians))
+            self.trees.append((directions, divide(sample, rows / max(1, len(sample)), 0, directions, leaf, spill)))
+
+    def divisible(self, leaf: int) -> bool:
+        """Whether a larger sample may divide the leaf further."""
+        node, tree = divmod(leaf, len(self.trees))
+        return node not in self.trees[tree][1]
 
     def leaves(self, x: np.ndarray) -> list[list[int]]:
         """Leaf ids of each row, over all trees."""
         out: list[list[int]] = [[] for _ in range(len(x))]
-        for tree, (directions, medians) in enumerate(self.trees):
-            depth = 0
-            at = [(0, 0, np.arange(len(x)))]
-            projected: dict[int, np.ndarray] = {}
-            while at:
-                node, level, own = at.pop()
-                if not len(own):
-                    continue
-                depth = max(depth, level)
-                middle = medians.get(node)
-                if middle is None:
-                    for k in own:
-                        out[k].append(node * len(self.trees) + tree)
-                    continue
-                if level not in projected:
-                    projected[level] = x @ directions[level]
-                value = projected[level][own]
-                at += [(2 * node + 1, level + 1, own[value <= middle + self.spill]),
-                       (2 * node + 2, level + 1, own[value >= middle - self.spill])]
+        for tree, (directions, cuts) in enumerate(self.trees):
+            for node, own in descend(x, 0, directions, cuts, self.spill):
+                for k in own:
+                    out[k].append(node * len(self.trees) + tree)
         return out
 
 
@@ -94,6 +120,11 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def unpacked(column: pd.Series, wide: bool) -> np.ndarray:
+    """Unit vectors of packed rows."""
+    return normal(np.vstack([np.frombuffer(v, "<f8" if wide else "<f4") for v in column]).astype(float))
+
+
 def normal(x: np.ndarray) -> np.ndarray:
     """Unit vectors; scaled first so that squares neither overflow nor vanish."""
     x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -132,7 +163,7 @@ def _compare(threshold: float, wide: bool):
     def run(key, part: pd.DataFrame) -> pd.DataFrame:
         leaf, first, second = (int(k) for k in key)
         part = part.sort_values("rep", kind="stable", ignore_index=True)
-        x = normal(np.vstack([np.frombuffer(v, "<f8" if wide else "<f4") for v in part.vector]).astype(float))
+        x = unpacked(part.vector, wide)
         near = x @ x.T >= threshold
         np.fill_diagonal(near, False)
         if first != second:  # a pair of blocks: only links between the two are its own
@@ -149,13 +180,77 @@ def _compare(threshold: float, wide: bool):
     return run
 
 
+def finer_leaves(equal: DataFrame, forest: Broadcast, large: Broadcast, leaf: int, wide: bool) -> DataFrame:
+    """(rep, leaf, n): the leaves that take the place of the ``large`` ones (id -> vectors) of the
+    forest, and how many vectors each has.
+
+    A large leaf's part of the tree is fitted on a sample of its own vectors, one task a leaf, and
+    its vectors are led down it in blocks, one task a block. Leaves of over 2 * ``leaf`` vectors
+    go round again until each is small or no cut divides it well; a round makes leaves up to
+    ``NODE_SAMPLE / 16`` times smaller, so the number of rounds is logarithmic. No sample, cut or count comes
+    to the driver."""
+    trees, spill, sample, block = len(forest.value.trees), forest.value.spill, NODE_SAMPLE, LEAF_BLOCK
+
+    def enter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1000):
+                b = whole.slice(k, 1000)
+                x = matrix(b.column(1))
+                at = [(i, r) for r, own in enumerate(forest.value.leaves(normal(x))) for i in own if i in large.value]
+                raw = [v.tobytes() for v in (x if wide else x.astype("<f4"))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i for i, _ in at], pa.int64()), pa.array([large.value[i] for i, _ in at], pa.int64()),
+                     b.column(0).take(pa.array([r for _, r in at], pa.int64())), pa.array([raw[r] for _, r in at], pa.binary())],
+                    ["leaf", "n", "rep", "vector"])
+
+    def fit(key, part: pd.DataFrame) -> pd.DataFrame:
+        node, tree = divmod(int(key[0]), trees)
+        n = int(part.n.iloc[0])
+        cuts = divide(unpacked(part.vector, wide), n / len(part), node, forest.value.trees[tree][0], leaf, spill)
+        return pd.DataFrame({"leaf": [key[0]], "n": [n], "nodes": [np.array(list(cuts), "<i8").tobytes()],
+                             "cuts": [np.array(list(cuts.values()), "<f8").tobytes()]})
+
+    def lead(key, part: pd.DataFrame) -> pd.DataFrame:
+        node, tree = divmod(int(key[0]), trees)
+        own, fitted = part[part.nodes.isna()], part[part.nodes.notna()]
+        cuts: dict[int, float] = {}
+        for f in fitted.itertuples():
+            cuts.update(zip(np.frombuffer(f.nodes, "<i8").tolist(), np.frombuffer(f.cuts, "<f8").tolist(), strict=True))
+        found = list(descend(unpacked(own.vector, wide), node, forest.value.trees[tree][0], cuts, spill)) if len(own) else []
+        at = np.concatenate([rows for _, rows in found]) if found else np.zeros(0, np.int64)
+        size = [len(rows) for _, rows in found]
+        # a leaf that a cut of NaN ends, or that has no cuts at all, stays as it is
+        return pd.DataFrame({"leaf": np.repeat(np.array([k * trees + tree for k, _ in found], np.int64), size),
+                             "rep": own.rep.to_numpy(np.int64)[at], "vector": own.vector.to_numpy()[at],
+                             "open": np.repeat(np.array([bool(cuts) and k not in cuts for k, _ in found], bool), size)})
+
+    rows = cut(equal.select("rep", "v").mapInArrow(enter, "leaf long, n long, rep long, vector binary"), "vector-large")
+    small = equal.sparkSession.createDataFrame([], "rep long, leaf long, n long")
+    while not rows.isEmpty():
+        chance = F.xxhash64("rep", "leaf") / F.lit(2.0**64) + 0.5
+        fitted = cut(by_group(rows.where(chance * F.col("n") < sample), ["leaf"], fit, "leaf long, n long, nodes binary, cuts binary"), "vector-cuts")
+        blocks = F.ceil(F.col("n") / block)
+        tasks = (rows.withColumn("blk", F.pmod(F.xxhash64("rep"), blocks))
+                 .unionByName(fitted.withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))), allowMissingColumns=True))
+        led = cut(by_group(tasks, ["leaf", "blk"], lead, "leaf long, rep long, vector binary, open boolean"), "vector-led")
+        counted = led.join(led.groupBy("leaf").agg(F.count("*").alias("n")), "leaf")
+        again = F.col("open") & (F.col("n") > 2 * leaf)
+        small = small.unionByName(cut(counted.where(~again).select("rep", "leaf", "n"), "vector-small"))
+        left = cut(counted.where(again).select("leaf", "n", "rep", "vector"), "vector-large")
+        for used in (led, fitted, rows):
+            drop(used)
+        rows = left
+    return small
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, leaf: int = 512, spill: float | None = None,
                  sample_rows: int = 20_000, seed: int = 8) -> DataFrame:
     """(vec_id, n_links, component_id, kept): links are pairs of cosine >= ``threshold`` that the forest
     finds; n_links counts other vectors linked directly, component_id is the smallest vec_id reachable.
 
     ``spill`` is the margin around a cut within which vectors go to both sides (as ``margin`` where not
-    given). The trees are fitted on at most ``sample_rows`` usable vectors (smallest hashes of their values);
+    given). The upper levels of the trees are fitted on at most ``sample_rows`` usable vectors (smallest hashes of
+    their values), the levels below, where a leaf still has over 2 * ``leaf`` vectors, by ``finer_leaves``;
     every vector is indexed and compared. Equal vectors are one vector with a weight. Leaves of more
     than ``LEAF_BLOCK`` vectors are compared block by block, so groups of any size stay exact
     within bounded tasks. Vectors that are null, empty, zero, of another length than most or that hold
@@ -181,7 +276,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
     n = equal.count()
     spill = margin(threshold, size["size"]) if spill is None else spill
     sample = equal.orderBy("hash", "rep").select("v").limit(sample_rows).toArrow().column(0).combine_chunks()
-    forest = spark.sparkContext.broadcast(Forest(normal(matrix(sample)), n, trees, leaf, spill, seed))
+    fitted = Forest(normal(matrix(sample)), n, trees, leaf, spill, seed)
+    forest = spark.sparkContext.broadcast(fitted)
 
     def leaves_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -191,7 +287,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
 
     # one row a leaf: as many as the forest has, which the sample bounds
     sizes = equal.select("v").mapInArrow(leaves_of, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).where("n > 1").collect()
-    blocks = spark.sparkContext.broadcast({r.leaf: -(-r.n // LEAF_BLOCK) for r in sizes})
+    large = {r.leaf: r.n for r in sizes if r.n > 2 * leaf and fitted.divisible(r.leaf)}
+    blocks = spark.sparkContext.broadcast({r.leaf: -(-r.n // LEAF_BLOCK) for r in sizes if r.leaf not in large})
+    divided = spark.sparkContext.broadcast(large)
+    indexed = equal.select("rep", "v", "copies")
+    if large:
+        finer = finer_leaves(equal, forest, divided, leaf, wide).groupBy("rep").agg(F.collect_set(F.struct("leaf", "n")).alias("finer"))
+        indexed = cut(indexed.join(finer, "rep", "left"), "vector-leaves")
+    else:
+        indexed = indexed.withColumn("finer", F.lit(None).cast("array<struct<leaf:long,n:long>>"))
+    block = LEAF_BLOCK
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -202,10 +307,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
                 raw = [v.tobytes() for v in (x if wide else x.astype("<f4"))]
                 names = b.column(0).to_pylist()
                 out: list[tuple] = []
-                for r, found_in in enumerate(own):
-                    every = np.array(sorted(found_in), "<i8").tobytes()
-                    for leaf_id in found_in:
-                        parts = blocks.value.get(leaf_id, 0)
+                for r, (found_in, finer_in) in enumerate(zip(own, b.column(3).to_pylist(), strict=True)):
+                    in_parts = {i: blocks.value.get(i, 0) for i in found_in if i not in divided.value}
+                    in_parts |= {f["leaf"]: -(-f["n"] // block) if f["n"] > 1 else 0 for f in finer_in or ()}
+                    every = np.array(sorted(in_parts), "<i8").tobytes()
+                    for leaf_id, parts in in_parts.items():
                         blk = int(mix(np.array([names[r]], np.int64).view(U64))[0] % U64(parts)) if parts > 1 else 0
                         # a block alone, and with every other block of its leaf
                         for other in range(parts):
@@ -217,7 +323,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
                      pa.array(vector, pa.binary()), pa.array(every_leaf, pa.binary()), pa.array(blk_col, pa.int64())],
                     ["leaf", "a", "b", "rep", "copies", "vector", "leaves", "blk"])
 
-    tasks = equal.select("rep", "v", "copies").mapInArrow(
+    tasks = indexed.mapInArrow(
         index, "leaf long, a long, b long, rep long, copies long, vector binary, leaves binary, blk long")
     found = cut(by_group(tasks, ["leaf", "a", "b"], _compare(threshold, wide), "rep long, n long, to long"), "vector-links")
     links = found.groupBy("rep").agg(F.sum("n").alias("n"))

@@ -95,3 +95,36 @@ def test_trees_divide_wide_vectors():
     x = planted(np.random.default_rng(5), 4000, 768, 100)
     forest = vectors.Forest(x, len(x), 1, 512, vectors.margin(0.9, 768), 8)
     assert len(set(sum(forest.leaves(x), []))) > 4
+
+
+def test_large_leaves_are_divided_on_executors(spark, monkeypatch):
+    """A sample far too small for the rows: leaves are divided in rounds, and nothing is lost by it."""
+    monkeypatch.setattr(vectors, "NODE_SAMPLE", 150)
+    monkeypatch.setattr(vectors, "LEAF_BLOCK", 100)
+    led = []
+    finer = vectors.finer_leaves
+    monkeypatch.setattr(vectors, "finer_leaves", lambda *args: led.append(finer(*args)) or led[-1])
+    n, pairs, dim, leaf = 6000, 600, 16, 40
+    x = np.float32(planted(np.random.default_rng(dim), n, dim, pairs, 0.902))
+    x[-1] = x[0]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    frame = spark.createDataFrame([(k, v, 0) for k, v in enumerate(x.tolist())], SCHEMA).repartition(4)
+    got = {r.vec_id: r for r in near_vectors(frame, leaf=leaf, sample_rows=100, spill=0.06).collect()}
+    assert len(got) == n and all(got[k].n_links <= near[k].sum() for k in got)
+    assert sum(r.n_links for r in got.values()) >= 0.97 * near.sum()
+    assert got[0].n_links == got[n - 1].n_links and got[0].component_id == got[n - 1].component_id
+    sizes = {r.leaf: r.n for r in led[0].select("leaf", "n").distinct().collect()}
+    rows = led[0].groupBy("leaf").count().collect()
+    assert len(sizes) == len(rows) > 100 and all(sizes[r["leaf"]] == r["count"] for r in rows)
+    assert np.median(list(sizes.values())) <= 2 * leaf
+
+
+def test_leaves_that_no_cut_divides_stay_whole(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "NODE_SAMPLE", 150)
+    monkeypatch.setattr(vectors, "LEAF_BLOCK", 100)
+    rng = np.random.default_rng(6)
+    tight = rng.standard_normal(16) + 0.001 * rng.standard_normal((400, 16))
+    rows = groups(rng, 1200, 0.3) + [(9000 + k, [float(np.float32(e)) for e in v]) for k, v in enumerate(tight)]
+    compare(spark, rows, 0.99, leaf=40, sample_rows=60, spill=0.1)
