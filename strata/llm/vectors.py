@@ -180,12 +180,12 @@ def _compare(threshold: float, wide: bool):
     return run
 
 
-def finer_leaves(equal: DataFrame, forest: Broadcast, large: Broadcast, leaf: int, wide: bool) -> DataFrame:
+def finer_leaves(equal: DataFrame, forest: Broadcast, large: Broadcast, most: int, wide: bool) -> DataFrame:
     """(rep, leaf, n): the leaves that take the place of the ``large`` ones (id -> vectors) of the
-    forest, and how many vectors each has.
+    forest, those of over ``most`` vectors, and how many vectors each has.
 
     A large leaf's part of the tree is fitted on a sample of its own vectors, one task a leaf, and
-    its vectors are led down it in blocks, one task a block. Leaves of over 2 * ``leaf`` vectors
+    its vectors are led down it in blocks, one task a block. Leaves that are still large
     go round again until each is small or no cut divides it well; a round makes leaves up to
     ``NODE_SAMPLE / 16`` times smaller, so the number of rounds is logarithmic. No sample, cut or count comes
     to the driver."""
@@ -206,7 +206,7 @@ def finer_leaves(equal: DataFrame, forest: Broadcast, large: Broadcast, leaf: in
     def fit(key, part: pd.DataFrame) -> pd.DataFrame:
         node, tree = divmod(int(key[0]), trees)
         n = int(part.n.iloc[0])
-        cuts = divide(unpacked(part.vector, wide), n / len(part), node, forest.value.trees[tree][0], leaf, spill)
+        cuts = divide(unpacked(part.vector, wide), n / len(part), node, forest.value.trees[tree][0], most // 2, spill)
         return pd.DataFrame({"leaf": [key[0]], "n": [n], "nodes": [np.array(list(cuts), "<i8").tobytes()],
                              "cuts": [np.array(list(cuts.values()), "<f8").tobytes()]})
 
@@ -234,7 +234,7 @@ def finer_leaves(equal: DataFrame, forest: Broadcast, large: Broadcast, leaf: in
                  .unionByName(fitted.withColumn("blk", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))), allowMissingColumns=True))
         led = cut(by_group(tasks, ["leaf", "blk"], lead, "leaf long, rep long, vector binary, open boolean"), "vector-led")
         counted = led.join(led.groupBy("leaf").agg(F.count("*").alias("n")), "leaf")
-        again = F.col("open") & (F.col("n") > 2 * leaf)
+        again = F.col("open") & (F.col("n") > most)
         small = small.unionByName(cut(counted.where(~again).select("rep", "leaf", "n"), "vector-small"))
         left = cut(counted.where(again).select("leaf", "n", "rep", "vector"), "vector-large")
         for used in (led, fitted, rows):
@@ -250,7 +250,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
 
     ``spill`` is the margin around a cut within which vectors go to both sides (as ``margin`` where not
     given). The upper levels of the trees are fitted on at most ``sample_rows`` usable vectors (smallest hashes of
-    their values), the levels below, where a leaf still has over 2 * ``leaf`` vectors, by ``finer_leaves``;
+    their values), the levels below, where a leaf has more vectors than a task compares whole, by ``finer_leaves``;
     every vector is indexed and compared. Equal vectors are one vector with a weight. Leaves of more
     than ``LEAF_BLOCK`` vectors are compared block by block, so groups of any size stay exact
     within bounded tasks. Vectors that are null, empty, zero, of another length than most or that hold
@@ -287,12 +287,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = 5, lea
 
     # one row a leaf: as many as the forest has, which the sample bounds
     sizes = equal.select("v").mapInArrow(leaves_of, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).where("n > 1").collect()
-    large = {r.leaf: r.n for r in sizes if r.n > 2 * leaf and fitted.divisible(r.leaf)}
+    most = max(2 * leaf, LEAF_BLOCK)  # a leaf that one task compares whole is not worth more copies of its vectors
+    large = {r.leaf: r.n for r in sizes if r.n > most and fitted.divisible(r.leaf)}
     blocks = spark.sparkContext.broadcast({r.leaf: -(-r.n // LEAF_BLOCK) for r in sizes if r.leaf not in large})
     divided = spark.sparkContext.broadcast(large)
     indexed = equal.select("rep", "v", "copies")
     if large:
-        finer = finer_leaves(equal, forest, divided, leaf, wide).groupBy("rep").agg(F.collect_set(F.struct("leaf", "n")).alias("finer"))
+        finer = finer_leaves(equal, forest, divided, most, wide).groupBy("rep").agg(F.collect_set(F.struct("leaf", "n")).alias("finer"))
         indexed = cut(indexed.join(finer, "rep", "left"), "vector-leaves")
     else:
         indexed = indexed.withColumn("finer", F.lit(None).cast("array<struct<leaf:long,n:long>>"))

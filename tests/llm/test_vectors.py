@@ -118,7 +118,7 @@ def test_large_leaves_are_divided_on_executors(spark, monkeypatch):
     sizes = {r.leaf: r.n for r in led[0].select("leaf", "n").distinct().collect()}
     rows = led[0].groupBy("leaf").count().collect()
     assert len(sizes) == len(rows) > 100 and all(sizes[r["leaf"]] == r["count"] for r in rows)
-    assert np.median(list(sizes.values())) <= 2 * leaf
+    assert np.median(list(sizes.values())) <= 100
 
 
 def test_leaves_that_no_cut_divides_stay_whole(spark, monkeypatch):
