@@ -32,21 +32,28 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 def base32(digest: Column) -> Column:
-    """A hex SHA-1 in base 32: each 5 hex digits are 4 letters."""
+    """A hex SHA-1 in base 32 (null: null): each 5 hex digits are 4 letters."""
     def letters(part: Column) -> Column:
         bits = F.conv(F.substr(digest, part * 5 + 1, F.lit(5)), 16, 10).cast("int")
         return F.concat(*[F.substr(F.lit(BASE32), F.shiftright(bits, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)])
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), letters), "")
+    # joining an array of nulls would give an empty text
+    return F.when(digest.isNotNull(), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), letters), ""))
 
 
 def _line(value: Column) -> Column:
-    """A header value: no line breaks."""
-    return F.regexp_replace(F.coalesce(value.cast("string"), F.lit("")), "[\\r\\n]+", " ")
+    """A header value: no line breaks, and a space more (that ``_unlined`` takes away) where it would make
+    the magic with the line break after it."""
+    plain = F.regexp_replace(F.coalesce(value.cast("string"), F.lit("")), "[\\r\\n]+", " ")
+    return F.regexp_replace(plain, "(WARC/1\\.0 *)\\z", "$1 ")
+
+
+def _unlined(value: Column) -> Column:
+    return F.regexp_replace(value, "(WARC/1\\.0 *) \\z", "$1")
 
 
 def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, url, payload, digest, refers_to): refers_to is the smallest page_id of the pages of
-    equal payload (of at least ``min_bytes``) where it is another page, else null."""
+    equal payload (of at least ``min_bytes``) where it is another page (a null page_id is one), else null."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
@@ -55,7 +62,7 @@ def with_originals(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     first = cut(first, "warc-equal")  # a table of known size: where few payloads are equal, no payload is shuffled
     joined = rows.join(first, (rows.digest == first.digest) & (F.octet_length("payload") == F.col("_size")), "left").drop(first.digest)
     return joined.select("page_id", "url", "payload", base32(F.col("digest")).alias("digest"),
-                         F.when(F.col("_first") != F.col("page_id"), F.col("_first")).alias("refers_to"))
+                         F.when(~F.col("_first").eqNullSafe(F.col("page_id")), F.col("_first")).alias("refers_to"))
 
 
 def write_warc(pages: DataFrame, path: str, min_bytes: int = 0, compression: str = "gzip") -> None:
@@ -208,7 +215,7 @@ def read_warc(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
     out = (records.withColumn("record_type", F.lower(kind))
            .withColumn("page_id", F.expr(number.format("WARC-Record-ID: *<urn:page:(-?[0-9]+)[:>]")))
            .withColumn("refers_to", F.expr(number.format("X-Refers-To-Page: *(-?[0-9]+)")))
-           .withColumn("url", F.nullif(_header("WARC-Target-URI", "([^\\r\\n]*)"), F.lit("")))
+           .withColumn("url", F.nullif(_unlined(_header("WARC-Target-URI", "([^\\r\\n]*)")), F.lit("")))
            .withColumn("payload", F.when(revisit, F.lit(None)).when(F.col("_entire"), body("value")).otherwise(F.col("_mended")))
            .withColumn("payload_bytes", F.when(revisit, F.expr(number.format("X-Payload-Length: *([0-9]+)"))).otherwise(F.octet_length("payload").cast("long")))
            .withColumn("_sha1", F.sha1("payload"))

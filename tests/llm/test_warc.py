@@ -98,3 +98,20 @@ def test_record_ids_are_unique_and_revisits_have_a_profile(spark, tmp_path):
         assert h.get("WARC-Profile") == (warc.PROFILE if revisit else None)
         assert ("Content-Type" in h) != revisit and "WARC-Refers-To" not in h
     assert sorted((str(r.page_id), r.record_type) for r in read_warc(spark, path).collect()) == [("1", "response")] * 3 + [("2", "revisit")] + [("None", "response")] * 2
+
+
+def test_query_gives_revisits_their_digest_and_reads_every_record(spark, tmp_path):
+    """Equal payloads, also of pages without an id, and URLs that end in the magic's letters."""
+    from strata.llm.queries import op7_warc
+    rows = [(1, "u", "same"), (2, "u", "same"), (None, "u", "same"), (4, "u", None), (5, "u", ""), (6, "http://x/WARC/1.0", "a"), (7, "WARC/1.0 ", "b"), (8, "x\r\nWARC/1.0\r\n", "c"), (None, "u", "d")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(map(tuple, op7_warc(spark, str(tmp_path)).collect()), key=str)
+
+    def row(page, html, to=None):
+        raw = html.encode()
+        return page, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if to else "response", to
+
+    assert got == sorted([row(1, "same"), row(2, "same", 1), row(None, "same", 1), row(4, ""), row(5, "", 4), row(6, "a"), row(7, "b"), row(8, "c"), row(None, "d")], key=str)
+    path = f"{tmp_path}/urls"
+    write_warc(spark.read.parquet(f"{tmp_path}/pages.parquet").where("page_id in (6, 7)"), path)
+    assert sorted(r.url for r in read_warc(spark, path).collect()) == ["WARC/1.0 ", "http://x/WARC/1.0"]
