@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 import random
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,6 +97,10 @@ def als_scores(ratings: DataFrame, user: str, item: str, rating: str,
 TABLES, BUCKET_ITEMS = 12, 200
 
 
+# a block of work: so many items of a bucket, and so many users that look into it, so many at a time
+BLOCK_ITEMS, BLOCK_USERS, BATCH_USERS = 4096, 4096, 64
+
+
 def _signs(vector: Column, planes: list[list[float]]) -> Column:
     """Bucket number of a vector: one bit per hyperplane."""
     out = F.lit(0)
@@ -103,6 +110,79 @@ def _signs(vector: Column, planes: list[list[float]]) -> Column:
     return out
 
 
+def _dealt(rows: DataFrame, key: str, others: DataFrame, own: str, other: str) -> DataFrame:
+    """Rows (t, b, ...) with their block: a bucket's rows are cut into ``own`` parts by their key, and each
+    part meets each of the ``other`` parts of the other side. ``others``: (t, b, own, other) of every bucket."""
+    parts = F.transform(F.sequence(F.lit(0), F.col(other) - 1), lambda n: n.cast("int"))
+    return (rows.join(others, ["t", "b"]).withColumn("_own", F.pmod(F.xxhash64(key), F.col(own)).cast("int"))
+            .withColumn("_other", F.explode(parts)).drop("items", "users"))
+
+
+def _best_of_blocks(k: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (t, b, ip, up, kind, user, item, x) sorted by block, kind and user: a block's items (kind 0), then its
+    users (kind 2), each after the items it has rated there (kind 1, with the same user). For each user
+    the ``k`` items of highest score, ties to the smaller item, that it has not rated."""
+
+    def best(items: np.ndarray, factors: np.ndarray, users: list[int], own: np.ndarray, rated: list[list[int]]) -> tuple:
+        score = np.zeros((len(users), len(items)))
+        for d in range(own.shape[1]):   # summed in the order of ``dot``
+            score += own[:, d, None] * factors[d]
+        taken = np.zeros(score.shape, bool)
+        of, what = np.repeat(np.arange(len(users)), [len(x) for x in rated]), np.asarray([y for x in rated for y in x], np.int64)
+        at = np.minimum(np.searchsorted(items, what), len(items) - 1)
+        known = items[at] == what
+        taken[of[known], at[known]] = True
+        high = np.where(taken, -np.inf, np.where(np.isnan(score), np.inf, score))   # as Spark orders them
+        free = ~taken
+        if len(items) > k:
+            free &= high >= np.partition(high, len(items) - k, axis=1)[:, len(items) - k, None]
+        row, col = np.nonzero(free)
+        order = np.lexsort((col, -high[row, col], ~np.isnan(score[row, col]), row))
+        row, col = row[order], col[order]
+        first = np.arange(len(row)) - np.searchsorted(row, row) < k
+        row, col = row[first], col[first]
+        return np.asarray(users, np.int64)[row], items[col], score[row, col]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, items, factors, holder, rated = None, [], [], None, []
+        users, own, seen = [], [], []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            nonlocal items, factors
+            if users and len(items):
+                if isinstance(items, list):   # the block's first users: items in order, factors side by side
+                    ids = np.asarray(items, np.int64)
+                    order = np.argsort(ids, kind="stable")
+                    items, factors = ids[order], np.ascontiguousarray(np.asarray(factors)[order].T)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in best(items, factors, users, np.asarray(own), seen)], ["user", "item", "score"])
+            users.clear(), own.clear(), seen.clear()
+
+        for b in batches:
+            keys = list(zip(*(b.column(n).to_pylist() for n in range(4)), strict=True))
+            kinds, who, what = (b.column(n).to_pylist() for n in (4, 5, 6))
+            at, values = b.column(7).offsets.to_numpy(), b.column(7).values.to_numpy(zero_copy_only=False)
+            for r, key in enumerate(keys):
+                if key != block:
+                    yield from found()
+                    block, items, factors, holder, rated = key, [], [], None, []
+                if kinds[r] == 0:
+                    items.append(what[r])
+                    factors.append(values[at[r]: at[r + 1]])
+                elif kinds[r] == 1:
+                    if holder != who[r]:
+                        holder, rated = who[r], []
+                    rated.append(what[r])
+                else:
+                    users.append(who[r])
+                    own.append(values[at[r]: at[r + 1]])
+                    seen.append(rated if holder == who[r] else [])
+                    if len(users) >= BATCH_USERS:
+                        yield from found()
+        yield from found()
+
+    return run
+
+
 def recommend(users: DataFrame, items: DataFrame, rated: DataFrame, user: str, item: str, k: int = 10,
               tables: int = TABLES, bits: int | None = None, seed: int = 7) -> DataFrame:
     """(user, item, score, rank): the ``k`` items of highest score that each user has not rated, of the candidates
@@ -128,14 +208,35 @@ def recommend(users: DataFrame, items: DataFrame, rated: DataFrame, user: str, i
     moved = moved.join(F.broadcast(longest)).withColumn("_v", F.concat("_c", F.array(F.sqrt(F.greatest(F.col("_longest") - F.col("_l"), F.lit(0.0))))))
     rng = random.Random(seed)
     planes = [[[rng.gauss(0, 1) for _ in range(rank["n"] + 1)] for _ in range(bits)] for _ in range(tables)]
-    buckets = lambda v: F.explode(F.array(*[F.struct(F.lit(t).alias("t"), _signs(v, p).alias("b")) for t, p in enumerate(planes)]))
-    index = moved.select(item, "factors", buckets(F.col("_v")).alias("at")).select(item, F.col("factors").alias("_i"), "at.t", "at.b")
-    own = users.select(user, "factors", buckets(F.concat("factors", F.array(F.lit(0.0)))).alias("at")).select(user, "factors", "at.t", "at.b")
+    codes = lambda v: F.array(*[_signs(v, p) for p in planes])
+    index = moved.select(F.col(item).cast("long").alias("item"), F.col("factors").alias("x"), codes(F.col("_v")).alias("_ib"))
+    probe = users.select(F.col(user).cast("long").alias("user"), F.col("factors").alias("x"), codes(F.concat("factors", F.array(F.lit(0.0)))).alias("_ub"))
     flips = F.array(F.lit(0), *[F.lit(1 << j) for j in range(bits)])
-    probes = own.select(user, F.col("factors").alias("_u"), "t", F.explode(F.transform(flips, lambda f: F.col("b").bitwiseXOR(f))).alias("b"))
-    # the same pair from several tables is one: scores depend on the pair alone
-    found = (probes.join(index.hint("merge"), ["t", "b"]).groupBy(user, item).agg(F.max(dot("_u", "_i")).alias("score"))
-             .join(rated.select(user, item).distinct().hint("merge"), [user, item], "left_anti"))
+    own = index.select("item", "x", F.posexplode("_ib").alias("t", "b"))
+    looks = (probe.select("user", "x", F.posexplode("_ub").alias("t", "_b"))
+             .select("user", "x", "t", F.explode(F.transform(flips, lambda f: F.col("_b").bitwiseXOR(f))).alias("b")))
+    # rated pairs count only where the user's look meets the item's bucket
+    met = (rated.select(F.col(user).cast("long").alias("user"), F.col(item).cast("long").alias("item")).distinct()
+           .join(index.select("item", "_ib"), "item").join(probe.select("user", "_ub"), "user")
+           .select("user", "item", F.posexplode(F.zip_with("_ib", "_ub", lambda i, u: F.struct(i.alias("b"), (F.bit_count(i.bitwiseXOR(u)) <= 1).alias("met")))).alias("t", "at"))
+           .where("at.met").select("user", "item", "t", "at.b"))
+    # buckets differ in size: a large one is cut into blocks, so that a task holds one block's items
+    parts = lambda n, of: F.ceil(F.count(F.lit(1)) / n).cast("int").alias(of)
+    sizes = (own.groupBy("t", "b").agg(parts(BLOCK_ITEMS, "items"))
+             .join(looks.groupBy("t", "b").agg(parts(BLOCK_USERS, "users")), ["t", "b"]))
+    columns = lambda rows, ip, up, kind, of: rows.select("t", "b", F.col(ip).alias("ip"), F.col(up).alias("up"), F.lit(kind).alias("kind"), *of)
+    none, empty = F.lit(None).cast("long"), F.lit(None).cast("array<double>")
+    one = columns(_dealt(own, "item", sizes, "items", "users"), "_own", "_other", 0, [none.alias("user"), "item", "x"])
+    two = columns(_dealt(looks, "user", sizes, "users", "items"), "_other", "_own", 2, ["user", none.alias("item"), "x"])
+    ways = met.join(sizes, ["t", "b"]).withColumns({"_i": F.pmod(F.xxhash64("item"), F.col("items")).cast("int"), "_u": F.pmod(F.xxhash64("user"), F.col("users")).cast("int")})
+    block = ["t", "b", "ip", "up"]
+    work = one.unionByName(two).unionByName(columns(ways, "_i", "_u", 1, ["user", "item", empty.alias("x")]))
+    work = (work.repartition(*block).sortWithinPartitions(*block, F.col("kind") > 0, "user", "kind")
+            .select(*block, "kind", "user", "item", "x"))
+    # at most k pairs a user and block are dealt again; the same pair from several tables is one: scores depend on the pair alone
+    found = (work.mapInArrow(_best_of_blocks(k), "user long, item long, score double").repartition("user")
+             .groupBy("user", "item").agg(F.max("score").alias("score"))
+             .select(F.col("user").cast(users.schema[user].dataType).alias(user), F.col("item").cast(items.schema[item].dataType).alias(item), "score"))
     best = Window.partitionBy(user).orderBy(F.desc("score"), item)
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
