@@ -74,6 +74,17 @@ def gold(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
             "top_departements_gravite": top_departments(tables)}
 
 
+# a task holds the rows of about so many bytes of the source: the sort and the distinct keys of a task do
+# not grow with the source, whatever the session's partitions are
+TASK_BYTES = 8 * 1024 * 1024
+
+
+def _by_key(rows: DataFrame, source_bytes: int) -> DataFrame:
+    """Rows dealt by the accident key; what follows per key needs no further exchange."""
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, -(-source_bytes // TASK_BYTES))
+    return rows.repartition(n, "num_acc")
+
+
 def silver_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The older roles on the driver tables: the severity code is the order's priority digit modulo 4,
     the surface its status, the places' department the supplier's nation."""
@@ -89,4 +100,6 @@ def silver_from_driver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     places = li.join(s, li.l_suppkey == s.s_suppkey).select(
         F.col("l_orderkey").cast("string").alias("num_acc"),
         F.concat(F.lit(" "), F.lpad(F.col("s_nationkey").cast("string"), 2, "0")).alias("dep"), "l_linenumber")
-    return silver({"caracteristiques": acc, "lieux": places})
+    # one count for both sides: their join meets equal parts
+    size = sum(files.file_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") for name in ("orders", "lineitem"))
+    return silver({"caracteristiques": _by_key(acc, size), "lieux": _by_key(places, size)})

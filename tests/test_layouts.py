@@ -118,3 +118,13 @@ def test_udf_ways_agree_and_are_timed(spark):
     out = experiments.udf_ways(spark, SF001, runs=1)
     assert out["equal_results"] and set(out["gains"]) == {"native", "udf", "pandas", "arrow"}
     assert all(out[w]["min"] <= out[w]["median"] <= out[w]["max"] for w in ("native", "udf", "udf_pickled", "pandas", "arrow"))
+
+
+def test_older_layout_tasks_do_not_grow_with_the_source(spark, monkeypatch):
+    from strata.plans import older_layout
+    from tests.conftest import SF001
+    whole = [tuple(r) for r in older_layout.top_departments(older_layout.silver_from_driver(spark, SF001)).collect()]
+    monkeypatch.setattr(older_layout, "TASK_BYTES", 4096)
+    tables = older_layout.silver_from_driver(spark, SF001)
+    assert older_layout._with_department(tables).rdd.getNumPartitions() > 2 * spark.sparkContext.defaultParallelism
+    assert [tuple(r) for r in older_layout.top_departments(tables).collect()] == whole

@@ -63,3 +63,20 @@ def test_scores_follow_the_ratings(spark):
     told = recommend(users, items, pairs, "u", "i", k=3).collect()
     assert told and all((r.u * 5 + r.i * 3) % 7 == 0 and abs(r.score - r.u * r.i) < 0.25 * r.u * r.i + 2 for r in told)
     assert recommend(users, items.limit(0), pairs, "u", "i").count() == 0
+
+
+def test_blocks_change_no_recommendation(spark, monkeypatch):
+    """Buckets cut into small blocks of items and users, ties and rated pairs included, give the rows of whole buckets."""
+    from strata.operators import recommend as r
+    users = spark.createDataFrame([(x, [1.0 + x % 3, 0.5, 2.0]) for x in range(23)], "u long, factors array<double>")
+    items = spark.createDataFrame([(y, [float(y % 4), 1.0, float(y % 5)]) for y in range(60)], "i long, factors array<double>")
+    rated = spark.createDataFrame([(x, y, 1.0) for x in range(23) for y in range(60) if (x + y) % 7 == 0], "u long, i long, rating double")
+    whole = sorted(map(tuple, r.recommend(users, items, rated, "u", "i", k=4).collect()))
+    for name, size in (("BLOCK_ITEMS", 5), ("BLOCK_USERS", 4), ("BATCH_USERS", 2)):
+        monkeypatch.setattr(r, name, size)
+    assert whole and sorted(map(tuple, r.recommend(users, items, rated, "u", "i", k=4).collect())) == whole
+    score = {(x, y): (1.0 + x % 3) * (y % 4) + 0.5 + 2.0 * (y % 5) for x in range(23) for y in range(60)}
+    assert all((x + y) % 7 and abs(s - score[x, y]) < 1e-9 for x, y, s, _ in whole)
+    for x in range(23):
+        told = [(-s, y) for a, y, s, _ in sorted(whole, key=lambda w: w[3]) if a == x]
+        assert told == sorted(told) and len(told) <= 4
