@@ -7,16 +7,14 @@ disk, HDFS and object stores.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.contracts import Contract, apply_contract, check_columns
-from strata.operators.measure import settings
 
 # ---- fixed values: the accident files' text format ---------------------------
 CSV_SEP = ";"
@@ -60,37 +58,38 @@ def check_sources(spark: SparkSession, paths: list[str]) -> None:
         raise FileNotFoundError("missing input file(s): " + ", ".join(missing))
 
 
-# larger than any file: the probe's scan never splits one and never packs two
-_WHOLE_FILE = str(1 << 50)
-
-
-def _first_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if b.num_rows:
-            yield b.slice(0, 1)
-            return
-
-
 def readable_path(uri: str) -> str:
     """A path for a reader from a file's URI: decoded, and with the signs of globs escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
+def first_line(spark: SparkSession, uri: str, encoding: str) -> str | None:
+    """The first line of a file (unpacked by its suffix), null for an empty one; no more than a buffer is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        line = jvm.org.apache.hadoop.io.Text()
+        size = jvm.org.apache.hadoop.util.LineReader(codec.createInputStream(stream) if codec else stream).readLine(line)
+        return bytes(line.copyBytes()).decode(encoding, "replace") if size else None
+    finally:
+        stream.close()
+
+
 def header_layouts(spark: SparkSession, path: str, encoding: str) -> dict[str, list[str]]:
-    """Header line -> files that begin with it. One file needs no reading; in a folder each file is one
-    task that stops after its first line, so what is read does not grow with the files' sizes, and a
-    gzip file is unpacked up to there only. One entry a file comes back. Files of one layout are the
-    path as it was given."""
+    """Header line -> files that begin with it. One file needs no reading; in a folder the first line of each file is
+    read, so what is read does not grow with the files' sizes, and a gzip file is unpacked up to there only.
+    Files of one layout are the path as it was given."""
     listed = spark.read.format("binaryFile").load(path).inputFiles()
     if len(listed) < 2:
         return {"": [path]}
-    with settings(spark, {"spark.sql.files.maxPartitionBytes": _WHOLE_FILE, "spark.sql.files.openCostInBytes": _WHOLE_FILE,
-                          "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
-        lines = spark.read.option("encoding", encoding).text(path).select("value", F.col("_metadata.file_path").alias("file"))
-        first = lines.mapInArrow(_first_rows, "value string, file string").collect()
+    with ThreadPoolExecutor(16) as readers:
+        first = readers.map(lambda uri: first_line(spark, uri, encoding), listed)
     layouts: dict[str, list[str]] = {}
-    for r in first:
-        layouts.setdefault(r["value"], []).append(readable_path(r["file"]))
+    for uri, line in zip(listed, first, strict=True):
+        if line is not None:
+            layouts.setdefault(line, []).append(readable_path(uri))
     return {"": [path]} if len(layouts) < 2 else {h: sorted(files) for h, files in layouts.items()}
 
 

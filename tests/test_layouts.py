@@ -120,6 +120,23 @@ def test_udf_ways_agree_and_are_timed(spark):
     assert all(out[w]["min"] <= out[w]["median"] <= out[w]["max"] for w in ("native", "udf", "udf_pickled", "pandas", "arrow"))
 
 
+def test_headers_are_read_without_the_files(spark, tmp_path):
+    """Files of two layouts: the probe reads their first lines, not their rows."""
+    from strata.sources import files
+    for n, header in enumerate(("a;b", "b;a")):
+        (tmp_path / f"{n}.csv").write_text(header + "\n" + "1;2\n" * 400_000)
+    sc = spark.sparkContext
+    sc.setJobGroup("header-probe", "")
+    try:
+        assert sorted(files.header_layouts(spark, str(tmp_path), "utf-8")) == ["a;b", "b;a"]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    found = sc.statusTracker()
+    store = sc._jsc.sc().statusStore()
+    read = sum(store.lastStageAttempt(s).inputRecords() for j in found.getJobIdsForGroup("header-probe") for s in found.getJobInfo(j).stageIds)
+    assert read < 400_000
+
+
 def test_older_layout_tasks_do_not_grow_with_the_source(spark, monkeypatch):
     from strata.plans import older_layout
     from tests.conftest import SF001
