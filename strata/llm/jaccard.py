@@ -4,14 +4,17 @@ A document's set holds the 64-bit hashes of its distinct w-word shingles. The jo
 
 1. One scan hashes every set, counts shingles in a fixed table of cells (a document-frequency
    estimate, used only to order shingles: rare first), gives equal sets one node and each set a
-   profile (how many of its shingles fall into each of 64 classes).
-2. A second scan writes each node's prefix: two sets that link share a shingle among the first
-   n - ceil(t n) + 1 of each in that order.
+   sketch (a bit a class of shingles: whether an odd number of its shingles fall into it). Each shingle that
+   only one of two sets has flips a bit, so sketches of sets that link differ in few; more classes
+   for larger sets tell those of any size apart.
+2. A second scan writes each node's prefix, once however many documents are equal: two sets that link
+   share a shingle among the first n - ceil(t n) + 1 of each in that order.
 3. Index lists are keyed by shingle and ordered by size class, position and size. Lists of one node
    are skipped; a list is cut into blocks that carry their least size and the largest size that
    any entry's position (what follows the shingle) lets it link to. Two blocks meet only where these
-   allow a link, between tasks (long lists) as inside one; of what meets, pairs are skipped
-   by their own positions and profiles. The rest joins nodes to candidate clusters.
+   allow a link, between tasks (long lists) as inside one; entries that no other of a short list fits in size
+   and position go before the sketches are joined, then pairs are skipped by their own
+   sizes, positions and sketches. The rest joins nodes to candidate clusters.
 4. Clusters are compared in blocks of bounded size. In a block a set's overlap with all
    larger ones comes from index lists in size order, entered and left where sizes begin and cease
    to fit; a set much like one already answered starts from that answer and visits the lists of the
@@ -33,14 +36,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import (BITMAP_ROWS, U64, bitmap_bits, bitmap_rows, by_group, collect_bitmap, components, cut, drop,
+from strata.llm.common import (BITMAP_ROWS, U64, bitmap_bits, bitmap_of, bitmap_rows, by_group, collect_bitmap, components, cut, drop,
                                holds, longs, mix, repeat_rows, unite, word_slices)
 
 CELLS = 1 << 20  # cells of the frequency table: 4 MB, whatever the input
 _PART = 1 << 15
-PROFILE = 64
+SKETCH_BITS = 1 << 15  # of a sketch, at most
 LIST_BLOCK = 2048  # entries of a list that meet in one task
 SKIP = 64  # entries of a list that a task skips at once
+LONE = 64  # entries of a list whose pairs are looked at before sketches are joined
 STEPS = 4  # size classes that linked sets are apart at most
 _PAIRS = 1 << 15  # pairs that a task looks at together
 BLOCK_SETS, BLOCK_SHINGLES = 4096, 4_000_000  # sets and shingles that one task compares
@@ -89,23 +93,63 @@ def class_width(percent: int) -> float:
     return max(math.log(100 / percent), 0.01) * (1 + 1e-9) / STEPS
 
 
-def profile(own: np.ndarray) -> bytes:
-    """How many hashes fall into each class, as uint16; 65535 stands for that many or more."""
-    return np.minimum(np.bincount((own >> U64(58)).astype(np.int64), minlength=PROFILE), 65535).astype("<u2").tobytes()
+def sketch_bits(n: int, percent: int) -> int:
+    """Classes of the sketch of a set of n: a power of two well over twice the shingles by which it may differ
+    from a set that it links to, so that unlike sets, which differ in half of the classes, are told apart."""
+    differ = 2 * n * (100 - percent) // (100 + percent)
+    return min(SKETCH_BITS, 1 << (differ * 26 // 10 + 63).bit_length())
 
 
-def _scan(docs: DataFrame, w: int) -> DataFrame:
-    """Rows (doc_id, n, node, profile) per document, and (part, cells) per task with its shingle counts."""
+def sketch(own: np.ndarray, bits: int) -> bytes:
+    """A bit a class: whether an odd number of the hashes fall into it."""
+    odd = np.bincount(((own >> U64(32)) & U64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Sketches:
+    """The sketches of some entries, of which pairs are compared at the smaller size: halves laid over each
+    other are the sketch of half as many classes."""
+
+    def __init__(self, rows: Iterable[bytes], order: np.ndarray):
+        rows = list(rows)
+        words = np.array([len(x) for x in rows], np.int64) // 8
+        self.words, self.start = words[order], (np.cumsum(words) - words)[order]
+        self.data = np.frombuffer(b"".join(rows), np.uint64)
+
+    def _at(self, i: np.ndarray, words: int) -> np.ndarray:
+        out = np.zeros((len(i), words), np.uint64)
+        halves = self.words[i] // words
+        at = self.start[i][:, None] + np.arange(words)
+        for k in range(int(halves.max(initial=0))):
+            on = halves > k
+            out[on] ^= self.data[at[on] + k * words]
+        return out
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Classes in which each pair differs: no more than shingles that only one of the two has."""
+        out = np.zeros(len(i), np.int64)
+        words = np.minimum(self.words[i], self.words[j])
+        for size in np.unique(words):
+            of = np.flatnonzero(words == size)
+            step = max(1, (1 << 17) // int(size))
+            for k in range(0, len(of), step):
+                some = of[k: k + step]
+                out[some] = np.bitwise_count(self._at(i[some], size) ^ self._at(j[some], size)).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _scan(docs: DataFrame, w: int, percent: int) -> DataFrame:
+    """Rows (doc_id, n, node, sketch) per document, and (part, cells) per task with its shingle counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
-        names = ["doc_id", "n", "node", "profile", "part", "cells"]
+        names = ["doc_id", "n", "node", "sketch", "part", "cells"]
         for b in batches:
-            sizes, nodes, profiles, found = [], [], [], []
+            sizes, nodes, sketches, found = [], [], [], []
             for _, own in shingle_sets(b.column(1), w):
                 sizes.append(len(own))
                 nodes.append(node_of(own) if len(own) else None)
-                profiles.append(profile(own))
+                sketches.append(sketch(own, sketch_bits(len(own), percent)) if len(own) else None)
                 found.append(own)
                 if len(found) == 512:
                     counts += np.bincount((np.concatenate(found) & U64(CELLS - 1)).astype(np.int64), minlength=CELLS)
@@ -114,14 +158,20 @@ def _scan(docs: DataFrame, w: int) -> DataFrame:
                 counts += np.bincount((np.concatenate(found) & U64(CELLS - 1)).astype(np.int64), minlength=CELLS)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(profiles, pa.binary()),
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary()),
                  none.cast(pa.int64()), none.cast(pa.binary())], names)
         parts = [p for p in range(CELLS // _PART) if counts[p * _PART: (p + 1) * _PART].any()]
         none = pa.nulls(len(parts), pa.int64())
-        cells = [np.minimum(counts[p * _PART: (p + 1) * _PART], 2**31 - 1).astype("<i4").tobytes() for p in parts]
+        cells = [_narrow(counts[p * _PART: (p + 1) * _PART]).tobytes() for p in parts]
         yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(parts), pa.binary()), pa.array(parts, pa.int64()), pa.array(cells, pa.binary())], names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, node long, profile binary, part long, cells binary")
+    return docs.mapInArrow(run, "doc_id long, n long, node long, sketch binary, part long, cells binary")
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest takes (1, 2 or 4)."""
+    most = int(counts.max())
+    return np.minimum(counts, 2**32 - 1).astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4")
 
 
 def _frequencies(scan: DataFrame) -> np.ndarray:
@@ -130,7 +180,7 @@ def _frequencies(scan: DataFrame) -> np.ndarray:
     def add(key, part: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(_PART, np.int64)
         for raw in part.cells:
-            total += np.frombuffer(raw, "<i4")
+            total += np.frombuffer(raw, f"<u{len(raw) // _PART}")
         steps = np.floor(4 * np.log2(1 + total)).astype(np.uint8)
         return pd.DataFrame({"part": [key[0]], "cells": [steps.tobytes()]})
 
@@ -140,9 +190,10 @@ def _frequencies(scan: DataFrame) -> np.ndarray:
     return out
 
 
-def _prefixes(docs: DataFrame, w: int, percent: int, frequency) -> DataFrame:
+def _prefixes(docs: DataFrame, w: int, percent: int, frequency, picked) -> DataFrame:
     """(shingle, node, n, pos) of the prefix shingles of every set, with its size and their position in
-    it. A task writes a set once."""
+    it. Of documents with equal sets only the one that stands for the node writes it (``picked``; a few others
+    may), and a task writes a set once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = frequency.value
@@ -150,12 +201,13 @@ def _prefixes(docs: DataFrame, w: int, percent: int, frequency) -> DataFrame:
         for b in batches:
             out: list[tuple] = []
             size = 0
-            for _, own in shingle_sets(b.column(0), w):
+            ids = np.asarray(b.column(0).fill_null(0))
+            for row, own in shingle_sets(b.column(1), w):
                 n = len(own)
                 if not n:
                     continue
                 node = node_of(own)
-                if node in known:
+                if node in known or not holds(picked.value, _pair(np.array([node]), ids[row: row + 1]))[0]:
                     continue
                 known.add(node)
                 order = np.lexsort((own, rank[own & U64(CELLS - 1)]))
@@ -168,7 +220,7 @@ def _prefixes(docs: DataFrame, w: int, percent: int, frequency) -> DataFrame:
             if out:
                 yield _prefix_rows(out)
 
-    return docs.select("text").mapInArrow(run, "shingle long, node long, n int, pos int")
+    return docs.mapInArrow(run, "shingle long, node long, n int, pos int")
 
 
 def _prefix_rows(out: list[tuple]) -> pa.RecordBatch:
@@ -187,7 +239,7 @@ def _live(entries: DataFrame) -> DataFrame:
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for b in batches:
-            held.append(np.asarray(b.column(0)).view(U64))
+            held.append(mix(np.asarray(b.column(0)).view(U64)))  # prefixes hold few of the cells, and so of the low bits
             size += len(held[-1])
             if size > 1_000_000:
                 yield from repeat_rows(np.concatenate(held), bits)
@@ -199,7 +251,7 @@ def _live(entries: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(holds(twice.value, np.asarray(b.column(0)).view(U64), both=False)))
+            yield b.filter(pa.array(holds(twice.value, mix(np.asarray(b.column(0)).view(U64)), both=False)))
 
     return entries.mapInArrow(run, entries.schema)
 
@@ -239,7 +291,7 @@ def _compare_lists(percent: int):
         head = np.flatnonzero(within % SKIP == 0)
         many = np.diff(np.append(head, len(n)))
         x, y = blocks_that_meet(of[head], blk[head], cross[head], np.minimum.reduceat(n, head), np.maximum.reduceat(far, head))
-        profiles = np.frombuffer(b"".join(part.profile), "<u2").reshape(-1, PROFILE)
+        sketches = Sketches(part.sketch, order)
         root = np.arange(len(n))
         times = many[x] * many[y]
         chunk = np.cumsum(times) // _PAIRS
@@ -257,8 +309,7 @@ def _compare_lists(percent: int):
             i, j = i[may], j[may]
             if not len(i):
                 continue
-            left, right = profiles[order[i]], profiles[order[j]]
-            may = (np.minimum(left, right).sum(axis=1, dtype=np.int64) >= pair_overlap(n[i], n[j], percent)) | ((left == 65535) & (right == 65535)).any(axis=1)
+            may = sketches.differ(i, j) <= n[i] + n[j] - 2 * pair_overlap(n[i], n[j], percent)
             unite(root, i[may], j[may])
         tied = root != np.arange(len(root))
         return pd.DataFrame({"a": node[tied], "b": node[root[tied]]})
@@ -320,23 +371,92 @@ def meetings(blocks: DataFrame, percent: int) -> DataFrame:
     return pairs.select("shingle", F.explode(F.array_distinct(F.array("a", "b"))).alias("blk"), "a", "b")
 
 
+def _met(percent: int):
+    """Of rows (shingle, node, n, pos) sorted by shingle, those that another node of their list fits in size and
+    position; lists of over ``LONE`` entries stay whole."""
+
+    def near(shingle: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray) -> np.ndarray:
+        keep = np.zeros(len(n), bool)
+        far = reach(n, pos, percent)
+        new = np.append(True, shingle[1:] != shingle[:-1])
+        many = np.diff(np.append(np.flatnonzero(new), len(n)))
+        keep[np.repeat(many > LONE, many)] = True
+        later = np.repeat(np.cumsum(many), many) - np.arange(len(n)) - 1
+        later[keep] = 0
+        # as many rows at a time as have _PAIRS pairs or so
+        chunk = np.cumsum(later) // _PAIRS
+        ends = np.append(np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, len(n))
+        at = 0
+        for end in ends:
+            i = np.repeat(np.arange(at, end), later[at:end])
+            j = i + 1 + ragged(later[at:end])
+            may = (far[i] >= n[j]) & (far[j] >= n[i]) & (node[i] != node[j])
+            keep[i[may]], keep[j[may]] = True, True
+            at = end
+        return keep
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def told(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            columns = [rows.column(k).to_numpy() for k in range(2)] + [rows.column(k).to_numpy().astype(np.int64) for k in (2, 3)]
+            yield from rows.filter(pa.array(near(*columns))).to_batches()
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            shingle = np.asarray(b.column(0))
+            inner = int(np.searchsorted(shingle, shingle[-1]))
+            if held and (inner or shingle[0] != held[-1].column(0)[-1].as_py()):
+                yield from told(pa.Table.from_batches([*held, b.slice(0, inner)]))
+                held = []
+            elif inner:
+                yield from told(pa.Table.from_batches([b.slice(0, inner)]))
+            held.append(b.slice(inner))  # the last list may go on
+        if held:
+            yield from told(pa.Table.from_batches(held))
+
+    return run
+
+
+def _divide(live: DataFrame, long) -> tuple[DataFrame, DataFrame]:
+    """The rows of short and of long lists; a bitmap of the long ones tells (a few short ones may come with them)."""
+
+    def of(want: bool) -> DataFrame:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(holds(long.value, np.asarray(b.column(0)).view(U64)) == want))
+
+        return live.mapInArrow(run, live.schema)
+
+    return of(False), of(True)
+
+
 def _clusters(entries: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(node, root) of the nodes that share an index list with another node they may link to."""
-    live = cut(_live(entries), "jaccard-lists")
-    shared = cut(live.groupBy("shingle").agg(F.min("node").alias("_a"), F.max("node").alias("_b"), F.count("*").alias("_n"))
-                 .where("_a <> _b").select("shingle", (F.col("_n") > LIST_BLOCK).alias("long")), "jaccard-shared")
+    """(node, root) of the nodes that share an index list with another node they may link to. Drops ``entries``."""
+    spark = entries.sparkSession
+    live = cut(_live(entries), "jaccard-live")
+    drop(entries)
+    long = cut(live.groupBy("shingle").agg(F.count("*").alias("_n")).where(F.col("_n") > LIST_BLOCK).select("shingle"), "jaccard-long")
+    n_long = long.count()
+    short, rest = _divide(live, spark.sparkContext.broadcast(bitmap_of(long, "shingle", bitmap_bits(n_long)))) if n_long else (live, None)
+    met = cut(short.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_met(percent), live.schema), "jaccard-lists")
+    used = [met]
     zero = F.lit(0).cast("long")
     names = ["shingle", "a", "b", "node", "n", "pos", "blk"]
-    listed = live.join(shared.where("not long"), "shingle").withColumns({"a": zero, "b": zero, "blk": zero}).select(names)
-    split = shared.where("long")
-    if not split.isEmpty():
-        blocks = cut(list_blocks(live.join(split, "shingle"), percent), "jaccard-blocks")
-        listed = listed.unionByName(blocks.join(cut(meetings(blocks, percent), "jaccard-meetings"), ["shingle", "blk"]).select(names))
-    listed = listed.join(classes.select("node", "profile"), "node")
+    listed = met.withColumns({"a": zero, "b": zero, "blk": zero}).select(names)
+    if rest is not None:
+        blocks = cut(list_blocks(rest, percent), "jaccard-blocks")
+        used += [blocks, cut(meetings(blocks, percent), "jaccard-meetings")]
+        listed = listed.unionByName(blocks.join(used[-1], ["shingle", "blk"]).select(names))
+    drop(live)
+    listed = listed.join(classes.select("node", "sketch"), "node")
     keys = ["shingle", "a", "b"]
-    edges = listed.repartition(*keys).sortWithinPartitions(*keys, "node").mapInPandas(_compare_lists(percent), "a long, b long").distinct()
+    edges = cut(listed.repartition(*keys).sortWithinPartitions(*keys, "node").mapInPandas(_compare_lists(percent), "a long, b long").distinct(), "jaccard-edges")
+    for x in used:
+        drop(x)
     out = cut(components(edges, "a", "b"), "jaccard-clusters")
-    drop(live)
+    drop(edges)
     return out
 
 
@@ -449,14 +569,13 @@ def jaccard_components(docs: DataFrame, percent: int = 85, w: int = 4) -> DataFr
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scan = cut(_scan(docs, w), "jaccard-scan")
+    scan = cut(_scan(docs, w, percent), "jaccard-scan")
     frequency = spark.sparkContext.broadcast(_frequencies(scan))
     rows = scan.where("part is null").select("doc_id", "n", "node")
     # the document that stands for each node, its smallest
-    classes = cut(scan.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_doc"), F.first("n").alias("n"), F.first("profile").alias("profile")), "jaccard-classes")
-    entries = cut(_prefixes(docs, w, percent, frequency), "jaccard-prefixes")
+    classes = cut(scan.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("_doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "jaccard-classes")
+    entries = cut(_prefixes(docs, w, percent, frequency, _picked(classes)), "jaccard-prefixes")
     clusters = _clusters(entries, classes, percent)
-    drop(entries)
     placed = cut(place(clusters, classes.select("node", "n")), "jaccard-places")
 
     def sets(wanted: DataFrame) -> DataFrame:
@@ -474,9 +593,8 @@ def _pair(node: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return mix(node.view(U64) + mix(doc.view(U64)))
 
 
-def _sets(docs: DataFrame, w: int, wanted: DataFrame) -> DataFrame:
-    """(node, set) of the rows of ``docs`` that stand for a node of ``wanted`` (node, _doc); a bitmap of
-    the pairs picks them, so a few others may come along. Null ids stand under 0."""
+def _picked(wanted: DataFrame):
+    """Broadcast bitmap of the pairs (node, _doc) of ``wanted``; null ids stand under 0."""
     pairs = wanted.select("node", F.coalesce("_doc", F.lit(0)).alias("_doc"))
     bits = bitmap_bits(pairs.count())
 
@@ -484,7 +602,13 @@ def _sets(docs: DataFrame, w: int, wanted: DataFrame) -> DataFrame:
         for b in batches:
             yield from bitmap_rows(_pair(np.asarray(b.column(0)), np.asarray(b.column(1))), bits)
 
-    picked = docs.sparkSession.sparkContext.broadcast(collect_bitmap(pairs.mapInArrow(emit, BITMAP_ROWS), bits))
+    return wanted.sparkSession.sparkContext.broadcast(collect_bitmap(pairs.mapInArrow(emit, BITMAP_ROWS), bits))
+
+
+def _sets(docs: DataFrame, w: int, wanted: DataFrame) -> DataFrame:
+    """(node, set) of the rows of ``docs`` that stand for a node of ``wanted`` (node, _doc); a bitmap of
+    the pairs picks them, so a few others may come along."""
+    picked = _picked(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

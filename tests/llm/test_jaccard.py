@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 from strata.llm import jaccard
 from strata.llm.jaccard import jaccard_components
@@ -133,3 +134,56 @@ def test_answers_skip_lists_and_carry_over():
     assert links == found and found
     whole = jaccard.np.bincount((block.entries // len(sets)).astype(int))
     assert block.visited < sum(whole[s].sum() for s in block.sets) / 4
+
+
+def test_large_unlike_sets_that_share_a_passage_are_no_candidates(spark, monkeypatch):
+    rng = random.Random(11)
+    line = [f"line{k}" for k in range(60)]
+    docs = [(k, " ".join(line + [f"w{rng.randrange(10**9)}" for _ in range(6000 + k)])) for k in range(12)]
+    told = []
+    place = jaccard.place
+    monkeypatch.setattr(jaccard, "_frequencies", lambda scan: jaccard.np.zeros(jaccard.CELLS, jaccard.np.uint8))  # as where all are as frequent
+    monkeypatch.setattr(jaccard, "place", lambda clusters, sizes: told.append(clusters.count()) or place(clusters, sizes))
+    rows = jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), 80, 5).collect()
+    assert all(r.component_id == r.doc_id for r in rows)
+    assert told == [0]
+
+
+def test_sketches_differ_in_no_more_than_the_sets():
+    rng = random.Random(12)
+    draw = lambda n: {rng.getrandbits(64) for _ in range(n)}
+    sets = []
+    for n in (1, 2, 3, 5, 40, 300, 320, 2000, 2300):
+        base = draw(n)
+        sets += [base, draw(n), base - set(list(base)[: n // 10]), base | draw(n // 8)]
+    sets = [s for s in sets if s]
+    for percent in (50, 80, 85, 100):
+        rows = [jaccard.sketch(jaccard.np.array(sorted(s), jaccard.U64), jaccard.sketch_bits(len(s), percent)) for s in sets]
+        i, j = (jaccard.np.array(x) for x in zip(*((a, b) for a in range(len(sets)) for b in range(len(sets))), strict=True))
+        order = jaccard.np.array(rng.sample(range(len(sets)), len(sets)))
+        found = jaccard.Sketches(rows, order).differ(i, j)
+        for a, b, d in zip(order[i], order[j], found, strict=True):
+            assert d <= len(sets[a] ^ sets[b])
+
+
+def test_copies_write_one_prefix(spark):
+    docs = [(k, "a text that many documents hold word by word") for k in range(60)] + [(100, "another text of some words")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(12)
+    scan = jaccard._scan(rows, 4, 85)
+    classes = scan.where("node is not null").groupBy("node").agg(jaccard.F.min("doc_id").alias("_doc"))
+    frequency = spark.sparkContext.broadcast(jaccard._frequencies(scan))
+    told = jaccard._prefixes(rows, 4, 85, frequency, jaccard._picked(classes)).groupBy("node", "shingle").count().collect()
+    assert len({r.node for r in told}) == 2
+    assert all(r["count"] == 1 for r in told)
+
+
+def test_cut_leaves_no_shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {str(x) for x in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles()) if "shuffle_" in str(x)}
+    before = held()
+    made = jaccard.cut(spark.range(20_000).selectExpr("id", "id % 977 k").groupBy("k").count(), "released")
+    end = time.time() + 10
+    while held() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not held() - before
+    assert made.count() == 977
