@@ -35,11 +35,23 @@ SLICE_BYTES = 1 << 18
 
 # -- tables -----------------------------------------------------------------------------
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh scratch table and read it back (lineage ends there)."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    # what the write shuffled goes when it ends, not when the driver happens to collect its garbage
+    before = spark.conf.get(_RELEASE, None)
+    spark.conf.set(_RELEASE, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_RELEASE)
+        else:
+            spark.conf.set(_RELEASE, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
