@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from strata.functions.expressions import count_where
 
 INT_MAX = 2**31 - 1
+# ALS deals the ratings into blocks, one a task: so many ratings a block, and no fewer blocks than Spark's default
+BLOCK_RATINGS, LEAST_BLOCKS = 2_000_000, 10
 
 
 def dense_ids(values: DataFrame, col: str, out_col: str, partitions: int) -> DataFrame:
@@ -41,7 +43,8 @@ def als_model(ratings: DataFrame, user: str, item: str, rating: str, rank: int =
 
     Ratings are first reduced to one mean per (user, item) pair (partial
     aggregation). ALS needs 32-bit ids: ids are used as they are when
-    they fit, else re-indexed densely (and mapped back). The iterations cut lineage
+    they fit, else re-indexed densely (and mapped back). The blocks of users and items grow in number with
+    the ratings, so that a task's share does not grow with them. The iterations cut lineage
     into the session's checkpoint folder."""
     from pyspark.ml.recommendation import ALS
 
@@ -51,7 +54,8 @@ def als_model(ratings: DataFrame, user: str, item: str, rating: str, rank: int =
     checkpoint_root(spark)
     pairs = ratings.where(F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull()).groupBy(user, item).agg(F.avg(rating).alias("rating"))
     bounds = pairs.agg(F.min(user).alias("u0"), F.max(user).alias("u1"),
-                       F.min(item).alias("i0"), F.max(item).alias("i1")).first()
+                       F.min(item).alias("i0"), F.max(item).alias("i1"), F.count(F.lit(1)).alias("n")).first()
+    blocks = max(LEAST_BLOCKS, -(-bounds["n"] // BLOCK_RATINGS))
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     maps = {}
     for c, lo, hi in ((user, bounds["u0"], bounds["u1"]), (item, bounds["i0"], bounds["i1"])):
@@ -63,6 +67,7 @@ def als_model(ratings: DataFrame, user: str, item: str, rating: str, rank: int =
     train = train.select("*", F.col(f"_{user}_ix" if user in maps else user).cast("int").alias("_user"),
                          F.col(f"_{item}_ix" if item in maps else item).cast("int").alias("_item"))
     model = ALS(userCol="_user", itemCol="_item", ratingCol="rating", rank=rank, maxIter=max_iter,
+                numUserBlocks=blocks, numItemBlocks=blocks,
                 regParam=reg, seed=seed, nonnegative=True, coldStartStrategy="nan",
                 checkpointInterval=2).fit(train)
 

@@ -80,3 +80,15 @@ def test_blocks_change_no_recommendation(spark, monkeypatch):
     for x in range(23):
         told = [(-s, y) for a, y, s, _ in sorted(whole, key=lambda w: w[3]) if a == x]
         assert told == sorted(told) and len(told) <= 4
+
+
+def test_als_blocks_grow_with_the_ratings(spark, monkeypatch):
+    from strata.operators import recommend
+    rows = [(u, i, float((u * i) % 5 + 1)) for u in range(30) for i in range(20) if (u + i) % 2]
+    ratings = spark.createDataFrame(rows, "u long, i long, r double")
+    few = [f.rdd.getNumPartitions() for f in recommend.als_model(ratings, "u", "i", "r", rank=2, max_iter=1)[1:]]
+    assert few == [10, 10]
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 20)
+    pairs, users, items = recommend.als_model(ratings, "u", "i", "r", rank=2, max_iter=1)
+    assert [f.rdd.getNumPartitions() for f in (users, items)] == [15, 15]
+    assert (users.count(), items.count()) == (30, 20)
