@@ -7,9 +7,11 @@ disk, HDFS and object stores.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +79,12 @@ def first_line(spark: SparkSession, uri: str, encoding: str) -> str | None:
         stream.close()
 
 
+def _first_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows (value, file) that the probe reads, one a file, those of files that have a line."""
+    for b in batches:
+        yield b.filter(b.column("value").is_valid())
+
+
 def header_layouts(spark: SparkSession, path: str, encoding: str) -> dict[str, list[str]]:
     """Header line -> files that begin with it. One file needs no reading; in a folder the first line of each file is
     read, so what is read does not grow with the files' sizes, and a gzip file is unpacked up to there only.
@@ -86,10 +94,11 @@ def header_layouts(spark: SparkSession, path: str, encoding: str) -> dict[str, l
         return {"": [path]}
     with ThreadPoolExecutor(16) as readers:
         first = readers.map(lambda uri: first_line(spark, uri, encoding), listed)
+    read = (pa.RecordBatch.from_arrays([pa.array([line], pa.string()), pa.array([uri])], ["value", "file"]) for uri, line in zip(listed, first, strict=True))
     layouts: dict[str, list[str]] = {}
-    for uri, line in zip(listed, first, strict=True):
-        if line is not None:
-            layouts.setdefault(line, []).append(readable_path(uri))
+    for b in _first_rows(read):
+        for r in b.to_pylist():
+            layouts.setdefault(r["value"], []).append(readable_path(r["file"]))
     return {"": [path]} if len(layouts) < 2 else {h: sorted(files) for h, files in layouts.items()}
 
 
